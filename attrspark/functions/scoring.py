@@ -65,24 +65,33 @@ def with_attributes(
 
 
 def long_scores(df: DataFrame, vocabulary: Vocabulary, keep: list[str], scores: str = "scores"):
-    """One row per item and option: attribute, opt_idx, option, score, probability."""
+    """One row per item and option: attribute, opt_idx, option, score, probability.
+
+    Items without scores have no rows. The names come from constant arrays, looked up
+    by position, so the vocabulary is neither joined nor repeated in the compiled code.
+    """
     score = F.col(scores)
-    rows = []
+    probabilities = []
     for a in vocabulary.attributes:
         cells = _cells(score, a)
         best = _best(cells)
         mass = _mass(cells, best)
-        rows += [
-            F.struct(
-                F.lit(a.name).alias("attribute"),
-                F.lit(j).alias("opt_idx"),
-                F.lit(option).alias("option"),
-                cell.alias("score"),
-                (F.exp(cell - best) / mass).alias("probability"),
-            )
-            for j, (option, cell) in enumerate(zip(a.options, cells))
-        ]
-    return df.select(*keep, F.inline(F.array(*rows)))
+        probabilities += [F.exp(cell - best) / mass for cell in cells]
+    options = [(a.name, j, o) for a in vocabulary.attributes for j, o in enumerate(a.options)]
+
+    def name(field: int) -> Column:
+        return F.get(F.array(*[F.lit(row[field]) for row in options]), F.col("pos"))
+
+    cells = F.arrays_zip(score.alias("score"), F.col("__probs").alias("probability"))
+    staged = df.withColumn("__probs", F.when(score.isNotNull(), F.array(*probabilities)))
+    return staged.select(*keep, F.posexplode(cells).alias("pos", "cell")).select(
+        *keep,
+        name(0).alias("attribute"),
+        name(1).alias("opt_idx"),
+        name(2).alias("option"),
+        F.col("cell")["score"].alias("score"),
+        F.col("cell")["probability"].alias("probability"),
+    )
 
 
 def prompt(option: Column) -> Column:

@@ -88,10 +88,11 @@ def with_tags(
         "__grouped",
         F.transform("__tags", lambda t: F.struct(t.alias("tag"), tag_group(t, rules).alias("grp"))),
     )
-    lists = [
-        F.transform(F.filter("__grouped", lambda g, n=n: g["grp"] == n), lambda g: g["tag"]).alias(n)
-        for n in groups
-    ]
+
+    def members(group: str) -> Column:
+        return F.transform(F.filter("__grouped", lambda g: g["grp"] == group), lambda g: g["tag"])
+
+    lists = [members(n).alias(n) for n in groups]
     struct = F.struct(
         F.col("__tags").alias("raw_tags"),
         F.struct(*lists).alias("categorized"),

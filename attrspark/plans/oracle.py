@@ -403,9 +403,9 @@ SELECT '{{"id":"' || vec_id || '","attributes":' || {JSON_RECORD} || ',"source":
 SELECT id, 'text' AS source, CAST(NULL AS INT) AS tag_count FROM done
 UNION ALL SELECT id, 'image', CAST(len(string_split(text, ',')) AS INT) FROM items WHERE id NOT IN (SELECT id FROM done)""",
     "run_totals": f"""WITH {RESULTS},
-flags AS (SELECT error IS NULL AS fine, coalesce({columns()}) IS NOT NULL AS some, hit FROM res)
-SELECT count(*) AS total, count(*) FILTER (WHERE fine AND some) AS successful,
-  count(*) FILTER (WHERE NOT (fine AND some)) AS failed, count(*) FILTER (WHERE fine) AS no_error,
+flags AS (SELECT error IS NULL AS fine, coalesce({columns()}) IS NOT NULL AS has_any, hit FROM res)
+SELECT count(*) AS total, count(*) FILTER (WHERE fine AND has_any) AS successful,
+  count(*) FILTER (WHERE NOT (fine AND has_any)) AS failed, count(*) FILTER (WHERE fine) AS no_error,
   count(*) FILTER (WHERE NOT fine) AS errors, count(*) FILTER (WHERE hit) AS cache_hits,
   count(*) FILTER (WHERE NOT hit AND fine) AS computed FROM flags""",
     "batch_totals": """WITH placed AS (
