@@ -67,30 +67,30 @@ def with_attributes(
 def long_scores(df: DataFrame, vocabulary: Vocabulary, keep: list[str], scores: str = "scores"):
     """One row per item and option: attribute, opt_idx, option, score, probability.
 
-    Items without scores have no rows. The names come from constant arrays, looked up
-    by position, so the vocabulary is neither joined nor repeated in the compiled code.
+    Items without scores have no rows. Maximum and mass are computed once per item and
+    attribute; names, maxima and masses are then looked up by position, so the
+    vocabulary is neither joined nor repeated in the compiled code.
     """
     score = F.col(scores)
-    probabilities = []
-    for a in vocabulary.attributes:
-        cells = _cells(score, a)
-        best = _best(cells)
-        mass = _mass(cells, best)
-        probabilities += [F.exp(cell - best) / mass for cell in cells]
-    options = [(a.name, j, o) for a in vocabulary.attributes for j, o in enumerate(a.options)]
-
-    def name(field: int) -> Column:
+    cells = [_cells(score, a) for a in vocabulary.attributes]
+    peaks = F.array(*[_best(c) for c in cells])
+    masses = F.array(*[_mass(c, _best(c)) for c in cells])
+    options = [
+        (i, a.name, j, o) for i, a in enumerate(vocabulary.attributes) for j, o in enumerate(a.options)
+    ]
+
+    def constant(field: int) -> Column:
         return F.get(F.array(*[F.lit(row[field]) for row in options]), F.col("pos"))
 
-    cells = F.arrays_zip(score.alias("score"), F.col("__probs").alias("probability"))
-    staged = df.withColumn("__probs", F.when(score.isNotNull(), F.array(*probabilities)))
-    return staged.select(*keep, F.posexplode(cells).alias("pos", "cell")).select(
+    rows = df.select(*keep, peaks.alias("__peak"), masses.alias("__mass"), F.posexplode(score))
+    at = constant(0)
+    return rows.select(
         *keep,
-        name(0).alias("attribute"),
-        name(1).alias("opt_idx"),
-        name(2).alias("option"),
-        F.col("cell")["score"].alias("score"),
-        F.col("cell")["probability"].alias("probability"),
+        constant(1).alias("attribute"),
+        constant(2).alias("opt_idx"),
+        constant(3).alias("option"),
+        F.col("col").alias("score"),
+        (F.exp(F.col("col") - F.get("__peak", at)) / F.get("__mass", at)).alias("probability"),
     )
 
 

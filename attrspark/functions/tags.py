@@ -58,9 +58,8 @@ def split_auto(tags: Column, data_type: T.DataType) -> Column:
     return F.filter(F.transform(parts, strip), lambda t: t != "")
 
 
-def tag_group(tag: Column, rules: TagRules) -> Column:
-    """Name of the group a tag falls into. Keywords match anywhere in the tag."""
-    low = F.lower(tag)
+def tag_group(tag: Column, low: Column, rules: TagRules) -> Column:
+    """Name of the group of a tag; `low` is the tag in lower case. Keywords match anywhere."""
 
     def has(words: tuple[str, ...]) -> Column:
         return reduce(or_, [F.contains(low, F.lit(w)) for w in words])
@@ -84,9 +83,12 @@ def with_tags(
     groups = [f.name for f in TAGS_SCHEMA["categorized"].dataType.fields]
     empty = F.array().cast("array<string>")
     staged = df.withColumn("__tags", F.coalesce(tags, empty)).withColumn(
-        # Each tag is looked at once; the four lists below only compare the group name.
+        # Each tag is lowered and looked at once; the four lists below only compare the group name.
         "__grouped",
-        F.transform("__tags", lambda t: F.struct(t.alias("tag"), tag_group(t, rules).alias("grp"))),
+        F.transform(
+            F.transform("__tags", lambda t: F.struct(t.alias("tag"), F.lower(t).alias("low"))),
+            lambda t: F.struct(t["tag"].alias("tag"), tag_group(t["tag"], t["low"], rules).alias("grp")),
+        ),
     )
 
     def members(group: str) -> Column:

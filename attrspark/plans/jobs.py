@@ -33,6 +33,7 @@ from attrspark.sources.images import image_files
 from attrspark.sources.tables import exists, prior_ids, write_with_summary
 from attrspark.sources.tar_shard import (
     by_stretch,
+    read_tasks,
     tar_members,
     with_digests,
     with_member_scores,
@@ -112,20 +113,21 @@ def shard_job(
     if samples is not None:
         todo = take(todo, ["tar", "at", "id"], samples)
     # Both halves of a pair usually lie next to each other: one arrangement serves both reads.
-    rows = by_stretch(todo, "at")
+    tasks = read_tasks(spark, path)
+    rows = by_stretch(todo, "at", tasks)
     if cache is not None:
-        rows = with_digests(rows, "image_at", b"image:", "__image_key", spread=False)
-    rows = with_texts(rows, "text_at", spread=False)
+        rows = with_digests(rows, "image_at", b"image:", "__image_key")
+    rows = with_texts(rows, "text_at")
     has_image = F.col("image_at").isNotNull()
     rows = rows.withColumn("source", F.when(has_image, "image").otherwise("text"))
     if cache is not None:
         key = F.when(has_image, F.col("__image_key")).otherwise(cache_key("text", F.col("text")))
-        rows = by_stretch(lookup(rows.withColumn("hash_key", key), cache.read()), "at")
+        rows = by_stretch(lookup(rows.withColumn("hash_key", key), cache.read()), "at", tasks)
     else:
         rows = rows.withColumn("hit", F.lit(False)).withColumn("hash_key", F.lit(None).cast("string"))
     rows = rows.withColumn("__image_at", F.when(~F.col("hit"), F.col("image_at")))
     rows = rows.withColumn("text_input", F.when(~has_image & ~F.col("hit"), F.col("text")))
-    rows = with_member_scores(rows, "__image_at", images.scorer, "__scored", spread=False)
+    rows = with_member_scores(rows, "__image_at", images.scorer, "__scored")
     rows = images.from_scores(rows, "__scored", rows.columns, "__image")
     rows = texts.apply(rows, "text_input", "__text")
     outcome = F.when(has_image, F.col("__image")).otherwise(F.col("__text"))

@@ -29,7 +29,8 @@ MEMBER_SCHEMA = "tar string, offset bigint, name string, size bigint"
 ENDINGS = (".tar", ".tar.gz", ".tgz")
 
 # A shard is read by several tasks, each taking the members in a stretch of this length.
-READ_STRETCH = 256 << 20
+READ_STRETCH = 512 << 20
+MAX_READ_TASKS = 50_000
 # Content leaves a Python worker in Arrow batches of about this size.
 BATCH_BYTES = 16 << 20
 
@@ -115,10 +116,21 @@ def tar_members(spark: SparkSession, path: str, content: bool = False) -> DataFr
     return spark.read.format("tar_shard").option("content", str(content).lower()).load(path)
 
 
-def by_stretch(df: DataFrame, offset: str, tar: str = "tar") -> DataFrame:
-    """Rows near each other in a shard go to one task, in order; a huge shard to many tasks."""
+def read_tasks(spark: SparkSession, path: str) -> int:
+    """Number of tasks to read the content at `path` with, from the size of the shards."""
+    total = sum(size for _, size in list_files(path, ENDINGS))
+    wanted = max(-(-total // READ_STRETCH), spark.sparkContext.defaultParallelism)
+    return min(wanted, MAX_READ_TASKS)
+
+
+def by_stretch(df: DataFrame, offset: str, tasks: int, tar: str = "tar") -> DataFrame:
+    """Rows near each other in a shard go to one task, in order; a huge shard to many tasks.
+
+    The number of tasks is given: the rows are narrow, and adaptive execution would
+    merge them by their own size into far too few tasks for the content they stand for.
+    """
     stretch = F.floor(F.col(offset) / F.lit(READ_STRETCH))
-    return df.repartition(F.col(tar), stretch).sortWithinPartitions(tar, offset)
+    return df.repartition(tasks, F.col(tar), stretch).sortWithinPartitions(tar, offset)
 
 
 class _Shards:
@@ -142,12 +154,10 @@ class _Shards:
         self.file = self.path = None
 
 
-def with_texts(
-    df: DataFrame, offset: str, name: str = "text", tar: str = "tar", spread: bool = True
-) -> DataFrame:
+def with_texts(df: DataFrame, offset: str, name: str = "text", tar: str = "tar") -> DataFrame:
     """Add the text at `offset`: UTF-8, bad bytes dropped; null where the offset is.
 
-    `spread` arranges the rows by shard and offset first; leave it out where they are.
+    This and the readers below expect rows arranged by `by_stretch`.
     """
     fields = [f for f in df.schema.fields if f.name != name]
     schema = T.StructType([*fields, T.StructField(name, T.StringType())])
@@ -171,12 +181,11 @@ def with_texts(
         finally:
             shards.close()
 
-    rows = by_stretch(df, offset, tar) if spread else df
-    return rows.select(*[f.name for f in fields]).mapInArrow(read, schema)
+    return df.select(*[f.name for f in fields]).mapInArrow(read, schema)
 
 
 def with_digests(
-    df: DataFrame, offset: str, prefix: bytes, name: str, tar: str = "tar", spread: bool = True
+    df: DataFrame, offset: str, prefix: bytes, name: str, tar: str = "tar"
 ) -> DataFrame:
     """Add the MD5 of prefix and content at `offset`, without passing the content on."""
 
@@ -193,8 +202,7 @@ def with_digests(
         finally:
             shards.close()
 
-    rows = by_stretch(df, offset, tar) if spread else df
-    return rows.withColumn(name, digest(F.col(tar), F.col(offset)))
+    return df.withColumn(name, digest(F.col(tar), F.col(offset)))
 
 
 def with_member_scores(
@@ -204,7 +212,6 @@ def with_member_scores(
     name: str = "scored",
     tar: str = "tar",
     batch_size: int = 16,
-    spread: bool = True,
 ) -> DataFrame:
     """Add a struct of scores, error and seconds for the member at `offset`.
 
@@ -239,5 +246,4 @@ def with_member_scores(
         finally:
             shards.close()
 
-    rows = by_stretch(df, offset, tar) if spread else df
-    return rows.withColumn(name, run(F.col(tar), F.col(offset)))
+    return df.withColumn(name, run(F.col(tar), F.col(offset)))
