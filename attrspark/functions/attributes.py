@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from attrspark.functions.names import quote
 from attrspark.vocabulary import IMAGE_VOCABULARY, Vocabulary
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
@@ -12,17 +13,16 @@ JSON_OPTIONS = {"ignoreNullFields": "false"}
 
 def empty_record(vocabulary: Vocabulary = IMAGE_VOCABULARY) -> Column:
     """A record whose attributes are all null."""
-    return F.struct(*[F.lit(None).cast("string").alias(n) for n in vocabulary.names])
+    fields = ", ".join(f"{quote(n)}, CAST(NULL AS STRING)" for n in vocabulary.names)
+    return F.expr(f"named_struct({fields})")
 
 
-def widen(record: Column, has: list[str], vocabulary: Vocabulary = IMAGE_VOCABULARY) -> Column:
+def widen(record: str, has: list[str], vocabulary: Vocabulary = IMAGE_VOCABULARY) -> Column:
     """Lay the attributes in `has` out in the full record; the others are null."""
-    return F.struct(
-        *[
-            (record[n] if n in has else F.lit(None).cast("string")).alias(n)
-            for n in vocabulary.names
-        ]
-    )
+    fields = [
+        f"{quote(n)}, " + (f"{record}.`{n}`" if n in has else "CAST(NULL AS STRING)") for n in vocabulary.names
+    ]
+    return F.expr(f"named_struct({', '.join(fields)})")
 
 
 def to_json(record: Column) -> Column:

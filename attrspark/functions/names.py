@@ -22,6 +22,11 @@ WHITESPACE = (
 )
 
 
+def quote(text: str) -> str:
+    """The text as a SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def strip(text: Column) -> Column:
     """Remove all Unicode white space at both ends."""
     return F.trim(text, F.lit(WHITESPACE))

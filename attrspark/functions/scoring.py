@@ -3,39 +3,35 @@
 A row holds one array with a score per option of the vocabulary. The options of
 an attribute are known when the plan is built, so the soft-max and the maximum
 are spelled out over array cells: plain expressions that compile with the rest
-of the stage, and no explode, window or shuffle per attribute.
+of the stage, and no explode, window or shuffle per attribute. They are written as
+SQL text, which is parsed in one go; hundreds of Column calls would take seconds.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from attrspark.functions.names import quote
 from attrspark.vocabulary import CONFIDENCE_THRESHOLD, PROMPT_TEMPLATE, Attribute, Vocabulary
 
 
-def _cells(scores: Column, attribute: Attribute) -> list[Column]:
-    return [F.get(scores, F.lit(i)) for i in range(attribute.start, attribute.stop)]
+def _cells(scores: str, attribute: Attribute) -> list[str]:
+    return [f"get({scores}, {i})" for i in range(attribute.start, attribute.stop)]
 
 
-def _best(cells: list[Column]) -> Column:
-    return F.greatest(*cells) if len(cells) > 1 else cells[0]
+def _best(cells: list[str]) -> str:
+    return f"greatest({', '.join(cells)})" if len(cells) > 1 else cells[0]
 
 
-def _mass(cells: list[Column], best: Column) -> Column:
+def _mass(cells: list[str], best: str) -> str:
     """Sum of exp(score - best); null as soon as one score is missing."""
-    return reduce(add, [F.exp(c - best) for c in cells])
+    return " + ".join(f"exp({c} - {best})" for c in cells)
 
 
-def top_option(scores: Column, attribute: Attribute, best: Column) -> Column:
-    """First option whose score equals the maximum."""
-    chosen = F.when(F.lit(False), F.lit(None).cast("string"))
-    for cell, option in zip(_cells(scores, attribute), attribute.options):
-        chosen = chosen.when(cell == best, option)
-    return chosen
+def _record(fields: dict[str, str]) -> Column:
+    inner = ", ".join(f"{quote(name)}, {value}" for name, value in fields.items())
+    return F.expr(f"named_struct({inner})")
 
 
 def with_attributes(
@@ -46,22 +42,23 @@ def with_attributes(
 ) -> DataFrame:
     """Add `attributes` and `confidence` structs, one field per attribute.
 
-    An attribute is null when its probability does not exceed the threshold, or
-    when one of its scores is missing or not a number; the others are unaffected.
+    The first option with the highest score wins. An attribute is null when its
+    probability does not exceed the threshold, or when one of its scores is missing or
+    not a number; the others are unaffected.
     """
-    score = F.col(scores)
-    best = {a.name: _best(_cells(score, a)) for a in vocabulary.attributes}
-    staged = df.withColumn("__best", F.struct(*[c.alias(n) for n, c in best.items()]))
-    confidence, labels = [], []
-    for a in vocabulary.attributes:
-        top = F.col("__best")[a.name]
-        p = F.nanvl(1.0 / _mass(_cells(score, a), top), F.lit(None).cast("double"))
-        confidence.append(p.alias(a.name))
-    staged = staged.withColumn("confidence", F.struct(*confidence))
+    best, confidence, labels = {}, {}, {}
     for a in vocabulary.attributes:
-        sure = F.col("confidence")[a.name] > F.lit(threshold)
-        labels.append(F.when(sure, top_option(score, a, F.col("__best")[a.name])).alias(a.name))
-    return staged.withColumn("attributes", F.struct(*labels)).drop("__best")
+        cells, top, sure = _cells(f"`{scores}`", a), f"__best.`{a.name}`", f"confidence.`{a.name}`"
+        best[a.name] = _best(cells)
+        confidence[a.name] = f"nanvl(1D / ({_mass(cells, top)}), CAST(NULL AS DOUBLE))"
+        options = " ".join(f"WHEN {c} = {top} THEN {quote(o)}" for c, o in zip(cells, a.options))
+        labels[a.name] = f"CASE WHEN {sure} > {float(threshold)!r}D THEN CASE {options} END END"
+    return (
+        df.withColumn("__best", _record(best))
+        .withColumn("confidence", _record(confidence))
+        .withColumn("attributes", _record(labels))
+        .drop("__best")
+    )
 
 
 def long_scores(df: DataFrame, vocabulary: Vocabulary, keep: list[str], scores: str = "scores"):
@@ -71,26 +68,25 @@ def long_scores(df: DataFrame, vocabulary: Vocabulary, keep: list[str], scores:
     attribute; names, maxima and masses are then looked up by position, so the
     vocabulary is neither joined nor repeated in the compiled code.
     """
-    score = F.col(scores)
-    cells = [_cells(score, a) for a in vocabulary.attributes]
-    peaks = F.array(*[_best(c) for c in cells])
-    masses = F.array(*[_mass(c, _best(c)) for c in cells])
-    options = [
-        (i, a.name, j, o) for i, a in enumerate(vocabulary.attributes) for j, o in enumerate(a.options)
-    ]
-
-    def constant(field: int) -> Column:
-        return F.get(F.array(*[F.lit(row[field]) for row in options]), F.col("pos"))
-
-    rows = df.select(*keep, peaks.alias("__peak"), masses.alias("__mass"), F.posexplode(score))
+    cells = [_cells(f"`{scores}`", a) for a in vocabulary.attributes]
+    peaks = F.expr(f"array({', '.join(_best(c) for c in cells)})")
+    masses = F.expr(f"array({', '.join(_mass(c, _best(c)) for c in cells)})")
+
+    def constant(field: int) -> str:
+        found = [
+            (i, a.name, j, o)[field] for i, a in enumerate(vocabulary.attributes) for j, o in enumerate(a.options)
+        ]
+        return f"get(array({', '.join(quote(x) if isinstance(x, str) else str(x) for x in found)}), pos)"
+
+    rows = df.select(*keep, peaks.alias("__peak"), masses.alias("__mass"), F.posexplode(F.col(scores)))
     at = constant(0)
     return rows.select(
         *keep,
-        constant(1).alias("attribute"),
-        constant(2).alias("opt_idx"),
-        constant(3).alias("option"),
+        F.expr(constant(1)).alias("attribute"),
+        F.expr(constant(2)).alias("opt_idx"),
+        F.expr(constant(3)).alias("option"),
         F.col("col").alias("score"),
-        (F.exp(F.col("col") - F.get("__peak", at)) / F.get("__mass", at)).alias("probability"),
+        F.expr(f"exp(col - get(__peak, {at})) / get(__mass, {at})").alias("probability"),
     )
 
 

@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attrspark.functions.names import WHITESPACE, strip
-from attrspark.schema import TAGS_SCHEMA
+from attrspark.functions.names import WHITESPACE, quote, strip
+from attrspark.schema import TAG_GROUPS
 
 
 @dataclass(frozen=True)
@@ -58,17 +55,17 @@ def split_auto(tags: Column, data_type: T.DataType) -> Column:
     return F.filter(F.transform(parts, strip), lambda t: t != "")
 
 
-def tag_group(tag: Column, low: Column, rules: TagRules) -> Column:
-    """Name of the group of a tag; `low` is the tag in lower case. Keywords match anywhere."""
+def tag_group(tag: str, low: str, rules: TagRules) -> str:
+    """SQL for the group of a tag; `low` is the tag in lower case. Keywords match anywhere."""
 
-    def has(words: tuple[str, ...]) -> Column:
-        return reduce(or_, [F.contains(low, F.lit(w)) for w in words])
+    def has(words: tuple[str, ...]) -> str:
+        return " OR ".join(f"contains({low}, {quote(w)})" for w in words)
 
     return (
-        F.when(has(rules.appearance), "appearance_tags")
-        .when(has(rules.clothing), "clothing_tags")
-        .when(has(rules.character) | F.endswith(tag, F.lit(rules.character_suffix)), "character_tags")
-        .otherwise("other_tags")
+        f"CASE WHEN {has(rules.appearance)} THEN 'appearance_tags'"
+        f" WHEN {has(rules.clothing)} THEN 'clothing_tags'"
+        f" WHEN {has(rules.character)} OR endswith({tag}, {quote(rules.character_suffix)})"
+        " THEN 'character_tags' ELSE 'other_tags' END"
     )
 
 
@@ -80,29 +77,24 @@ def with_tags(
     A null array gives empty lists and count 0. Rows where `only_if` is false get
     no tag struct at all.
     """
-    groups = [f.name for f in TAGS_SCHEMA["categorized"].dataType.fields]
     empty = F.array().cast("array<string>")
-    staged = df.withColumn("__tags", F.coalesce(tags, empty)).withColumn(
-        # Each tag is lowered and looked at once; the four lists below only compare the group name.
-        "__grouped",
-        F.transform(
-            F.transform("__tags", lambda t: F.struct(t.alias("tag"), F.lower(t).alias("low"))),
-            lambda t: F.struct(t["tag"].alias("tag"), tag_group(t["tag"], t["low"], rules).alias("grp")),
-        ),
+    # Each tag is lowered and looked at once; the four lists only compare the group name.
+    lowered = "transform(__tags, t -> struct(t AS tag, lower(t) AS low))"
+    grouped = f"transform({lowered}, t -> struct(t.tag AS tag, {tag_group('t.tag', 't.low', rules)} AS grp))"
+    lists = ", ".join(
+        f"{quote(g)}, transform(filter(__grouped, g -> g.grp = {quote(g)}), g -> g.tag)" for g in TAG_GROUPS
     )
-
-    def members(group: str) -> Column:
-        return F.transform(F.filter("__grouped", lambda g: g["grp"] == group), lambda g: g["tag"])
-
-    lists = [members(n).alias(n) for n in groups]
-    struct = F.struct(
-        F.col("__tags").alias("raw_tags"),
-        F.struct(*lists).alias("categorized"),
-        F.size("__tags").alias("tag_count"),
+    struct = F.expr(
+        f"named_struct('raw_tags', __tags, 'categorized', named_struct({lists}), 'tag_count', size(__tags))"
     )
     if only_if is not None:
         struct = F.when(only_if, struct)
-    return staged.withColumn(name, struct).drop("__tags", "__grouped")
+    return (
+        df.withColumn("__tags", F.coalesce(tags, empty))
+        .withColumn("__grouped", F.expr(grouped))
+        .withColumn(name, struct)
+        .drop("__tags", "__grouped")
+    )
 
 
 def tag_source(df: DataFrame, first: str = "general", second: str = "tag_string_general") -> Column:

@@ -6,14 +6,11 @@ nothing of synonyms or negation. Model scorers plug in through `scorers`.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrspark.functions.attributes import widen
-from attrspark.functions.names import strip
+from attrspark.functions.names import quote, strip
 from attrspark.functions.scoring import with_attributes
 from attrspark.vocabulary import (
     CONFIDENCE_THRESHOLD,
@@ -39,12 +36,11 @@ def option_pattern(attribute: str, option: str) -> str:
     return rf"(?:^|[^{WORD}]){word}{tail}(?:$|[^{WORD}])"
 
 
-def _mentions(low: Column, attribute: str, option: str) -> Column:
+def _mentions(low: str, attribute: str, option: str) -> str:
     # Plain substring tests first: most texts end there, without a pattern match.
-    found = F.contains(low, F.lit(option.lower()))
-    if attribute in HEAD_NOUNS:
-        found = F.contains(low, F.lit(HEAD_NOUNS[attribute])) & found
-    return found & F.rlike(low, F.lit(option_pattern(attribute, option)))
+    words = [HEAD_NOUNS[attribute]] if attribute in HEAD_NOUNS else []
+    tests = [f"contains({low}, {quote(w)})" for w in [*words, option.lower()]]
+    return " AND ".join([*tests, f"rlike({low}, {quote(option_pattern(attribute, option))})"])
 
 
 def with_lexical_scores(df: DataFrame, text: str, vocabulary: Vocabulary = TEXT_VOCABULARY):
@@ -52,25 +48,27 @@ def with_lexical_scores(df: DataFrame, text: str, vocabulary: Vocabulary = TEXT_
 
     Null or blank text has null scores throughout, hence an empty record.
     """
-    low = df.withColumn("__low", F.lower(F.col(text)))
-    masks = []
+    masks, cells = [], []
     for a in vocabulary.attributes:
         bits = [
-            F.when(_mentions(F.col("__low"), a.name, option), F.lit(1 << i)).otherwise(F.lit(0))
+            f"CASE WHEN {_mentions('__low', a.name, option)} THEN {1 << i} ELSE 0 END"
             for i, option in enumerate(a.options)
         ]
-        masks.append(reduce(add, bits).alias(a.name))
-    # One small integer per attribute, so that each pattern runs once per text.
-    masked = low.withColumn("__found", F.struct(*masks))
-    cells = []
-    for a in vocabulary.attributes:
-        mask = F.col("__found")[a.name]
-        for i in range(len(a.options)):
-            hit = F.when(mask.bitwiseAND(F.lit(1 << i)) != 0, F.lit(MATCH_SCORE)).otherwise(F.lit(0.0))
-            cells.append(F.when(mask != 0, hit))
+        masks.append(f"{quote(a.name)}, {' + '.join(bits)}")
+        mask = f"__found.`{a.name}`"
+        cells += [
+            f"CASE WHEN {mask} != 0 THEN CASE WHEN {mask} & {1 << i} != 0 THEN {MATCH_SCORE}D ELSE 0D END END"
+            for i in range(len(a.options))
+        ]
     blank = F.coalesce(strip(F.col(text)) == "", F.lit(True))
-    scores = F.when(~blank, F.array(*cells))
-    return masked.withColumn("scores", scores).drop("__low", "__found")
+    scores = F.when(~blank, F.expr(f"array({', '.join(cells)})"))
+    return (
+        df.withColumn("__low", F.lower(F.col(text)))
+        # One small integer per attribute, so that each pattern runs once per text.
+        .withColumn("__found", F.expr(f"named_struct({', '.join(masks)})"))
+        .withColumn("scores", scores)
+        .drop("__low", "__found")
+    )
 
 
 def extract_text(
@@ -84,5 +82,5 @@ def extract_text(
     scored = with_attributes(
         with_lexical_scores(df, text, text_vocabulary), text_vocabulary, "scores", threshold
     )
-    record = widen(F.col("attributes"), text_vocabulary.names, vocabulary)
+    record = widen("attributes", text_vocabulary.names, vocabulary)
     return scored.withColumn("attributes", record).drop("scores", "confidence")

@@ -150,7 +150,7 @@ class ModelExtractor:
         """The outcome struct for a column that already holds scored structs."""
         staged = df.withColumn("__scores", F.col(scores)["scores"])
         done = with_attributes(staged, self.scored_vocabulary, "__scores", self.threshold)
-        record = widen(F.col("attributes"), self.scored_vocabulary.names, self.vocabulary)
+        record = widen("attributes", self.scored_vocabulary.names, self.vocabulary)
         failed = F.col(scores)["error"].isNotNull()
         record = F.when(failed, empty_record(self.vocabulary)).otherwise(record)
         outcome = _outcome(record, F.col(scores)["error"], F.col(scores)["seconds"], out)

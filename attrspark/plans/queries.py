@@ -483,10 +483,13 @@ def append_results(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "appended")
     items = item_documents(spark, folder)
     done = IN.done_ids(load(spark, folder, "labels"))
-    tagged = with_tags(items, split_commas(F.col("text")), SHARD_RULES)
-    rows = LexicalExtractor().apply(tagged.withColumn("source", F.lit("text")), "text", "outcome")
-    write_results(to_results(rows.join(done, "id", "left_semi")), path)
-    write_results(to_results(R.not_done(rows, done)), path, append=True)
+
+    def extracted(part: DataFrame) -> DataFrame:
+        tagged = with_tags(part, split_commas(F.col("text")), SHARD_RULES)
+        return to_results(LexicalExtractor().apply(tagged.withColumn("source", F.lit("text")), "text", "outcome"))
+
+    write_results(extracted(items.join(done, "id", "left_semi")), path)
+    write_results(extracted(R.not_done(items, done)), path, append=True)
     back = read_results(spark, path)
     return back.select("id", "source", joined("tags.raw_tags", "tags"), "error")
 
