@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import json
 import tarfile
 import time
 from collections.abc import Iterator
@@ -24,10 +25,13 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from attrspark.operators.scorers import SCORED, Scorer, score_batch
 from attrspark.sources.files import list_files, open_file
+from attrspark.sources.tar_split import split_members
 
 MEMBER_SCHEMA = "tar string, offset bigint, name string, size bigint"
 ENDINGS = (".tar", ".tar.gz", ".tgz")
 
+# Shards longer than this are listed by several tasks.
+LIST_STRETCH = 4 << 30
 # A shard is read by several tasks, each taking the members in a stretch of this length.
 READ_STRETCH = 512 << 20
 MAX_READ_TASKS = 50_000
@@ -35,10 +39,14 @@ MAX_READ_TASKS = 50_000
 BATCH_BYTES = 16 << 20
 
 
+def packed(path: str) -> bool:
+    return path.lower().endswith((".gz", ".tgz"))
+
+
 def open_shard(path: str) -> Any:
     """A seekable file object over the uncompressed shard."""
     raw = open_file(path)
-    if path.lower().endswith((".gz", ".tgz")):
+    if packed(path):
         return gzip.GzipFile(fileobj=raw)
     return raw
 
@@ -71,11 +79,11 @@ class _Shard(InputPartition):
 
 
 class _ShardReader(DataSourceReader):
-    def __init__(self, path: str, content: bool):
-        self.path, self.content = path, content
+    def __init__(self, paths: list[str], content: bool):
+        self.paths, self.content = paths, content
 
     def partitions(self) -> list[InputPartition]:
-        return [_Shard(path) for path, _ in list_files(self.path, ENDINGS)]
+        return [_Shard(path) for path in self.paths]
 
     def read(self, partition: _Shard) -> Iterator[tuple]:
         with open_shard(partition.path) as shard:
@@ -90,7 +98,7 @@ class _ShardReader(DataSourceReader):
 class TarShardSource(DataSource):
     """`spark.read.format("tar_shard")`: members of one shard or of all below a folder.
 
-    Option `content` = true adds the bytes of every member; without it only headers
+    `paths`, a JSON list, names shards one by one. Option `content` = true adds the bytes of every member; without it only headers
     are read. `offset` gives the archive order.
     """
 
@@ -105,15 +113,34 @@ class TarShardSource(DataSource):
         return MEMBER_SCHEMA + (", content binary" if self._content() else "")
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        if "path" not in self.options:
+        if "paths" in self.options:
+            paths = json.loads(self.options["paths"])
+        elif "path" in self.options:
+            paths = [path for path, _ in list_files(self.options["path"], ENDINGS)]
+        else:
             raise ValueError("tar_shard needs a path")
-        return _ShardReader(self.options["path"], self._content())
+        return _ShardReader(paths, self._content())
 
 
-def tar_members(spark: SparkSession, path: str, content: bool = False) -> DataFrame:
-    """The members of the shards at `path`."""
+def tar_members(
+    spark: SparkSession, path: str, content: bool = False, stretch: int = LIST_STRETCH
+) -> DataFrame:
+    """The members of the shards at `path`.
+
+    Shards longer than `stretch` are listed by several tasks. Compressed ones cannot
+    be, and reading all content is one task per shard.
+    """
     spark.dataSource.register(TarShardSource)
-    return spark.read.format("tar_shard").option("content", str(content).lower()).load(path)
+    files = list_files(path, ENDINGS)
+    large = [f for f in files if f[1] > stretch and not packed(f[0])]
+    reader = spark.read.format("tar_shard").option("content", str(content).lower())
+    if content or not large:
+        return reader.load(path)
+    small = [p for p, _ in files if p not in {q for q, _ in large}]
+    found = split_members(spark, large, stretch)
+    if small:
+        found = found.unionByName(reader.option("paths", json.dumps(small)).load())
+    return found
 
 
 def read_tasks(spark: SparkSession, path: str) -> int:
