@@ -81,9 +81,12 @@ def to_results(
 ) -> DataFrame:
     """Result rows: id, attributes, source, processing_time, error, and tags if there are."""
     done = F.col(outcome)
+    # An item that was never scored, such as a null text, has an empty record.
+    names = df.schema[outcome].dataType["attributes"].dataType.names
+    record = F.struct(*[done["attributes"][n].alias(n) for n in names])
     columns = [
         F.col(id).cast("string").alias("id"),
-        done["attributes"].alias("attributes"),
+        record.alias("attributes"),
         F.coalesce(F.col("source"), F.lit("unknown")).alias("source")
         if "source" in df.columns
         else F.lit("unknown").alias("source"),

@@ -25,8 +25,12 @@ def with_position(df: DataFrame, order: list[Column | str], name: str = "pos") -
     positions in no particular order.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    # The id counts rows inside each partition in its low 33 bits, the partition above them.
     numbered = freeze(ranged.withColumn("__row", F.monotonically_increasing_id()))
+    return _shifted(numbered, name)
+
+
+def _shifted(numbered: DataFrame, name: str) -> DataFrame:
+    """Position from `__row`, which counts rows of a partition in its low 33 bits."""
     part = F.shiftrightunsigned("__row", 33)
     counts = numbered.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
     # One row per partition: the only unpartitioned window, over a few thousand rows at most.
@@ -43,6 +47,16 @@ def with_position(df: DataFrame, order: list[Column | str], name: str = "pos") -
     )
 
 
+def with_scan_position(df: DataFrame, name: str = "pos") -> DataFrame:
+    """Add the 0-based position in file order to a DataFrame that only scans and projects files.
+
+    Rows stay where they are: no shuffle and no copy. Row counts per scan task are taken
+    first, reading no columns; the files must not change in between. The split of files
+    into tasks depends on their sizes alone, so both passes, and retried tasks, agree.
+    """
+    return _shifted(df.withColumn("__row", F.monotonically_increasing_id()), name)
+
+
 def number_within(
     df: DataFrame, group: list[str], order: list[str], name: str = "member_no", size: str = "n_members"
 ) -> DataFrame:
@@ -83,6 +97,23 @@ def skip_take(df: DataFrame, order: list[Column | str], skip: int, n: int) -> Da
     return placed.where((F.col("__pos") >= skip) & (F.col("__pos") < skip + n)).drop("__pos")
 
 
+def take_in_place(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The first n rows, for wide rows: only the order columns are sorted.
+
+    Rows up to the n-th order key are kept where they are. Should the key at the border
+    be there more than once, the rows are cut like in `take`.
+    """
+    if n <= 0:
+        return df.limit(0)
+    key = F.struct(*order)
+    last = take(df.select(*order), order, n).agg(F.max(key).alias("last")).first()["last"]
+    if last is None:
+        return df.limit(0)
+    border = F.struct(*[F.lit(last[c]).cast(df.schema[c].dataType).alias(c) for c in order])
+    kept = df.where(key <= border)
+    return kept if kept.count() <= n else take(df, order, n)
+
+
 def default_id(given: Column, position: Column, prefix: str = "sample_") -> Column:
     """The given id, or one made from the row position."""
     return F.coalesce(given.cast("string"), F.concat(F.lit(prefix), position.cast("string")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrspark.functions.tags import (
@@ -25,7 +25,13 @@ from attrspark.operators.cache import (
 )
 from attrspark.operators.extract import extract_sources, image_bytes, to_results, with_source
 from attrspark.operators.pairing import pair_positions, shard_stats
-from attrspark.operators.positions import default_id, take, with_position
+from attrspark.operators.positions import (
+    default_id,
+    take,
+    take_in_place,
+    with_position,
+    with_scan_position,
+)
 from attrspark.operators.resume import after_cursor, first_id, not_done, progress
 from attrspark.operators.scorers import Extractor, LexicalExtractor, ModelExtractor
 from attrspark.session import freeze
@@ -158,7 +164,7 @@ def dataset_job(
     output: str,
     images: Extractor | None,
     texts: Extractor | None = None,
-    order: list[Column | str] = ("id",),
+    order: list[str] | None = None,
     samples: int | None = None,
     resume: Resume = Resume(id_fields=("item_id", "id")),
     cache: CacheTable | None = None,
@@ -167,19 +173,22 @@ def dataset_job(
 ) -> dict:
     """Extract dataset rows (image, else text, else caption) into JSON lines.
 
-    Ids come from `id`, else `image_id`; a dataset with neither is numbered in the
-    given order, and rows whose id is null are named 'unknown'.
+    Ids come from `id`, else `image_id`, and rows without either value are named
+    'unknown'. A dataset without these columns is numbered: by `order`, or in file order
+    if there is none. `samples` counts by `order`, by id if there is none.
     """
     texts = texts or LexicalExtractor()
     named = [c for c in ("id", "image_id") if c in dataset.columns]
     if named:
         rows = dataset.withColumn("id", first_id(*[F.col(c) for c in named]))
     else:
-        rows = with_position(dataset, list(order), "__pos")
-        rows = rows.withColumn("id", default_id(F.lit(None), F.col("__pos"))).drop("__pos")
-    rows = _remaining(rows, output, resume, str(order[0]))
+        rows = with_position(dataset, order, "__pos") if order else with_scan_position(dataset, "__pos")
+        rows = rows.withColumn("id", default_id(F.lit(None), F.col("__pos")))
+        order = ["__pos"]
+    order = list(order or ["id"])
+    rows = _remaining(rows, output, resume, order[0])
     if samples is not None:
-        rows = take(rows, list(order), samples)
+        rows = take_in_place(rows, order, samples)
     tags = tag_source(rows)
     rows = with_tags(rows, tags, rules, only_if=tags.isNotNull())
     rows = with_source(rows)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from attrspark.operators import positions as P
+from attrspark.session import scratch_path
 
 
 def hot_rows(n=3000, seed=5):
@@ -75,3 +76,31 @@ def test_default_ids(spark):
         P.default_id(F.col("g"), F.col("pos")), P.default_batch_id(F.col("g"), F.col("pos"), 8)
     ).collect()]
     assert got == [("x", "x"), ("sample_1", "batch_0_1"), ("sample_9", "batch_8_1")]
+
+
+def test_scan_positions(spark):
+    path = scratch_path(spark, "scan")
+    spark.range(0, 5000, 1, 5).withColumn("wide", F.repeat(F.lit("x"), 50)).write.parquet(path)
+    df = spark.read.parquet(path).withColumn("file", F.input_file_name())
+    placed = P.with_scan_position(df)
+    assert "repartition" not in placed._jdf.queryExecution().toString().lower()
+    rows = placed.where("id % 2 = 0 OR true").select("file", "pos", "id").collect()
+    evens = placed.where("id % 2 = 0").select("pos", "id").collect()
+    assert {(r["pos"], r["id"]) for r in evens} == {(r["pos"], r["id"]) for r in rows if r["id"] % 2 == 0}
+    assert sorted(r["pos"] for r in rows) == list(range(5000))
+    for file in {r["file"] for r in rows}:
+        mine = sorted((r["pos"], r["id"]) for r in rows if r["file"] == file)
+        # Rows of a file keep their order.
+        assert [i for _, i in mine] == sorted(i for _, i in mine)
+
+
+def test_take_in_place(hot, spark):
+    rows = sorted(hot_rows())
+    for n in (0, 1, 700, 2999, 3000, 9999):
+        got = sorted((r["k"], r["i"]) for r in P.take_in_place(hot, ["k", "i"], n).collect())
+        assert got == rows[:n]
+    # The border key is there a thousand times: the count still holds.
+    assert P.take_in_place(hot, ["k"], 500).count() == 500
+    assert P.take_in_place(hot.limit(0), ["k"], 5).count() == 0
+    nulls = spark.createDataFrame([(None, 1), ("a", 2), (None, 0)], "k string, i int")
+    assert [r["i"] for r in P.take_in_place(nulls, ["k", "i"], 2).orderBy("i").collect()] == [0, 1]
