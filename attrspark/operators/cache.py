@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attrspark.operators.scorers import Extractor
+from attrspark.sources.files import exists
 from attrspark.vocabulary import IMAGE_VOCABULARY, Vocabulary
 
 
@@ -113,9 +114,10 @@ class CacheTable:
     """Cached records in a folder of Parquet files.
 
     `gen=<g>/batch=<b>` holds the rows one write added. Writing adds a batch and never
-    rewrites older ones; reading keeps the newest row per key; `compact` and `clear`
-    start the next generation. A batch written again under its number replaces itself,
-    so a retried streaming batch leaves one copy. One writer at a time.
+    rewrites older ones; reading keeps the row of the latest batch per key; `compact`
+    and `clear` start the next generation. A write that carries a token replaces the
+    batch with the same token, so a retried streaming batch leaves one copy. Folders
+    without a `_SUCCESS` file are unfinished writes and are not read. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str, vocabulary: Vocabulary = IMAGE_VOCABULARY):
@@ -128,66 +130,70 @@ class CacheTable:
             ]
         )
 
-    def _children(self, path: str, name: str) -> list[int]:
-        """Numbers n of the sub-folders `<name>=<n>` whose write has finished."""
+    def _folders(self, path: str, prefix: str) -> list[str]:
+        """Names of the sub-folders that begin with `prefix`."""
         jvm = self.spark._jvm.org.apache.hadoop.fs
         conf = self.spark._jsparkSession.sessionState().newHadoopConf()
         folder = jvm.Path(path)
         files = folder.getFileSystem(conf)
         if not files.exists(folder):
             return []
-        found = [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
-        numbers = [int(f.split("=", 1)[1]) for f in found if f.startswith(f"{name}=")]
-        if name == "batch":
-            done = [n for n in numbers if files.exists(jvm.Path(f"{path}/batch={n}/_SUCCESS"))]
-        else:
-            # A generation counts once its first batch is complete.
-            done = [n for n in numbers if files.exists(jvm.Path(f"{path}/gen={n}/batch=0/_SUCCESS"))]
-        return sorted(done)
+        names = [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
+        return [n for n in names if n.startswith(prefix)]
+
+    def _batches(self, generation: int) -> dict[str, int]:
+        """Finished batches of a generation: folder name and number."""
+        folder = f"{self.path}/gen={generation}"
+        done = [n for n in self._folders(folder, "batch=") if exists(self.spark, f"{folder}/{n}/_SUCCESS")]
+        return {n: int(n[len("batch=") :].split("-", 1)[0]) for n in done}
 
     def _generation(self) -> int | None:
-        found = self._children(self.path, "gen")
-        return found[-1] if found else None
+        """The latest generation whose first batch is complete."""
+        numbers = sorted((int(n[len("gen=") :]) for n in self._folders(self.path, "gen=")), reverse=True)
+        return next((g for g in numbers if 0 in self._batches(g).values()), None)
 
-    def _write(self, rows: DataFrame, generation: int, batch: int) -> None:
-        target = f"{self.path}/gen={generation}/batch={batch}"
+    def _write(self, rows: DataFrame, generation: int, batch: str) -> None:
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]
-        rows.select(*columns).write.mode("overwrite").parquet(target)
+        rows.select(*columns).write.mode("overwrite").parquet(f"{self.path}/gen={generation}/{batch}")
 
-    def _start(self, rows: DataFrame) -> None:
+    def _start(self, rows: DataFrame) -> int:
         current = self._generation()
-        self._write(rows, 0 if current is None else current + 1, 0)
+        generation = 0 if current is None else current + 1
+        self._write(rows, generation, "batch=0")
+        return generation
 
-    def put(self, rows: DataFrame, batch: int | None = None) -> None:
-        """Insert or replace. Rows carry `hash_key`, `attributes`, `ts`.
+    def put(self, rows: DataFrame, token: str | None = None) -> None:
+        """Insert or replace rows with `hash_key`, `attributes` and `ts`.
 
-        Give `batch` to make a retried write replace its first attempt.
+        Give a token to make a retried write replace its first attempt.
         """
-        current = self._generation()
-        if current is None:
-            self._start(rows.limit(0))
-            current = self._generation()
-        if batch is None:
-            batch = max(self._children(f"{self.path}/gen={current}", "batch")) + 1
-        elif batch < 1:
-            raise ValueError("batch numbers start at 1")
-        self._write(rows, current, batch)
+        generation = self._generation()
+        if generation is None:
+            generation = self._start(rows.limit(0))
+        batches = self._batches(generation)
+        name = f"batch={max(batches.values()) + 1}"
+        if token is not None:
+            if not token.isalnum():
+                raise ValueError("a token is made of letters and digits")
+            name = next((n for n in batches if n.endswith(f"-{token}")), f"{name}-{token}")
+        self._write(rows, generation, name)
 
     def read(self) -> DataFrame:
         """The newest record per key."""
-        current = self._generation()
-        if current is None:
+        generation = self._generation()
+        if generation is None:
             return self.spark.createDataFrame([], self.schema)
-        folder = f"{self.path}/gen={current}"
-        batches = self._children(folder, "batch")
-        if batches == [0]:
+        folder = f"{self.path}/gen={generation}"
+        batches = self._batches(generation)
+        if len(batches) == 1:
             return self.spark.read.schema(self.schema).parquet(f"{folder}/batch=0")
         log = (
-            self.spark.read.schema(T.StructType([*self.schema, T.StructField("batch", T.LongType())]))
+            self.spark.read.schema(T.StructType([*self.schema, T.StructField("batch", T.StringType())]))
             .option("basePath", folder)
-            .parquet(*[f"{folder}/batch={b}" for b in batches])
+            .parquet(*[f"{folder}/{name}" for name in batches])
         )
         # The batch number decides: a later write replaces, whatever the clocks said.
+        log = log.withColumn("batch", F.substring_index("batch", "-", 1).cast("bigint"))
         return latest(log, ["hash_key"], ["batch", "ts"]).drop("batch")
 
     def compact(self) -> None:

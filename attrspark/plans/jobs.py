@@ -35,8 +35,9 @@ from attrspark.operators.positions import (
 from attrspark.operators.resume import after_cursor, first_id, not_done, progress
 from attrspark.operators.scorers import Extractor, LexicalExtractor, ModelExtractor
 from attrspark.session import freeze
+from attrspark.sources.files import exists
 from attrspark.sources.images import image_files
-from attrspark.sources.tables import exists, prior_ids, write_with_summary
+from attrspark.sources.tables import prior_ids, write_with_summary
 from attrspark.sources.tar_shard import (
     by_stretch,
     read_tasks,

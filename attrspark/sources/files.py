@@ -5,6 +5,7 @@ from __future__ import annotations
 from typing import Any
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
 
 
 def _resolve(path: str) -> tuple[fs.FileSystem, str]:
@@ -38,3 +39,10 @@ def list_files(path: str, endings: tuple[str, ...]) -> list[tuple[str, int]]:
         for f in found
         if f.type == fs.FileType.File and f.path.lower().endswith(endings)
     )
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, asked of the file system Spark uses for it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return target.getFileSystem(conf).exists(target)

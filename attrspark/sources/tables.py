@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from attrspark.operators.results import summary_metrics, throughput
 from attrspark.operators.resume import processed_ids
 from attrspark.schema import result_schema
+from attrspark.sources.files import exists
 from attrspark.vocabulary import IMAGE_VOCABULARY, Vocabulary
 
 
@@ -22,12 +23,6 @@ def dataset(spark: SparkSession, path: str, split: str | None = None, streaming:
     return spark.read.parquet(location)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    return target.getFileSystem(conf).exists(target)
-
-
 def prior_ids(spark: SparkSession, path: str, fields: tuple[str, ...] = ("id", "item_id")):
     """Distinct ids in the JSON lines earlier runs have written; none if there are no files."""
     if not exists(spark, path):

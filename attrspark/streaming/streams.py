@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -58,9 +60,11 @@ def cache_stream(
     available_now: bool = True,
 ) -> StreamingQuery:
     """Add cache entries as they arrive; a retried micro-batch replaces its first attempt."""
+    # The checkpoint names the stream: other writers of the cache never share its tokens.
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()
 
     def add(batch: DataFrame, number: int) -> None:
-        cache.put(latest(batch, ["hash_key"], list(recency)), batch=number + 1)
+        cache.put(latest(batch, ["hash_key"], list(recency)), token=f"{stream}x{number}")
 
     writer = entries.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -110,9 +110,13 @@ def test_cache_table(spark):
     cache.put(entries(spark, [("a", '{"Age":"child"}', 1)]))
     assert ages(cache) == {"a": "child", "b": None}
     # Writing a batch again changes nothing.
-    cache.put(entries(spark, [("a", '{"Age":"elderly"}', 9)]), batch=7)
-    cache.put(entries(spark, [("a", '{"Age":"elderly"}', 9)]), batch=7)
+    cache.put(entries(spark, [("a", '{"Age":"elderly"}', 9)]), token="t7")
+    cache.put(entries(spark, [("a", '{"Age":"elderly"}', 9)]), token="t7")
     assert ages(cache) == {"a": "elderly", "b": None}
+    # A retry takes the place of its first attempt, before what came later.
+    cache.put(entries(spark, [("b", '{"Age":"teen"}', 1)]))
+    cache.put(entries(spark, [("a", '{"Age":"elderly"}', 9), ("b", '{"Age":"child"}', 9)]), token="t7")
+    assert ages(cache) == {"a": "elderly", "b": "teen"}
     row = cache_stats(cache.read()).first()
     assert row["enabled"] and row["entries"] == 2
     before = ages(cache)
@@ -123,7 +127,7 @@ def test_cache_table(spark):
     cache.clear()
     assert ages(cache) == {}
     with pytest.raises(ValueError):
-        cache.put(entries(spark, [("c", "{}", 1)]), batch=0)
+        cache.put(entries(spark, [("c", "{}", 1)]), token="a-b")
 
 
 def test_unfinished_writes_are_not_read(spark):

@@ -83,7 +83,7 @@ def test_cache_stream_is_idempotent(spark):
     got = {r["hash_key"]: r["attributes"]["Age"] for r in cache.read().collect()}
     assert got == {"a": "child", "b": None}
     before = sorted(map(str, cache.read().drop("ts").collect()))
-    # A lost checkpoint repeats the writes under the same batch numbers.
+    # A lost checkpoint writes everything again, and changes nothing.
     run(scratch_path(spark, "state"))
     assert sorted(map(str, cache.read().drop("ts").collect())) == before
 
