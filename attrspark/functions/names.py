@@ -38,7 +38,11 @@ def basename(path: Column) -> Column:
 
 def suffix(path: Column) -> Column:
     """Lower-case suffix with its dot; '' when there is none (`.jpg` alone has none)."""
-    return F.lower(F.regexp_extract(basename(path), r"[^.].*(\.[^.]+)$", 1))
+    # Leading dots belong to the name.
+    rest = F.ltrim(basename(path), F.lit("."))
+    ending = F.substring_index(rest, ".", -1)
+    found = F.contains(rest, F.lit(".")) & (ending != "")
+    return F.when(found, F.lower(F.concat(F.lit("."), ending))).otherwise("")
 
 
 def stem(path: Column) -> Column:
@@ -64,6 +68,5 @@ def member_kind(
 
 def item_id(path: Column, prefix: str) -> Column:
     """`<prefix>_<number>` from `<prefix>_<number>_<hash>.<ext>`; null without the prefix."""
-    if not prefix.replace("-", "").isalnum():
-        raise ValueError(f"prefix must be alphanumeric, got {prefix!r}")
-    return F.nullif(F.regexp_extract(basename(path), f"^({prefix}_[^_]*)", 1), F.lit(""))
+    base = basename(path)
+    return F.when(F.startswith(base, F.lit(prefix + "_")), F.substring_index(base, "_", prefix.count("_") + 2))

@@ -141,10 +141,15 @@ class ModelExtractor:
         scored_vocabulary: Vocabulary | None = None,
         threshold: float = CONFIDENCE_THRESHOLD,
         missing: str | None = None,
+        partitions: int | None = None,
     ):
+        """`partitions` spreads the rows over that many tasks before scoring.
+
+        Spark sizes tasks by bytes; a slow model over short texts needs more of them.
+        """
         self.scorer, self.vocabulary, self.threshold = scorer, vocabulary, threshold
         self.scored_vocabulary = scored_vocabulary or vocabulary
-        self.missing = missing
+        self.missing, self.partitions = missing, partitions
 
     def from_scores(self, df: DataFrame, scores: str, keep: list[str], out: str) -> DataFrame:
         """The outcome struct for a column that already holds scored structs."""
@@ -157,5 +162,6 @@ class ModelExtractor:
         return done.select(*keep, outcome)
 
     def apply(self, df: DataFrame, column: str, out: str) -> DataFrame:
-        staged = df.withColumn("__scored", scored(F.col(column), self.scorer, self.missing))
+        rows = df.repartition(self.partitions) if self.partitions else df
+        staged = rows.withColumn("__scored", scored(F.col(column), self.scorer, self.missing))
         return self.from_scores(staged, "__scored", df.columns, out)

@@ -192,7 +192,8 @@ def dataset_job(
         rows = take_in_place(rows, order, samples)
     tags = tag_source(rows)
     rows = with_tags(rows, tags, rules, only_if=tags.isNotNull())
-    rows = with_source(rows)
+    # Without an image extractor the texts of all rows are used.
+    rows = with_source(rows if images is not None else rows.drop("image"))
     if images is not None and "image" in rows.columns:
         rows = rows.withColumn("image", image_bytes(rows))
     keep = ["id", "source", "outcome", "tags", "hit", "hash_key"]

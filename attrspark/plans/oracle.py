@@ -296,15 +296,15 @@ SELECT vec_id, {", ".join(f"json_extract_string(line, '$.{n}') AS {n}" for n in
 SELECT vec_id, CASE WHEN error IS NOT NULL THEN 'error' WHEN coalesce({columns()}) IS NULL THEN 'empty'
   ELSE 'filled' END AS status FROM res""",
     "text_attributes": f"WITH {CAPTIONS} SELECT c_custkey, {lexical_columns('caption')} FROM f1",
-    "member_kinds": f"WITH {MEMBERS} SELECT pos, suffix, stem, {KIND} AS kind FROM f2",
+    "member_kind": f"WITH {MEMBERS} SELECT pos, suffix, stem, {KIND} AS kind FROM f2",
     "member_ids": f"WITH {MEMBERS} SELECT pos, id FROM f2",
-    "group_members_by_id": f"""WITH {MEMBERS}
+    "group_members": f"""WITH {MEMBERS}
 SELECT id, row_number() OVER (PARTITION BY id ORDER BY pos) - 1 AS member_no, name,
        count(*) OVER (PARTITION BY id) AS n_members
 FROM f2 WHERE id IS NOT NULL""",
-    "pairs_by_id": f"WITH {PAIRS} SELECT id, image, text FROM pairs",
-    "pairs_by_stem": STEM_PAIRS,
-    "shard_statistics": f"""WITH {MEMBERS}
+    "pair_by_id": f"WITH {PAIRS} SELECT id, image, text FROM pairs",
+    "pair_by_stem": STEM_PAIRS,
+    "shard_stats": f"""WITH {MEMBERS}
 SELECT count(*) AS total_files, count(*) FILTER (WHERE {KIND} = 'image') AS image_files,
        count(*) FILTER (WHERE {KIND} = 'text') AS text_files, count(DISTINCT id) AS unique_ids,
        round(CAST(sum(size) AS DOUBLE) / 1048576, 6) AS size_mb FROM f2""",
@@ -337,7 +337,7 @@ FROM f10 WHERE ending <> '.txt'""",
   CASE WHEN doc_id % 3 = 0 THEN NULL WHEN doc_id % 2 = 0 THEN text ELSE 'caption ' || lang END AS text_input,
   CASE WHEN doc_id % 3 = 0 THEN upper(hex(md5(CAST(doc_id AS VARCHAR)))) END AS image_hex
 FROM documents WHERE doc_id % 3 = 0 OR doc_id % 2 = 0 OR doc_id % 5 = 0""",
-    "tag_sources": f"""WITH {CAPTIONS}, tagged AS (SELECT c_custkey, {TAG_SOURCE} AS t FROM f1)
+    "tag_source": f"""WITH {CAPTIONS}, tagged AS (SELECT c_custkey, {TAG_SOURCE} AS t FROM f1)
 SELECT c_custkey, CASE WHEN t IS NOT NULL THEN coalesce(array_to_string(t, '|'), '') END AS tags,
        CAST(len(t) AS INT) AS n_tags FROM tagged""",
     "parse_tags_comma": f"""WITH {CAPTIONS}, tagged AS (SELECT c_custkey, {TRIMMED.format('tag_string_general')} AS t FROM f1)
@@ -374,15 +374,15 @@ SELECT count(*) AS total, count(*) FILTER (WHERE id IN (SELECT id FROM done)) AS
 SELECT doc_id, c.hash_key IS NOT NULL AS hit, c.age AS "Age"
 FROM documents d LEFT JOIN c ON c.hash_key = md5('text:' || d.text)""",
     "cache_upsert": f"WITH {LATEST} SELECT hash_key, attributes, {STAMP.format('ts')} AS ts, seq FROM upserted",
-    "cache_statistics": f"""WITH {LATEST}
+    "cache_stats": f"""WITH {LATEST}
 SELECT true AS enabled, count(*) AS entries, {STAMP.format('min(ts)')} AS oldest, {STAMP.format('max(ts)')} AS newest
 FROM upserted""",
-    "score_distinct_texts": f"""WITH {CAPTIONS}
+    "score_distinct": f"""WITH {CAPTIONS}
 SELECT c_custkey, md5('text:' || caption) AS hash_key, {lexical_columns('caption')} FROM f1""",
     "extract_with_errors": f"""WITH {MEMBERS}, {MARKERS.format(source=f"(SELECT * FROM f2 WHERE {KIND} = 'image')")}
 SELECT m.pos, CASE WHEN w.pos IS NULL THEN 'not an image' END AS error, {columns('w.')}
 FROM markers m LEFT JOIN wide w ON w.pos = m.pos""",
-    "extract_image_text_pairs": f"""WITH {PAIRS}, {ZERO_SHOT},
+    "extract_pairs": f"""WITH {PAIRS}, {ZERO_SHOT},
 done AS (
   SELECT p.id, p.image, p.text, CASE WHEN p.image IS NOT NULL THEN 'image' ELSE 'text' END AS source,
     CASE WHEN p.image IS NOT NULL AND w.vec_id IS NULL THEN 'image_load_failed' END AS error,
@@ -399,21 +399,21 @@ SELECT '{{"id":"' || vec_id || '","attributes":' || {JSON_RECORD} || ',"source":
     "append_results": f"""SELECT CAST(doc_id AS VARCHAR) AS id, 'text' AS source,
   array_to_string(list_transform(string_split(text, ','), lambda t: {STRIP.format('t')}), '|') AS tags,
   CAST(NULL AS VARCHAR) AS error FROM documents""",
-    "merge_result_rows": f"""WITH {ITEMS}, {DONE}
+    "merge_results": f"""WITH {ITEMS}, {DONE}
 SELECT id, 'text' AS source, CAST(NULL AS INT) AS tag_count FROM done
 UNION ALL SELECT id, 'image', CAST(len(string_split(text, ',')) AS INT) FROM items WHERE id NOT IN (SELECT id FROM done)""",
-    "run_totals": f"""WITH {RESULTS},
+    "run_summary": f"""WITH {RESULTS},
 flags AS (SELECT error IS NULL AS fine, coalesce({columns()}) IS NOT NULL AS has_any, hit FROM res)
 SELECT count(*) AS total, count(*) FILTER (WHERE fine AND has_any) AS successful,
   count(*) FILTER (WHERE NOT (fine AND has_any)) AS failed, count(*) FILTER (WHERE fine) AS no_error,
   count(*) FILTER (WHERE NOT fine) AS errors, count(*) FILTER (WHERE hit) AS cache_hits,
   count(*) FILTER (WHERE NOT hit AND fine) AS computed FROM flags""",
-    "batch_totals": """WITH placed AS (
+    "batch_summary": """WITH placed AS (
   SELECT vec_id % 19 = 0 AS bad, (row_number() OVER (ORDER BY vec_id) - 1) // 16 AS batch FROM embeddings
 )
 SELECT batch, count(*) FILTER (WHERE NOT bad) AS success_count, count(*) FILTER (WHERE bad) AS error_count
 FROM placed GROUP BY batch""",
-    "dataset_statistics": f"""WITH {CAPTIONS}
+    "dataset_stats": f"""WITH {CAPTIONS}
 SELECT count(*) AS total_samples, 'c_custkey,caption,tag_string_general,general' AS sample_keys,
   (SELECT CAST(coalesce(len(general), 0) AS INT) FROM f1 ORDER BY c_custkey LIMIT 1) AS sample_tags FROM f1""",
     "stream_pairs": STEM_PAIRS,

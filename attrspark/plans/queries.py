@@ -57,7 +57,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(run: Query) -> Query:
-    QUERIES[run.__name__] = run
+    """Register under the name of the function, less a trailing underscore."""
+    QUERIES[run.__name__.rstrip("_")] = run
     return run
 
 
@@ -161,7 +162,7 @@ def text_attributes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def member_kinds(spark: SparkSession, folder: str) -> DataFrame:
+def member_kind_(spark: SparkSession, folder: str) -> DataFrame:
     name = F.col("name")
     return IN.members(load(spark, folder, "documents")).select(
         "pos", suffix(name).alias("suffix"), stem(name).alias("stem"), member_kind(name).alias("kind")
@@ -175,7 +176,7 @@ def member_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def group_members_by_id(spark: SparkSession, folder: str) -> DataFrame:
+def group_members_(spark: SparkSession, folder: str) -> DataFrame:
     rows = IN.members(load(spark, folder, "documents")).select("pos", "name")
     return group_members(rows, "item").select("id", "member_no", "name", "n_members")
 
@@ -186,18 +187,18 @@ def _pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def pairs_by_id(spark: SparkSession, folder: str) -> DataFrame:
+def pair_by_id_(spark: SparkSession, folder: str) -> DataFrame:
     return _pairs(spark, folder)
 
 
 @query
-def pairs_by_stem(spark: SparkSession, folder: str) -> DataFrame:
+def pair_by_stem_(spark: SparkSession, folder: str) -> DataFrame:
     rows = IN.members(load(spark, folder, "documents"))
     return pair_by_stem(rows, F.col("name"), F.col("payload"))
 
 
 @query
-def shard_statistics(spark: SparkSession, folder: str) -> DataFrame:
+def shard_stats_(spark: SparkSession, folder: str) -> DataFrame:
     stats = shard_stats(IN.members(load(spark, folder, "documents")), "item")
     return stats.withColumn("size_mb", F.round("size_mb", 6))
 
@@ -253,7 +254,7 @@ def source_fallback(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def tag_sources(spark: SparkSession, folder: str) -> DataFrame:
+def tag_source_(spark: SparkSession, folder: str) -> DataFrame:
     rows = IN.captions(load(spark, folder, "customer"))
     tagged = rows.withColumn("t", tag_source(rows))
     return tagged.select("c_custkey", joined("t", "tags"), F.size("t").alias("n_tags"))
@@ -418,7 +419,7 @@ def cache_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def cache_statistics(spark: SparkSession, folder: str) -> DataFrame:
+def cache_stats_(spark: SparkSession, folder: str) -> DataFrame:
     entries = latest(IN.cache_log(load(spark, folder, "events")), ["hash_key"], ["ts", "seq"])
     fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     return cache_stats(entries).select(
@@ -430,7 +431,7 @@ def cache_statistics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def score_distinct_texts(spark: SparkSession, folder: str) -> DataFrame:
+def score_distinct_(spark: SparkSession, folder: str) -> DataFrame:
     rows = IN.captions(load(spark, folder, "customer"))
     keyed = rows.withColumn("hash_key", cache_key("text", F.col("caption")))
     done = score_distinct(keyed, LexicalExtractor(), "caption")
@@ -454,7 +455,7 @@ def extract_with_errors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def extract_image_text_pairs(spark: SparkSession, folder: str) -> DataFrame:
+def extract_pairs_(spark: SparkSession, folder: str) -> DataFrame:
     vectors = load(spark, folder, "embeddings")
     named = vectors.select(F.concat(F.lit("item_"), F.col("vec_id").cast("string")).alias("id"), "embedding")
     pairs = _pairs(spark, folder).join(named, "id", "left")
@@ -495,7 +496,7 @@ def append_results(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def merge_result_rows(spark: SparkSession, folder: str) -> DataFrame:
+def merge_results_(spark: SparkSession, folder: str) -> DataFrame:
     done = IN.done_ids(load(spark, folder, "labels")).withColumn("source", F.lit("text"))
     items = item_documents(spark, folder)
     fresh = R.not_done(items, done).select(
@@ -505,18 +506,18 @@ def merge_result_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def run_totals(spark: SparkSession, folder: str) -> DataFrame:
+def run_summary_(spark: SparkSession, folder: str) -> DataFrame:
     return run_summary(IN.results(load(spark, folder, "embeddings")), hit=F.col("hit"))
 
 
 @query
-def batch_totals(spark: SparkSession, folder: str) -> DataFrame:
+def batch_summary_(spark: SparkSession, folder: str) -> DataFrame:
     rows = IN.results(load(spark, folder, "embeddings")).select("vec_id", "error")
     return batch_summary(P.assign_batches(rows, ["vec_id"], 16))
 
 
 @query
-def dataset_statistics(spark: SparkSession, folder: str) -> DataFrame:
+def dataset_stats_(spark: SparkSession, folder: str) -> DataFrame:
     rows = IN.captions(load(spark, folder, "customer"))
     return dataset_stats(rows, ["c_custkey"])
 

@@ -171,6 +171,13 @@ def test_dataset_job(spark, images, cached):
         assert fresh["cache_hits"] == 5 and fresh["computed"] == 0
 
 
+def test_dataset_job_without_an_image_extractor(spark):
+    df = spark.createDataFrame([("1", b"img", "a teen"), ("2", b"img", None)], "id string, image binary, text string")
+    path = scratch_path(spark, "out")
+    dataset_job(df, path, None)
+    assert {k: (r["source"], r["attributes"]["Age"]) for k, r in rows_of(spark, path).items()} == {"1": ("text", "teen")}
+
+
 @pytest.mark.parametrize("memoise", [False, True])
 def test_dataset_job_on_texts_only(spark, memoise):
     df = spark.createDataFrame([("a teen", 1), ("a teen", 2), ("red hair", 3)], "text string, n int")

@@ -34,6 +34,8 @@ LINES = [
     '{"item_id": "d", "id": "e"}',
     '{"other": 1}',
     '{"id": "a"}',
+    '{"id": "torn", "attributes": {"Age": ',
+    '{"id": "torn',
 ]
 
 
