@@ -11,6 +11,7 @@ import time
 from collections.abc import Iterator, Sequence
 from typing import Any, Protocol
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,31 @@ class Scorer(Protocol):
         """One score array per input; None where there is nothing to say."""
 
 
+class Embedder(Protocol):
+    def setup(self) -> None:
+        """Load the model; called once per Python worker."""
+
+    def embed(self, inputs: list[Any]) -> Any:
+        """One vector per input, as rows of a matrix."""
+
+
+class EmbeddingScorer:
+    """Scores by an embedder: each input is embedded once and meets all label vectors at once."""
+
+    def __init__(self, embedder: Embedder, labels: LabelVectors, scale: float):
+        self.embedder, self.labels, self.scale = embedder, labels, scale
+
+    def setup(self) -> None:
+        self.embedder.setup()
+
+    def score(self, inputs: list[Any]) -> list[list[float]]:
+        vectors = np.asarray(self.embedder.embed(inputs), dtype=np.float64)
+        norms = np.linalg.norm(vectors, axis=1, keepdims=True)
+        if not (np.isfinite(norms).all() and (norms > 0).all()):
+            raise ValueError("embedding without direction")
+        return ((vectors / norms) @ self.labels.matrix * self.scale).tolist()
+
+
 def score_batch(scorer: Scorer, inputs: list[Any], missing: str | None) -> pd.DataFrame:
     """Score a batch; if that fails, item by item, so one bad item spoils only itself."""
     began = time.perf_counter()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,6 +33,13 @@ class LabelVectors:
         self.vocabulary = vocabulary
         self.matrix = np.ascontiguousarray((matrix / norms).T)
 
+    @classmethod
+    def from_encoder(
+        cls, encode: Callable[[list[str]], Any], vocabulary: Vocabulary = IMAGE_VOCABULARY
+    ) -> "LabelVectors":
+        """Encode the prompt of every option, once, with a text encoder."""
+        return cls(np.asarray(encode([row[5] for row in vocabulary.rows()])), vocabulary)
+
     @classmethod
     def from_frame(
         cls, labels: DataFrame, vocabulary: Vocabulary = IMAGE_VOCABULARY

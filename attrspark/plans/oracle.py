@@ -379,6 +379,26 @@ SELECT true AS enabled, count(*) AS entries, {STAMP.format('min(ts)')} AS oldest
 FROM upserted""",
     "score_distinct": f"""WITH {CAPTIONS}
 SELECT c_custkey, md5('text:' || caption) AS hash_key, {lexical_columns('caption')} FROM f1""",
+    "extract_cached": f"""WITH {CAPTIONS},
+cached AS (
+  SELECT DISTINCT caption FROM f1 JOIN customer USING (c_custkey) WHERE c_acctbal < 0 AND caption IS NOT NULL
+),
+fresh AS (SELECT c_custkey, {lexical_columns('caption')} FROM f1)
+SELECT c_custkey, c.caption IS NOT NULL AS hit,
+  {", ".join(f"CASE WHEN c.caption IS NULL THEN fresh.{n}" + (" ELSE 'elderly'" if n == "Age" else "") + f" END AS {n}" for n in NAMES)}
+FROM f1 JOIN fresh USING (c_custkey) LEFT JOIN cached c ON c.caption = f1.caption""",
+    "cache_table": """SELECT hash_key, k FROM (
+  SELECT md5(CAST(user_id AS VARCHAR)) AS hash_key, json_extract_string(props, '$.k') AS k,
+         row_number() OVER (PARTITION BY user_id ORDER BY event_type DESC, ts DESC, event_id DESC) AS rn
+  FROM events
+) WHERE rn = 1""",
+    "shard_report": f"""WITH {MEMBERS}, ids AS (SELECT DISTINCT id FROM f2 WHERE id IS NOT NULL)
+SELECT count(*) AS total_files, count(*) FILTER (WHERE {KIND} = 'image') AS image_files,
+       count(*) FILTER (WHERE {KIND} = 'text') AS text_files, count(DISTINCT id) AS unique_ids,
+       round(CAST(sum(size) AS DOUBLE) / 1048576, 6) AS size_mb, (SELECT count(*) FROM ids) AS total,
+       (SELECT count(*) FROM ids WHERE id IN (SELECT 'item_' || doc_id FROM labels)) AS processed,
+       (SELECT count(*) FROM ids WHERE id NOT IN (SELECT 'item_' || doc_id FROM labels)) AS remaining
+FROM f2""",
     "extract_with_errors": f"""WITH {MEMBERS}, {MARKERS.format(source=f"(SELECT * FROM f2 WHERE {KIND} = 'image')")}
 SELECT m.pos, CASE WHEN w.pos IS NULL THEN 'not an image' END AS error, {columns('w.')}
 FROM markers m LEFT JOIN wide w ON w.pos = m.pos""",

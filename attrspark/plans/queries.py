@@ -25,6 +25,7 @@ from attrspark.operators.cache import (
     CacheTable,
     cache_key,
     cache_stats,
+    extract_cached,
     latest,
     lookup,
     score_distinct,
@@ -42,7 +43,7 @@ from attrspark.operators.results import batch_summary, dataset_stats, merge_resu
 from attrspark.operators.scorers import IMAGE_MISSING, LexicalExtractor, ModelExtractor, VectorExtractor
 from attrspark.operators.zero_shot import cosine_scores
 from attrspark.plans import inputs as IN
-from attrspark.plans.jobs import Resume, dataset_job, directory_job, shard_job
+from attrspark.plans.jobs import Resume, dataset_job, directory_job, shard_job, shard_report
 from attrspark.schema import TAG_GROUPS
 from attrspark.session import scratch_path
 from attrspark.sources.images import decoded_images
@@ -438,6 +439,36 @@ def score_distinct_(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("c_custkey", "hash_key", *flat("outcome.attributes"))
 
 
+@query
+def extract_cached_(spark: SparkSession, folder: str) -> DataFrame:
+    rows = IN.captions(load(spark, folder, "customer"))
+    keyed = rows.withColumn("hash_key", cache_key("text", F.col("caption")))
+    # Earlier results for the captions of customers in debt, recognisable by their age.
+    debtors = load(spark, folder, "customer").where(F.col("c_acctbal") < 0).select("c_custkey")
+    names = [F.lit("elderly" if n == "Age" else None).cast("string").alias(n) for n in NAMES]
+    cache = keyed.join(debtors, "c_custkey", "left_semi").where(F.col("caption").isNotNull())
+    cache = cache.select("hash_key").distinct().withColumn("attributes", F.struct(*names))
+    done = extract_cached(keyed, LexicalExtractor(), "caption", cache)
+    return done.select("c_custkey", "hit", *flat("outcome.attributes"))
+
+
+@query
+def cache_table(spark: SparkSession, folder: str) -> DataFrame:
+    # Events of each type are one write; the last write that has a key wins.
+    log = IN.cache_log(load(spark, folder, "events"))
+    kinds = load(spark, folder, "events").select(F.col("event_id").alias("seq"), "event_type")
+    record = F.from_json(
+        F.replace(F.col("attributes"), F.lit('"k": '), F.lit('"Age": ')), IMAGE_VOCABULARY.schema
+    )
+    cache = CacheTable(spark, scratch_path(spark, "cache"))
+    entries = log.join(kinds, "seq").withColumn("attributes", record)
+    for kind in sorted(r[0] for r in kinds.select("event_type").distinct().collect()):
+        part = entries.where(F.col("event_type") == kind).drop("event_type")
+        cache.put(latest(part, ["hash_key"], ["ts", "seq"]).drop("seq"))
+    cache.compact()
+    return cache.read().select("hash_key", F.col("attributes.Age").alias("k"))
+
+
 # Extraction
 
 
@@ -587,6 +618,18 @@ def stream_cache(spark: SparkSession, folder: str) -> DataFrame:
 # Whole jobs
 
 
+@query
+def shard_report_(spark: SparkSession, folder: str) -> DataFrame:
+    shards = IN.shard_folder(spark, load(spark, folder, "documents"))
+    output = scratch_path(spark, "shard-output")
+    done = load(spark, folder, "labels").select(
+        F.format_string("item_%s", F.col("doc_id").cast("string")).alias("id")
+    )
+    write_results(done, output)
+    report = shard_report(spark, shards, "item", output)
+    return report.withColumn("size_mb", F.round("size_mb", 6))
+
+
 @query
 def shard_job_results(spark: SparkSession, folder: str) -> DataFrame:
     documents = load(spark, folder, "documents")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from attrspark.functions.scoring import long_scores, with_attributes
 from attrspark.operators.lexical import extract_text
-from attrspark.operators.scorers import IMAGE_MISSING, ModelExtractor, VectorExtractor
+from attrspark.operators.scorers import IMAGE_MISSING, EmbeddingScorer, ModelExtractor, VectorExtractor
 from attrspark.operators.zero_shot import LabelVectors, cosine_scores
 from attrspark.plans import inputs as IN
 from attrspark.vocabulary import IMAGE_VOCABULARY, TEXT_VOCABULARY, Vocabulary
@@ -188,3 +188,30 @@ def test_scorer_with_a_smaller_vocabulary(spark):
     df = spark.createDataFrame([("x",)], "t string")
     row = ModelExtractor(Fixed(), scored_vocabulary=TEXT_VOCABULARY).apply(df, "t", "o").first()
     assert row["o"]["attributes"]["Age"] == "child" and row["o"]["attributes"]["Dress"] is None
+
+
+class Halves:
+    """Embeds a text of eight numbers; 'dull' has no direction."""
+
+    def setup(self):
+        self.ready = True
+
+    def embed(self, inputs):
+        assert self.ready
+        return [[0.0] * 8 if x == "dull" else [float(n) for n in x.split()] for x in inputs]
+
+
+def test_embedder_equals_vectors(spark):
+    labels = LabelVectors.from_encoder(
+        lambda prompts: [[float(len(p)), float(i), 1.0, i % 3, 0, 0, 1, i % 2] for i, p in enumerate(prompts)], SMALL
+    )
+    rows = [[float((i * k) % 7 + 1) for k in range(8)] for i in range(20)]
+    texts = [" ".join(map(str, r)) for r in rows] + ["dull"]
+    df = spark.createDataFrame(
+        [(i, t, r) for i, (t, r) in enumerate(zip(texts, [*rows, [0.0] * 8]))], "i int, t string, v array<double>"
+    )
+    scorer = EmbeddingScorer(Halves(), labels, 5.0)
+    a = ModelExtractor(scorer, SMALL, partitions=3).apply(df, "t", "o").orderBy("i").collect()
+    b = VectorExtractor(labels, 5.0).apply(df, "v", "o").orderBy("i").collect()
+    assert [r["o"]["attributes"] for r in a] == [r["o"]["attributes"] for r in b]
+    assert a[20]["o"]["error"] == "embedding without direction" and a[19]["o"]["error"] is None
