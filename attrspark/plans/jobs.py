@@ -35,10 +35,11 @@ from attrspark.operators.positions import (
 from attrspark.operators.resume import after_cursor, first_id, not_done, progress
 from attrspark.operators.scorers import Extractor, LexicalExtractor, ModelExtractor
 from attrspark.session import freeze
-from attrspark.sources.files import exists
+from attrspark.sources.files import exists, list_files
 from attrspark.sources.images import image_files
 from attrspark.sources.tables import prior_ids, write_with_summary
 from attrspark.sources.tar_shard import (
+    ENDINGS,
     by_stretch,
     read_tasks,
     tar_members,
@@ -122,16 +123,19 @@ def shard_job(
     # Both halves of a pair usually lie next to each other: one arrangement serves both reads.
     tasks = read_tasks(spark, path)
     rows = by_stretch(todo, "at", tasks)
-    if cache is not None:
-        rows = with_digests(rows, "image_at", b"image:", "__image_key")
-    rows = with_texts(rows, "text_at")
     has_image = F.col("image_at").isNotNull()
     rows = rows.withColumn("source", F.when(has_image, "image").otherwise("text"))
     if cache is not None:
-        key = F.when(has_image, F.col("__image_key")).otherwise(cache_key("text", F.col("text")))
-        rows = by_stretch(lookup(rows.withColumn("hash_key", key), cache.read()), "at", tasks)
+        # The keys are taken where the content is read, so only keys meet the cache.
+        rows = with_digests(rows, "image_at", "image", "__image_key")
+        rows = rows.withColumn("__text_at", F.when(~has_image, F.col("text_at")))
+        rows = with_digests(rows, "__text_at", "text", "__text_key")
+        rows = rows.withColumn("hash_key", F.coalesce("__image_key", "__text_key"))
+        rows = rows.drop("__image_key", "__text_key", "__text_at")
+        rows = by_stretch(lookup(rows, cache.read()), "at", tasks)
     else:
         rows = rows.withColumn("hit", F.lit(False)).withColumn("hash_key", F.lit(None).cast("string"))
+    rows = with_texts(rows, "text_at")
     rows = rows.withColumn("__image_at", F.when(~F.col("hit"), F.col("image_at")))
     rows = rows.withColumn("text_input", F.when(~has_image & ~F.col("hit"), F.col("text")))
     rows = with_member_scores(rows, "__image_at", images.scorer, "__scored")
@@ -148,9 +152,9 @@ def shard_job(
 
 
 def shard_report(spark: SparkSession, path: str, prefix: str, output: str | None = None) -> DataFrame:
-    """Shard statistics, with progress when there is an output."""
-    members = tar_members(spark, path)
-    stats = shard_stats(members, prefix)
+    """Shard statistics, with progress when there is an output; the size is that of the shards."""
+    size = sum(size for _, size in list_files(path, ENDINGS)) / (1024 * 1024)
+    stats = shard_stats(tar_members(spark, path), prefix).withColumn("size_mb", F.lit(size))
     if output is None or not exists(spark, output):
         return stats
     ids = shard_pairs(spark, path, prefix).select("id").distinct()

@@ -392,10 +392,15 @@ FROM f1 JOIN fresh USING (c_custkey) LEFT JOIN cached c ON c.caption = f1.captio
          row_number() OVER (PARTITION BY user_id ORDER BY event_type DESC, ts DESC, event_id DESC) AS rn
   FROM events
 ) WHERE rn = 1""",
-    "shard_report": f"""WITH {MEMBERS}, ids AS (SELECT DISTINCT id FROM f2 WHERE id IS NOT NULL)
+    "shard_report": f"""WITH {MEMBERS},
+shards AS (  -- a header block and whole blocks per member, two closing blocks, in records of 20 blocks
+  SELECT ceil((sum(512 + ceil(size / 512.0) * 512) + 1024) / 10240.0) * 10240 AS bytes
+  FROM f2 GROUP BY doc_id // {DOCS_PER_SHARD}
+),
+ids AS (SELECT DISTINCT id FROM f2 WHERE id IS NOT NULL)
 SELECT count(*) AS total_files, count(*) FILTER (WHERE {KIND} = 'image') AS image_files,
        count(*) FILTER (WHERE {KIND} = 'text') AS text_files, count(DISTINCT id) AS unique_ids,
-       round(CAST(sum(size) AS DOUBLE) / 1048576, 6) AS size_mb, (SELECT count(*) FROM ids) AS total,
+       (SELECT round(sum(bytes) / 1048576.0::DOUBLE, 6) FROM shards) AS size_mb, (SELECT count(*) FROM ids) AS total,
        (SELECT count(*) FROM ids WHERE id IN (SELECT 'item_' || doc_id FROM labels)) AS processed,
        (SELECT count(*) FROM ids WHERE id NOT IN (SELECT 'item_' || doc_id FROM labels)) AS remaining
 FROM f2""",

@@ -212,20 +212,27 @@ def with_texts(df: DataFrame, offset: str, name: str = "text", tar: str = "tar")
 
 
 def with_digests(
-    df: DataFrame, offset: str, prefix: bytes, name: str, tar: str = "tar"
+    df: DataFrame, offset: str, modality: str, name: str, tar: str = "tar"
 ) -> DataFrame:
-    """Add the MD5 of prefix and content at `offset`, without passing the content on."""
+    """Add the cache key of the content at `offset`, without passing the content on.
+
+    The same as `cache_key` of the bytes, or, for modality "text", of the decoded text.
+    """
+    prefix, text = f"{modality}:".encode(), modality == "text"
+
+    def key(content: bytes | None) -> str | None:
+        if content is None:
+            return None
+        if text:
+            content = content.decode("utf-8", errors="ignore").encode("utf-8")
+        return hashlib.md5(prefix + content).hexdigest()
 
     @F.pandas_udf("string")
     def digest(columns: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         shards = _Shards()
         try:
             for paths, offsets in columns:
-                found = []
-                for path, at in zip(paths, offsets):
-                    content = shards.read(path, at)
-                    found.append(None if content is None else hashlib.md5(prefix + content).hexdigest())
-                yield pd.Series(found, dtype=object)
+                yield pd.Series([key(shards.read(p, at)) for p, at in zip(paths, offsets)], dtype=object)
         finally:
             shards.close()
 

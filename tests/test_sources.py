@@ -58,10 +58,12 @@ def test_digests(spark, shard):
     import hashlib
 
     pairs = pair_positions(tar_members(spark, shard), "item")
-    rows = with_digests(by_stretch(pairs, "image_at", 2), "image_at", b"image:", "d").collect()
-    got = {r["id"]: r["d"] for r in rows}
-    assert got["item_1"] == hashlib.md5(b"image:image one").hexdigest()
-    assert got["item_2"] is None
+    rows = with_digests(by_stretch(pairs, "image_at", 2), "image_at", "image", "d")
+    rows = with_digests(rows, "text_at", "text", "t").collect()
+    got = {r["id"]: (r["d"], r["t"]) for r in rows}
+    assert got["item_1"][0] == hashlib.md5(b"image:image one").hexdigest()
+    assert got["item_1"][1] == hashlib.md5(b"text: one  text \n").hexdigest()
+    assert got["item_2"] == (None, hashlib.md5(b"text:").hexdigest())
 
 
 def test_a_folder_of_shards(spark, tmp_path):
