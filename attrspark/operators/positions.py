@@ -9,7 +9,7 @@ group has to fit one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from attrspark.session import freeze
@@ -97,6 +97,11 @@ def skip_take(df: DataFrame, order: list[Column | str], skip: int, n: int) -> Da
     return placed.where((F.col("__pos") >= skip) & (F.col("__pos") < skip + n)).drop("__pos")
 
 
+def literal(row: Row, df: DataFrame, names: list[str]) -> Column:
+    """A struct constant with the values of a row, typed like the columns of `df`."""
+    return F.struct(*[F.lit(row[n]).cast(df.schema[n].dataType).alias(n) for n in names])
+
+
 def take_in_place(df: DataFrame, order: list[str], n: int) -> DataFrame:
     """The first n rows, for wide rows: only the order columns are sorted.
 
@@ -109,8 +114,7 @@ def take_in_place(df: DataFrame, order: list[str], n: int) -> DataFrame:
     last = take(df.select(*order), order, n).agg(F.max(key).alias("last")).first()["last"]
     if last is None:
         return df.limit(0)
-    border = F.struct(*[F.lit(last[c]).cast(df.schema[c].dataType).alias(c) for c in order])
-    kept = df.where(key <= border)
+    kept = df.where(key <= literal(last, df, order))
     return kept if kept.count() <= n else take(df, order, n)
 
 

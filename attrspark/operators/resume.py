@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attrspark.operators.positions import take
+from attrspark.operators.positions import literal, take
 
 
 def processed_ids(lines: DataFrame, fields: tuple[str, ...] = ("id", "item_id"), line: str = "value"):
@@ -43,13 +43,16 @@ def last_processed(done: DataFrame, order: list[str], key: str = "id") -> DataFr
     return done.agg(F.max_by(key, F.struct(*order)).alias(key))
 
 
-def after_cursor(items: DataFrame, done: DataFrame, cursor: str, order: str, key: str = "id"):
+def after_cursor(
+    items: DataFrame, done: DataFrame, cursor: str, order: list[str], key: str = "id"
+) -> DataFrame:
     """Items after the cursor item, without those done; an unknown cursor is an error."""
+    at = F.struct(*order)
     # Aggregates to one row whatever the size of the table.
-    found = items.where(F.col(key) == F.lit(cursor)).agg(F.max(order).alias("at")).first()["at"]
+    found = items.where(F.col(key) == F.lit(cursor)).agg(F.max(at).alias("at")).first()["at"]
     if found is None:
         raise ValueError(f"cursor id {cursor!r} is not among the items")
-    return not_done(items.where(F.col(order) > F.lit(found)), done, key)
+    return not_done(items.where(at > literal(found, items, order)), done, key)
 
 
 def progress(items: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:

@@ -68,7 +68,7 @@ class Resume:
             raise ValueError("a cursor goes with mode 'cursor', and only with it")
 
 
-def _remaining(items: DataFrame, output: str, resume: Resume, order: str) -> DataFrame:
+def _remaining(items: DataFrame, output: str, resume: Resume, order: list[str]) -> DataFrame:
     spark = items.sparkSession
     if resume.mode == "none" or not exists(spark, output):
         return items
@@ -117,7 +117,7 @@ def shard_job(
     """
     texts = texts or LexicalExtractor(images.vocabulary)
     pairs = shard_pairs(spark, path, prefix)
-    todo = _remaining(pairs, output, resume, "at")
+    todo = _remaining(pairs, output, resume, ["tar", "at", "id"])
     if samples is not None:
         todo = take(todo, ["tar", "at", "id"], samples)
     # Both halves of a pair usually lie next to each other: one arrangement serves both reads.
@@ -191,7 +191,7 @@ def dataset_job(
         rows = rows.withColumn("id", default_id(F.lit(None), F.col("__pos")))
         order = ["__pos"]
     order = list(order or ["id"])
-    rows = _remaining(rows, output, resume, order[0])
+    rows = _remaining(rows, output, resume, order)
     if samples is not None:
         rows = take_in_place(rows, order, samples)
     tags = tag_source(rows)

@@ -366,7 +366,7 @@ def resume_cursor(spark: SparkSession, folder: str) -> DataFrame:
         labels.withColumn("id", F.col("doc_id").cast("string")), ["toxic", "quality", "doc_id"]
     )
     items = item_documents(spark, folder).select("id", "doc_id")
-    return R.after_cursor(items, IN.done_ids(labels), last.first()["id"], "doc_id")
+    return R.after_cursor(items, IN.done_ids(labels), last.first()["id"], ["doc_id"])
 
 
 @query

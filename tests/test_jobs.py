@@ -103,6 +103,11 @@ def test_cursor_resume(spark, shards, images):
     shard_job(spark, f"{shards}/a.tar", path, images, samples=1)
     done = shard_job(spark, f"{shards}/a.tar", path, images, resume=Resume("cursor", "item_3"))
     assert done["total"] == 2 and sorted(rows_of(spark, path)) == ["item_1", "item_4", "item_5"]
+    # Over several shards the order is shard, then place in it.
+    both = scratch_path(spark, "out")
+    shard_job(spark, shards, both, images, samples=1)
+    assert shard_job(spark, shards, both, images, resume=Resume("cursor", "item_5"))["total"] == 1
+    assert sorted(rows_of(spark, both)) == ["item_1", "item_6"]
     with pytest.raises(ValueError):
         shard_job(spark, shards, path, images, resume=Resume("cursor", "item_77"))
     with pytest.raises(ValueError):

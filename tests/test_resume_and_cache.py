@@ -80,9 +80,9 @@ def test_anti_join_and_limit(spark, items):
 
 def test_cursor(spark, items):
     known = done(spark, "i1", "i7")
-    assert ids(R.after_cursor(items, known, "i5", "at")) == ["i6", "i8", "i9"]
+    assert ids(R.after_cursor(items, known, "i5", ["at"])) == ["i6", "i8", "i9"]
     with pytest.raises(ValueError):
-        R.after_cursor(items, known, "nowhere", "at")
+        R.after_cursor(items, known, "nowhere", ["at"])
 
 
 def test_last_processed(spark):
