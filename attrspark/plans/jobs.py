@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,7 @@ from attrspark.operators.positions import (
     with_position,
     with_scan_position,
 )
+from attrspark.operators.results import throughput
 from attrspark.operators.resume import after_cursor, first_id, not_done, progress
 from attrspark.operators.scorers import Extractor, LexicalExtractor, ModelExtractor
 from attrspark.session import freeze
@@ -151,6 +153,32 @@ def shard_job(
     return _finish(kept, output, resume.mode != "none", cache, images.vocabulary)
 
 
+def in_waves(run: Callable[[int], dict], wave: int, samples: int | None = None) -> dict:
+    """Run a resumable job `wave` items at a time, until nothing is left or `samples` are done.
+
+    `run` takes the number of items, e.g. `lambda n: shard_job(..., samples=n)`. A batch write
+    is committed as a whole, so a crash loses the wave at hand and no more. Every item of a
+    wave must end up in the output, or the next wave would take it again. Each wave lists
+    the input anew: let one take hours, not minutes.
+    """
+    if wave <= 0:
+        raise ValueError("wave must be positive")
+    totals: dict = {}
+    while samples is None or totals.get("total", 0) < samples:
+        left = wave if samples is None else min(wave, samples - totals.get("total", 0))
+        summary = run(left)
+        for name, value in summary.items():
+            if isinstance(value, (int, float)):
+                totals[name] = totals.get(name, 0) + value
+            else:
+                totals[name] = value
+        if summary["total"] < left:
+            break
+    if totals:
+        totals["samples_per_second"] = throughput(totals["total"], totals["processing_time"])
+    return totals
+
+
 def shard_report(spark: SparkSession, path: str, prefix: str, output: str | None = None) -> DataFrame:
     """Shard statistics, with progress when there is an output; the size is that of the shards."""
     size = sum(size for _, size in list_files(path, ENDINGS)) / (1024 * 1024)

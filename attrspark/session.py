@@ -24,6 +24,10 @@ def local_session(cores: str | int = "*", partitions: int = 8, **conf) -> SparkS
     return builder.getOrCreate()
 
 
+# Folders made for local sessions, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`; every executor must see it.
 
@@ -35,9 +39,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="attrspark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="attrspark-")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

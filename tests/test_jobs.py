@@ -7,7 +7,7 @@ from pyspark import cloudpickle
 
 from attrspark.operators.cache import CacheTable
 from attrspark.operators.scorers import IMAGE_MISSING, ModelExtractor
-from attrspark.plans.jobs import Resume, dataset_job, directory_job, shard_job, shard_report
+from attrspark.plans.jobs import Resume, dataset_job, directory_job, in_waves, shard_job, shard_report
 from attrspark.session import scratch_path
 from attrspark.sources.tables import read_results
 from attrspark.vocabulary import IMAGE_VOCABULARY
@@ -91,6 +91,19 @@ def test_running_in_parts_equals_running_once(spark, shards, images):
     assert sorted(rows_of(spark, parts)) == sorted(rows_of(spark, whole))
 
 
+def test_waves(spark, shards, images):
+    path = scratch_path(spark, "out")
+    run = lambda n: shard_job(spark, shards, path, images, samples=n)
+    first = in_waves(run, 2, samples=3)
+    assert first["total"] == 3 and len(rows_of(spark, path)) == 3
+    rest = in_waves(run, 2)
+    assert rest["total"] == 3 and rest["errors"] + first["errors"] == 1
+    assert read_results(spark, path).count() == 6
+    assert in_waves(run, 2)["total"] == 0
+    with pytest.raises(ValueError):
+        in_waves(run, 0)
+
+
 def test_starting_over_replaces_the_output(spark, shards, images):
     path = scratch_path(spark, "out")
     shard_job(spark, shards, path, images, samples=3)

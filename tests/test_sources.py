@@ -1,11 +1,13 @@
 """Tar shards, image folders, result files."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from attrspark.functions.images import is_valid
 from attrspark.functions.names import DIRECTORY_JOB_SUFFIXES
-from attrspark.operators.pairing import pair_by_id, pair_by_stem, pair_positions
+from attrspark.operators.pairing import pair_by_id, pair_by_stem, pair_positions, shard_stats
 from attrspark.sources.files import list_files
 from attrspark.sources.images import decoded_images, image_files
 from attrspark.sources.tables import dataset
@@ -104,6 +106,31 @@ def test_pair_forms(spark):
     assert [tuple(r) for r in by_stem] == [("item_1_a", "i0", "t3")]
 
 
+def test_one_id_with_a_third_of_all_members(spark):
+    draw = random.Random(3)
+    rows = []
+    for pos in range(3000):
+        n = 7 if pos % 3 == 0 else draw.randrange(8, 500)
+        rows.append((pos, f"d/item_{n}_{pos % 5}.{draw.choice(['jpg', 'txt', 'PNG', 'dat'])}", pos % 11))
+    draw.shuffle(rows)
+    df = spark.createDataFrame(rows, "pos int, name string, size long").repartition(6)
+    firsts: dict = {}
+    for pos, name, _ in sorted(rows):
+        number, kind = name.split("_")[1], name.rsplit(".", 1)[1].lower()
+        if kind != "dat":
+            slot = "text" if kind == "txt" else "image"
+            firsts.setdefault(f"item_{number}", {}).setdefault(slot, pos)
+    expected = {k: (v.get("image"), v.get("text")) for k, v in firsts.items()}
+    found = pair_positions(df, "item", "pos", ("id",)).collect()
+    assert {r["id"]: (r["image_at"], r["text_at"]) for r in found} == expected
+    pairs = pair_by_id(df, "item", F.col("pos"), F.col("pos")).collect()
+    assert {r["id"]: (r["image"], r["text"]) for r in pairs} == expected
+    stats = shard_stats(df, "item").first()
+    assert stats["total_files"] == 3000
+    assert stats["unique_ids"] == len({name.split("_")[1] for _, name, _ in rows})
+    assert stats["image_files"] == sum(name.lower().endswith(("jpg", "png")) for _, name, _ in rows)
+
+
 @pytest.fixture(scope="module")
 def pictures(tmp_path_factory):
     folder = tmp_path_factory.mktemp("pics")
