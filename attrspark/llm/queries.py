@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
+from attrspark.llm.minhash import near_duplicates
 from attrspark.llm.packing import packed_documents
 from attrspark.llm.token_files import token_file_rows
 
@@ -17,6 +18,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), shingle=2, percent=80)
+
+
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed_documents(spark, table(spark, folder, "documents"), TOKENIZER)
 
@@ -26,7 +31,31 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op8_token_files": op8_token_files,
 }
-ORACLES: dict[str, str] = {}
+
+ORACLES: dict[str, str] = {
+    "op2_minhash_near_dedup": r"""
+        WITH RECURSIVE words AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), shingles AS (
+          SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 1 THEN w
+            ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS s FROM words
+        ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), common AS (
+          SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+          FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2
+        ), links AS (
+          SELECT a, b FROM common JOIN sizes p ON a = p.doc_id JOIN sizes q ON b = q.doc_id
+          WHERE 100 * k >= 80 * (p.n + q.n - k)
+        ), reached AS (
+          SELECT doc_id AS a, doc_id AS b FROM documents
+          UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+        ), smallest AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+        FROM documents d JOIN smallest USING (doc_id) LEFT JOIN sizes USING (doc_id)
+    """,
+}
