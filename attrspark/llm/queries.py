@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
+from attrspark.llm.kneser_ney import toxicity
 from attrspark.llm.minhash import near_duplicates
 from attrspark.llm.packing import packed_documents
 from attrspark.llm.token_files import token_file_rows
@@ -22,6 +23,10 @@ def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), shingle=2, percent=80)
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed_documents(spark, table(spark, folder, "documents"), TOKENIZER)
 
@@ -32,6 +37,7 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op8_token_files": op8_token_files,
 }
