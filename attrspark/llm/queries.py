@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
+from attrspark.llm.decontaminate import contaminated
 from attrspark.llm.kneser_ney import toxicity
+from attrspark.llm.licenses import license_matches, notices
 from attrspark.llm.minhash import near_duplicates
 from attrspark.llm.packing import packed_documents
 from attrspark.llm.token_files import token_file_rows
@@ -35,11 +37,21 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_rows(spark, table(spark, folder, "documents"), TOKENIZER)
 
 
+def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return license_matches(table(spark, folder, "documents"), notices(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op8_token_files": op8_token_files,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_license_scans": op10_license_scans,
 }
 
 ORACLES: dict[str, str] = {
