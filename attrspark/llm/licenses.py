@@ -27,7 +27,6 @@ LEAST_SHARE = 0.8
 #: Templates up to this many are taken into the plan as constants; more are joined.
 MOST_CONSTANTS = 5_000
 _MASKS = [0, 0x5BE0CD19137E2179]
-_EMPTY = F.array().cast("array<bigint>")
 
 # Public notice texts by SPDX identifier.
 NOTICES: list[tuple[str, str]] = [
@@ -90,7 +89,7 @@ def with_shingles(df: DataFrame) -> DataFrame:
     names = [f"w{i}" for i in range(SHINGLE)]
     runs = F.arrays_zip(*(F.slice("_words", i + 1, n - (SHINGLE - 1)).alias(w) for i, w in enumerate(names)))
     runs = F.transform(runs, lambda run: F.xxhash64(*(run[w] for w in names)))
-    hashes = F.when(n >= SHINGLE, runs).when(n > 0, F.array(F.xxhash64(F.concat_ws(" ", "_words")))).otherwise(_EMPTY)
+    hashes = F.when(n >= SHINGLE, runs).when(n > 0, F.array(F.xxhash64(F.concat_ws(" ", "_words")))).otherwise(F.array().cast("array<bigint>"))
     return once(df, "_shingles", hashes).drop("_words")
 
 

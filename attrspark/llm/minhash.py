@@ -9,11 +9,12 @@
 3. Each band of `rows` bins is a bucket key. In a bucket, every class is a candidate of the
    smallest class only: n - 1 pairs for n classes, a star.
 4. Candidates are confirmed on the full sets; confirmed links give components.
-5. What stars can miss are links between two classes of a bucket of which one did not join
-   the star's component. Only buckets with such classes are looked at again: they are cut
-   into blocks, blocks meet in pairs, and pairs of different components that could still
-   reach the threshold (by size, and by their minima five deviations around it) are
-   confirmed on the full sets too.
+5. What stars can miss are links between two classes of a bucket of which neither was its
+   centre. While buckets hold several components, a few more rounds of stars around other
+   centres join what they can. The buckets that are still mixed are then looked at in full:
+   they are cut into blocks, blocks meet in pairs, and classes of different components that
+   could reach the threshold (by size, and by their minima five deviations around it) are
+   compared on the full sets there. A meeting returns a spanning forest of its links.
 
 With 30 bands of 5 rows, two sets at a similarity of 0.8 share a bucket with probability
 1 - (1 - 0.8^5)^30 > 0.99999.
@@ -46,6 +47,7 @@ SKETCHES = StructType(
     ]
 )
 _BLOCK = 512
+EXTRA_STARS = 3
 
 
 def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
@@ -158,27 +160,48 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return joined.mapInArrow(verify, "a long, b long")
 
 
-def _block_pairs(percent: int, bins: int):
-    """Pairs of a block pair that stars left untested and that may reach the threshold."""
+def _block_links(shingle: int, percent: int, bins: int):
+    """Confirmed links between different components of two blocks: a spanning forest of them."""
     share = percent / 100
     least = share - 5 * (share * (1 - share) / bins) ** 0.5
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        left, right = group[group.side == 0], group[group.side == 1]
+        group = group.drop_duplicates(["id", "side"]).reset_index(drop=True)
+        sets: list[np.ndarray | None] = [None] * len(group)
+
+        def full(i: int) -> np.ndarray:
+            if sets[i] is None:
+                raw = (group.text[i] or "").encode()
+                words, _ = word_hashes(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+                sets[i] = shingle_set(words, shingle)
+            return sets[i]
+
+        top: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while top.get(c, c) != c:
+                c = top[c]
+            return c
+
+        left, right = np.flatnonzero(group.side == 0), np.flatnonzero(group.side == 1)
         if not len(right):
-            left, right = group, group
-        minima = np.stack([np.frombuffer(m, np.uint32) for m in right.minima]) if len(right) else None
+            right = left
+        n, part, ids = group.n_shingles.to_numpy(), group.component.to_numpy(), group.id.to_numpy()
+        minima = np.stack([np.frombuffer(m, np.uint32) for m in group.minima])
         out = []
-        for row in left.itertuples() if minima is not None else ():
-            n = right.n_shingles.to_numpy()
-            fits = (right.component.to_numpy() != row.component) & (right.id.to_numpy() != row.id)
-            fits &= 100 * np.minimum(n, row.n_shingles) >= percent * np.maximum(n, row.n_shingles)
-            at = np.flatnonzero(fits)
-            if len(at):
-                alike = (minima[at] == np.frombuffer(row.minima, np.uint32)).mean(axis=1)
-                out += [(row.id, other) for other in right.id.to_numpy()[at[alike >= least]]]
-        found = pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-        return pd.DataFrame({"a": found.max(axis=1), "b": found.min(axis=1)}).drop_duplicates().astype("int64")
+        for i in left:
+            fits = (part[right] != part[i]) & (100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i]))
+            at = right[fits]
+            at = at[(minima[at] == minima[i]).mean(axis=1) >= least]
+            for k in at:
+                x, y = root(int(part[i])), root(int(part[k]))
+                if x == y:
+                    continue
+                common = len(np.intersect1d(full(i), full(k), assume_unique=True))
+                if 100 * common >= percent * (len(full(i)) + len(full(k)) - common):
+                    top[x] = y
+                    out.append((max(ids[i], ids[k]), min(ids[i], ids[k])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return compare
 
@@ -230,10 +253,21 @@ def near_duplicates(
     links = _confirm_written(spark, stars, texts, shingle, percent)
     reached = components(links)
 
-    rest = _beyond_stars(shared, classes, reached, percent, bands * rows)
-    more = _confirm_written(spark, rest, texts, shingle, percent)
-    if not more.isEmpty():
-        reached = components(links.union(more))
+    for turn in range(EXTRA_STARS):
+        mixed = _mixed_buckets(spark, shared, reached)
+        more = _confirm_written(spark, _other_stars(mixed, turn, percent), texts, shingle, percent)
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        reached = components(links)
+    else:
+        mixed = _mixed_buckets(spark, shared, reached)
+    rest = _beyond_stars(mixed, classes, texts, shingle, percent, bands * rows)
+    place = scratch_path(spark, "rest")
+    rest.write.parquet(place)
+    rest = spark.read.schema("a long, b long").parquet(place)
+    if not rest.isEmpty():
+        reached = components(links.union(rest))
 
     by_class = classes.select(*key, "id").join(reached, "id", "left")
     by_class = by_class.select(*key, F.coalesce("component", "id").alias("_component"))
@@ -259,28 +293,49 @@ def _confirm_written(spark: SparkSession, pairs: DataFrame, texts: DataFrame, sh
     return spark.read.schema("a long, b long").parquet(place)
 
 
-def _beyond_stars(shared: DataFrame, classes: DataFrame, reached: DataFrame, percent: int, bins: int) -> DataFrame:
-    """Candidate pairs (a, b) between different components of buckets of three or more."""
-    spark = shared.sparkSession
+def _mixed_buckets(spark: SparkSession, shared: DataFrame, reached: DataFrame) -> DataFrame:
+    """(bucket, id, n_shingles, component, n) of buckets of three or more in several components."""
     named = shared.where("n > 2").join(reached, "id", "left")
-    named = named.select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    named = named.select("bucket", "id", "n_shingles", "n", F.coalesce("component", "id").alias("component"))
     place = scratch_path(spark, "buckets")
     named.write.parquet(place)
     named = spark.read.schema(named.schema).parquet(place)
-    mixed = named.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
+    several = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    mixed = named.join(several.where("low < high").select("bucket"), "bucket", "left_semi")
+    place = scratch_path(spark, "mixed")
+    mixed.write.parquet(place)
+    return spark.read.schema(mixed.schema).parquet(place)
+
+
+def _other_stars(mixed: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Stars again, around a class that each bucket picks by hash, to other components only."""
+    pick = F.xxhash64("id", "bucket", F.lit(turn))
+    centers = mixed.groupBy("bucket").agg(
+        F.min(F.struct(pick.alias("pick"), F.col("id").alias("center"), F.col("component").alias("part"), F.col("n_shingles").alias("size"))).alias("c")
     )
-    mixed = mixed.where("low < high").select("bucket", F.ceil(F.col("n") / _BLOCK).cast("int").alias("blocks"))
-    dealt = named.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    # A member of block i meets blocks j >= i as the left side and j <= i as the right side.
+    pairs = mixed.join(centers.select("bucket", "c.center", "c.part", "c.size"), "bucket")
+    fits = F.expr(f"component <> part AND 100 * least(n_shingles, size) >= {percent} * greatest(n_shingles, size)")
+    return pairs.where(fits).select(F.greatest("id", "center").alias("a"), F.least("id", "center").alias("b")).distinct()
+
+
+def _beyond_stars(mixed: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, percent: int, bins: int) -> DataFrame:
+    """Links (a, b) between different components of the same bucket that no star has tested.
+
+    Every block of a bucket meets every other one with its texts; a meeting holds two
+    blocks and returns fewer links than it has members.
+    """
+    blocks = F.ceil(F.col("n") / _BLOCK).cast("int")
+    dealt = mixed.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    # A member of block i is on the left where it meets blocks j >= i, else on the right.
     meets = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda j: F.struct(
             F.least("block", j).alias("low"), F.greatest("block", j).alias("high"), (j < F.col("block")).cast("int").alias("side")
         ),
     )
-    dealt = dealt.select("bucket", "id", "component", F.explode(meets).alias("meet"))
-    dealt = dealt.select("bucket", "id", "component", "meet.low", "meet.high", "meet.side")
-    dealt = dealt.join(classes.select("id", "n_shingles", "minima"), "id")
-    pairs = dealt.groupBy("bucket", "low", "high").applyInPandas(_block_pairs(percent, bins), "a long, b long")
-    return pairs.distinct()
+    used = texts.join(mixed.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    used = used.join(classes.select("id", "minima"), "id")
+    dealt = dealt.join(used, "id").select("bucket", "id", "n_shingles", "component", "minima", "text", F.explode(meets).alias("meet"))
+    dealt = dealt.select("bucket", "id", "n_shingles", "component", "minima", "text", "meet.low", "meet.high", "meet.side")
+    links = dealt.groupBy("bucket", "low", "high").applyInPandas(_block_links(shingle, percent, bins), "a long, b long")
+    return links.distinct()
