@@ -16,8 +16,9 @@ A text is judged by length-normalised ratios: the mean per byte of the whole tex
 means of its 1, 2 and 4 most toxic words. A logistic curve turns them into a score; it is
 fitted on labelled rows that the models it uses have not seen.
 
-N-grams and contexts are counted in 2^22 hashed slots, so the model has a fixed size
-whatever the corpus, and can be broadcast.
+N-grams seen at least twice are kept in a table of 2^22 hashed slots with 16-bit tags, and
+contexts in 2^21 slots, so the model has a fixed size (40 MB) whatever the corpus, and can
+be broadcast. Of n-grams that share a slot the one that says most is kept.
 """
 
 from __future__ import annotations
@@ -33,8 +34,9 @@ from pyspark.sql import functions as F
 from attrspark.llm.words import _FOLDED, _Powers, mix, slices, word_spans
 
 ORDER = 9
-SLOT_BITS = 22
-SLOTS = 1 << SLOT_BITS
+GRAM_BITS, TAG_BITS, CONTEXT_BITS = 22, 16, 21
+GRAMS, CONTEXTS = 1 << GRAM_BITS, 1 << CONTEXT_BITS
+HELD = 2_000_000
 TOPS = (1, 2, 4)
 COUNTS = "gram long, back long, ordinary long, toxic long, ordinary_kept long, toxic_kept long"
 COUNT_NAMES = ["ordinary", "toxic", "ordinary_kept", "toxic_kept"]
@@ -42,7 +44,7 @@ COUNT_NAMES = ["ordinary", "toxic", "ordinary_kept", "toxic_kept"]
 
 @dataclass
 class Symbols:
-    """The bytes of words: slots of n-gram, context and their shorter forms, and word bounds."""
+    """The bytes of words: n-gram (slot and tag), context and their shorter forms; word bounds."""
 
     gram: np.ndarray
     context: np.ndarray
@@ -64,14 +66,16 @@ def symbols(data: np.ndarray, offsets: np.ndarray, shorter: bool) -> Symbols:
         first = np.maximum(word, at - (ORDER - 1))
         mark = np.where(first == word, np.uint64(3), np.uint64(1))
 
-        def slot(a, z, salt):
-            return (mix((sums[z] - sums[a]) * down[a] + salt) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        def top(a, z, salt, bits):
+            return (mix((sums[z] - sums[a]) * down[a] + salt) >> np.uint64(64 - bits)).astype(np.int64)
 
-        gram, context = slot(first, at + 1, mark), slot(first, at, mark + np.uint64(1))
+        gram = top(first, at + 1, mark, GRAM_BITS + TAG_BITS)
+        context = top(first, at, mark + np.uint64(1), CONTEXT_BITS)
         if not shorter:
             return Symbols(gram, context, gram, context, begins, ends)
         low = np.minimum(first + 1, at)
-        return Symbols(gram, context, slot(low, at + 1, np.uint64(5)), slot(low, at, np.uint64(6)), begins, ends)
+        short_gram = top(low, at + 1, np.uint64(5), CONTEXT_BITS)
+        return Symbols(gram, context, short_gram, top(low, at, np.uint64(6), CONTEXT_BITS), begins, ends)
 
 
 def _merged(gram: np.ndarray, back: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,78 +88,98 @@ def _merged(gram: np.ndarray, back: np.ndarray, counts: np.ndarray) -> tuple[np.
 def count_grams(sample: DataFrame) -> DataFrame:
     """Counts per n-gram and class of `sample(text, toxic, kept)`.
 
-    `gram` packs the slots of n-gram and context, `back` those of the shorter ones. Each
-    task adds up what it reads and gives one row per n-gram.
+    `gram` packs n-gram and context, `back` the shorter ones. Each task adds up what it
+    reads and gives one row per n-gram, or several where it has seen very many.
     """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        size = 0
+
+        def given() -> Iterator[pa.RecordBatch]:
+            if not held:
+                return
+            keys, back, cells = _merged(*(np.concatenate(x) for x in zip(*held)))
+            held.clear()
+            for i in range(0, len(keys), 100_000):
+                part = slice(i, i + 100_000)
+                columns = [keys[part], back[part], *(np.ascontiguousarray(cells[part, k]) for k in range(4))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["gram", "back", *COUNT_NAMES])
+
         for batch in batches:
             kind = batch.column(1).to_numpy(zero_copy_only=False) + 2 * batch.column(2).to_numpy(zero_copy_only=False)
-            for first, end, data, offsets in slices(batch.column(0)):
+            for first, end, data, offsets in slices(batch.column(0), 2 << 20):
                 s = symbols(data, offsets, True)
                 if not len(s.gram):
                     continue
                 of_row = np.searchsorted(offsets, s.begins, side="right") - 1
                 of_kind = np.repeat(kind[first:end][of_row], s.ends - s.begins)
-                packed = (s.gram << SLOT_BITS) | s.context
-                keys, at, inverse = np.unique(packed, return_index=True, return_inverse=True)
-                back = (s.short_gram[at] << SLOT_BITS) | s.short_context[at]
+                keys, at, inverse = np.unique((s.gram << CONTEXT_BITS) | s.context, return_index=True, return_inverse=True)
+                back = (s.short_gram[at] << CONTEXT_BITS) | s.short_context[at]
                 cells = np.bincount(inverse * 4 + of_kind, minlength=4 * len(keys)).reshape(-1, 4)
-                held.append((keys, back, cells))
-                size += len(keys)
-                if size > 4 * SLOTS:
-                    held = [_merged(*(np.concatenate(x) for x in zip(*held)))]
-                    size = len(held[0][0])
-        if held:
-            keys, back, cells = _merged(*(np.concatenate(x) for x in zip(*held)))
-            for i in range(0, len(keys), 100_000):
-                part = slice(i, i + 100_000)
-                columns = [keys[part], back[part], *(np.ascontiguousarray(cells[part, k]) for k in range(4))]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["gram", "back", *COUNT_NAMES])
+                held.append((keys, back, cells.astype(np.int32)))
+                if sum(len(h[0]) for h in held) > HELD:
+                    held[:] = [_merged(*(np.concatenate(x) for x in zip(*held)))]
+                    if len(held[0][0]) > HELD // 2:
+                        yield from given()
+        yield from given()
 
     each = sample.select("text", F.col("toxic").cast("long"), F.col("kept").cast("long")).mapInArrow(count, COUNTS)
-    return each.groupBy("gram").agg(F.min("back").alias("back"), *(F.sum(c).alias(c) for c in COUNT_NAMES))
-
-
-def ratios(gram: np.ndarray, back: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log ratio per n-gram slot (NaN: unseen) and per context slot, from counts (n, 2)."""
-    seen = counts.sum(axis=1) > 0
-    gram, back, counts = gram[seen], back[seen], counts[seen]
-    mask = SLOTS - 1
-    whole, context, short, short_context = gram >> SLOT_BITS, gram & mask, back >> SLOT_BITS, back & mask
-    follows = np.bincount(short, minlength=SLOTS).astype(float)
-    around = np.bincount(short_context, minlength=SLOTS).astype(float)
-    kinds = np.bincount(short_context[np.unique(short, return_index=True)[1]], minlength=SLOTS).astype(float)
-    once, twice = (counts == 1).sum(), (counts == 2).sum()
+    table = each.groupBy("gram").agg(F.min("back").alias("back"), *(F.sum(c).alias(c) for c in COUNT_NAMES))
+    mask = F.lit(CONTEXTS - 1)
+    return table.where(" + ".join(COUNT_NAMES) + " >= 2").select(
+        F.shiftright("gram", CONTEXT_BITS + TAG_BITS).cast("int").alias("slot"),
+        F.shiftright("gram", CONTEXT_BITS).bitwiseAND(F.lit((1 << TAG_BITS) - 1)).cast("int").alias("tag"),
+        F.col("gram").bitwiseAND(mask).cast("int").alias("context"),
+        F.shiftright("back", CONTEXT_BITS).cast("int").alias("short"),
+        F.col("back").bitwiseAND(mask).cast("int").alias("short_context"),
+        *(F.col(c).cast("int") for c in COUNT_NAMES),
+    )
+
+
+Model = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def ratios(table: dict[str, np.ndarray], ordinary: np.ndarray, toxic: np.ndarray) -> Model:
+    """Log ratio and tag per n-gram slot, log ratio per context slot.
+
+    Slots without an n-gram have the tag -1.
+    """
+    seen = (ordinary + toxic) > 0
+    slot, tag, context, short, around = (table[c][seen] for c in ("slot", "tag", "context", "short", "short_context"))
+    counts = [ordinary[seen], toxic[seen]]
+    once, twice = (sum(int((c == n).sum()) for c in counts) for n in (1, 2))
     discount = float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.9))
-    n = around[short_context]
-    shared = np.maximum(follows[short] - discount, 0) / n + discount * kinds[short_context] / n / 256
-    shared = np.maximum(shared, 1e-6)
-    log_p, log_free = [], []
-    for c in (0, 1):
-        total = np.bincount(context, weights=counts[:, c], minlength=SLOTS)
-        types = np.bincount(context, weights=counts[:, c] > 0, minlength=SLOTS)
+    follows = np.bincount(short, minlength=CONTEXTS)[short]
+    n = np.bincount(around, minlength=CONTEXTS)[around]
+    kinds = np.bincount(around[np.unique(short, return_index=True)[1]], minlength=CONTEXTS)[around]
+    shared = np.maximum(np.maximum(follows - discount, 0) / n + discount * kinds / n / 256, 1e-6)
+    of_gram = np.zeros(len(slot), dtype=np.float32)
+    of_context = np.zeros(CONTEXTS, dtype=np.float32)
+    for sign, count in zip((-1, 1), counts):
+        total = np.bincount(context, weights=count, minlength=CONTEXTS)
+        types = np.bincount(context, weights=count > 0, minlength=CONTEXTS)
         free = np.where(total > 0, discount * types / np.maximum(total, 1), 1.0)
-        p = np.maximum(counts[:, c] - discount, 0) / np.maximum(total[context], 1) + free[context] * shared
-        log_p.append(np.log(p))
-        log_free.append(np.log(free))
-    of_gram = np.full(SLOTS, np.nan, dtype=np.float32)
-    of_gram[whole] = log_p[1] - log_p[0]
-    return of_gram, (log_free[1] - log_free[0]).astype(np.float32)
+        p = np.maximum(count - discount, 0) / np.maximum(total[context], 1) + free[context] * shared
+        of_gram += (sign * np.log(p)).astype(np.float32)
+        of_context += (sign * np.log(free)).astype(np.float32)
+    order = np.argsort(np.abs(of_gram) * np.log1p(counts[0] + counts[1]))
+    ratio, tags = np.zeros(GRAMS, dtype=np.float32), np.full(GRAMS, -1, dtype=np.int32)
+    ratio[slot[order]] = of_gram[order]
+    tags[slot[order]] = tag[order]
+    return ratio, tags, of_context
 
 
-def features(column: pa.Array, model: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+def features(column: pa.Array, model: Model) -> np.ndarray:
     """Per text: mean ratio per byte, means of the most toxic words, log of its words."""
-    of_gram, of_context = model
+    of_gram, tags, of_context = model
     out = np.zeros((len(column), 2 + len(TOPS)))
-    for first, end, data, offsets in slices(column):
+    for first, end, data, offsets in slices(column, 2 << 20):
         s = symbols(data, offsets, False)
         if not len(s.gram):
             continue
-        value = of_gram[s.gram]
-        unseen = np.isnan(value)
+        slot = s.gram >> TAG_BITS
+        value = of_gram[slot]
+        unseen = tags[slot] != s.gram & ((1 << TAG_BITS) - 1)
         value[unseen] = of_context[s.context[unseen]]
         upto = np.concatenate(([0.0], np.cumsum(value, dtype=np.float64)))
         lengths = s.ends - s.begins
@@ -229,11 +253,9 @@ def toxicity(
     one_in = max(5, -(-fit_rows // curve_rows))
     known = known.withColumn("kept", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(one_in)) != 0).cast("int"))
     sample = narrow.join(F.broadcast(known), "doc_id")
-    table = count_grams(sample).toPandas()
-    gram, back = table["gram"].to_numpy(np.int64), table["back"].to_numpy(np.int64)
-    counts = table[COUNT_NAMES].to_numpy(np.float64).reshape(-1, 2, 2)  # (n-gram, kept, class)
-    del table
-    part = spark.sparkContext.broadcast(ratios(gram, back, counts[:, 1]))
+    frame = count_grams(sample).toPandas()
+    grams = {c: frame.pop(c).to_numpy(np.int32) for c in list(frame.columns)}
+    part = spark.sparkContext.broadcast(ratios(grams, grams["ordinary_kept"], grams["toxic_kept"]))
     width = 2 + len(TOPS)
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +275,8 @@ def toxicity(
         share = float(y.mean()) if len(y) else 0.0
         base = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
         curve = Curve(np.zeros(width), np.ones(width), np.array([base, *[0.0] * width]))
-    model = spark.sparkContext.broadcast((ratios(gram, back, counts.sum(axis=1)), curve))
+    every = [grams[c] + grams[f"{c}_kept"] for c in ("ordinary", "toxic")]
+    model = spark.sparkContext.broadcast((ratios(grams, *every), curve))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole, final = model.value
