@@ -13,6 +13,7 @@ from attrspark.llm.licenses import license_matches, notices
 from attrspark.llm.minhash import near_duplicates
 from attrspark.llm.packing import packed_documents
 from attrspark.llm.token_files import token_file_rows
+from attrspark.llm.warc import archived_pages
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -33,6 +34,11 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed_documents(spark, table(spark, folder, "documents"), TOKENIZER)
 
 
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    rows = archived_pages(spark, table(spark, folder, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_rows(spark, table(spark, folder, "documents"), TOKENIZER)
 
@@ -49,12 +55,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_warc": op5_warc,
     "op8_token_files": op8_token_files,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_license_scans": op10_license_scans,
 }
 
 ORACLES: dict[str, str] = {
+    "op5_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        d AS (SELECT page_id, sha256(h) AS digest, strlen(h) AS n, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+        SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+          CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+          CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to FROM d
+    """,
     "op2_minhash_near_dedup": r"""
         WITH RECURSIVE words AS (
           SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
