@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 from attrspark.llm.decontaminate import contaminated
+from attrspark.llm.html_text import main_texts
 from attrspark.llm.kneser_ney import toxicity
 from attrspark.llm.licenses import license_matches, notices
 from attrspark.llm.minhash import near_duplicates
@@ -22,6 +23,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return main_texts(table(spark, folder, "pages"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), shingle=2, percent=80)
 
@@ -52,6 +57,7 @@ def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
