@@ -253,8 +253,9 @@ def toxicity(
     one_in = max(5, -(-fit_rows // curve_rows))
     known = known.withColumn("kept", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(one_in)) != 0).cast("int"))
     sample = narrow.join(F.broadcast(known), "doc_id")
-    frame = count_grams(sample).toPandas()
-    grams = {c: frame.pop(c).to_numpy(np.int32) for c in list(frame.columns)}
+    counted = count_grams(sample).toArrow()
+    grams = {c: counted[c].to_numpy() for c in counted.column_names}
+    del counted
     part = spark.sparkContext.broadcast(ratios(grams, grams["ordinary_kept"], grams["toxic_kept"]))
     width = 2 + len(TOPS)
 
@@ -267,10 +268,10 @@ def toxicity(
             )
 
     schema = "toxic int, " + ", ".join(f"x{k} double" for k in range(width))
-    seen = sample.where("kept = 0").select("text", "toxic").mapInArrow(measure, schema).toPandas()
-    y = seen["toxic"].to_numpy(float)
+    seen = sample.where("kept = 0").select("text", "toxic").mapInArrow(measure, schema).toArrow()
+    y = seen["toxic"].to_numpy().astype(float)
     if 0 < y.sum() < len(y):
-        curve = Curve.fit(seen[[f"x{k}" for k in range(width)]].to_numpy(), y)
+        curve = Curve.fit(np.column_stack([seen[f"x{k}"].to_numpy() for k in range(width)]), y)
     else:
         share = float(y.mean()) if len(y) else 0.0
         base = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
