@@ -13,6 +13,7 @@ from attrspark.llm.kneser_ney import toxicity
 from attrspark.llm.licenses import license_matches, notices
 from attrspark.llm.minhash import near_duplicates
 from attrspark.llm.packing import packed_documents
+from attrspark.llm.simhash import edited_fingerprints
 from attrspark.llm.token_files import token_file_rows
 from attrspark.llm.warc import archived_pages
 
@@ -44,6 +45,10 @@ def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return edited_fingerprints(table(spark, folder, "documents"))
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_rows(spark, table(spark, folder, "documents"), TOKENIZER)
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_warc": op5_warc,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op8_token_files": op8_token_files,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_license_scans": op10_license_scans,
