@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 from attrspark.llm.decontaminate import contaminated
 from attrspark.llm.html_text import main_texts
-from attrspark.llm.kneser_ney import toxicity
+from attrspark.llm.kneser_ney import is_held_out, toxicity
 from attrspark.llm.licenses import license_matches, notices
 from attrspark.llm.minhash import near_duplicates
 from attrspark.llm.packing import packed_documents
 from attrspark.llm.simhash import edited_fingerprints
+from attrspark.llm.suffix_tree import scored
 from attrspark.llm.token_files import token_file_rows
 from attrspark.llm.warc import archived_pages
 
@@ -49,6 +50,11 @@ def op6_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return edited_fingerprints(table(spark, folder, "documents"))
 
 
+def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return scored(docs.withColumn("held_out", is_held_out("doc_id", 7, 2)))
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_rows(spark, table(spark, folder, "documents"), TOKENIZER)
 
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_warc": op5_warc,
     "op6_document_fingerprints": op6_document_fingerprints,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_token_files": op8_token_files,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_license_scans": op10_license_scans,
