@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from attrspark.llm.token_files import plan_bytes
+from attrspark.llm.token_files import tasks_for
 from attrspark.session import scratch_path
 
 BITS = 128
@@ -120,12 +120,11 @@ def with_next(docs: DataFrame) -> DataFrame:
     first document of a block also goes to the block before it (own = false), so each text
     is shuffled once and no task holds more than a block.
     """
-    spark = docs.sparkSession
     narrow = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
     key = F.coalesce("doc_id", F.lit(_FIRST))
-    count = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-plan_bytes(narrow) // BLOCK_BYTES))
+    count = tasks_for(narrow, BLOCK_BYTES)
     shares = [i / count for i in range(1, count)] or [0.5]
     found = narrow.agg(F.min(key), F.percentile_approx(key, shares, 10 * count)).first()
     starts = sorted({found[0], *(found[1] or [])} - {None})

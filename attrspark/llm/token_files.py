@@ -116,9 +116,11 @@ class FrameReader:
         return raw
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Spark's own estimate of a DataFrame's size; for files, their size on disk."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def tasks_for(docs: DataFrame, task_bytes: int) -> int:
+    """How many tasks to deal `docs(text)` to: at least `spark.sql.shuffle.partitions`, and
+    so many that a task has about `task_bytes` of text."""
+    total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // task_bytes))
 
 
 def write_token_files(
@@ -137,9 +139,7 @@ def write_token_files(
     """
     spark = docs.sparkSession
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(shuffle, -(-plan_bytes(narrow) // file_bytes))
-    ordered = narrow.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = narrow.repartitionByRange(tasks_for(narrow, file_bytes), "doc_id").sortWithinPartitions("doc_id", "text")
     lowest = -(1 << 63)
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
