@@ -10,11 +10,11 @@
    smallest class only: n - 1 pairs for n classes, a star.
 4. Candidates are confirmed on the full sets; confirmed links give components.
 5. What stars can miss are links between two classes of a bucket of which neither was its
-   centre. While buckets hold several components, a few more rounds of stars around other
-   centres join what they can. The buckets that are still mixed are then looked at in full:
-   they are cut into blocks, blocks meet in pairs, and classes of different components that
-   could reach the threshold (by size, and by their minima five deviations around it) are
-   compared on the full sets there. A meeting returns a spanning forest of its links.
+   centre. While buckets hold several components, another round of stars around other
+   centres joins what it can. In buckets that are still mixed, every class outside the
+   largest component then meets all members, block by block: classes of different
+   components that could reach the threshold (by size, and by their minima four deviations
+   around it) are compared on the full sets. A meeting returns a spanning forest.
 
 With 30 bands of 5 rows, two sets at a similarity of 0.8 share a bucket with probability
 1 - (1 - 0.8^5)^30 > 0.99999.
@@ -27,7 +27,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
@@ -47,7 +47,8 @@ SKETCHES = StructType(
     ]
 )
 _BLOCK = 512
-EXTRA_STARS = 3
+EXTRA_STARS = 1
+DEVIATIONS = 4
 
 
 def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
@@ -160,21 +161,23 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return joined.mapInArrow(verify, "a long, b long")
 
 
-def _block_links(shingle: int, percent: int, bins: int):
-    """Confirmed links between different components of two blocks: a spanning forest of them."""
+def _block_links(shingle: int, percent: int, bands: int, rows: int):
+    """Confirmed links between different components of two blocks: a spanning forest of them.
+
+    Of the buckets that two classes share only the first compares them.
+    """
     share = percent / 100
-    least = share - 5 * (share * (1 - share) / bins) ** 0.5
+    least = share - DEVIATIONS * (share * (1 - share) / (bands * rows)) ** 0.5
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates(["id", "side"]).reset_index(drop=True)
-        sets: list[np.ndarray | None] = [None] * len(group)
+        sets: dict[int, np.ndarray] = {}
 
         def full(i: int) -> np.ndarray:
-            if sets[i] is None:
-                raw = (group.text[i] or "").encode()
+            if ids[i] not in sets:
+                raw = (group.text.iat[i] or "").encode()
                 words, _ = word_hashes(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
-                sets[i] = shingle_set(words, shingle)
-            return sets[i]
+                sets[ids[i]] = shingle_set(words, shingle)
+            return sets[ids[i]]
 
         top: dict[int, int] = {}
 
@@ -183,16 +186,17 @@ def _block_links(shingle: int, percent: int, bins: int):
                 c = top[c]
             return c
 
-        left, right = np.flatnonzero(group.side == 0), np.flatnonzero(group.side == 1)
-        if not len(right):
-            right = left
         n, part, ids = group.n_shingles.to_numpy(), group.component.to_numpy(), group.id.to_numpy()
+        side, rest, band = group.side.to_numpy(), group.rest.to_numpy(bool), group.band.iat[0]
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         minima = np.stack([np.frombuffer(m, np.uint32) for m in group.minima])
         out = []
         for i in left:
             fits = (part[right] != part[i]) & (100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i]))
-            at = right[fits]
-            at = at[(minima[at] == minima[i]).mean(axis=1) >= least]
+            at = right[fits & ~(rest[right] & (ids[right] >= ids[i]))]
+            equal = minima[at] == minima[i]
+            shared = equal.reshape(len(at), bands, rows).all(axis=2)
+            at = at[(equal.mean(axis=1) >= least) & (shared.argmax(axis=1) == band)]
             for k in at:
                 x, y = root(int(part[i])), root(int(part[k]))
                 if x == y:
@@ -236,7 +240,7 @@ def near_duplicates(
     classes.write.parquet(place)
     classes = spark.read.schema(classes.schema).parquet(place)
 
-    members = classes.select("id", "n_shingles", F.explode("buckets").alias("bucket"))
+    members = classes.select("id", "n_shingles", F.posexplode("buckets").alias("band", "bucket"))
     centers = members.groupBy("bucket").agg(
         F.min("id").alias("center"), F.count("*").alias("n"), F.min_by("n_shingles", "id").alias("n_center")
     ).where("n > 1")
@@ -262,7 +266,7 @@ def near_duplicates(
         reached = components(links)
     else:
         mixed = _mixed_buckets(spark, shared, reached)
-    rest = _beyond_stars(mixed, classes, texts, shingle, percent, bands * rows)
+    rest = _beyond_stars(mixed, classes, texts, _block_links(shingle, percent, bands, rows))
     place = scratch_path(spark, "rest")
     rest.write.parquet(place)
     rest = spark.read.schema("a long, b long").parquet(place)
@@ -294,17 +298,21 @@ def _confirm_written(spark: SparkSession, pairs: DataFrame, texts: DataFrame, sh
 
 
 def _mixed_buckets(spark: SparkSession, shared: DataFrame, reached: DataFrame) -> DataFrame:
-    """(bucket, id, n_shingles, component, n) of buckets of three or more in several components."""
+    """Members of buckets of three or more that are in several components.
+
+    `main` is the component with most members, `n` counts all and `others` those outside it.
+    """
     named = shared.where("n > 2").join(reached, "id", "left")
-    named = named.select("bucket", "id", "n_shingles", "n", F.coalesce("component", "id").alias("component"))
+    named = named.select("band", "bucket", "id", "n_shingles", F.coalesce("component", "id").alias("component"))
     place = scratch_path(spark, "buckets")
     named.write.parquet(place)
     named = spark.read.schema(named.schema).parquet(place)
-    several = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = named.join(several.where("low < high").select("bucket"), "bucket", "left_semi")
+    parts = named.groupBy("bucket", "component").agg(F.count("*").alias("k"))
+    whole = parts.groupBy("bucket").agg(F.max(F.struct("k", "component")).alias("most"), F.sum("k").alias("n"))
+    whole = whole.where("most.k < n").select("bucket", F.col("most.component").alias("main"), "n", (F.col("n") - F.col("most.k")).alias("others"))
     place = scratch_path(spark, "mixed")
-    mixed.write.parquet(place)
-    return spark.read.schema(mixed.schema).parquet(place)
+    named.join(whole, "bucket").write.parquet(place)
+    return spark.read.parquet(place)
 
 
 def _other_stars(mixed: DataFrame, turn: int, percent: int) -> DataFrame:
@@ -318,24 +326,28 @@ def _other_stars(mixed: DataFrame, turn: int, percent: int) -> DataFrame:
     return pairs.where(fits).select(F.greatest("id", "center").alias("a"), F.least("id", "center").alias("b")).distinct()
 
 
-def _beyond_stars(mixed: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, percent: int, bins: int) -> DataFrame:
+def _beyond_stars(mixed: DataFrame, classes: DataFrame, texts: DataFrame, compare) -> DataFrame:
     """Links (a, b) between different components of the same bucket that no star has tested.
 
-    Every block of a bucket meets every other one with its texts; a meeting holds two
-    blocks and returns fewer links than it has members.
+    One of two such classes is outside the bucket's main component. These are cut into
+    blocks, and so are all members; every block of the first meets every one of the second,
+    with their texts. A meeting holds two blocks and returns fewer links than it has members.
     """
     blocks = F.ceil(F.col("n") / _BLOCK).cast("int")
-    dealt = mixed.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    # A member of block i is on the left where it meets blocks j >= i, else on the right.
-    meets = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda j: F.struct(
-            F.least("block", j).alias("low"), F.greatest("block", j).alias("high"), (j < F.col("block")).cast("int").alias("side")
-        ),
-    )
+    rows = F.ceil(F.col("others") / _BLOCK).cast("int")
+    rest = F.col("component") != F.col("main")
+    spread = F.xxhash64("id")
+
+    own_row, own_column = F.pmod(spread, rows).cast("int"), F.pmod(spread, blocks).cast("int")
+
+    def place(row: Column, column: Column, side: int) -> Column:
+        return F.struct(row.alias("row"), column.alias("column"), F.lit(side).alias("side"))
+
+    as_member = F.transform(F.sequence(F.lit(0), rows - 1), lambda j: place(j, own_column, 1))
+    as_rest = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: place(own_row, j, 0))
+    every = F.when(rest, F.concat(as_member, as_rest)).otherwise(as_member)
     used = texts.join(mixed.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
     used = used.join(classes.select("id", "minima"), "id")
-    dealt = dealt.join(used, "id").select("bucket", "id", "n_shingles", "component", "minima", "text", F.explode(meets).alias("meet"))
-    dealt = dealt.select("bucket", "id", "n_shingles", "component", "minima", "text", "meet.low", "meet.high", "meet.side")
-    links = dealt.groupBy("bucket", "low", "high").applyInPandas(_block_links(shingle, percent, bins), "a long, b long")
-    return links.distinct()
+    dealt = mixed.select("band", "bucket", "id", "n_shingles", "component", rest.alias("rest"), F.explode(every).alias("meet"))
+    dealt = dealt.join(used, "id").select("band", "bucket", "id", "n_shingles", "component", "rest", "minima", "text", "meet.*")
+    return dealt.groupBy("bucket", "row", "column").applyInPandas(compare, "a long, b long").distinct()
