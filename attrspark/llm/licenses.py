@@ -149,11 +149,17 @@ def license_matches(docs: DataFrame, templates: DataFrame, least_share: float =
         F.array(*(f(m) for m in masked for f in (F.array_min, F.array_max))).alias("bands"),
     )
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found, columns = with_bands(with_shingles(narrow).drop("text").where(F.size("_shingles") > 0), [c.least for c in sizes])
+    found = with_shingles(narrow).drop("text").where(F.size("_shingles") > 0)
     few = shaped.limit(MOST_CONSTANTS + 1).count() <= MOST_CONSTANTS
+    listed = shaped.select("width", "bands").collect() if few else []
+    if few:
+        # A window's band value is the hash of one of its shingles under the band's mask, so
+        # only texts with such a shingle can have a window that retrieves a template.
+        able = {value ^ _MASKS[band // 2] for r in listed for band, value in enumerate(r.bands)}
+        found = found.where(F.arrays_overlap("_shingles", F.array(*map(F.lit, sorted(able)))))
+    found, columns = with_bands(found, [c.least for c in sizes])
     constants: dict[tuple[int, int], Column] = {}
     if few:  # a text goes on only if some band of some class retrieves a template
-        listed = shaped.select("width", "bands").collect()
         for width, band in columns:
             values = sorted({r.bands[band] for r in listed if r.width == width})
             constants[width, band] = F.array(*map(F.lit, values)).cast("array<bigint>")
