@@ -12,8 +12,14 @@ from attrspark.operators.scorers import Extractor
 SOURCES = ("image", "text", "caption")
 
 
-def with_source(df: DataFrame) -> DataFrame:
-    """Add `source` and `text_input`: image, else text, else caption; rows without any are dropped."""
+NO_INPUT = "no_input"
+
+
+def with_source(df: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """Add `source` and `text_input`: image, else text, else caption.
+
+    Rows without any are dropped, or kept with a null source.
+    """
     present = [s for s in SOURCES if s in df.columns]
     if not present:
         raise ValueError(f"none of the columns {SOURCES} is there")
@@ -22,10 +28,17 @@ def with_source(df: DataFrame) -> DataFrame:
         source = source.when(F.col(name).isNotNull(), name)
     texts = [F.col(s) for s in present if s != "image"]
     text = F.coalesce(*texts) if texts else F.lit(None).cast("string")
-    return (
-        df.withColumn("source", source)
-        .where(F.col("source").isNotNull())
-        .withColumn("text_input", F.when(F.col("source") != "image", text))
+    rows = df.withColumn("source", source)
+    if not keep_empty:
+        rows = rows.where(F.col("source").isNotNull())
+    return rows.withColumn("text_input", F.when(F.col("source") != "image", text))
+
+
+def marked_empty(df: DataFrame) -> DataFrame:
+    """Give the `outcome` of rows with a null source the error `no_input`."""
+    outcome = F.col("outcome")
+    return df.withColumn(
+        "outcome", F.when(F.col("source").isNull(), outcome.withField("error", F.lit(NO_INPUT))).otherwise(outcome)
     )
 
 

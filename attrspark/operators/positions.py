@@ -51,8 +51,8 @@ def with_scan_position(df: DataFrame, name: str = "pos") -> DataFrame:
     """Add the 0-based position in file order to a DataFrame that only scans and projects files.
 
     Rows stay where they are: no shuffle and no copy. Row counts per scan task are taken
-    first, reading no columns; the files must not change in between. The split of files
-    into tasks depends on their sizes alone, so both passes, and retried tasks, agree.
+    first, reading no columns; the files, the settings that split them into tasks and the
+    default parallelism must not change in between, as the split depends on them all.
     """
     return _shifted(df.withColumn("__row", F.monotonically_increasing_id()), name)
 
@@ -103,10 +103,9 @@ def literal(row: Row, df: DataFrame, names: list[str]) -> Column:
 
 
 def take_in_place(df: DataFrame, order: list[str], n: int) -> DataFrame:
-    """The first n rows, for wide rows: only the order columns are sorted.
+    """The first n rows and those that tie with the last of them, for wide rows.
 
-    Rows up to the n-th order key are kept where they are. Should the key at the border
-    be there more than once, the rows are cut like in `take`.
+    Only the order columns are sorted; rows up to the n-th order key are kept where they are.
     """
     if n <= 0:
         return df.limit(0)
@@ -114,8 +113,7 @@ def take_in_place(df: DataFrame, order: list[str], n: int) -> DataFrame:
     last = take(df.select(*order), order, n).agg(F.max(key).alias("last")).first()["last"]
     if last is None:
         return df.limit(0)
-    kept = df.where(key <= literal(last, df, order))
-    return kept if kept.count() <= n else take(df, order, n)
+    return df.where(key <= literal(last, df, order))
 
 
 def default_id(given: Column, position: Column, prefix: str = "sample_") -> Column:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrspark.operators.positions import literal, take
@@ -71,6 +72,17 @@ def remaining_ids(items: DataFrame, done: DataFrame, key: str = "id") -> DataFra
     return not_done(items.select(key).distinct(), done, key)
 
 
-def first_id(*fields: Column) -> Column:
-    """First non-null id field as a string, else 'unknown'."""
-    return F.coalesce(*[f.cast("string") for f in fields], F.lit("unknown"))
+def with_row_ids(df: DataFrame) -> DataFrame:
+    """Add `id` as a string: `id`, else `image_id`, else one that stays the same when rows
+    are added: file and row in it for Parquet files, a digest of the row for anything else.
+    """
+    given = [F.col(c).cast("string") for c in ("id", "image_id") if c in df.columns]
+    try:
+        made = F.concat_ws(
+            "_", F.lit("row"), F.hex(F.xxhash64("_metadata.file_path")), F.col("_metadata.row_index")
+        )
+        return df.withColumn("id", F.coalesce(*given, made))
+    except AnalysisException:  # no file metadata
+        pass
+    digest = F.concat_ws("_", F.lit("row"), F.md5(F.to_json(F.struct(*df.columns))))
+    return df.withColumn("id", F.coalesce(*given, digest))

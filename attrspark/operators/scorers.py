@@ -65,7 +65,7 @@ class EmbeddingScorer:
 
 
 def score_batch(scorer: Scorer, inputs: list[Any], missing: str | None) -> pd.DataFrame:
-    """Score a batch; if that fails, item by item, so one bad item spoils only itself."""
+    """Score a batch; one that fails is halved until the bad items are alone."""
     began = time.perf_counter()
     at = [i for i, value in enumerate(inputs) if value is not None]
     scores: list[Any] = [None] * len(inputs)
@@ -78,15 +78,16 @@ def score_batch(scorer: Scorer, inputs: list[Any], missing: str | None) -> pd.Da
         for i, s in zip(positions, found):
             scores[i] = None if s is None else [float(x) for x in s]
 
-    if at:
+    todo = [at] if at else []
+    while todo:
+        part = todo.pop()
         try:
-            run(at)
-        except Exception:  # noqa: BLE001 - any model failure is reported per item
-            for i in at:
-                try:
-                    run([i])
-                except Exception as failure:  # noqa: BLE001
-                    scores[i], errors[i] = None, str(failure) or type(failure).__name__
+            run(part)
+        except Exception as failure:  # noqa: BLE001 - any model failure is reported per item
+            if len(part) > 1:
+                todo += [part[: len(part) // 2], part[len(part) // 2 :]]
+            else:
+                scores[part[0]], errors[part[0]] = None, str(failure) or type(failure).__name__
     seconds = (time.perf_counter() - began) / max(len(inputs), 1)
     return pd.DataFrame({"scores": scores, "error": errors, "seconds": seconds})
 

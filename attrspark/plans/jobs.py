@@ -24,17 +24,17 @@ from attrspark.operators.cache import (
     new_entries,
     reuse_cached,
 )
-from attrspark.operators.extract import extract_sources, image_bytes, to_results, with_source
-from attrspark.operators.pairing import pair_positions, shard_stats
-from attrspark.operators.positions import (
-    default_id,
-    take,
-    take_in_place,
-    with_position,
-    with_scan_position,
+from attrspark.operators.extract import (
+    extract_sources,
+    image_bytes,
+    marked_empty,
+    to_results,
+    with_source,
 )
+from attrspark.operators.pairing import pair_positions, shard_stats
+from attrspark.operators.positions import take, take_in_place
 from attrspark.operators.results import throughput
-from attrspark.operators.resume import after_cursor, first_id, not_done, progress
+from attrspark.operators.resume import after_cursor, not_done, progress, with_row_ids
 from attrspark.operators.scorers import Extractor, LexicalExtractor, ModelExtractor
 from attrspark.session import freeze
 from attrspark.sources.files import exists, list_files
@@ -95,9 +95,15 @@ def _finish(
 
 
 def shard_pairs(spark: SparkSession, path: str, prefix: str) -> DataFrame:
-    """tar, id, image_at, text_at, at: where the first image and text of each id are."""
+    """tar, id, image_at, text_at, at: where the first image and text of each id are.
+
+    One row per id over all shards, from the first shard that has it: results are told
+    apart by id, so a resumed run and a single one must mean the same by it.
+    """
     pairs = pair_positions(tar_members(spark, path), prefix)
-    return pairs.withColumn("at", F.least("image_at", "text_at"))
+    pairs = pairs.withColumn("at", F.least("image_at", "text_at"))
+    first = pairs.groupBy("id").agg(F.min(F.struct("tar", "at", "image_at", "text_at")).alias("p"))
+    return first.select("p.tar", "id", "p.image_at", "p.text_at", "p.at")
 
 
 def shard_job(
@@ -137,13 +143,16 @@ def shard_job(
         rows = by_stretch(lookup(rows, cache.read()), "at", tasks)
     else:
         rows = rows.withColumn("hit", F.lit(False)).withColumn("hash_key", F.lit(None).cast("string"))
-    rows = with_texts(rows, "text_at")
+    rows = with_texts(rows, "text_at", error="__text_error")
     rows = rows.withColumn("__image_at", F.when(~F.col("hit"), F.col("image_at")))
     rows = rows.withColumn("text_input", F.when(~has_image & ~F.col("hit"), F.col("text")))
     rows = with_member_scores(rows, "__image_at", images.scorer, "__scored")
     rows = images.from_scores(rows, "__scored", rows.columns, "__image")
     rows = texts.apply(rows, "text_input", "__text")
-    outcome = F.when(has_image, F.col("__image")).otherwise(F.col("__text"))
+    unread = ~has_image & F.col("__text_error").isNotNull()
+    text_outcome = F.col("__text")
+    text_outcome = F.when(unread, text_outcome.withField("error", F.col("__text_error"))).otherwise(text_outcome)
+    outcome = F.when(has_image, F.col("__image")).otherwise(text_outcome)
     if cache is not None:
         outcome = reuse_cached(outcome)
     rows = rows.withColumn("outcome", outcome)
@@ -158,8 +167,10 @@ def in_waves(run: Callable[[int], dict], wave: int, samples: int | None = None)
 
     `run` takes the number of items, e.g. `lambda n: shard_job(..., samples=n)`. A batch write
     is committed as a whole, so a crash loses the wave at hand and no more. Every item of a
-    wave must end up in the output, or the next wave would take it again. Each wave lists
-    the input anew: let one take hours, not minutes.
+    wave must end up in the output, or the next wave would take it again; the jobs write
+    items that cannot be used as error rows. A wave may be short or, where items share an
+    id, long: only one that finds nothing is the last. Each wave lists the input anew: let
+    one take hours, not minutes.
     """
     if wave <= 0:
         raise ValueError("wave must be positive")
@@ -172,7 +183,7 @@ def in_waves(run: Callable[[int], dict], wave: int, samples: int | None = None)
                 totals[name] = totals.get(name, 0) + value
             else:
                 totals[name] = value
-        if summary["total"] < left:
+        if summary["total"] == 0:
             break
     if totals:
         totals["samples_per_second"] = throughput(totals["total"], totals["processing_time"])
@@ -206,38 +217,40 @@ def dataset_job(
 ) -> dict:
     """Extract dataset rows (image, else text, else caption) into JSON lines.
 
-    Ids come from `id`, else `image_id`, and rows without either value are named
-    'unknown'. A dataset without these columns is numbered: by `order`, or in file order
-    if there is none. `samples` counts by `order`, by id if there is none.
+    Ids come from `id`, else `image_id`. A row with neither is named after what does not
+    change when others are added: its Parquet file and row in it, or else its content, so
+    that equal rows are then one item. `samples` counts by `order`, by id if there is none;
+    rows that tie with the last one are taken too, so an id is never half done. Rows of one
+    id must therefore have one value of `order`; else limited runs are refused.
+
+    Rows without image, text and caption become error rows.
     """
     texts = texts or LexicalExtractor()
-    named = [c for c in ("id", "image_id") if c in dataset.columns]
-    if named:
-        rows = dataset.withColumn("id", first_id(*[F.col(c) for c in named]))
-    else:
-        rows = with_position(dataset, order, "__pos") if order else with_scan_position(dataset, "__pos")
-        rows = rows.withColumn("id", default_id(F.lit(None), F.col("__pos")))
-        order = ["__pos"]
-    order = list(order or ["id"])
+    rows = with_row_ids(dataset)
+    if order and samples is not None:
+        split = rows.groupBy("id").agg(F.min(F.struct(*order)).alias("a"), F.max(F.struct(*order)).alias("b"))
+        if not split.where(~F.col("a").eqNullSafe(F.col("b"))).isEmpty():
+            raise ValueError(f"rows of one id differ in {order}: a limited run would leave some out")
+    order = [*(c for c in order or [] if c != "id"), "id"]
     rows = _remaining(rows, output, resume, order)
     if samples is not None:
         rows = take_in_place(rows, order, samples)
     tags = tag_source(rows)
     rows = with_tags(rows, tags, rules, only_if=tags.isNotNull())
     # Without an image extractor the texts of all rows are used.
-    rows = with_source(rows if images is not None else rows.drop("image"))
+    rows = with_source(rows if images is not None else rows.drop("image"), keep_empty=True)
     if images is not None and "image" in rows.columns:
         rows = rows.withColumn("image", image_bytes(rows))
     keep = ["id", "source", "outcome", "tags", "hit", "hash_key"]
     vocabulary = texts.vocabulary
     if cache is None:
-        done = extract_sources(rows, images, texts)
+        done = marked_empty(extract_sources(rows, images, texts))
         done = done.withColumn("hit", F.lit(False)).withColumn("hash_key", F.lit(None).cast("string"))
         return _finish(done.select(*keep), output, resume.mode != "none", None, vocabulary)
     text_key = cache_key("text", F.col("text_input"))
     if images is None:
         rows = rows.withColumn("hash_key", text_key)
-        done = extract_cached(rows, texts, "text_input", cache.read(), memoise)
+        done = marked_empty(extract_cached(rows, texts, "text_input", cache.read(), memoise))
         return _finish(done.select(*keep), output, resume.mode != "none", cache, vocabulary)
     is_image = F.col("source") == "image"
     key = F.when(is_image, cache_key("image", F.col("image"))).otherwise(text_key)
@@ -245,7 +258,7 @@ def dataset_job(
     for column in ("image", "text_input"):
         seen = seen.withColumn(column, F.when(~F.col("hit"), F.col(column)))
     done = extract_sources(seen, images, texts)
-    done = done.withColumn("outcome", reuse_cached(F.col("outcome")))
+    done = marked_empty(done.withColumn("outcome", reuse_cached(F.col("outcome"))))
     return _finish(done.select(*keep), output, resume.mode != "none", cache, vocabulary)
 
 

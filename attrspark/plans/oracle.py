@@ -461,8 +461,14 @@ SELECT f.id, CASE WHEN f.pos IS NOT NULL THEN 'image' ELSE 'text' END AS source,
   CASE WHEN f.pos IS NULL OR length(f.text) > 0 THEN CAST(len(string_split(f.text, ',')) AS INT) END AS tag_count
 FROM firsts f LEFT JOIN wide w ON w.pos = f.pos
 JOIN (SELECT id, {lexical_columns('text')} FROM pairs) t ON t.id = f.id""",
-    "dataset_job_results": f"""WITH {CAPTIONS}, tagged AS (SELECT *, {TAG_SOURCE} AS t FROM f1 WHERE caption IS NOT NULL)
-SELECT CAST(c_custkey AS VARCHAR) AS id, 'caption' AS source, CAST(NULL AS VARCHAR) AS error,
+    "dataset_job_results": f"""WITH {CAPTIONS}, tagged AS (SELECT *, {TAG_SOURCE} AS t FROM f1)
+SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN caption IS NULL THEN 'unknown' ELSE 'caption' END AS source,
+  CASE WHEN caption IS NULL THEN 'no_input' END AS error,
+  {lexical_columns('caption')}, CAST(len(t) AS INT) AS tag_count FROM tagged""",
+    "wave_job_results": f"""WITH {CAPTIONS}, tagged AS (SELECT *, {TAG_SOURCE} AS t FROM f1)
+SELECT CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey - c_custkey % 2 AS VARCHAR) ELSE 'made' END AS id,
+  CASE WHEN caption IS NULL THEN 'unknown' ELSE 'caption' END AS source,
+  CASE WHEN caption IS NULL THEN 'no_input' END AS error,
   {lexical_columns('caption')}, CAST(len(t) AS INT) AS tag_count FROM tagged""",
     "directory_job_results": f"""WITH {PICTURES}, {VOCABULARY},
 pscores AS (

@@ -43,7 +43,7 @@ from attrspark.operators.results import batch_summary, dataset_stats, merge_resu
 from attrspark.operators.scorers import IMAGE_MISSING, LexicalExtractor, ModelExtractor, VectorExtractor
 from attrspark.operators.zero_shot import cosine_scores
 from attrspark.plans import inputs as IN
-from attrspark.plans.jobs import Resume, dataset_job, directory_job, shard_job, shard_report
+from attrspark.plans.jobs import Resume, dataset_job, directory_job, in_waves, shard_job, shard_report
 from attrspark.schema import TAG_GROUPS
 from attrspark.session import scratch_path
 from attrspark.sources.images import decoded_images
@@ -650,6 +650,18 @@ def dataset_job_results(spark: SparkSession, folder: str) -> DataFrame:
     return _named(read_results(spark, output))
 
 
+@query
+def wave_job_results(spark: SparkSession, folder: str) -> DataFrame:
+    """A job in four waves over rows with repeated and missing ids, some without input."""
+    rows = IN.captions(load(spark, folder, "customer")).drop("tags")
+    pair = (F.col("c_custkey") - F.col("c_custkey") % 2).cast("string")
+    rows = rows.withColumn("id", F.when(F.col("c_custkey") % 7 != 0, pair))
+    output = scratch_path(spark, "wave-job")
+    in_waves(lambda n: dataset_job(rows, output, None, samples=n), max(1, rows.count() // 4))
+    made = F.when(F.col("id").startswith("row_"), F.lit("made")).otherwise(F.col("id"))
+    return _named(read_results(spark, output).withColumn("id", made))
+
+
 @query
 def directory_job_results(spark: SparkSession, folder: str) -> DataFrame:
     pictures = IN.picture_folder(spark, load(spark, folder, "part"))

@@ -14,14 +14,23 @@ from attrspark.functions.images import mode_name
 from attrspark.functions.names import DIRECTORY_IMAGE_SUFFIXES, has_suffix, stem
 
 
+def name_glob(suffixes: Iterable[str]) -> str:
+    """A file name pattern for any of the suffixes in any case."""
+    cased = ["".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in s) for s in suffixes]
+    return "*{" + ",".join(cased) + "}"
+
+
 def image_files(
     spark: SparkSession, path: str, suffixes: Iterable[str] = DIRECTORY_IMAGE_SUFFIXES
 ) -> DataFrame:
     """path, id (file stem), length and content of image files, suffixes in any case.
 
-    `content` is read only when a query uses it.
+    Other files are left out by name before anything is read, and `content` is read only
+    when a query uses it.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    suffixes = tuple(suffixes)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = reader.option("pathGlobFilter", name_glob(suffixes)).load(path)
     return files.where(has_suffix(F.col("path"), suffixes)).select(
         "path", stem(F.col("path")).alias("id"), "length", "content"
     )
@@ -31,9 +40,11 @@ def decoded_images(
     spark: SparkSession, path: str, suffixes: Iterable[str] = DIRECTORY_IMAGE_SUFFIXES
 ) -> DataFrame:
     """path, id, width, height, mode, data; an unreadable file has `error` set instead."""
+    suffixes = tuple(suffixes)
     images = (
         spark.read.format("image")
         .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", name_glob(suffixes))
         .option("dropInvalid", "false")
         .load(path)
     )

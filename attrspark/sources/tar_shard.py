@@ -13,6 +13,7 @@ import hashlib
 import json
 import tarfile
 import time
+import zlib
 from collections.abc import Iterator
 from typing import Any
 
@@ -34,7 +35,6 @@ ENDINGS = (".tar", ".tar.gz", ".tgz")
 LIST_STRETCH = 4 << 30
 # A shard is read by several tasks, each taking the members in a stretch of this length.
 READ_STRETCH = 512 << 20
-MAX_READ_TASKS = 50_000
 # Content leaves a Python worker in Arrow batches of about this size.
 BATCH_BYTES = 16 << 20
 
@@ -51,13 +51,36 @@ def open_shard(path: str) -> Any:
     return raw
 
 
+class DamagedShard(ValueError):
+    """A shard that does not end as it should; `offset` is where the good part ends."""
+
+    def __init__(self, message: str, offset: int):
+        super().__init__(message)
+        self.offset = offset
+
+
 def walk_members(shard: Any) -> Iterator[tarfile.TarInfo]:
-    """Regular files in archive order; content is skipped over, memory stays flat."""
-    with tarfile.TarFile(fileobj=shard, mode="r") as archive:
-        while (member := archive.next()) is not None:
-            archive.members.clear()
-            if member.isfile():
-                yield member
+    """Regular files in archive order; content is skipped over, memory stays flat.
+
+    After the last good member raises DamagedShard if what follows is not the block of
+    zeros that closes an archive: a wrong or cut header, or content that is cut.
+    """
+    at = 0
+    try:
+        with tarfile.TarFile(fileobj=shard, mode="r") as archive:
+            while (member := archive.next()) is not None:
+                archive.members.clear()
+                at = member.offset
+                if member.isfile():
+                    yield member
+            at = archive.offset
+    except (tarfile.TarError, EOFError, zlib.error, OSError) as failure:
+        raise DamagedShard(f"{type(failure).__name__}: {failure}", at) from failure
+    # Two blocks of zeros close an archive. A packed one is not unpacked again for the first.
+    if not isinstance(shard, gzip.GzipFile):
+        shard.seek(at)
+    if shard.read(tarfile.BLOCKSIZE) != tarfile.NUL * tarfile.BLOCKSIZE:
+        raise DamagedShard("no closing block: a header is wrong or the file is cut", at)
 
 
 def read_member(shard: Any, offset: int) -> bytes:
@@ -70,7 +93,10 @@ def read_member(shard: Any, offset: int) -> bytes:
     content = archive.extractfile(member)
     if content is None:
         raise ValueError(f"member {member.name} is no regular file")
-    return content.read()
+    held = content.read()
+    if len(held) != member.size:
+        raise ValueError(f"member {member.name} is cut")
+    return held
 
 
 class _Shard(InputPartition):
@@ -79,27 +105,33 @@ class _Shard(InputPartition):
 
 
 class _ShardReader(DataSourceReader):
-    def __init__(self, paths: list[str], content: bool):
-        self.paths, self.content = paths, content
+    def __init__(self, paths: list[str], content: bool, damage: bool = False):
+        self.paths, self.content, self.damage = paths, content, damage
 
     def partitions(self) -> list[InputPartition]:
         return [_Shard(path) for path in self.paths]
 
     def read(self, partition: _Shard) -> Iterator[tuple]:
         with open_shard(partition.path) as shard:
-            for member in walk_members(shard):
-                row = (partition.path, member.offset, member.name, member.size)
-                if self.content:
-                    shard.seek(member.offset_data)
-                    row += (shard.read(member.size),)
-                yield row
+            try:
+                for member in walk_members(shard):
+                    row = (partition.path, member.offset, member.name, member.size)
+                    if self.content:
+                        shard.seek(member.offset_data)
+                        row += (shard.read(member.size),)
+                    if not self.damage:
+                        yield row
+            except DamagedShard as damage:
+                if self.damage:
+                    yield (partition.path, damage.offset, str(damage), None)
 
 
 class TarShardSource(DataSource):
     """`spark.read.format("tar_shard")`: members of one shard or of all below a folder.
 
     `paths`, a JSON list, names shards one by one. Option `content` = true adds the bytes of every member; without it only headers
-    are read. `offset` gives the archive order.
+    are read. `offset` gives the archive order. With `damage` = true the rows are damaged
+    shards instead: `offset` where the good part ends, and the error as `name`.
     """
 
     @classmethod
@@ -119,7 +151,7 @@ class TarShardSource(DataSource):
             paths = [path for path, _ in list_files(self.options["path"], ENDINGS)]
         else:
             raise ValueError("tar_shard needs a path")
-        return _ShardReader(paths, self._content())
+        return _ShardReader(paths, self._content(), self.options.get("damage", "false").lower() == "true")
 
 
 def tar_members(
@@ -143,11 +175,20 @@ def tar_members(
     return found
 
 
+def shard_errors(spark: SparkSession, path: str) -> DataFrame:
+    """tar, offset, error: one row per shard that is damaged, and where its good part ends.
+
+    Members before that place are listed and used; other shards are not affected.
+    """
+    spark.dataSource.register(TarShardSource)
+    found = spark.read.format("tar_shard").option("damage", "true").load(path)
+    return found.select("tar", "offset", F.col("name").alias("error"))
+
+
 def read_tasks(spark: SparkSession, path: str) -> int:
     """Number of tasks to read the content at `path` with, from the size of the shards."""
     total = sum(size for _, size in list_files(path, ENDINGS))
-    wanted = max(-(-total // READ_STRETCH), spark.sparkContext.defaultParallelism)
-    return min(wanted, MAX_READ_TASKS)
+    return max(-(-total // READ_STRETCH), spark.sparkContext.defaultParallelism)
 
 
 def by_stretch(df: DataFrame, offset: str, tasks: int, tar: str = "tar") -> DataFrame:
@@ -181,30 +222,39 @@ class _Shards:
         self.file = self.path = None
 
 
-def with_texts(df: DataFrame, offset: str, name: str = "text", tar: str = "tar") -> DataFrame:
+def with_texts(
+    df: DataFrame, offset: str, name: str = "text", tar: str = "tar", error: str = "text_error"
+) -> DataFrame:
     """Add the text at `offset`: UTF-8, bad bytes dropped; null where the offset is.
 
-    This and the readers below expect rows arranged by `by_stretch`.
+    A text that cannot be read is null with its `error`. This and the readers below expect
+    rows arranged by `by_stretch`.
     """
-    fields = [f for f in df.schema.fields if f.name != name]
-    schema = T.StructType([*fields, T.StructField(name, T.StringType())])
+    fields = [f for f in df.schema.fields if f.name not in (name, error)]
+    schema = T.StructType([*fields, T.StructField(name, T.StringType()), T.StructField(error, T.StringType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = _Shards()
         try:
             for batch in batches:
                 texts: list[str | None] = []
+                errors: list[str | None] = []
                 begun, held = 0, 0
                 paths, offsets = batch.column(tar).to_pylist(), batch.column(offset).to_pylist()
                 for i, (path, at) in enumerate(zip(paths, offsets)):
-                    content = shards.read(path, at)
+                    content, failed = None, None
+                    try:
+                        content = shards.read(path, at)
+                    except Exception as failure:  # noqa: BLE001 - reported on the item
+                        failed = str(failure) or type(failure).__name__
                     texts.append(None if content is None else content.decode("utf-8", errors="ignore"))
+                    errors.append(failed)
                     held += len(content or b"")
                     if held >= BATCH_BYTES or i + 1 == batch.num_rows:
                         part = batch.slice(begun, i + 1 - begun)
-                        columns = [*part.columns, pa.array(texts, pa.string())]
-                        yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, name])
-                        texts, begun, held = [], i + 1, 0
+                        columns = [*part.columns, pa.array(texts, pa.string()), pa.array(errors, pa.string())]
+                        yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, name, error])
+                        texts, errors, begun, held = [], [], i + 1, 0
         finally:
             shards.close()
 
@@ -216,6 +266,7 @@ def with_digests(
 ) -> DataFrame:
     """Add the cache key of the content at `offset`, without passing the content on.
 
+    Content that cannot be read has none, so it is neither found in a cache nor put there.
     The same as `cache_key` of the bytes, or, for modality "text", of the decoded text.
     """
     prefix, text = f"{modality}:".encode(), modality == "text"
@@ -232,7 +283,13 @@ def with_digests(
         shards = _Shards()
         try:
             for paths, offsets in columns:
-                yield pd.Series([key(shards.read(p, at)) for p, at in zip(paths, offsets)], dtype=object)
+                keys = []
+                for path, at in zip(paths, offsets):
+                    try:
+                        keys.append(key(shards.read(path, at)))
+                    except Exception:  # noqa: BLE001 - the read for scoring reports it
+                        keys.append(None)
+                yield pd.Series(keys, dtype=object)
         finally:
             shards.close()
 

@@ -82,18 +82,18 @@ class ProgressLog(StreamingQueryListener):
         self.name = name
         self.totals: dict[str, int] = {}
         self.rows_per_second = 0.0
-        self.batches: set[tuple[str, int]] = set()
+        self.last: dict[str, int] = {}  # per run, the last micro-batch that was counted
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
         progress = event.progress
-        at = (str(progress.runId), progress.batchId)
+        run, batch = str(progress.runId), progress.batchId
         row = progress.observedMetrics.get(self.name)
-        if row is None or at in self.batches:
+        if row is None or batch <= self.last.get(run, -1):
             return
-        self.batches.add(at)
+        self.last[run] = batch
         self.rows_per_second = progress.processedRowsPerSecond or 0.0
         for counter, value in row.asDict().items():
             self.totals[counter] = self.totals.get(counter, 0) + value

@@ -4,12 +4,14 @@ import sys
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from attrspark.operators.cache import CacheTable
 from attrspark.operators.scorers import IMAGE_MISSING, ModelExtractor
 from attrspark.plans.jobs import Resume, dataset_job, directory_job, in_waves, shard_job, shard_report
 from attrspark.session import scratch_path
 from attrspark.sources.tables import read_results
+from attrspark.sources.tar_shard import shard_errors, tar_members
 from attrspark.vocabulary import IMAGE_VOCABULARY
 
 from helpers import png_bytes, write_tar
@@ -175,13 +177,15 @@ def test_dataset_job(spark, images, cached):
     cache = CacheTable(spark, scratch_path(spark, "cache")) if cached else None
     summary = dataset_job(df, path, images, cache=cache)
     rows = rows_of(spark, path)
+    (made,) = [k for k in rows if k.startswith("row_")]
     assert {k: r["source"] for k, r in rows.items()} == {
-        "1": "image", "2": "image", "3": "text", "4": "caption", "x6": "text", "unknown": "text"
+        "1": "image", "2": "image", "3": "text", "4": "caption", "5": "unknown", "x6": "text", made: "text"
     }
+    assert rows["5"]["error"] == "no_input" and rows["5"]["attributes"]["Age"] is None
     assert rows["1"]["attributes"]["Age"] == "child" and rows["1"]["tags"]["tag_count"] == 2
     assert rows["2"]["error"] == IMAGE_MISSING and rows["2"]["tags"]["raw_tags"] == ["blue_eyes", "1boy"]
     assert rows["3"]["tags"] is None and rows["4"]["attributes"]["Hair_Color"] == "blonde"
-    assert summary["total"] == 6 and summary["errors"] == 1
+    assert summary["total"] == 7 and summary["errors"] == 2
     again = dataset_job(df, path, images, cache=cache)
     assert again["total"] == 0
     if cached:
@@ -193,7 +197,8 @@ def test_dataset_job_without_an_image_extractor(spark):
     df = spark.createDataFrame([("1", b"img", "a teen"), ("2", b"img", None)], "id string, image binary, text string")
     path = scratch_path(spark, "out")
     dataset_job(df, path, None)
-    assert {k: (r["source"], r["attributes"]["Age"]) for k, r in rows_of(spark, path).items()} == {"1": ("text", "teen")}
+    rows = {k: (r["source"], r["attributes"]["Age"], r["error"]) for k, r in rows_of(spark, path).items()}
+    assert rows == {"1": ("text", "teen", None), "2": ("unknown", None, "no_input")}
 
 
 @pytest.mark.parametrize("memoise", [False, True])
@@ -203,14 +208,80 @@ def test_dataset_job_on_texts_only(spark, memoise):
     cache = CacheTable(spark, scratch_path(spark, "cache"))
     summary = dataset_job(df, path, None, order=["n"], samples=3, cache=cache, memoise=memoise)
     assert summary["total"] == 3 and cache.read().count() == 2
-    assert sorted(rows_of(spark, path)) == ["sample_0", "sample_1", "sample_2"]
+    assert len(rows_of(spark, path)) == 3
+    assert dataset_job(df.orderBy(F.desc("n")), path, None, order=["n"])["total"] == 0
+
+
+def test_waves_over_rows_without_input(spark):
+    df = spark.createDataFrame([(str(i), None if i == 3 else "a teen") for i in range(40)], "id string, text string")
+    path = scratch_path(spark, "out")
+    done = in_waves(lambda n: dataset_job(df, path, None, samples=n), 10)
+    assert done["total"] == 40 and done["errors"] == 1 and len(rows_of(spark, path)) == 40
+
+
+def test_waves_over_repeated_and_missing_ids(spark):
+    rows = [("a", "a teen"), ("a", "red hair"), ("b", "x"), (None, "one"), (None, "two"), (None, "two"), (None, None), ("c", None)]
+    df = spark.createDataFrame(rows, "id string, text string")
+    whole, waves = scratch_path(spark, "out"), scratch_path(spark, "out")
+    dataset_job(df, whole, None)
+    in_waves(lambda n: dataset_job(df, waves, None, samples=n), 1)
+    a, b = read_results(spark, whole).drop("processing_time"), read_results(spark, waves).drop("processing_time")
+    assert a.count() == len(rows) and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    with pytest.raises(ValueError):
+        dataset_job(df, scratch_path(spark, "out"), None, order=["text"], samples=1)
+
+
+def test_made_ids_stay_when_files_are_added(spark):
+    data, path = scratch_path(spark, "in"), scratch_path(spark, "out")
+    spark.createDataFrame([("old",)] * 3, "text string").coalesce(1).write.parquet(data)
+    assert dataset_job(spark.read.parquet(data), path, None)["total"] == 3
+    more = spark.createDataFrame([(f"new {i} " + "x" * 500,) for i in range(20)], "text string")
+    more.coalesce(1).write.mode("append").parquet(data)
+    assert dataset_job(spark.read.parquet(data), path, None)["total"] == 20
+    assert dataset_job(spark.read.parquet(data), path, None)["total"] == 0
+    assert len(rows_of(spark, path)) == 23
+
+
+def test_an_id_in_several_shards_is_one_item(spark, tmp_path, images):
+    for shard in "ab":
+        write_tar(tmp_path / f"{shard}.tar", [(f"item_{i}_x.jpg", shard.encode()) for i in range(4)])
+    whole, waves = scratch_path(spark, "out"), scratch_path(spark, "out")
+    assert shard_job(spark, str(tmp_path), whole, images)["total"] == 4
+    assert in_waves(lambda n: shard_job(spark, str(tmp_path), waves, images, samples=n), 3)["total"] == 4
+
+
+def test_damaged_shards_and_unreadable_members(spark, tmp_path, images):
+    entries = [(f"item_{{}}{i}_x.txt", b"a teen" * 100) for i in range(10)]
+    for shard in "abcd":
+        write_tar(tmp_path / f"{shard}.tar", [(n.format(shard), c) for n, c in entries])
+    block = 512 + 1024
+
+    def damage(shard, change):
+        path = tmp_path / f"{shard}.tar"
+        path.write_bytes(change(bytearray(path.read_bytes())))
+
+    def checksum(raw):
+        raw[4 * block + 150] ^= 1
+        return raw
+
+    damage("b", checksum)
+    damage("c", lambda raw: raw[: 5 * block + 100])  # inside a header
+    damage("d", lambda raw: raw[: 5 * block + 512 + 50])  # inside content
+    found = {r["tar"][-5]: r["offset"] for r in shard_errors(spark, str(tmp_path)).collect()}
+    assert found == {"b": 4 * block, "c": 5 * block, "d": 5 * block}
+    path = scratch_path(spark, "out")
+    done = shard_job(spark, str(tmp_path), path, images)
+    assert done["total"] == 10 + 4 + 5 + 6 and done["errors"] == 1
+    assert rows_of(spark, path)["item_d5"]["error"]
+    assert tar_members(spark, str(tmp_path)).count() == 25
 
 
 def test_directory_job(spark, tmp_path, images):
     (tmp_path / "sub").mkdir()
     (tmp_path / "a.PNG").write_bytes(png_bytes(40, 40, "RGB"))
     (tmp_path / "sub" / "b.jpg").write_bytes(b"corrupt")
-    (tmp_path / "c.txt").write_bytes(b"text")
+    (tmp_path / "c.txt").write_bytes(b"text" * 1000)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")  # what is too long is not read
     for cache in (None, CacheTable(spark, scratch_path(spark, "cache"))):
         path = scratch_path(spark, "out")
         summary = directory_job(spark, str(tmp_path), path, images, (".png", ".jpg"), cache)
@@ -219,3 +290,4 @@ def test_directory_job(spark, tmp_path, images):
         assert rows["a"]["attributes"]["Age"] == "child" and rows["b"]["error"] == IMAGE_MISSING
     assert cache.read().count() == 1
     assert rows["a"]["source"] == "unknown"
+    spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
