@@ -60,8 +60,11 @@ BOILERPLATE_WORDS = set(
     "ad ads advert adverts advertisement advertising advertorial sponsor sponsored promo promotion banner cookie cookies "
     "consent gdpr notice notices alert popup modal overlay sidebar menu nav navbar navigation breadcrumb breadcrumbs "
     "footer masthead comment comments respond replies reply disqus share sharing social related recommended newsletter "
-    "subscribe subscription signup login paywall pagination pager skip toolbar widget".split()
+    "subscribe subscription signup login paywall pagination pager skip toolbar topbar widget adsbygoogle adbox adslot "
+    "mainnav topnav subnav sitenav commentlist commentform colophon".split()
 )
+LAYOUT_WORDS = set("has no with without is wp".split())
+ARTICLE_WORDS = set("article entry post story content title".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<]*\Z", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
@@ -81,15 +84,25 @@ def attributes(text: str) -> dict[str, str]:
 
 
 def is_boilerplate(tag: str, marks: dict[str, str], inside_main: bool) -> bool:
+    """By tag, role, or a word of class or id.
+
+    Names that speak of the layout around an element ("has-sidebar", "no-nav") say nothing
+    about it, and the header of an article is part of it.
+    """
     if tag in BOILERPLATE_TAGS or tag == "header" and not inside_main:
         return True
     if marks.get("role", "").lower() in BOILERPLATE_ROLES:
         return True
     if tag in ("body", "html", "main"):
         return False
-    named = f"{marks.get('class', '')} {marks.get('id', '')}".lower()
-    words = set(_WORD.findall(named))
-    return bool(words & BOILERPLATE_WORDS) or not inside_main and "header" in words
+    words: set[str] = set()
+    for name in f"{marks.get('class', '')} {marks.get('id', '')}".lower().split():
+        parts = _WORD.findall(name)
+        if parts and parts[0] not in LAYOUT_WORDS:
+            words.update(parts)
+    if words & BOILERPLATE_WORDS:
+        return True
+    return "header" in words and not inside_main and not words & ARTICLE_WORDS
 
 
 class Parsed:

@@ -33,6 +33,13 @@ def test_article(spark):
     assert got == {1: TEXT, 2: "", 3: "", 4: "plain <b> text", 5: "cut off & tag", None: "n"}
 
 
+def test_names_that_mark_boilerplate(spark):
+    html = """<body class="nav-open"><div class="page has-sidebar"><div id="site-header">h</div><div class="entry-header"><h2>T</h2></div>
+<div class="post"><p>text</p></div><div class="side widget_area">w</div><ol class="comment-list"><li>c</ol><div role="banner">r</div>
+<p class="cookie-consent">k</p><div class="leading">l</div></div>"""
+    assert texts(spark, [(1, "u", html)]) == {1: "T\ntext\nl"}
+
+
 def test_templates_of_a_host_go(spark):
     block = "<div><div>Shop now</div><span>Hot offers</span></div><p>Every page says this</p>"
     pages = [(i, f"https://a.example:80/{i}", f"<body>{block}<div><p>text {i}</p></div></body>") for i in range(10)]
