@@ -10,11 +10,10 @@
    smallest class only: n - 1 pairs for n classes, a star.
 4. Candidates are confirmed on the full sets; confirmed links give components.
 5. What stars can miss are links between two classes of a bucket of which neither was its
-   centre. While buckets hold several components, another round of stars around other
-   centres joins what it can. In buckets that are still mixed, every class outside the
-   largest component then meets all members, block by block: classes of different
-   components that could reach the threshold (by size, and by their minima four deviations
-   around it) are compared on the full sets. A meeting returns a spanning forest.
+   centre. In buckets that hold several components every class outside the largest one
+   therefore meets all members, block by block: classes of different components that could
+   reach the threshold (by size, and by their minima four deviations around it) are
+   compared on the full sets. A meeting returns a spanning forest.
 
 With 30 bands of 5 rows, two sets at a similarity of 0.8 share a bucket with probability
 1 - (1 - 0.8^5)^30 > 0.99999.
@@ -47,7 +46,6 @@ SKETCHES = StructType(
     ]
 )
 _BLOCK = 512
-EXTRA_STARS = 1
 DEVIATIONS = 4
 
 
@@ -257,15 +255,7 @@ def near_duplicates(
     links = _confirm_written(spark, stars, texts, shingle, percent)
     reached = components(links)
 
-    for turn in range(EXTRA_STARS):
-        mixed = _mixed_buckets(spark, shared, reached)
-        more = _confirm_written(spark, _other_stars(mixed, turn, percent), texts, shingle, percent)
-        if more.isEmpty():
-            break
-        links = links.union(more)
-        reached = components(links)
-    else:
-        mixed = _mixed_buckets(spark, shared, reached)
+    mixed = _mixed_buckets(spark, shared, reached)
     rest = _beyond_stars(mixed, classes, texts, _block_links(shingle, percent, bands, rows))
     place = scratch_path(spark, "rest")
     rest.write.parquet(place)
@@ -315,17 +305,6 @@ def _mixed_buckets(spark: SparkSession, shared: DataFrame, reached: DataFrame) -
     return spark.read.parquet(place)
 
 
-def _other_stars(mixed: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Stars again, around a class that each bucket picks by hash, to other components only."""
-    pick = F.xxhash64("id", "bucket", F.lit(turn))
-    centers = mixed.groupBy("bucket").agg(
-        F.min(F.struct(pick.alias("pick"), F.col("id").alias("center"), F.col("component").alias("part"), F.col("n_shingles").alias("size"))).alias("c")
-    )
-    pairs = mixed.join(centers.select("bucket", "c.center", "c.part", "c.size"), "bucket")
-    fits = F.expr(f"component <> part AND 100 * least(n_shingles, size) >= {percent} * greatest(n_shingles, size)")
-    return pairs.where(fits).select(F.greatest("id", "center").alias("a"), F.least("id", "center").alias("b")).distinct()
-
-
 def _beyond_stars(mixed: DataFrame, classes: DataFrame, texts: DataFrame, compare) -> DataFrame:
     """Links (a, b) between different components of the same bucket that no star has tested.
 
