@@ -90,7 +90,6 @@ def test_near_duplicates(spark, size):
 
 
 def test_what_stars_miss_is_found_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "EXTRA_STARS", 0)
     monkeypatch.setattr(minhash, "_BLOCK", 4)
     rows = near_fixture()
     want, _ = brute_components(rows, 2, 80)
