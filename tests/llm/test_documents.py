@@ -225,6 +225,42 @@ def test_block_tables_find_every_fingerprint_in_the_radius(spark):
         assert got == {k: sum(bin(v ^ o).count("1") <= radius for o in values) for k, v in zip(rows, values)}
 
 
+def test_near_copies_are_found_with_their_ids(spark):
+    rng = random.Random(12)
+    rows = [(i, text_of(rng, 300, 4000)) for i in range(1, 60)]
+    copies = {}
+    for i in range(0, 10):  # a word in thirty replaced
+        words = rows[10 * (i % 5)][1].split()
+        for at in rng.sample(range(300), 10):
+            words[at] = f"new{i}{at}"
+        copies[100 * (i + 1)] = rows[10 * (i % 5)][0]
+        rows.append((100 * (i + 1), " ".join(words)))
+    got = {r.doc_id: r for r in simhash.edited_fingerprints(frame(spark, rows)).collect()}
+    prints = {d: int(r.fingerprint, 16) for d, r in got.items()}
+    found = 0
+    for doc_id, original in copies.items():
+        near = sorted(d for d, p in prints.items() if bin(p ^ prints[doc_id]).count("1") <= simhash.RADIUS)
+        assert got[doc_id].near_ids == near and got[doc_id].n_near == len(near)
+        found += original in near
+    assert found == len(copies)
+    assert got[1].near_ids is None
+
+
+@pytest.mark.parametrize("radius", [0, 2, 10, 21])
+def test_any_number_of_blocks_finds_the_same(spark, monkeypatch, radius):
+    rng = random.Random(5)
+    base = rng.getrandbits(128)
+    values = [base ^ sum(1 << b for b in rng.sample(range(128), rng.randint(0, 16))) for _ in range(50)] + [base, 0, (1 << 128) - 1]
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    rows = [(signed(v & (1 << 64) - 1), signed(v >> 64)) for v in values]
+    prints = spark.createDataFrame(rows, "f0 long, f1 long")
+    want = {k: sum(bin(v ^ o).count("1") <= radius for o in values) for k, v in zip(rows, values)}
+    chosen = simhash.blocks_for
+    for size in (1, 300_000):
+        monkeypatch.setattr(simhash, "blocks_for", lambda r, n: chosen(r, size))
+        assert {(r.f0, r.f1): r.n_near for r in simhash.near_counts(prints, prints, radius).collect()} == want
+
+
 def test_suffix_tree(spark):
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choice(["a b c", "c d", "e a b", "F g"]) for _ in range(rng.randint(0, 9)))) for i in range(300)]
