@@ -16,9 +16,10 @@ A text is judged by length-normalised ratios: the mean per byte of the whole tex
 means of its 1, 2 and 4 most toxic words. A logistic curve turns them into a score; it is
 fitted on labelled rows that the models it uses have not seen.
 
-N-grams seen at least twice are kept in a table of 2^22 hashed slots with 16-bit tags, and
-contexts in 2^21 slots, so the model has a fixed size (40 MB) whatever the corpus, and can
-be broadcast. Of n-grams that share a slot the one that says most is kept.
+All n-grams count, those seen once too. Their counts stay in a table in the shared folder;
+what smoothing needs besides them (counts by context and by shorter form, in 2^21 hashed
+slots) is summed in Spark, and only the finished table of n-grams and ratios is gathered: 12
+bytes an n-gram, and an index by the first bits of its 38-bit hash.
 """
 
 from __future__ import annotations
@@ -28,14 +29,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from attrspark.llm.suffix_tree import packed, unpacked
 from attrspark.llm.words import _FOLDED, _Powers, mix, slices, word_spans
+from attrspark.session import scratch_path
 
 ORDER = 9
 GRAM_BITS, TAG_BITS, CONTEXT_BITS = 22, 16, 21
-GRAMS, CONTEXTS = 1 << GRAM_BITS, 1 << CONTEXT_BITS
+CONTEXTS = 1 << CONTEXT_BITS
 HELD = 2_000_000
 TOPS = (1, 2, 4)
 COUNTS = "gram long, back long, ordinary long, toxic long, ordinary_kept long, toxic_kept long"
@@ -126,7 +129,7 @@ def count_grams(sample: DataFrame) -> DataFrame:
     each = sample.select("text", F.col("toxic").cast("long"), F.col("kept").cast("long")).mapInArrow(count, COUNTS)
     table = each.groupBy("gram").agg(F.min("back").alias("back"), *(F.sum(c).alias(c) for c in COUNT_NAMES))
     mask = F.lit(CONTEXTS - 1)
-    return table.where(" + ".join(COUNT_NAMES) + " >= 2").select(
+    return table.select(
         F.shiftright("gram", CONTEXT_BITS + TAG_BITS).cast("int").alias("slot"),
         F.shiftright("gram", CONTEXT_BITS).bitwiseAND(F.lit((1 << TAG_BITS) - 1)).cast("int").alias("tag"),
         F.col("gram").bitwiseAND(mask).cast("int").alias("context"),
@@ -136,51 +139,161 @@ def count_grams(sample: DataFrame) -> DataFrame:
     )
 
 
-Model = tuple[np.ndarray, np.ndarray, np.ndarray]
+@dataclass
+class Tallies:
+    """What smoothing needs besides an n-gram's own counts, by slot of its contexts and short form."""
 
+    discount: float
+    follows: np.ndarray  # n-grams by short form
+    around: np.ndarray  # n-grams by short context
+    kinds: np.ndarray  # short forms by short context
+    totals: list[np.ndarray]  # counts by context, of either class
+    types: list[np.ndarray]  # n-grams by context, of either class
 
-def ratios(table: dict[str, np.ndarray], ordinary: np.ndarray, toxic: np.ndarray) -> Model:
-    """Log ratio and tag per n-gram slot, log ratio per context slot.
+    def __getstate__(self) -> tuple:
+        """Compressed for the broadcast; most bytes of counts are 0."""
+        return self.discount, *map(packed, (self.follows, self.around, self.kinds, *self.totals, *self.types))
 
-    Slots without an n-gram have the tag -1.
-    """
+    def __setstate__(self, state: tuple) -> None:
+        self.discount, (self.follows, self.around, self.kinds, *rest) = state[0], (unpacked(x, np.int64) for x in state[1:])
+        self.totals, self.types = rest[:2], rest[2:]
+
+    def free(self, k: int) -> np.ndarray:
+        return np.where(self.totals[k] > 0, self.discount * self.types[k] / np.maximum(self.totals[k], 1), 1.0)
+
+    def of_context(self) -> np.ndarray:
+        """Log ratio of a context, for n-grams that neither class has."""
+        return (np.log(self.free(1)) - np.log(self.free(0))).astype(np.float32)
+
+    def of_grams(self, context: np.ndarray, short: np.ndarray, around: np.ndarray, counts: list[np.ndarray], free: list[np.ndarray]) -> np.ndarray:
+        """Log ratio of n-grams; `free` as from `self.free`."""
+        n = self.around[around]
+        shared = np.maximum(np.maximum(self.follows[short] - self.discount, 0) / n + self.discount * self.kinds[around] / n / 256, 1e-6)
+        logs = [
+            np.log(np.maximum(count - self.discount, 0) / np.maximum(self.totals[k][context], 1) + free[k][context] * shared)
+            for k, count in enumerate(counts)
+        ]
+        return (logs[1] - logs[0]).astype(np.float32)
+
+
+def _discount(once: int, twice: int) -> float:
+    return float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.9))
+
+
+def ratios(table: dict[str, np.ndarray], ordinary: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`learn` for a table in memory: log ratio and hash of the n-grams, log ratio per context slot."""
     seen = (ordinary + toxic) > 0
     slot, tag, context, short, around = (table[c][seen] for c in ("slot", "tag", "context", "short", "short_context"))
     counts = [ordinary[seen], toxic[seen]]
-    once, twice = (sum(int((c == n).sum()) for c in counts) for n in (1, 2))
-    discount = float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.9))
-    follows = np.bincount(short, minlength=CONTEXTS)[short]
-    n = np.bincount(around, minlength=CONTEXTS)[around]
-    kinds = np.bincount(around[np.unique(short, return_index=True)[1]], minlength=CONTEXTS)[around]
-    shared = np.maximum(np.maximum(follows - discount, 0) / n + discount * kinds / n / 256, 1e-6)
-    of_gram = np.zeros(len(slot), dtype=np.float32)
-    of_context = np.zeros(CONTEXTS, dtype=np.float32)
-    for sign, count in zip((-1, 1), counts):
-        total = np.bincount(context, weights=count, minlength=CONTEXTS)
-        types = np.bincount(context, weights=count > 0, minlength=CONTEXTS)
-        free = np.where(total > 0, discount * types / np.maximum(total, 1), 1.0)
-        p = np.maximum(count - discount, 0) / np.maximum(total[context], 1) + free[context] * shared
-        of_gram += (sign * np.log(p)).astype(np.float32)
-        of_context += (sign * np.log(free)).astype(np.float32)
-    order = np.argsort(np.abs(of_gram) * np.log1p(counts[0] + counts[1]))
-    ratio, tags = np.zeros(GRAMS, dtype=np.float32), np.full(GRAMS, -1, dtype=np.int32)
-    ratio[slot[order]] = of_gram[order]
-    tags[slot[order]] = tag[order]
-    return ratio, tags, of_context
+    by = lambda slots, **weights: np.bincount(slots, minlength=CONTEXTS, **weights)
+    tallies = Tallies(
+        _discount(*(sum(int((c == n).sum()) for c in counts) for n in (1, 2))),
+        by(short),
+        by(around),
+        by(around[np.unique(short, return_index=True)[1]]),
+        [by(context, weights=c) for c in counts],
+        [by(context, weights=c > 0) for c in counts],
+    )
+    keys = (slot.astype(np.int64) << TAG_BITS) | tag
+    order = np.argsort(keys)
+    of_gram = tallies.of_grams(context, short, around, counts, [tallies.free(0), tallies.free(1)])
+    return of_gram[order], keys[order], tallies.of_context()
+
+
+@dataclass
+class Model:
+    """Log ratios of n-grams, sorted by hash, and of context slots."""
+
+    of_gram: np.ndarray
+    keys: np.ndarray
+    of_context: np.ndarray
+    shift: int
+    starts: np.ndarray  # first n-gram by the first bits of its hash
+
+    @classmethod
+    def of(cls, of_gram: np.ndarray, keys: np.ndarray, of_context: np.ndarray) -> "Model":
+        bits = min(max(16, int(len(keys)).bit_length()), 26)
+        shift = GRAM_BITS + TAG_BITS - bits
+        starts = np.zeros((1 << bits) + 1, np.int32)
+        np.cumsum(np.bincount(keys >> shift, minlength=1 << bits), out=starts[1:])
+        return cls(of_gram, keys, of_context, shift, starts)
+
+    def __reduce__(self) -> tuple:
+        """Compressed for the broadcast; the index is made again."""
+        return _model, (packed(self.of_gram), packed(self.keys, True), packed(self.of_context))
+
+    def values(self, gram: np.ndarray, context: np.ndarray) -> np.ndarray:
+        """Log ratios of n-grams; where there is none, of their contexts."""
+        out = self.of_context[context]
+        slot = gram >> self.shift
+        at, end = self.starts[slot], self.starts[slot + 1]
+        left = np.flatnonzero(at < end)
+        at, end, wanted = at[left], end[left], gram[left]
+        while len(left):
+            hit = self.keys[at] == wanted
+            out[left[hit]] = self.of_gram[at[hit]]
+            at = at + 1
+            more = ~hit & (at < end)
+            left, at, end, wanted = left[more], at[more], end[more], wanted[more]
+        return out
+
+
+def _model(of_gram: bytes, keys: bytes, of_context: bytes) -> Model:
+    return Model.of(unpacked(of_gram, np.float32), unpacked(keys, np.int64, True), unpacked(of_context, np.float32))
+
+
+def learn(counted: DataFrame, ordinary: Column, toxic: Column) -> Model:
+    """The model of n-grams from `count_grams`, of these two counts.
+
+    Sums by slot have a fixed size; they are gathered and broadcast to compute the ratios.
+    """
+    context = counted.sparkSession.sparkContext
+    seen = counted.select(
+        F.shiftleft(F.col("slot").cast("long"), TAG_BITS).bitwiseOR(F.col("tag")).alias("gram"),
+        "context", "short", "short_context", ordinary.cast("long").alias("ordinary"), toxic.cast("long").alias("toxic"),
+    ).where("ordinary + toxic > 0")
+
+    def by(table: DataFrame, key: str, *sums: Column) -> list[np.ndarray]:
+        found = table.groupBy(key).agg(*(c.alias(f"n{i}") for i, c in enumerate(sums))).toArrow()
+        out = [np.zeros(CONTEXTS, np.int64) for _ in sums]
+        for i, column in enumerate(out):
+            column[found[key].to_numpy()] = found[f"n{i}"].to_numpy()
+        return out
+
+    classes = ("ordinary", "toxic")
+    few = seen.agg(*(F.sum(sum((F.col(c) == n).cast("long") for c in classes)) for n in (1, 2))).first()
+    sums = by(seen, "context", *map(F.sum, classes), *(F.count_if(F.col(c) > 0) for c in classes))
+    kinds = by(seen.groupBy("short").agg(F.min("short_context").alias("short_context")), "short_context", F.count("*"))
+    tallies = Tallies(_discount(few[0] or 0, few[1] or 0), *by(seen, "short", F.count("*")), *by(seen, "short_context", F.count("*")), *kinds, sums[:2], sums[2:])
+    given = context.broadcast(tallies)
+
+    def value(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free = [given.value.free(k) for k in (0, 1)]
+        for batch in batches:
+            gram, context, short, around, *counts = (batch.column(k).to_numpy() for k in range(6))
+            of_gram = given.value.of_grams(context, short, around, counts, free)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (gram, of_gram)], names=["grams", "ratios"])
+
+    ordered = seen.repartitionByRange("gram").sortWithinPartitions("gram")
+    found = [(np.frombuffer(k, np.int64), np.frombuffer(v, np.float32)) for k, v in ordered.mapInArrow(value, "grams binary, ratios binary").toLocalIterator()]
+    keys, of_gram = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.float32))
+    given.destroy()
+    return Model.of(of_gram, keys, tallies.of_context())
+
+
+def one_in(rows: int, curve_rows: int) -> int:
+    """Of how many labelled rows one fits the curve: a fifth, or about `curve_rows` if they are many."""
+    return max(5, -(-rows // curve_rows))
 
 
 def features(column: pa.Array, model: Model) -> np.ndarray:
     """Per text: mean ratio per byte, means of the most toxic words, log of its words."""
-    of_gram, tags, of_context = model
     out = np.zeros((len(column), 2 + len(TOPS)))
     for first, end, data, offsets in slices(column, 2 << 20):
         s = symbols(data, offsets, False)
         if not len(s.gram):
             continue
-        slot = s.gram >> TAG_BITS
-        value = of_gram[slot]
-        unseen = tags[slot] != s.gram & ((1 << TAG_BITS) - 1)
-        value[unseen] = of_context[s.context[unseen]]
+        value = model.values(s.gram, s.context)
         upto = np.concatenate(([0.0], np.cumsum(value, dtype=np.float64)))
         lengths = s.ends - s.begins
         last = np.cumsum(lengths)
@@ -250,13 +363,14 @@ def toxicity(
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic") > 0).cast("int").alias("toxic"))
     order = F.xxhash64("doc_id")
     known = known.orderBy(order, "doc_id").limit(fit_rows)
-    one_in = max(5, -(-fit_rows // curve_rows))
-    known = known.withColumn("kept", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(one_in)) != 0).cast("int"))
+    share = one_in(known.count(), curve_rows)
+    known = known.withColumn("kept", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(share)) != 0).cast("int"))
     sample = narrow.join(F.broadcast(known), "doc_id")
-    counted = count_grams(sample).toArrow()
-    grams = {c: counted[c].to_numpy() for c in counted.column_names}
-    del counted
-    part = spark.sparkContext.broadcast(ratios(grams, grams["ordinary_kept"], grams["toxic_kept"]))
+    place = scratch_path(spark, "grams")
+    grams = count_grams(sample)
+    grams.write.parquet(place)
+    grams = spark.read.schema(grams.schema).parquet(place)
+    part = spark.sparkContext.broadcast(learn(grams, F.col("ordinary_kept"), F.col("toxic_kept")))
     width = 2 + len(TOPS)
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,8 +390,9 @@ def toxicity(
         share = float(y.mean()) if len(y) else 0.0
         base = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
         curve = Curve(np.zeros(width), np.ones(width), np.array([base, *[0.0] * width]))
-    every = [grams[c] + grams[f"{c}_kept"] for c in ("ordinary", "toxic")]
-    model = spark.sparkContext.broadcast((ratios(grams, *every), curve))
+    part.unpersist()
+    every = (F.col(c) + F.col(f"{c}_kept") for c in ("ordinary", "toxic"))
+    model = spark.sparkContext.broadcast((learn(grams, *every), curve))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole, final = model.value

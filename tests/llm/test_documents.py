@@ -180,6 +180,26 @@ def test_class_models_are_distributions():
     assert np.allclose(ratio, 0) and np.allclose(of_context, 0) and (tags >= 0).sum() == len(np.unique(table["slot"]))
 
 
+def test_ngrams_seen_once_count(spark):
+    rows = [("abc abd xyz abc", 0, 1), ("abd bbc zorg", 1, 1), ("abc zebra zorb", 0, 1)]
+    sample = spark.createDataFrame(rows, "text string, toxic int, kept int")
+    grams = kneser_ney.count_grams(sample)
+    table = {c: np.array(v) for c, v in grams.toPandas().items()}
+    once = table["ordinary_kept"] + table["toxic_kept"] == 1
+    assert once.sum() > 10
+    want = kneser_ney.ratios(table, table["ordinary_kept"], table["toxic_kept"])
+    got = kneser_ney.learn(grams, F.col("ordinary_kept"), F.col("toxic_kept"))
+    assert (got.keys == want[1]).all() and len(got.keys) == len(once)
+    assert np.allclose(got.of_gram, want[0]) and np.allclose(got.of_context, want[2])
+    keys = (table["slot"].astype(np.int64) << kneser_ney.TAG_BITS) | table["tag"]
+    assert np.allclose(got.values(keys, table["context"]), want[0][np.searchsorted(want[1], keys)])
+    assert np.allclose(got.values(keys + 1, table["context"])[~np.isin(keys + 1, keys)], want[2][table["context"]][~np.isin(keys + 1, keys)])
+
+
+def test_the_curve_takes_a_fifth_of_the_rows_there_are():
+    assert [kneser_ney.one_in(n, 20_000) for n in (0, 500, 80_000, 200_000)] == [5, 5, 5, 10]
+
+
 def brute_print(text):
     w = words_of(text)
     terms = [(a, b) for a, b in zip(w, w[1:])] or [(x,) for x in w]
