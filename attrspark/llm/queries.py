@@ -7,18 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
+from attrspark.llm.conversation_trie import conversation_trie
 from attrspark.llm.decontaminate import contaminated
 from attrspark.llm.html_text import main_texts
 from attrspark.llm.kneser_ney import is_held_out, toxicity
 from attrspark.llm.licenses import license_matches, notices
 from attrspark.llm.minhash import near_duplicates
+from attrspark.llm.oracles import codes_sql, trie_sql
 from attrspark.llm.packing import packed_documents
 from attrspark.llm.simhash import edited_fingerprints
 from attrspark.llm.suffix_tree import scored
+from attrspark.llm.token_counts import token_counts
 from attrspark.llm.token_files import token_file_rows
+from attrspark.llm.vector_codes import vector_codes
 from attrspark.llm.warc import archived_pages
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -67,6 +72,18 @@ def op10_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return license_matches(table(spark, folder, "documents"), notices(spark))
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"), PIECES)
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes(table(spark, folder, "embeddings")).drop("label")
+
+
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -78,9 +95,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_license_scans": op10_license_scans,
+    "op11_token_counts": op11_token_counts,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLES: dict[str, str] = {
+    "op12_vector_codes": codes_sql(),
+    "op13_conversation_trie": trie_sql(),
     "op5_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
         d AS (SELECT page_id, sha256(h) AS digest, strlen(h) AS n, min(page_id) OVER (PARTITION BY h) AS first FROM p)
