@@ -10,81 +10,117 @@ Any other text is encoded whole. Both ways give the same ids.
 from __future__ import annotations
 
 import os
-from array import array
 
 import numpy as np
 import pyarrow as pa
 
 from attrspark.llm.words import span_hashes, slices
 
-# Fixed value: how this vocabulary's kind cuts a text before merging.
-PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _KEEP_BYTES = 64
+_JOINED = 1000
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letter that stands for each byte: printable Latin-1 for itself, others from U+0100."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = (b for b in range(256) if b not in plain)
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+class Memory:
+    """Ids of chunks by hash, as arrays: sorted hashes, and where each one's ids are in a pool."""
 
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.keep(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32))
 
-class Memory(dict):
-    """A dictionary of bounded size: entries not used for two generations go."""
+    def keep(self, keys: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pool: np.ndarray) -> None:
+        """Know these chunks and no others."""
+        order = np.argsort(keys)
+        self.keys, self.starts, self.lengths, self.pool = keys[order], starts[order], lengths[order], pool
 
-    def __init__(self, limit: int):
-        self.limit, self.old = limit, {}
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether known, place) of each hash."""
+        if not len(self.keys):
+            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.keys[at] == keys, at
 
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is not None:
-            self[key] = value
-        return value
 
-    def trim(self) -> None:
-        if len(self) > self.limit:
-            self.old = dict(self)
-            self.clear()
+def gathered(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of a pool that begin at `starts`, one after the other."""
+    upto = np.cumsum(lengths)
+    return pool[np.repeat(starts - (upto - lengths), lengths) + np.arange(upto[-1] if len(upto) else 0)]
 
 
 class Encoder:
     """Encodes texts to unsigned 32-bit ids; one per worker and file.
 
-    `remember` bounds the number of remembered chunks, and so the memory.
+    `remember` bounds the number of remembered chunks, and so the memory; beyond it, those of
+    the last few texts stay. Strings of special tokens in a text become these tokens, as the
+    library does it by default; with `ordinary_specials` they are ordinary text.
     """
 
-    _made: dict[tuple[str, int], "Encoder"] = {}
+    _made: dict[tuple, "Encoder"] = {}
 
-    def __init__(self, path: str, remember: int = 500_000):
+    def __init__(self, path: str, remember: int = 500_000, ordinary_specials: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
-        self.cut = regex.compile(PIECES).findall
-        self.letters = str.maketrans({chr(b): c for b, c in _byte_letters().items()})
-        self.chunks = Memory(remember)
-        self.pieces = Memory(remember // 2)
+        self.tokenizer.encode_special_tokens = ordinary_specials
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.memory = Memory(remember)
+        # A byte-level piece has one letter per byte; a special token stands for its own text.
+        special = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.widths = np.zeros(1 + max(self.tokenizer.get_vocab().values()), np.int64)
+        for piece, i in self.tokenizer.get_vocab().items():
+            self.widths[i] = special.get(i, len(piece))
 
     @classmethod
-    def of(cls, path: str, remember: int = 500_000) -> "Encoder":
-        if (path, remember) not in cls._made:
-            cls._made[path, remember] = cls(path, remember)
-        return cls._made[path, remember]
-
-    def _chunk(self, raw: bytes) -> bytes:
-        ids = b""
-        for piece in self.cut(raw.decode("utf-8", "replace")):
-            known = self.pieces[piece]
-            if known is None:
-                letters = piece.encode().decode("latin-1").translate(self.letters)
-                known = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
-                if len(letters) <= _KEEP_BYTES:
-                    self.pieces[piece] = known
-            ids += known
-        return ids
+    def of(cls, path: str, remember: int = 500_000, ordinary_specials: bool = False) -> "Encoder":
+        key = (path, remember, ordinary_specials)
+        if key not in cls._made:
+            cls._made[key] = cls(*key)
+        return cls._made[key]
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in found]
+
+    def _chunks(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each chunk, all ids) of distinct chunks.
+
+        Many chunks are encoded as one text: one that begins with a space follows another as in a
+        text, any other after a line feed of its own. Ids give their bytes, which tell where each
+        chunk ends. White space alone would join with what follows and goes by itself.
+        """
+        lengths = np.zeros(len(chunks), np.int64)
+        parts: list[np.ndarray] = []
+        texts, spans = [], []
+        for first in range(0, len(chunks), _JOINED):
+            run = [b"" if c in (b" ", b"\n") else c if c[:1] == b" " else b"\n" + c for c in chunks[first : first + _JOINED]]
+            texts.append(b"".join(run).decode("utf-8", "replace"))
+            spans.append(run)
+        alone = {c: ids for c, ids in zip((b" ", b"\n"), self._encoded([" ", "\n"]))}
+        for k, ids in enumerate(self._encoded(texts)):
+            run = spans[k]
+            ends = np.cumsum([len(c) for c in run])
+            tokens = np.concatenate(([0], np.cumsum(self.widths[ids])))
+            if tokens[-1] != ends[-1]:  # bytes that are no UTF-8
+                each = self._encoded([c.decode("utf-8", "replace") for c in chunks[k * _JOINED : (k + 1) * _JOINED]])
+            else:
+                cuts = np.concatenate(([0], np.searchsorted(tokens, ends)))
+                fed = [c[:1] == b"\n" for c in run]
+                marks = cuts[:-1] + np.array(fed, np.int64)  # without the line feed before it
+                size = cuts[1:] - marks
+                if not any(c in alone for c in chunks[k * _JOINED : (k + 1) * _JOINED]):
+                    lengths[k * _JOINED : k * _JOINED + len(run)] = size
+                    kept = np.ones(len(ids), bool)
+                    kept[cuts[:-1][np.array(fed)]] = False
+                    parts.append(ids[kept])
+                    continue
+                each = [
+                    alone[c] if c in alone else ids[m : m + n]
+                    for c, m, n in zip(chunks[k * _JOINED : (k + 1) * _JOINED], marks, size)
+                ]
+            lengths[k * _JOINED : k * _JOINED + len(each)] = [len(x) for x in each]
+            parts += each
+        return lengths, np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
     def _slice(self, data: np.ndarray, offsets: np.ndarray, end: int | None) -> tuple[np.ndarray, np.ndarray]:
         whole = _irregular(data, offsets)
@@ -94,31 +130,29 @@ class Encoder:
             kept = ~np.repeat(whole, np.diff(of_row))
             begins, ends = begins[kept], ends[kept]
             of_row = np.searchsorted(begins, offsets)
-        keys, first, inverse = np.unique(span_hashes(data, begins, ends), return_index=True, return_inverse=True)
-        listed = keys.tolist()
-        codes = [self.chunks[k] for k in listed]
+        coded = pa.array(span_hashes(data, begins, ends)).dictionary_encode()
+        keys, inverse = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        first = np.empty(len(keys), np.int64)
+        first[inverse[::-1]] = np.arange(len(inverse) - 1, -1, -1)
         raw = data.tobytes()
-        for i, code in enumerate(codes):
-            if code is None:
-                b, e = begins[first[i]], ends[first[i]]
-                codes[i] = code = self._chunk(raw[b:e])
-                if e - b <= _KEEP_BYTES:
-                    self.chunks[listed[i]] = code
-        self.chunks.trim()
-        self.pieces.trim()
-        lengths = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
-        pool = np.frombuffer(b"".join(codes), np.uint32)
-        starts = np.cumsum(lengths) - lengths
+        memory = self.memory
+        known, at = memory.find(keys)
+        new = np.flatnonzero(~known)
+        spans = zip(begins[first[new]].tolist(), ends[first[new]].tolist())
+        more, ids = self._chunks([raw[b:e] for b, e in spans])
+        pool = np.concatenate((memory.pool, ids))
+        starts, lengths = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
+        starts[known], lengths[known] = memory.starts[at[known]], memory.lengths[at[known]]
+        starts[new], lengths[new] = len(memory.pool) + np.cumsum(more) - more, more
+        self._remember(keys, starts, lengths, pool, new, ends[first] - begins[first] <= _KEEP_BYTES)
         each = lengths[inverse]
-        upto = np.cumsum(each)
-        ids = pool[np.repeat(starts[inverse] - (upto - each), each) + np.arange(upto[-1] if len(upto) else 0)]
-        bounds = np.concatenate(([0], upto))[of_row]
+        ids = gathered(pool, starts[inverse], each)
+        bounds = np.concatenate(([0], np.cumsum(each)))[of_row]
         if whole.any():
             rows = [ids[bounds[i] : bounds[i + 1]] for i in range(len(whole))]
             which = np.flatnonzero(whole)
-            texts = [raw[offsets[i] : offsets[i + 1]].decode("utf-8", "replace") for i in which]
-            for i, code in zip(which, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                rows[i] = np.array(code.ids, np.uint32)
+            for i, code in zip(which, self._encoded([raw[offsets[i] : offsets[i + 1]].decode("utf-8", "replace") for i in which])):
+                rows[i] = code
             ids = np.concatenate(rows)
             bounds = np.concatenate(([0], np.cumsum([len(r) for r in rows])))
         if end is not None:
@@ -126,6 +160,21 @@ class Encoder:
             bounds = bounds + np.arange(len(bounds))
         return ids, bounds
 
+    def _remember(self, keys, starts, lengths, pool, new, short) -> None:
+        memory = self.memory
+        added = new[short[new]]
+        if len(memory.keys) + len(added) <= memory.limit:
+            memory.keep(
+                np.concatenate((memory.keys, keys[added])),
+                np.concatenate((memory.starts, starts[added])),
+                np.concatenate((memory.lengths, lengths[added])),
+                pool,
+            )
+            return
+        used = np.flatnonzero(short)[: memory.limit]
+        ids = gathered(pool, starts[used], lengths[used])
+        memory.keep(keys[used], np.cumsum(lengths[used]) - lengths[used], lengths[used], ids)
+
     def encode(self, column: pa.Array, end: int | None = None):
         """Yields (first row, ids, row offsets) for runs of rows; `end` closes every row."""
         for first, _, data, offsets in slices(column):

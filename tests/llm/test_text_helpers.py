@@ -45,15 +45,28 @@ def ids_of(encoder, texts, end=None):
 @settings(max_examples=60, deadline=None)
 def test_ids_equal_those_of_the_library(texts):
     plain = Tokenizer.from_file(PATH)
-    plain.encode_special_tokens = True
-    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
-    assert ids_of(Encoder.of(PATH), texts) == want
+    for ordinary in (True, False):
+        plain.encode_special_tokens = ordinary
+        want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids_of(Encoder.of(PATH, ordinary_specials=ordinary), texts) == want
+
+
+def test_many_joined_chunks_equal_the_library():
+    """Several runs of joined chunks, with special strings, first words, lone spaces and line feeds among them."""
+    rng = np.random.default_rng(8)
+    pieces = ["<|endoftext|>", " ", "\n", "'s", "ü中", "12", *(f"w{i}x" for i in range(3000))]
+    texts = ["".join(rng.choice(pieces + [" "] * 2000, 400)) for _ in range(40)]
+    texts += [" ".join(rng.choice(pieces[3:], 500)) + "\n" + "\n ".join(rng.choice(pieces[3:], 20)) for _ in range(20)]
+    plain = Tokenizer.from_file(PATH)
+    encoder = Encoder(PATH)
+    for _ in range(2):  # the second time from memory
+        assert ids_of(encoder, texts) == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_bounded_memory_and_end_id():
     encoder = Encoder(PATH, remember=3)
     assert ids_of(encoder, ["one two three four five", None, "one two"], 2)[1:] == [[2], ids_of(encoder, ["one two"])[0] + [2]]
-    assert len(encoder.chunks) <= 3 + 5
+    assert len(encoder.memory.keys) <= 3
 
 
 @pytest.mark.parametrize("size", [1, 3, 1 << 20])
