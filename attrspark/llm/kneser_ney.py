@@ -1,25 +1,26 @@
 """Toxicity by two class-conditional Kneser-Ney models that share their backoff counts.
 
-Symbols are the lower-cased bytes of words; a context is the part of the word before a
-byte, at most `ORDER - 1` bytes of it, and "start of word" where it reaches that far. Each
-class c has its own counts of the longest contexts; what they do not cover backs off to
-continuation counts that both classes share:
+Symbols are the lower-cased bytes of words and a mark before the first; an n-gram is a byte with
+what stands before it in its word, at most `ORDER` symbols, and so fits a long as it is. Each
+class c has its own counts of these n-grams; what they do not cover backs off to continuation
+counts that both classes share, through all shorter contexts down to the single byte:
 
-    p_c(x | h) = max(n_c(hx) - D, 0) / n_c(h) + D * t_c(h) / n_c(h) * shared(x | h without its first byte)
+    p_c(x | h) = max(n_c(hx) - D, 0) / n_c(h) + D * t_c(h) / n_c(h) * shared(x | h without its first symbol)
 
 so an expression that one class has never shown is still priced by the same shared counts
 in both, and rare expressions pull a text neither way. The log-likelihood ratio of a byte
 depends on its n-gram alone, or on its context alone if neither class has the n-gram, so
-scoring is two array look-ups per byte.
+scoring is one or two look-ups per byte.
 
 A text is judged by length-normalised ratios: the mean per byte of the whole text, and the
 means of its 1, 2 and 4 most toxic words. A logistic curve turns them into a score; it is
 fitted on labelled rows that the models it uses have not seen.
 
-All n-grams count, those seen once too. Their counts stay in a table in the shared folder;
-what smoothing needs besides them (counts by context and by shorter form, in 2^21 hashed
-slots) is summed in Spark, and only the finished table of n-grams and ratios is gathered: 12
-bytes an n-gram, and an index by the first bits of its 38-bit hash.
+All n-grams count, those seen once too, each under its own key. n-grams with the same two symbols
+before their last share all their contexts from two symbols on, so they are dealt by these and
+the ratios are computed where they meet; only the counts of single bytes and pairs, at most 65,536
+numbers, pass through the driver. Each task writes its ratios to a file in the shared folder, 12
+bytes an n-gram, and the workers that score read these files; their size is bounded by `fit_rows`.
 """
 
 from __future__ import annotations
@@ -32,94 +33,82 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attrspark.llm.suffix_tree import packed, unpacked
-from attrspark.llm.words import _FOLDED, _Powers, mix, slices, word_spans
+from attrspark.llm.files import new_file, open_input
+from attrspark.llm.words import _LOWER, mix, slices, word_spans
 from attrspark.session import scratch_path
 
-ORDER = 9
-GRAM_BITS, TAG_BITS, CONTEXT_BITS = 22, 16, 21
-CONTEXTS = 1 << CONTEXT_BITS
-HELD = 2_000_000
+ORDER = 8
+MARK = 32
+MASKS = np.array([(1 << 8 * n) - 1 for n in range(ORDER + 1)], np.uint64)
+BYTE = np.uint64(8)
+HELD = 1_000_000
 TOPS = (1, 2, 4)
-COUNTS = "gram long, back long, ordinary long, toxic long, ordinary_kept long, toxic_kept long"
 COUNT_NAMES = ["ordinary", "toxic", "ordinary_kept", "toxic_kept"]
+COUNTS = "gram long, " + ", ".join(f"{c} long" for c in COUNT_NAMES)
 
 
-@dataclass
-class Symbols:
-    """The bytes of words: n-gram (slot and tag), context and their shorter forms; word bounds."""
-
-    gram: np.ndarray
-    context: np.ndarray
-    short_gram: np.ndarray
-    short_context: np.ndarray
-    begins: np.ndarray
-    ends: np.ndarray
-
+def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The n-gram that ends at each byte of a word, first symbol highest; word starts and ends.
 
-def symbols(data: np.ndarray, offsets: np.ndarray, shorter: bool) -> Symbols:
+    Space, the mark, is in no word. A zero byte counts as a tab, which is in none either, so
+    that leading zeros tell the length of an n-gram.
+    """
     begins, ends = word_spans(data, offsets)
     lengths = ends - begins
-    word = np.repeat(begins, lengths)
-    at = word + np.arange(len(word)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    up, down = _Powers.cover(len(data) + 1)
-    with np.errstate(over="ignore"):
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_FOLDED[data] * up[: len(data)], out=sums[1:])
-        first = np.maximum(word, at - (ORDER - 1))
-        mark = np.where(first == word, np.uint64(3), np.uint64(1))
-
-        def top(a, z, salt, bits):
-            return (mix((sums[z] - sums[a]) * down[a] + salt) >> np.uint64(64 - bits)).astype(np.int64)
-
-        gram = top(first, at + 1, mark, GRAM_BITS + TAG_BITS)
-        context = top(first, at, mark + np.uint64(1), CONTEXT_BITS)
-        if not shorter:
-            return Symbols(gram, context, gram, context, begins, ends)
-        low = np.minimum(first + 1, at)
-        short_gram = top(low, at + 1, np.uint64(5), CONTEXT_BITS)
-        return Symbols(gram, context, short_gram, top(low, at, np.uint64(6), CONTEXT_BITS), begins, ends)
-
-
-def _merged(gram: np.ndarray, back: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.argsort(gram, kind="stable")
-    gram, back, counts = gram[order], back[order], counts[order]
-    begins = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
-    return gram[begins], back[begins], np.add.reduceat(counts, begins, axis=0)
+    inside = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    stream = np.full(len(inside) + len(begins), MARK, np.uint64)
+    place = np.arange(len(inside)) + np.repeat(np.arange(1, len(begins) + 1), lengths)
+    letters = _LOWER[data[np.repeat(begins, lengths) + inside]]
+    stream[place] = np.where(letters == 0, 9, letters)
+    for width in (1, 2, 4):  # runs of 2, 4 and 8 symbols
+        before = stream[:-width] << np.uint64(8 * width)
+        stream = stream.copy()
+        stream[width:] |= before
+    return stream[place] & MASKS[np.minimum(inside + 2, ORDER)], begins, ends
+
+
+def gram_lengths(grams: np.ndarray) -> np.ndarray:
+    return np.searchsorted(MASKS, grams)
+
+
+def _merged(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(grams, kind="stable")
+    grams, counts = grams[order], counts[order]
+    begins = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1])))
+    return grams[begins], np.add.reduceat(counts, begins, axis=0)
 
 
 def count_grams(sample: DataFrame) -> DataFrame:
     """Counts per n-gram and class of `sample(text, toxic, kept)`.
 
-    `gram` packs n-gram and context, `back` the shorter ones. Each task adds up what it
-    reads and gives one row per n-gram, or several where it has seen very many.
+    Each task adds up what it reads and gives one row per n-gram, or several where it has seen
+    very many.
     """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def given() -> Iterator[pa.RecordBatch]:
             if not held:
                 return
-            keys, back, cells = _merged(*(np.concatenate(x) for x in zip(*held)))
+            grams, cells = _merged(*(np.concatenate(x) for x in zip(*held)))
             held.clear()
-            for i in range(0, len(keys), 100_000):
+            for i in range(0, len(grams), 100_000):
                 part = slice(i, i + 100_000)
-                columns = [keys[part], back[part], *(np.ascontiguousarray(cells[part, k]) for k in range(4))]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["gram", "back", *COUNT_NAMES])
+                columns = [grams[part].view(np.int64), *(np.ascontiguousarray(cells[part, k]) for k in range(4))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["gram", *COUNT_NAMES])
 
         for batch in batches:
             kind = batch.column(1).to_numpy(zero_copy_only=False) + 2 * batch.column(2).to_numpy(zero_copy_only=False)
-            for first, end, data, offsets in slices(batch.column(0), 2 << 20):
-                s = symbols(data, offsets, True)
-                if not len(s.gram):
+            for first, end, data, offsets in slices(batch.column(0), 1 << 20):
+                gram, begins, ends = symbols(data, offsets)
+                if not len(gram):
                     continue
-                of_row = np.searchsorted(offsets, s.begins, side="right") - 1
-                of_kind = np.repeat(kind[first:end][of_row], s.ends - s.begins)
-                keys, at, inverse = np.unique((s.gram << CONTEXT_BITS) | s.context, return_index=True, return_inverse=True)
-                back = (s.short_gram[at] << CONTEXT_BITS) | s.short_context[at]
-                cells = np.bincount(inverse * 4 + of_kind, minlength=4 * len(keys)).reshape(-1, 4)
-                held.append((keys, back, cells.astype(np.int32)))
+                of_row = np.searchsorted(offsets, begins, side="right") - 1
+                of_kind = np.repeat(kind[first:end][of_row], ends - begins)
+                grams, inverse = np.unique(gram, return_inverse=True)
+                cells = np.bincount(inverse * 4 + of_kind, minlength=4 * len(grams)).reshape(-1, 4)
+                held.append((grams, cells.astype(np.int32)))
                 if sum(len(h[0]) for h in held) > HELD:
                     held[:] = [_merged(*(np.concatenate(x) for x in zip(*held)))]
                     if len(held[0][0]) > HELD // 2:
@@ -127,158 +116,163 @@ def count_grams(sample: DataFrame) -> DataFrame:
         yield from given()
 
     each = sample.select("text", F.col("toxic").cast("long"), F.col("kept").cast("long")).mapInArrow(count, COUNTS)
-    table = each.groupBy("gram").agg(F.min("back").alias("back"), *(F.sum(c).alias(c) for c in COUNT_NAMES))
-    mask = F.lit(CONTEXTS - 1)
-    return table.select(
-        F.shiftright("gram", CONTEXT_BITS + TAG_BITS).cast("int").alias("slot"),
-        F.shiftright("gram", CONTEXT_BITS).bitwiseAND(F.lit((1 << TAG_BITS) - 1)).cast("int").alias("tag"),
-        F.col("gram").bitwiseAND(mask).cast("int").alias("context"),
-        F.shiftright("back", CONTEXT_BITS).cast("int").alias("short"),
-        F.col("back").bitwiseAND(mask).cast("int").alias("short_context"),
-        *(F.col(c).cast("int") for c in COUNT_NAMES),
-    )
+    return each.groupBy("gram").agg(*(F.sum(c).cast("int").alias(c) for c in COUNT_NAMES))
 
 
 @dataclass
-class Tallies:
-    """What smoothing needs besides an n-gram's own counts, by slot of its contexts and short form."""
+class Base:
+    """The shortest levels of the shared counts: of single bytes, and of a byte after one symbol."""
 
     discount: float
-    follows: np.ndarray  # n-grams by short form
-    around: np.ndarray  # n-grams by short context
-    kinds: np.ndarray  # short forms by short context
-    totals: list[np.ndarray]  # counts by context, of either class
-    types: list[np.ndarray]  # n-grams by context, of either class
-
-    def __getstate__(self) -> tuple:
-        """Compressed for the broadcast; most bytes of counts are 0."""
-        return self.discount, *map(packed, (self.follows, self.around, self.kinds, *self.totals, *self.types))
-
-    def __setstate__(self, state: tuple) -> None:
-        self.discount, (self.follows, self.around, self.kinds, *rest) = state[0], (unpacked(x, np.int64) for x in state[1:])
-        self.totals, self.types = rest[:2], rest[2:]
-
-    def free(self, k: int) -> np.ndarray:
-        return np.where(self.totals[k] > 0, self.discount * self.types[k] / np.maximum(self.totals[k], 1), 1.0)
-
-    def of_context(self) -> np.ndarray:
-        """Log ratio of a context, for n-grams that neither class has."""
-        return (np.log(self.free(1)) - np.log(self.free(0))).astype(np.float32)
-
-    def of_grams(self, context: np.ndarray, short: np.ndarray, around: np.ndarray, counts: list[np.ndarray], free: list[np.ndarray]) -> np.ndarray:
-        """Log ratio of n-grams; `free` as from `self.free`."""
-        n = self.around[around]
-        shared = np.maximum(np.maximum(self.follows[short] - self.discount, 0) / n + self.discount * self.kinds[around] / n / 256, 1e-6)
-        logs = [
-            np.log(np.maximum(count - self.discount, 0) / np.maximum(self.totals[k][context], 1) + free[k][context] * shared)
-            for k, count in enumerate(counts)
-        ]
-        return (logs[1] - logs[0]).astype(np.float32)
-
-
-def _discount(once: int, twice: int) -> float:
-    return float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.9))
-
-
-def ratios(table: dict[str, np.ndarray], ordinary: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """`learn` for a table in memory: log ratio and hash of the n-grams, log ratio per context slot."""
-    seen = (ordinary + toxic) > 0
-    slot, tag, context, short, around = (table[c][seen] for c in ("slot", "tag", "context", "short", "short_context"))
-    counts = [ordinary[seen], toxic[seen]]
-    by = lambda slots, **weights: np.bincount(slots, minlength=CONTEXTS, **weights)
-    tallies = Tallies(
-        _discount(*(sum(int((c == n).sum()) for c in counts) for n in (1, 2))),
-        by(short),
-        by(around),
-        by(around[np.unique(short, return_index=True)[1]]),
-        [by(context, weights=c) for c in counts],
-        [by(context, weights=c > 0) for c in counts],
-    )
-    keys = (slot.astype(np.int64) << TAG_BITS) | tag
-    order = np.argsort(keys)
-    of_gram = tallies.of_grams(context, short, around, counts, [tallies.free(0), tallies.free(1)])
-    return of_gram[order], keys[order], tallies.of_context()
-
-
-@dataclass
-class Model:
-    """Log ratios of n-grams, sorted by hash, and of context slots."""
-
-    of_gram: np.ndarray
-    keys: np.ndarray
-    of_context: np.ndarray
-    shift: int
-    starts: np.ndarray  # first n-gram by the first bits of its hash
+    one: np.ndarray
+    two: np.ndarray  # by the two symbols as a number
 
     @classmethod
-    def of(cls, of_gram: np.ndarray, keys: np.ndarray, of_context: np.ndarray) -> "Model":
+    def of(cls, discount: float, pairs: np.ndarray, follows: np.ndarray) -> "Base":
+        """From the pairs of symbols that occur, and before how many symbols each does."""
+        before = np.bincount(pairs & 255, minlength=256)
+        n = max(before.sum(), 1)
+        one = np.maximum(before - discount, 0) / n + discount * (before > 0).sum() / n / 256
+        counts = np.zeros(1 << 16, np.int64)
+        counts[pairs] = follows
+        counts = counts.reshape(256, 256)
+        total, kinds = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
+        n = np.maximum(total, 1)
+        two = np.where(total > 0, np.maximum(counts - discount, 0) / n + discount * kinds / n * one, one)
+        return cls(discount, one, two.ravel())
+
+
+def ratios(grams: np.ndarray, counts: list[np.ndarray], base: Base) -> tuple[np.ndarray, ...]:
+    """Log ratio of each n-gram; contexts and their log ratios, for n-grams that neither class has.
+
+    `grams` has, of all n-grams with the same two symbols before the last, either all or none.
+    """
+    d, lengths = base.discount, gram_lengths(grams)
+    seen: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for n in range(ORDER, 3, -1):  # what stands before n - 1 symbols, in longer n-grams of any kind
+        longer = np.union1d(grams[lengths == n], seen[n][0] if n in seen else grams[:0])
+        seen[n - 1] = np.unique(longer & MASKS[n - 1], return_counts=True)
+    shared: dict[int, np.ndarray] = {}
+
+    def lower(of: np.ndarray, n: int) -> np.ndarray:
+        """The shared probability of n-grams cut to their last n symbols."""
+        cut = of & MASKS[n]
+        if n <= 2:
+            return (base.one if n == 1 else base.two)[cut.astype(np.int64)]
+        return shared[n][np.searchsorted(seen[n][0], cut)]
+
+    for n in range(3, ORDER):
+        types, follows = seen[n]
+        _, of = np.unique(types >> BYTE, return_inverse=True)
+        total, kinds = np.bincount(of, follows), np.bincount(of)
+        shared[n] = np.maximum(follows - d, 0) / total[of] + d * kinds[of] / total[of] * lower(types, n - 1)
+    backoff = np.zeros(len(grams))
+    for n in range(2, ORDER + 1):
+        backoff[lengths == n] = lower(grams[lengths == n], n - 1)
+    contexts, of = np.unique(grams >> BYTE, return_inverse=True)
+    logs, free = [], []
+    for count in counts:
+        total, kinds = np.bincount(of, count, len(contexts)), np.bincount(of, count > 0, len(contexts))
+        free.append(np.where(total > 0, d * kinds / np.maximum(total, 1), 1.0))
+        logs.append(np.log(np.maximum(count - d, 0) / np.maximum(total, 1)[of] + free[-1][of] * backoff))
+    return (logs[1] - logs[0]).astype(np.float32), contexts, (np.log(free[1]) - np.log(free[0])).astype(np.float32)
+
+
+class Table:
+    """Values by 64-bit key. Keys are mixed, so their first bits tell about where they are."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        keys = mix(keys)
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
         bits = min(max(16, int(len(keys)).bit_length()), 26)
-        shift = GRAM_BITS + TAG_BITS - bits
-        starts = np.zeros((1 << bits) + 1, np.int32)
-        np.cumsum(np.bincount(keys >> shift, minlength=1 << bits), out=starts[1:])
-        return cls(of_gram, keys, of_context, shift, starts)
-
-    def __reduce__(self) -> tuple:
-        """Compressed for the broadcast; the index is made again."""
-        return _model, (packed(self.of_gram), packed(self.keys, True), packed(self.of_context))
-
-    def values(self, gram: np.ndarray, context: np.ndarray) -> np.ndarray:
-        """Log ratios of n-grams; where there is none, of their contexts."""
-        out = self.of_context[context]
-        slot = gram >> self.shift
+        self.shift = np.uint64(64 - bits)
+        self.starts = np.zeros((1 << bits) + 1, np.int32)
+        slots = (self.keys >> self.shift).astype(np.int64)
+        np.cumsum(np.bincount(slots, minlength=1 << bits), out=self.starts[1:])
+
+    def fill(self, keys: np.ndarray, out: np.ndarray) -> np.ndarray:
+        """Put the values of known keys into `out`; which keys are unknown."""
+        wanted = mix(keys)
+        slot = (wanted >> self.shift).astype(np.int64)
         at, end = self.starts[slot], self.starts[slot + 1]
+        unknown = np.ones(len(keys), bool)
         left = np.flatnonzero(at < end)
-        at, end, wanted = at[left], end[left], gram[left]
+        at, end, wanted = at[left], end[left], wanted[left]
         while len(left):
             hit = self.keys[at] == wanted
-            out[left[hit]] = self.of_gram[at[hit]]
+            out[left[hit]] = self.values[at[hit]]
+            unknown[left[hit]] = False
             at = at + 1
             more = ~hit & (at < end)
             left, at, end, wanted = left[more], at[more], end[more], wanted[more]
-        return out
+        return np.flatnonzero(unknown)
 
 
-def _model(of_gram: bytes, keys: bytes, of_context: bytes) -> Model:
-    return Model.of(unpacked(of_gram, np.float32), unpacked(keys, np.int64, True), unpacked(of_context, np.float32))
+class Model:
+    """Log ratios of n-grams and of contexts."""
 
+    _loaded: tuple[tuple[str, ...], "Model"] | None = None
 
-def learn(counted: DataFrame, ordinary: Column, toxic: Column) -> Model:
-    """The model of n-grams from `count_grams`, of these two counts.
+    def __init__(self, grams: np.ndarray, of_gram: np.ndarray, contexts: np.ndarray, of_context: np.ndarray):
+        self.grams, self.contexts = Table(grams, of_gram), Table(contexts, of_context)
 
-    Sums by slot have a fixed size; they are gathered and broadcast to compute the ratios.
-    """
-    context = counted.sparkSession.sparkContext
-    seen = counted.select(
-        F.shiftleft(F.col("slot").cast("long"), TAG_BITS).bitwiseOR(F.col("tag")).alias("gram"),
-        "context", "short", "short_context", ordinary.cast("long").alias("ordinary"), toxic.cast("long").alias("toxic"),
-    ).where("ordinary + toxic > 0")
-
-    def by(table: DataFrame, key: str, *sums: Column) -> list[np.ndarray]:
-        found = table.groupBy(key).agg(*(c.alias(f"n{i}") for i, c in enumerate(sums))).toArrow()
-        out = [np.zeros(CONTEXTS, np.int64) for _ in sums]
-        for i, column in enumerate(out):
-            column[found[key].to_numpy()] = found[f"n{i}"].to_numpy()
+    @classmethod
+    def read(cls, files: tuple[str, ...]) -> "Model":
+        """From the files of `learn`; a worker keeps the last model it read."""
+        if cls._loaded is None or cls._loaded[0] != files:
+            cls._loaded = None
+            parts = [pa.ipc.open_file(open_input(f)).read_all() for f in files]
+            whole = pa.concat_tables(parts) if parts else _TABLE.empty_table()
+            is_context, keys, values = (c.to_numpy() for c in whole.columns)
+            is_context = is_context.astype(bool)
+            cls._loaded = files, cls(keys[~is_context], values[~is_context], keys[is_context], values[is_context])
+        return cls._loaded[1]
+
+    def values(self, grams: np.ndarray) -> np.ndarray:
+        """Log ratios of n-grams; where there is none, of their contexts, else 0."""
+        out = np.zeros(len(grams), np.float32)
+        left = self.grams.fill(grams, out)
+        if len(left):
+            of_context = np.zeros(len(left), np.float32)
+            self.contexts.fill(grams[left] >> BYTE, of_context)
+            out[left] = of_context
         return out
 
-    classes = ("ordinary", "toxic")
-    few = seen.agg(*(F.sum(sum((F.col(c) == n).cast("long") for c in classes)) for n in (1, 2))).first()
-    sums = by(seen, "context", *map(F.sum, classes), *(F.count_if(F.col(c) > 0) for c in classes))
-    kinds = by(seen.groupBy("short").agg(F.min("short_context").alias("short_context")), "short_context", F.count("*"))
-    tallies = Tallies(_discount(few[0] or 0, few[1] or 0), *by(seen, "short", F.count("*")), *by(seen, "short_context", F.count("*")), *kinds, sums[:2], sums[2:])
-    given = context.broadcast(tallies)
-
-    def value(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        free = [given.value.free(k) for k in (0, 1)]
-        for batch in batches:
-            gram, context, short, around, *counts = (batch.column(k).to_numpy() for k in range(6))
-            of_gram = given.value.of_grams(context, short, around, counts, free)
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (gram, of_gram)], names=["grams", "ratios"])
 
-    ordered = seen.repartitionByRange("gram").sortWithinPartitions("gram")
-    found = [(np.frombuffer(k, np.int64), np.frombuffer(v, np.float32)) for k, v in ordered.mapInArrow(value, "grams binary, ratios binary").toLocalIterator()]
-    keys, of_gram = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.float32))
-    given.destroy()
-    return Model.of(of_gram, keys, tallies.of_context())
+_TABLE = pa.schema([("is_context", pa.uint8()), ("key", pa.uint64()), ("value", pa.float32())])
+
+
+def learn(counted: DataFrame, ordinary: Column, toxic: Column) -> tuple[str, ...]:
+    """Files of the model of n-grams from `count_grams`, of these two counts."""
+    spark = counted.sparkSession
+    seen = counted.select("gram", ordinary.cast("long").alias("ordinary"), toxic.cast("long").alias("toxic"))
+    seen = seen.where("ordinary + toxic > 0")
+    few = seen.agg(*(F.sum(sum((F.col(c) == n).cast("long") for c in ("ordinary", "toxic"))) for n in (1, 2))).first()
+    once, twice = few[0] or 0, few[1] or 0
+    low = seen.select(F.col("gram").bitwiseAND(F.lit((1 << 24) - 1)).alias("low")).distinct()
+    pairs = low.groupBy(F.col("low").bitwiseAND(F.lit((1 << 16) - 1)).alias("pair"))
+    pairs = pairs.agg(F.count_if(F.col("low") >= 1 << 16).alias("follows")).toArrow()  # at most 65,536 rows
+    discount = float(np.clip(once / max(once + 2 * twice, 1), 0.1, 0.9))
+    base = Base.of(discount, pairs["pair"].to_numpy(), pairs["follows"].to_numpy())
+    folder = scratch_path(spark, "ratios")
+
+    def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [[c.to_numpy() for c in batch.columns] for batch in batches if len(batch)]
+        if not rows:
+            return
+        gram, *counts = (np.concatenate(x) for x in zip(*rows))
+        gram = gram.view(np.uint64)
+        of_gram, contexts, of_context = ratios(gram, counts, base)
+        kind = np.repeat(np.array([0, 1], np.uint8), [len(gram), len(contexts)])
+        table = [kind, np.concatenate((gram, contexts)), np.concatenate((of_gram, of_context))]
+        uri, out = new_file(folder, ".arrow")
+        with out, pa.ipc.new_file(out, _TABLE) as writer:
+            writer.write_table(pa.table(table, schema=_TABLE))
+        yield pa.RecordBatch.from_arrays([pa.array([uri])], names=["uri"])
+
+    dealt = seen.repartition(F.shiftrightunsigned("gram", 8).bitwiseAND(F.lit((1 << 16) - 1)))
+    return tuple(sorted(r["uri"] for r in dealt.mapInArrow(compute, "uri string").collect()))
 
 
 def one_in(rows: int, curve_rows: int) -> int:
@@ -289,16 +283,16 @@ def one_in(rows: int, curve_rows: int) -> int:
 def features(column: pa.Array, model: Model) -> np.ndarray:
     """Per text: mean ratio per byte, means of the most toxic words, log of its words."""
     out = np.zeros((len(column), 2 + len(TOPS)))
-    for first, end, data, offsets in slices(column, 2 << 20):
-        s = symbols(data, offsets, False)
-        if not len(s.gram):
+    for first, end, data, offsets in slices(column, 1 << 20):
+        grams, begins, ends = symbols(data, offsets)
+        if not len(grams):
             continue
-        value = model.values(s.gram, s.context)
+        value = model.values(grams)
         upto = np.concatenate(([0.0], np.cumsum(value, dtype=np.float64)))
-        lengths = s.ends - s.begins
+        lengths = ends - begins
         last = np.cumsum(lengths)
         of_word = upto[last] - upto[last - lengths]
-        of_row = np.searchsorted(s.begins, offsets)
+        of_row = np.searchsorted(begins, offsets)
         for i in range(end - first):
             a, b = of_row[i], of_row[i + 1]
             if a == b:
@@ -370,12 +364,12 @@ def toxicity(
     grams = count_grams(sample)
     grams.write.parquet(place)
     grams = spark.read.schema(grams.schema).parquet(place)
-    part = spark.sparkContext.broadcast(learn(grams, F.col("ordinary_kept"), F.col("toxic_kept")))
+    part = learn(grams, F.col("ordinary_kept"), F.col("toxic_kept"))
     width = 2 + len(TOPS)
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = features(batch.column(0), part.value)
+            x = features(batch.column(0), Model.read(part))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), *(pa.array(x[:, k]) for k in range(width))],
                 names=["toxic", *(f"x{k}" for k in range(width))],
@@ -390,14 +384,12 @@ def toxicity(
         share = float(y.mean()) if len(y) else 0.0
         base = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
         curve = Curve(np.zeros(width), np.ones(width), np.array([base, *[0.0] * width]))
-    part.unpersist()
     every = (F.col(c) + F.col(f"{c}_kept") for c in ("ordinary", "toxic"))
-    model = spark.sparkContext.broadcast((learn(grams, *every), curve))
+    files = learn(grams, *every)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole, final = model.value
         for batch in batches:
-            value = final(features(batch.column(1), whole))
+            value = curve(features(batch.column(1), Model.read(files)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value)], names=["doc_id", "score"])
 
     scored = narrow.mapInArrow(score, "doc_id long, score double")

@@ -167,33 +167,88 @@ def test_toxicity_without_labels_of_both_kinds(spark):
         assert all(abs(r.score - want) < 1e-3 for r in got)
 
 
-def test_class_models_are_distributions():
-    """p_c(x | h) over all bytes that follow a context adds up to at most one, for both classes."""
-    data = np.frombuffer(b"aab aac aad abb abc bbb aab aac", np.uint8)
-    s = kneser_ney.symbols(data, np.array([0, len(data)]), True)
-    packed, at, counts = np.unique(s.gram, return_index=True, return_counts=True)
-    table = {
-        "slot": packed >> kneser_ney.TAG_BITS, "tag": packed & 0xFFFF, "context": s.context[at],
-        "short": s.short_gram[at], "short_context": s.short_context[at],
-    }
-    ratio, tags, of_context = kneser_ney.ratios(table, counts, counts)
-    assert np.allclose(ratio, 0) and np.allclose(of_context, 0) and (tags >= 0).sum() == len(np.unique(table["slot"]))
-
-
-def test_ngrams_seen_once_count(spark):
-    rows = [("abc abd xyz abc", 0, 1), ("abd bbc zorg", 1, 1), ("abc zebra zorb", 0, 1)]
-    sample = spark.createDataFrame(rows, "text string, toxic int, kept int")
-    grams = kneser_ney.count_grams(sample)
-    table = {c: np.array(v) for c, v in grams.toPandas().items()}
-    once = table["ordinary_kept"] + table["toxic_kept"] == 1
-    assert once.sum() > 10
-    want = kneser_ney.ratios(table, table["ordinary_kept"], table["toxic_kept"])
-    got = kneser_ney.learn(grams, F.col("ordinary_kept"), F.col("toxic_kept"))
-    assert (got.keys == want[1]).all() and len(got.keys) == len(once)
-    assert np.allclose(got.of_gram, want[0]) and np.allclose(got.of_context, want[2])
-    keys = (table["slot"].astype(np.int64) << kneser_ney.TAG_BITS) | table["tag"]
-    assert np.allclose(got.values(keys, table["context"]), want[0][np.searchsorted(want[1], keys)])
-    assert np.allclose(got.values(keys + 1, table["context"])[~np.isin(keys + 1, keys)], want[2][table["context"]][~np.isin(keys + 1, keys)])
+def brute_ratios(words, discount):
+    """Log ratios by plain dictionaries; `words` are (word, is toxic). -> {n-gram: ratio}, {context: ratio}"""
+    order = kneser_ney.ORDER
+    raw = [{}, {}]
+    for word, toxic in words:
+        marked = b" " + word.encode()
+        for i in range(1, len(marked)):
+            gram = marked[max(0, i + 1 - order) : i + 1]
+            raw[toxic][gram] = raw[toxic].get(gram, 0) + 1
+    types = {n: set() for n in range(1, order + 1)}  # n-grams that occur, also inside longer ones
+    for gram in [*raw[0], *raw[1]]:
+        types[len(gram)].add(gram)
+    follows = {}
+    for n in range(order, 1, -1):
+        for gram in types[n]:
+            follows[gram[1:]] = follows.get(gram[1:], 0) + 1
+            types[n - 1].add(gram[1:])
+
+    def shared(h, x):
+        if not h:
+            total = sum(c for g, c in follows.items() if len(g) == 1)
+            kinds = sum(1 for g in follows if len(g) == 1)
+            return max(follows.get(x, 0) - discount, 0) / total + discount * kinds / total / 256
+        after = [c for g, c in follows.items() if len(g) == len(h) + 1 and g[:-1] == h]
+        if not after:
+            return shared(h[1:], x)
+        return max(follows.get(h + x, 0) - discount, 0) / sum(after) + discount * len(after) / sum(after) * shared(h[1:], x)
+
+    def conditional(k, h, x):
+        after = [c for g, c in raw[k].items() if g[:-1] == h]
+        if not after:
+            return shared(h[1:], x)
+        return max(raw[k].get(h + x, 0) - discount, 0) / sum(after) + discount * len(after) / sum(after) * shared(h[1:], x)
+
+    def free(k, h):
+        after = [c for g, c in raw[k].items() if g[:-1] == h]
+        return discount * len(after) / sum(after) if after else 1.0
+
+    grams = {*raw[0], *raw[1]}
+    of_gram = {g: math.log(conditional(1, g[:-1], g[-1:])) - math.log(conditional(0, g[:-1], g[-1:])) for g in grams}
+    of_context = {h: math.log(free(1, h)) - math.log(free(0, h)) for h in {g[:-1] for g in grams}}
+    distribution = [sum(conditional(k, h, bytes([x])) for x in range(256)) for k in (0, 1) for h in list(of_context)[:5]]
+    counts = [c for r in raw for c in r.values()]
+    return of_gram, of_context, distribution, (counts.count(1), counts.count(2))
+
+
+def number(gram):
+    return int.from_bytes(gram, "big")
+
+
+def test_class_models_equal_dictionaries(spark):
+    """Every n-gram has the ratio of a plain model with full recursion, those seen once too."""
+    rng = random.Random(6)
+    alphabet = ["ab", "c", "Dé", "f", "abc", "longer"]
+    rows = []
+    for i in range(40):
+        text = " ".join("".join(rng.choices(alphabet, k=rng.randint(1, 5))) for _ in range(rng.randint(1, 12)))
+        rows.append((text, i % 3 == 0, i % 4 != 0))
+    sample = spark.createDataFrame([(t, int(a), int(b)) for t, a, b in rows], "text string, toxic int, kept int").repartition(3)
+    counted = kneser_ney.count_grams(sample)
+    kept = [(w, toxic) for t, toxic, k in rows if k for w in words_of(t)]
+    _, _, _, (once, twice) = brute_ratios(kept, 0.5)
+    discount = min(max(once / (once + 2 * twice), 0.1), 0.9)
+    of_gram, of_context, sums, _ = brute_ratios(kept, discount)
+    assert np.allclose(sums, 1, atol=0.02)  # all but what single bytes leave to bytes in no text
+    model = kneser_ney.Model.read(kneser_ney.learn(counted, F.col("ordinary_kept"), F.col("toxic_kept")))
+    assert len(model.grams.keys) == len(of_gram) and len(model.contexts.keys) == len(of_context)
+    got = model.values(np.array([number(g) for g in of_gram], np.uint64))
+    assert np.allclose(got, list(of_gram.values()), atol=1e-5)
+    unknown = [h + b"~" for h in of_context]
+    assert np.allclose(model.values(np.array([number(g) for g in unknown], np.uint64)), list(of_context.values()), atol=1e-5)
+    assert not model.values(np.array([number(b"zzzzzzzz")], np.uint64)).any()
+
+
+def test_ngrams_of_words():
+    data = "Ab\x00 abcdefghijé".encode()
+    grams, begins, ends = kneser_ney.symbols(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    want = [b" a", b" ab", b" ab\t"]
+    want += [(" abcdefghijé".encode())[max(0, i - 7) : i + 1] for i in range(1, 13)]
+    assert grams.tolist() == [number(g) for g in want]
+    assert kneser_ney.gram_lengths(grams).tolist() == [len(g) for g in want]
+    assert begins.tolist() == [0, 4] and ends.tolist() == [3, 16]
 
 
 def test_the_curve_takes_a_fifth_of_the_rows_there_are():
