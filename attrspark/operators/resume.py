@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrspark.operators.positions import literal, take
+from attrspark.session import freeze
 
 
 def processed_ids(lines: DataFrame, fields: tuple[str, ...] = ("id", "item_id"), line: str = "value"):
@@ -35,8 +36,12 @@ def not_done(items: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
 
 
 def resume_limit(items: DataFrame, done: DataFrame, order: list[str], n: int, key: str = "id"):
-    """The first n items that are not done yet; skipped items do not count."""
-    return take(not_done(items, done, key), order, n)
+    """The first n items that are not done yet; skipped items do not count.
+
+    Order columns of what is left are written once, as the search for the n-th reads them again.
+    """
+    left = not_done(items, done, key)
+    return take(left, order, n, freeze(left.select(*order)))
 
 
 def last_processed(done: DataFrame, order: list[str], key: str = "id") -> DataFrame:

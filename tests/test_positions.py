@@ -57,12 +57,67 @@ def test_batches(hot):
 
 
 @pytest.mark.parametrize("skip,n", [(0, 5), (10, 7), (2995, 50), (4000, 3), (0, 0)])
-def test_both_forms_of_a_range_agree(hot, monkeypatch, skip, n):
+@pytest.mark.parametrize("few", [0, 40, 10_000])
+def test_ranges_whatever_the_passes(hot, monkeypatch, skip, n, few):
+    monkeypatch.setattr(P, "FEW_ROWS", few)
     expected = [i for _, i in sorted(hot_rows(), key=lambda r: r[1])][skip : skip + n]
-    small = sorted(r["i"] for r in P.skip_take(hot, ["i"], skip, n).collect())
-    monkeypatch.setattr(P, "TOP_K_ROWS", -1)
-    large = sorted(r["i"] for r in P.skip_take(hot, ["i"], skip, n).collect())
-    assert small == large == expected
+    assert sorted(r["i"] for r in P.skip_take(hot, ["i"], skip, n).collect()) == expected
+
+
+def in_order(rows):
+    """By k (nulls first), then i descending (nulls last)."""
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1] is None, -(r[1] or 0)))
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_ranges_with_nulls_ties_and_mixed_directions(spark, monkeypatch, few):
+    monkeypatch.setattr(P, "FEW_ROWS", few)
+    draw = random.Random(9)
+    rows = [(draw.choice([None, "a", "b", "hot", "hot"]), draw.choice([None, *range(12)])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "k string, i int").repartition(5)
+    order = ["k", F.desc("i")]
+    for skip, n in ((0, 400), (0, 1), (17, 60), (130, 3), (399, 9), (90, 250)):
+        got = [tuple(r) for r in P.skip_take(df, order, skip, n).collect()]
+        assert in_order(got) == in_order(rows)[skip : skip + n]
+    for rank in (0, 57, 399):
+        key, before = P.key_at(df, order, rank)
+        assert tuple(key) == in_order(rows)[rank] and before == in_order(rows).index(tuple(key))
+    assert P.key_at(df, order, 400) == (None, 400)
+    # An order that ties throughout: the number of rows is right, and each row comes once.
+    wide = df.withColumn("no", F.monotonically_increasing_id())
+    got = [r["no"] for r in P.skip_take(wide, ["k"], 100, 150).collect()]
+    assert len(got) == len(set(got)) == 150
+
+
+def test_selection_moves_and_sorts_no_rows(hot):
+    wide = hot.withColumn("payload", F.repeat(F.lit("x"), 100))
+    plan = P.skip_take(wide, ["i"], 5, 900)._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(word in plan for word in ("Sort", "Limit", "Join", "Window"))
+
+
+def test_positions_copy_keys_only(hot, monkeypatch):
+    seen = []
+    monkeypatch.setattr(P, "freeze", lambda df, keep=P.freeze: seen.append(df.columns) or keep(df))
+    wide = hot.withColumn("payload", F.repeat(F.lit("x"), 100))
+    placed = P.with_position(wide, ["k", "i"])
+    assert seen == [["k", "i", "__n", "__row"]] and placed.columns == ["k", "i", "payload", "pos"]
+    got = [(r["k"], r["i"]) for r in placed.orderBy("pos").collect()]
+    assert got == sorted(hot_rows())
+    assert P.number_within(wide, ["k"], ["i"]).columns == ["k", "i", "payload", "member_no", "n_members"]
+
+
+def test_positions_of_rows_that_tie(spark):
+    rows = [("a", n % 3, n) for n in range(60)] + [(None, None, 60), (None, None, 61)]
+    df = spark.createDataFrame(rows, "k string, i int, no int").repartition(4)
+    got = sorted((r["pos"], r["k"], r["i"]) for r in P.with_position(df, ["k", "i"]).collect() if r["k"])
+    assert [p for p, *_ in got] == list(range(2, 62)) and [i for *_, i in got] == [n for n in range(3) for _ in range(20)]
+    numbered = P.number_within(df, ["k"], ["i"]).collect()
+    assert sorted(r["member_no"] for r in numbered if r["k"]) == list(range(60)) and {r["n_members"] for r in numbered} == {2, 60}
+
+
+def test_order_by_expressions_is_refused(hot):
+    with pytest.raises(ValueError):
+        P.take(hot, [F.col("i") + 1], 3)
 
 
 def test_bad_ranges(hot):
