@@ -71,7 +71,13 @@ def extract_cached(
     out: str = "outcome",
 ) -> DataFrame:
     """Reuse cached records, extract the rest; needs `hash_key`. Adds `hit` and `out`."""
-    seen = lookup(items, cache)
+    return extract_seen(lookup(items, cache), extractor, payload, cache is not None, memoise, out)
+
+
+def extract_seen(
+    seen: DataFrame, extractor: Extractor, payload: str, reuse: bool, memoise: bool = True, out: str = "outcome"
+) -> DataFrame:
+    """`extract_cached` for items that `lookup` has seen; `reuse` if there was a cache."""
     wanted = seen.withColumn("__todo", F.when(~F.col("hit"), F.col(payload)))
     if memoise:
         misses = wanted.where(~F.col("hit"))
@@ -80,7 +86,7 @@ def extract_cached(
         scored = wanted.join(outcomes, "hash_key", "left")
     else:
         scored = extractor.apply(wanted, "__todo", "__new")
-    if cache is None:
+    if not reuse:
         return scored.withColumn(out, F.col("__new")).drop("__todo", "__new", "cached")
     return scored.withColumn(out, reuse_cached(F.col("__new"))).drop("__todo", "__new", "cached")
 

@@ -83,17 +83,6 @@ def pair_positions(members: DataFrame, prefix: str, order: str = "offset", keys=
     )
 
 
-def stem_halves(
-    members: DataFrame, image: Column, text: Column, name: str = "name", keep: tuple[str, ...] = ()
-) -> tuple[DataFrame, DataFrame]:
-    """Image rows (stem, image) and text rows (stem, text, stripped)."""
-    kind = member_kind(F.col(name), STREAM_IMAGE_SUFFIXES, TEXT_SUFFIXES)
-    key = stem(F.col(name)).alias("stem")
-    images = members.where(kind == "image").select(key, image.alias("image"), *keep)
-    texts = members.where(kind == "text").select(key, strip(text).alias("text"), *keep)
-    return images, texts
-
-
 def pair_by_stem(members: DataFrame, image: Column, text: Column, order: str = "pos") -> DataFrame:
     """Inner pairing on the whole stem; of repeated halves the last one counts."""
     kind = member_kind(F.col("name"), STREAM_IMAGE_SUFFIXES, TEXT_SUFFIXES)

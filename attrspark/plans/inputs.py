@@ -98,6 +98,19 @@ def members(documents: DataFrame) -> DataFrame:
     )
 
 
+def pictured(documents: DataFrame) -> DataFrame:
+    """doc_id, id and nullable image (few different ones, some damaged), text, caption."""
+    d = F.col("doc_id")
+    marker = F.concat(F.when(d % 11 == 0, "bad:").otherwise("img:"), F.md5((d % 100).cast("string")))
+    return documents.select(
+        d,
+        d.cast("string").alias("id"),
+        F.when(d % 3 == 0, F.struct(marker.cast("binary").alias("bytes"))).alias("image"),
+        F.when(d % 2 == 0, F.col("text")).alias("text"),
+        F.when(d % 5 == 0, F.concat(F.lit("caption "), F.col("lang"))).alias("caption"),
+    )
+
+
 def done_ids(labels: DataFrame) -> DataFrame:
     return labels.select(F.col("doc_id").cast("string").alias("id"))
 
@@ -119,13 +132,14 @@ def label_vectors(embeddings: DataFrame) -> LabelVectors:
     return LabelVectors.from_frame(labels.select(F.col("vec_id").alias("ordinal"), F.col("embedding").alias("vector")))
 
 
-def cache_log(events: DataFrame) -> DataFrame:
-    """hash_key, attributes (JSON text), ts, seq."""
+def cache_log(events: DataFrame, *more: str) -> DataFrame:
+    """hash_key, attributes (JSON text), ts, seq, and `more` columns of the events."""
     return events.select(
         F.md5(F.col("user_id").cast("string")).alias("hash_key"),
         F.col("props").alias("attributes"),
         "ts",
         F.col("event_id").alias("seq"),
+        *more,
     )
 
 

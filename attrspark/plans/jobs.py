@@ -20,10 +20,12 @@ from attrspark.operators.cache import (
     CacheTable,
     cache_key,
     extract_cached,
+    extract_seen,
     lookup,
     new_entries,
     reuse_cached,
 )
+from attrspark.operators.chosen import PLACE, chosen_in_place, with_places
 from attrspark.operators.extract import (
     extract_sources,
     image_bytes,
@@ -127,6 +129,7 @@ def shard_job(
     pairs = shard_pairs(spark, path, prefix)
     todo = _remaining(pairs, output, resume, ["tar", "at", "id"])
     if samples is not None:
+        todo = freeze(todo)  # narrow rows, read again by each step of the search
         todo = take(todo, ["tar", "at", "id"], samples)
     # Both halves of a pair usually lie next to each other: one arrangement serves both reads.
     tasks = read_tasks(spark, path)
@@ -224,6 +227,10 @@ def dataset_job(
     id must therefore have one value of `order`; else limited runs are refused.
 
     Rows without image, text and caption become error rows.
+
+    A dataset of Parquet files, also projected or filtered, is decided on by narrow rows: ids,
+    order columns and content digests are shuffled, images and texts are not. Any other dataset
+    goes through the joins as it is.
     """
     texts = texts or LexicalExtractor()
     rows = with_row_ids(dataset)
@@ -232,34 +239,54 @@ def dataset_job(
         if not split.where(~F.col("a").eqNullSafe(F.col("b"))).isEmpty():
             raise ValueError(f"rows of one id differ in {order}: a limited run would leave some out")
     order = [*(c for c in order or [] if c != "id"), "id"]
-    rows = _remaining(rows, output, resume, order)
-    if samples is not None:
-        rows = take_in_place(rows, order, samples)
-    tags = tag_source(rows)
-    rows = with_tags(rows, tags, rules, only_if=tags.isNotNull())
-    # Without an image extractor the texts of all rows are used.
-    rows = with_source(rows if images is not None else rows.drop("image"), keep_empty=True)
-    if images is not None and "image" in rows.columns:
-        rows = rows.withColumn("image", image_bytes(rows))
+    stored = cache.read() if cache is not None else None
+
+    def sourced(df: DataFrame) -> DataFrame:
+        """With source, text_input, plain image bytes and, for the cache, hash_key."""
+        # Without an image extractor the texts of all rows are used.
+        df = with_source(df if images is not None else df.drop("image"), keep_empty=True)
+        key = cache_key("text", F.col("text_input"))
+        if images is not None and "image" in df.columns:
+            df = df.withColumn("image", image_bytes(df))
+            key = F.when(F.col("source") == "image", cache_key("image", F.col("image"))).otherwise(key)
+        return df.withColumn("hash_key", key if cache is not None else F.lit(None).cast("string"))
+
+    def selected(df: DataFrame) -> DataFrame:
+        df = _remaining(df, output, resume, order)
+        if samples is not None:
+            df = take_in_place(df, order, samples, freeze(df.select(*order)))
+        return lookup(df, stored)
+
+    places = with_places(rows) if samples is not None or cache is not None or resume.mode != "none" else None
+    if places is None:
+        rows = sourced(with_row_tags(rows, rules))
+        rows = selected(rows)
+    else:
+        # Decided on narrow rows; images and texts are read again by the tasks that use them.
+        narrow = sourced(places).select(*dict.fromkeys([*order, "hash_key", *PLACE]))
+        found = selected(narrow)
+        kept = ["hit", "cached", "__known"] if stored is not None else ["hit"]
+        found = found.withColumn("__known", F.col("hash_key"))
+        rows = sourced(with_row_tags(chosen_in_place(places, found, kept), rules))
+        if stored is not None:  # rows made of one row under one id may differ in content
+            rows = rows.withColumn("hit", F.col("hit") & F.col("__known").eqNullSafe(F.col("hash_key"))).drop("__known")
     keep = ["id", "source", "outcome", "tags", "hit", "hash_key"]
-    vocabulary = texts.vocabulary
-    if cache is None:
-        done = marked_empty(extract_sources(rows, images, texts))
-        done = done.withColumn("hit", F.lit(False)).withColumn("hash_key", F.lit(None).cast("string"))
-        return _finish(done.select(*keep), output, resume.mode != "none", None, vocabulary)
-    text_key = cache_key("text", F.col("text_input"))
     if images is None:
-        rows = rows.withColumn("hash_key", text_key)
-        done = marked_empty(extract_cached(rows, texts, "text_input", cache.read(), memoise))
-        return _finish(done.select(*keep), output, resume.mode != "none", cache, vocabulary)
-    is_image = F.col("source") == "image"
-    key = F.when(is_image, cache_key("image", F.col("image"))).otherwise(text_key)
-    seen = lookup(rows.withColumn("hash_key", key), cache.read())
-    for column in ("image", "text_input"):
-        seen = seen.withColumn(column, F.when(~F.col("hit"), F.col(column)))
-    done = extract_sources(seen, images, texts)
-    done = marked_empty(done.withColumn("outcome", reuse_cached(F.col("outcome"))))
-    return _finish(done.select(*keep), output, resume.mode != "none", cache, vocabulary)
+        done = marked_empty(extract_seen(rows, texts, "text_input", stored is not None, memoise))
+        return _finish(done.select(*keep), output, resume.mode != "none", cache, texts.vocabulary)
+    if stored is not None:
+        for column in {"image", "text_input"} & set(rows.columns):
+            rows = rows.withColumn(column, F.when(~F.col("hit"), F.col(column)))
+    done = extract_sources(rows, images, texts)
+    if stored is not None:
+        done = done.withColumn("outcome", reuse_cached(F.col("outcome")))
+    return _finish(marked_empty(done).select(*keep), output, resume.mode != "none", cache, texts.vocabulary)
+
+
+def with_row_tags(rows: DataFrame, rules: TagRules) -> DataFrame:
+    """With `tags`, from the column that has them."""
+    tags = tag_source(rows)
+    return with_tags(rows, tags, rules, only_if=tags.isNotNull())
 
 
 def directory_job(

@@ -465,6 +465,23 @@ JOIN (SELECT id, {lexical_columns('text')} FROM pairs) t ON t.id = f.id""",
 SELECT CAST(c_custkey AS VARCHAR) AS id, CASE WHEN caption IS NULL THEN 'unknown' ELSE 'caption' END AS source,
   CASE WHEN caption IS NULL THEN 'no_input' END AS error,
   {lexical_columns('caption')}, CAST(len(t) AS INT) AS tag_count FROM tagged""",
+    "dataset_job_images": f"""WITH f11 AS (
+  SELECT doc_id AS pos, CAST(doc_id AS VARCHAR) AS id, doc_id % 3 = 0 AS pictured,
+    CASE WHEN doc_id % 11 = 0 THEN 'bad:' ELSE 'img:' END || md5(CAST(doc_id % 100 AS VARCHAR)) AS payload,
+    CASE WHEN doc_id % 2 = 0 THEN text END AS text,
+    CASE WHEN doc_id % 5 = 0 THEN 'caption ' || lang END AS caption
+  FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+),
+used AS (SELECT *, coalesce(text, caption) AS words FROM f11),
+{MARKERS.format(source="(SELECT * FROM f11 WHERE pictured)").removeprefix("WITH ")}
+SELECT f.id, CASE WHEN pictured THEN 'image' WHEN text IS NOT NULL THEN 'text'
+    WHEN caption IS NOT NULL THEN 'caption' ELSE 'unknown' END AS source,
+  CASE WHEN pictured THEN CASE WHEN w.pos IS NULL THEN 'not an image' END
+    WHEN words IS NULL THEN 'no_input' END AS error,
+  {", ".join(f"CASE WHEN pictured THEN w.{n} ELSE t.{n} END AS {n}" for n in NAMES)},
+  CAST(NULL AS INT) AS tag_count
+FROM used f LEFT JOIN wide w ON w.pos = f.pos
+JOIN (SELECT id, {lexical_columns('words')} FROM used) t ON t.id = f.id""",
     "wave_job_results": f"""WITH {CAPTIONS}, tagged AS (SELECT *, {TAG_SOURCE} AS t FROM f1)
 SELECT CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey - c_custkey % 2 AS VARCHAR) ELSE 'made' END AS id,
   CASE WHEN caption IS NULL THEN 'unknown' ELSE 'caption' END AS source,

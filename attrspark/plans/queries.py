@@ -37,7 +37,6 @@ from attrspark.operators.pairing import (
     pair_by_id,
     pair_by_stem,
     shard_stats,
-    stem_halves,
 )
 from attrspark.operators.results import batch_summary, dataset_stats, merge_results, run_summary
 from attrspark.operators.scorers import IMAGE_MISSING, LexicalExtractor, ModelExtractor, VectorExtractor
@@ -454,18 +453,14 @@ def extract_cached_(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def cache_table(spark: SparkSession, folder: str) -> DataFrame:
-    # Events of each type are one write; the last write that has a key wins.
-    log = IN.cache_log(load(spark, folder, "events"))
-    kinds = load(spark, folder, "events").select(F.col("event_id").alias("seq"), "event_type")
+    """The event types in a row: of the types that have a key the last, of its events the latest."""
     record = F.from_json(
         F.replace(F.col("attributes"), F.lit('"k": '), F.lit('"Age": ')), IMAGE_VOCABULARY.schema
     )
+    log = IN.cache_log(load(spark, folder, "events"), "event_type").withColumn("attributes", record)
+    newest = latest(log, ["hash_key"], ["event_type", "ts", "seq"])
     cache = CacheTable(spark, scratch_path(spark, "cache"))
-    entries = log.join(kinds, "seq").withColumn("attributes", record)
-    for kind in sorted(r[0] for r in kinds.select("event_type").distinct().collect()):
-        part = entries.where(F.col("event_type") == kind).drop("event_type")
-        cache.put(latest(part, ["hash_key"], ["ts", "seq"]).drop("seq"))
-    cache.compact()
+    cache.put(newest.drop("event_type", "seq"))
     return cache.read().select("hash_key", F.col("attributes.Age").alias("k"))
 
 
@@ -569,16 +564,25 @@ def _finished(query) -> None:
 
 @query
 def stream_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    def halves() -> tuple[DataFrame, DataFrame]:
-        rows = IN.members(_stream(spark, folder, "documents"))
+    """One pair per stem, also where an earlier copy of the image came before it."""
+
+    def members(documents: DataFrame) -> DataFrame:
+        rows = IN.members(documents)
         at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id") % 86_400)
-        return stem_halves(rows.withColumn("at", at), F.col("name"), F.col("payload"), keep=("at",))
+        rows = rows.select("pos", "name", "payload", at.alias("at"), F.col("doc_id") % 3 == 1)
+        *columns, again = rows.columns
+        once = F.struct(*columns)
+        earlier = F.struct((-1 - F.col("pos")).alias("pos"), "name", F.lit("replaced").alias("payload"), "at")
+        twice = F.when(F.col(again) & (member_kind(F.col("name")) == "image"), F.array(earlier, once))
+        return rows.select(F.explode(F.coalesce(twice, F.array(once))).alias("m")).select("m.*")
 
     # All event times lie within one day, so with this delay no half is ever late.
-    pairs = S.pair_stream(halves()[0], halves()[1], "at", "2 days", "1 hour")
+    streamed = members(_stream(spark, folder, "documents"))
+    pairs = S.pair_stream(streamed.select("pos", "name", "at"), "pos", "at", "2 days", "1 hour")
     path = scratch_path(spark, "pairs")
     _finished(S.append_stream(pairs, path, scratch_path(spark, "pairs-state")))
-    return spark.read.schema("stem string, image string, text string").json(path)
+    found = spark.read.schema("stem string, image_at long, text_at long").json(path)
+    return S.with_halves(found, members(load(spark, folder, "documents")), "pos", F.col("name"), F.col("payload"))
 
 
 @query
@@ -650,6 +654,19 @@ def dataset_job_results(spark: SparkSession, folder: str) -> DataFrame:
     return _named(read_results(spark, output))
 
 
+@query
+def dataset_job_images(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows with images, texts and captions, some done before, in two runs that share a cache."""
+    rows = IN.pictured(load(spark, folder, "documents"))
+    output = scratch_path(spark, "dataset-images")
+    write_results(IN.done_ids(load(spark, folder, "labels")), output)
+    cache = CacheTable(spark, scratch_path(spark, "cache"))
+    images = ModelExtractor(IN.MarkerScorer())
+    dataset_job(rows, output, images, order=["doc_id"], samples=max(1, rows.count() // 4), cache=cache)
+    dataset_job(rows, output, images, cache=cache)
+    return _named(read_results(spark, output).where(F.col("source").isNotNull()))
+
+
 @query
 def wave_job_results(spark: SparkSession, folder: str) -> DataFrame:
     """A job in four waves over rows with repeated and missing ids, some without input."""

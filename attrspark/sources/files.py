@@ -8,25 +8,29 @@ from pyarrow import fs
 from pyspark.sql import SparkSession
 
 
-def _resolve(path: str) -> tuple[fs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
+def resolve(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and path in it of a path or URI; Hadoop's s3a and s3n names mean s3."""
+    for alias in ("s3a://", "s3n://"):
+        if path.startswith(alias):
+            path = "s3://" + path[len(alias) :]
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = path[len("file:") :]
+    if "://" in path:
         return fs.FileSystem.from_uri(path)
     return fs.LocalFileSystem(), path
 
 
 def open_file(path: str) -> Any:
     """A seekable binary file object."""
-    if path.startswith("file:"):
-        path = _resolve(path)[1]
-    if "://" not in path:
-        return open(path, "rb")
-    store, inner = _resolve(path)
+    store, inner = resolve(path)
+    if isinstance(store, fs.LocalFileSystem):
+        return open(inner, "rb")
     return store.open_input_file(inner)
 
 
 def list_files(path: str, endings: tuple[str, ...]) -> list[tuple[str, int]]:
     """(path, size) of a file, or of all files below a folder with one of the endings."""
-    store, inner = _resolve(path)
+    store, inner = resolve(path)
     info = store.get_file_info(inner)
     scheme = path.split("://", 1)[0] + "://" if "://" in path and not path.startswith("file:") else ""
     if info.type == fs.FileType.File:

@@ -1,13 +1,14 @@
 """Streams: pairing, de-duplication across restarts, cache updates, progress."""
 
 import time
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
 from attrspark.functions.attributes import from_json
 from attrspark.operators.cache import CacheTable
 from attrspark.operators.extract import to_results
-from attrspark.operators.pairing import pair_by_stem, stem_halves
+from attrspark.operators.pairing import pair_by_stem
 from attrspark.operators.scorers import LexicalExtractor
 from attrspark.session import scratch_path
 from attrspark.sources.tables import dataset, read_results
@@ -55,16 +56,43 @@ def test_halves_that_arrive_in_different_batches(spark):
     ]
     for rows in everything:
         feed(spark, source, rows, schema)
-        halves = [
-            stem_halves(dataset(spark, source, streaming=True), F.col("v"), F.col("v"), keep=("at",))
-            for _ in range(2)
-        ]
-        finish(S.append_stream(S.pair_stream(halves[0][0], halves[1][1], "at", "1 hour", "1 hour"), out, state))
-    streamed = {tuple(r) for r in spark.read.schema("stem string, image string, text string").json(out).collect()}
-    batch = pair_by_stem(spark.read.parquet(source), F.col("v"), F.col("v"))
+        members = dataset(spark, source, streaming=True)
+        finish(S.append_stream(S.pair_stream(members, "pos", "at", "1 hour", "1 hour"), out, state))
+    pairs = spark.read.schema("stem string, image_at long, text_at long").json(out)
+    table = spark.read.parquet(source)
+    streamed = {tuple(r) for r in S.with_halves(pairs, table, "pos", F.col("v"), F.col("v")).collect()}
+    batch = pair_by_stem(table, F.col("v"), F.col("v"))
     assert streamed == {tuple(r) for r in batch.collect()} == {("x_1", "i1", "t1"), ("x_2", "i2", "t2")}
 
 
+def test_halves_pair_one_to_one_and_are_freed(spark):
+    """Repeated halves: the last one counts, each is in one pair; a match and time free the state."""
+    source, out, state = (scratch_path(spark, n) for n in ("in", "out", "state"))
+    schema = "pos long, name string, at timestamp"
+    day = spark.sql("SELECT timestamp'2024-01-01 00:00:00' AS t").first()["t"]
+
+    def run(rows, hours):
+        feed(spark, source, [(p, n, day + timedelta(hours=hours)) for p, n in rows], schema)
+        query = S.append_stream(S.pair_stream(dataset(spark, source, streaming=True), "pos", "at", "1 hour", "6 hours"), out, state)
+        finish(query)
+        found = spark.read.schema("stem string, image_at long, text_at long").json(out)
+        left = [p["stateOperators"][0]["customMetrics"] for p in query.recentProgress if p["stateOperators"]]
+        return sorted(map(tuple, found.collect())), left
+
+    first = [(n, "hot.jpg") for n in range(40)] + [(40, "a.png"), (41, "a.txt"), (42, "b.txt"), (43, "late.jpg"), (44, "x.json")]
+    assert run(first, 0)[0] == [("a", 40, 41)]
+    # The last of forty images waits; one pair, not forty. A pair that is done does not come again.
+    second = [(50, "hot.txt"), (51, "b.jpg"), (52, "a.txt")]
+    assert run(second, 1)[0] == [("a", 40, 41), ("b", 51, 42), ("hot", 39, 50)]
+    # A second image of a finished stem waits for a text of its own, which has come.
+    third = run([(60, "a.jpg"), (61, "hot.txt")], 2)[0]
+    assert third == [("a", 40, 41), ("a", 60, 52), ("b", 51, 42), ("hot", 39, 50)]
+    # `late.jpg` has waited for more than six hours when its text comes: nothing is left to match.
+    run([(70, "other.txt")], 20)
+    run([(71, "another.txt")], 21)
+    assert run([(72, "late.txt")], 22)[0] == third
+
+
 def test_cache_stream_is_idempotent(spark):
     source, state = scratch_path(spark, "in"), scratch_path(spark, "state")
     cache = CacheTable(spark, scratch_path(spark, "cache"))
