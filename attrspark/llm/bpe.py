@@ -18,6 +18,8 @@ from attrspark.llm.words import span_hashes, slices
 
 _KEEP_BYTES = 64
 _JOINED = 1000
+#: Bytes of text handled at a time: the library's own results take about a hundred for each.
+_SLICE = 1 << 20
 
 
 class Memory:
@@ -32,6 +34,16 @@ class Memory:
         order = np.argsort(keys)
         self.keys, self.starts, self.lengths, self.pool = keys[order], starts[order], lengths[order], pool
 
+    def add(self, keys: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pool: np.ndarray) -> None:
+        """Know these as well; `pool` goes on from the one there is."""
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        self.keys, self.starts, self.lengths = (
+            np.insert(old, at, new[order])
+            for old, new in ((self.keys, keys), (self.starts, starts), (self.lengths, lengths))
+        )
+        self.pool = pool
+
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(whether known, place) of each hash."""
         if not len(self.keys):
@@ -164,12 +176,7 @@ class Encoder:
         memory = self.memory
         added = new[short[new]]
         if len(memory.keys) + len(added) <= memory.limit:
-            memory.keep(
-                np.concatenate((memory.keys, keys[added])),
-                np.concatenate((memory.starts, starts[added])),
-                np.concatenate((memory.lengths, lengths[added])),
-                pool,
-            )
+            memory.add(keys[added], starts[added], lengths[added], pool)
             return
         used = np.flatnonzero(short)[: memory.limit]
         ids = gathered(pool, starts[used], lengths[used])
@@ -177,7 +184,7 @@ class Encoder:
 
     def encode(self, column: pa.Array, end: int | None = None):
         """Yields (first row, ids, row offsets) for runs of rows; `end` closes every row."""
-        for first, _, data, offsets in slices(column):
+        for first, _, data, offsets in slices(column, _SLICE):
             yield first, *self._slice(data, offsets, end)
 
 

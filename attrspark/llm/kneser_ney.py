@@ -41,7 +41,9 @@ ORDER = 8
 MARK = 32
 MASKS = np.array([(1 << 8 * n) - 1 for n in range(ORDER + 1)], np.uint64)
 BYTE = np.uint64(8)
-HELD = 1_000_000
+HELD = 500_000
+#: Bytes of text handled at a time; arrays over them take some hundred bytes for each.
+SLICE = 1 << 18
 TOPS = (1, 2, 4)
 COUNT_NAMES = ["ordinary", "toxic", "ordinary_kept", "toxic_kept"]
 COUNTS = "gram long, " + ", ".join(f"{c} long" for c in COUNT_NAMES)
@@ -100,7 +102,7 @@ def count_grams(sample: DataFrame) -> DataFrame:
 
         for batch in batches:
             kind = batch.column(1).to_numpy(zero_copy_only=False) + 2 * batch.column(2).to_numpy(zero_copy_only=False)
-            for first, end, data, offsets in slices(batch.column(0), 1 << 20):
+            for first, end, data, offsets in slices(batch.column(0), SLICE):
                 gram, begins, ends = symbols(data, offsets)
                 if not len(gram):
                     continue
@@ -185,11 +187,10 @@ class Table:
         keys = mix(keys)
         order = np.argsort(keys)
         self.keys, self.values = keys[order], values[order]
-        bits = min(max(16, int(len(keys)).bit_length()), 26)
+        bits = min(max(12, int(len(keys)).bit_length() - 1), 24)
         self.shift = np.uint64(64 - bits)
-        self.starts = np.zeros((1 << bits) + 1, np.int32)
-        slots = (self.keys >> self.shift).astype(np.int64)
-        np.cumsum(np.bincount(slots, minlength=1 << bits), out=self.starts[1:])
+        edges = np.arange(1 << bits, dtype=np.uint64) << self.shift
+        self.starts = np.append(np.searchsorted(self.keys, edges), len(keys)).astype(np.int32)
 
     def fill(self, keys: np.ndarray, out: np.ndarray) -> np.ndarray:
         """Put the values of known keys into `out`; which keys are unknown."""
@@ -210,7 +211,7 @@ class Table:
 
 
 class Model:
-    """Log ratios of n-grams and of contexts."""
+    """Log ratios of n-grams and of contexts; a worker reads them once per task."""
 
     _loaded: tuple[tuple[str, ...], "Model"] | None = None
 
@@ -219,16 +220,24 @@ class Model:
 
     @classmethod
     def read(cls, files: tuple[str, ...]) -> "Model":
-        """From the files of `learn`; a worker keeps the last model it read."""
+        """From the files of `learn`, or as the task has read them before."""
         if cls._loaded is None or cls._loaded[0] != files:
             cls._loaded = None
-            parts = [pa.ipc.open_file(open_input(f)).read_all() for f in files]
-            whole = pa.concat_tables(parts) if parts else _TABLE.empty_table()
-            is_context, keys, values = (c.to_numpy() for c in whole.columns)
-            is_context = is_context.astype(bool)
-            cls._loaded = files, cls(keys[~is_context], values[~is_context], keys[is_context], values[is_context])
+            found: tuple[list, list, list, list] = ([], [], [], [])
+            for file in files:
+                kind, keys, values = (c.to_numpy() for c in pa.ipc.open_file(open_input(file)).read_all().columns)
+                for i in (0, 1):
+                    found[2 * i].append(keys[kind == i])
+                    found[2 * i + 1].append(values[kind == i])
+            empty = (np.zeros(0, np.uint64), np.zeros(0, np.float32)) * 2
+            cls._loaded = files, cls(*(np.concatenate([e, *x]) for e, x in zip(empty, found)))
         return cls._loaded[1]
 
+    @classmethod
+    def forget(cls) -> None:
+        """At the end of a task: the worker may go on with another operator."""
+        cls._loaded = None
+
     def values(self, grams: np.ndarray) -> np.ndarray:
         """Log ratios of n-grams; where there is none, of their contexts, else 0."""
         out = np.zeros(len(grams), np.float32)
@@ -283,7 +292,7 @@ def one_in(rows: int, curve_rows: int) -> int:
 def features(column: pa.Array, model: Model) -> np.ndarray:
     """Per text: mean ratio per byte, means of the most toxic words, log of its words."""
     out = np.zeros((len(column), 2 + len(TOPS)))
-    for first, end, data, offsets in slices(column, 1 << 20):
+    for first, end, data, offsets in slices(column, SLICE):
         grams, begins, ends = symbols(data, offsets)
         if not len(grams):
             continue
@@ -374,6 +383,7 @@ def toxicity(
                 [batch.column(1), *(pa.array(x[:, k]) for k in range(width))],
                 names=["toxic", *(f"x{k}" for k in range(width))],
             )
+        Model.forget()
 
     schema = "toxic int, " + ", ".join(f"x{k} double" for k in range(width))
     seen = sample.where("kept = 0").select("text", "toxic").mapInArrow(measure, schema).toArrow()
@@ -391,6 +401,7 @@ def toxicity(
         for batch in batches:
             value = curve(features(batch.column(1), Model.read(files)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(value)], names=["doc_id", "score"])
+        Model.forget()
 
     scored = narrow.mapInArrow(score, "doc_id long, score double")
     return scored.select(

@@ -35,6 +35,8 @@ from attrspark.llm.words import mix, shingle_hashes, slices, word_hashes
 from attrspark.session import scratch_path
 
 BANDS, ROWS = 30, 5
+#: Bytes of text handled at a time; memory goes with it, not with the size of a batch.
+SLICE = 1 << 20
 SKETCHES = StructType(
     [
         StructField("doc_id", LongType()),
@@ -101,7 +103,7 @@ def sketches(docs: DataFrame, shingle: int, bands: int = BANDS, rows: int = ROWS
     def sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketcher = Sketcher(bands, rows)
         for batch in batches:
-            for first, end, data, offsets in slices(batch.column(1)):
+            for first, end, data, offsets in slices(batch.column(1), SLICE):
                 words, of_row = word_hashes(data, offsets)
                 n = end - first
                 size, set_a, set_b = (np.zeros(n, np.uint64) for _ in range(3))
@@ -147,7 +149,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
             sets: list[list[np.ndarray]] = []
             for column in (batch.column(2), batch.column(3)):
                 sets.append([])
-                for first, end, data, offsets in slices(column):
+                for first, end, data, offsets in slices(column, SLICE):
                     words, of_row = word_hashes(data, offsets)
                     sets[-1] += [shingle_set(words[of_row[i] : of_row[i + 1]], shingle) for i in range(end - first)]
             keep = []

@@ -46,7 +46,7 @@ class _Powers:
     @classmethod
     def cover(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
-            size = max(n, SLICE_BYTES)
+            size = 1 << max(20, int(n - 1).bit_length())
             for name, base in (("up", int(_MULTIPLIER)), ("down", pow(int(_MULTIPLIER), -1, 1 << 64))):
                 row = np.full(size, base, dtype=np.uint64)
                 row[0] = 1
