@@ -1,31 +1,33 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-States are contexts of zero, one or two words. A context is a candidate if it makes up at
-least `P_CONTEXT` of the training tokens, and is retained if the divergence of its smoothed
-next-symbol distribution from that of its suffix, estimated with each observation left out,
-is at least `DIVERGENCE` nats. A token is scored in the longest suffix of what precedes it
-that is a retained state.
+States are contexts of zero to `DEPTH` words. A context is a candidate if it occurs at least
+`LEAST` times in the training documents, whatever their size, and is retained if the
+divergence of its smoothed next-symbol distribution from that of its suffix, estimated with
+each observation left out, is at least `DIVERGENCE` nats. A token is scored in the longest
+suffix of what precedes it that is a retained state.
 
-Distributions are smoothed by absolute discounting: at the root, what is taken from the
+Distributions are smoothed by absolute discounting. At the root, what is taken from the
 words seen goes to the one symbol that stands for all unseen words; at a deeper state it
-goes to the suffix, for words that follow it with at least `P_PAIR` of the training tokens:
+goes to the suffix:
 
     p(w | c) = max(n(cw) - d, 0) / n(c) + free(c) * p(w | suffix of c)
 
-so each state's probabilities add up to one over the known words and the unseen symbol.
-Because shares of the training tokens bound contexts and pairs (at most 1 / P of them,
-whatever the corpus), the tree above the root can be broadcast. Counts of single words are
-not bounded and never gathered.
-
-Documents are read once into chunks: a chunk's distinct words, sorted, and its tokens as
-positions in them. N-gram counts are summed per chunk and then by hash range, a few large
-rows per chunk and range; however frequent an n-gram is, a chunk sends it once.
+so each state's probabilities add up to one over the known words and the unseen symbol. All
+words that follow a candidate count, also those that do so once.
+
+Documents are read once into chunks, files of about `CHUNK_TOKENS` tokens: a chunk's
+distinct words, sorted, and its tokens as positions in them. Nothing of the tree is
+gathered. It is grown one word of context at a time: each chunk sends its distinct n-grams
+whose context is a candidate to the hash range of the context, with their training counts
+and their probabilities in the suffix, both known from the pass before. A range sums the
+counts, tests its contexts, and answers each chunk in the order of its n-grams. However
+frequent an n-gram is, a chunk sends it once; a chunk and a range that share no n-gram
+exchange nothing, so the rows sent are at most the n-grams.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,18 +37,19 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from attrspark.llm.files import new_file, open_input
 from attrspark.llm.words import mix, slices, word_hashes
 from attrspark.session import scratch_path
 
-P_CONTEXT, P_PAIR = 1e-5, 1e-6
+LEAST, DEPTH = 2, 3
 DIVERGENCE = 0.02
 CHUNK_TOKENS = 1_500_000
-KEYS_PER_TASK = 2_000_000
-_WORD_BITS = 44
+KEYS_PER_TASK = 1_000_000
 END = np.uint64(0x5851F42D4C957F2D)
-CHUNKS = "chunk string, doc_ids binary, nulls binary, held binary, lengths binary, words binary, tokens binary, n_words long, n_train long"
-CHUNK_NAMES = [c.split()[0] for c in CHUNKS.split(", ")]
-COUNTED = "kind string, chunk string, part int, keys binary, counts binary"
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+CHUNKS = "chunk string, n_words long, n_train long"
+ANSWERS = "kind string, chunk string, level int, part int, counts binary, free binary"
+MESSAGE = "part int, chunk string, contexts binary, followers binary, words binary, at binary, counts binary, suffix binary"
 
 
 def packed(values: np.ndarray, sort_of: bool = False) -> bytes:
@@ -65,283 +68,318 @@ def unpacked(raw: bytes, kind: type, sort_of: bool = False) -> np.ndarray:
     return np.cumsum(values, dtype=kind) if sort_of else values
 
 
-def chunked(docs: DataFrame) -> DataFrame:
-    """`docs(doc_id, held, text)` as chunks of about `CHUNK_TOKENS` tokens."""
+@dataclass
+class Chunk:
+    """The arrays of a chunk: per document id, null id, held out and tokens; the words' hashes;
+    the tokens as positions in them."""
+
+    doc_ids: np.ndarray
+    nulls: np.ndarray
+    held: np.ndarray
+    lengths: np.ndarray
+    words: np.ndarray
+    tokens: np.ndarray
+
+    # The order and the kinds of the arrays in a file.
+    FIELDS = (("doc_ids", np.int64), ("nulls", np.uint8), ("held", np.uint8), ("lengths", np.uint32), ("words", np.uint64), ("tokens", np.uint32))
+
+    def write(self, folder: str) -> str:
+        uri, out = new_file(folder, ".chunk")
+        with out:
+            for name, kind in self.FIELDS:
+                raw = packed(getattr(self, name).astype(kind), name == "words")
+                out.write(len(raw).to_bytes(8, "little") + raw)
+        return uri
+
+    @classmethod
+    def read(cls, uri: str) -> "Chunk":
+        with open_input(uri) as source:
+            arrays = [unpacked(source.read(int.from_bytes(source.read(8), "little")), kind, name == "words") for name, kind in cls.FIELDS]
+        ids, nulls, held, lengths, words, tokens = arrays
+        return cls(ids, nulls.astype(bool), held.astype(bool), lengths.astype(np.int64), words, tokens.astype(np.int64))
+
+    def follows(self) -> np.ndarray:
+        """Which tokens have one of their document before them."""
+        out = np.ones(len(self.tokens), dtype=bool)
+        out[np.cumsum(self.lengths) - self.lengths] = False
+        return out
+
+    def training(self) -> np.ndarray:
+        return np.repeat(~self.held, self.lengths)
+
+
+def chunked(docs: DataFrame, folder: str) -> DataFrame:
+    """`docs(doc_id, held, text)` as files of about `CHUNK_TOKENS` tokens in `folder`."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_rows: list[tuple[np.ndarray, ...]] = []
+        rows: list[tuple[np.ndarray, ...]] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            ids, nulls, held, lengths, hashes = (np.concatenate(x) for x in zip(*held_rows))
+            ids, nulls, held, lengths, hashes = (np.concatenate(x) for x in zip(*rows))
             words, tokens = np.unique(hashes, return_inverse=True)
-            train = int(lengths[held == 0].sum())
-            row = [uuid.uuid4().hex, packed(ids), packed(nulls), packed(held), packed(lengths), packed(words, True)]
-            row += [packed(tokens.astype(np.uint32)), len(words), train]
-            kinds = [pa.string(), *[pa.binary()] * 6, pa.int64(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=CHUNK_NAMES)
+            place = Chunk(ids, nulls, held, lengths, words, tokens).write(folder)
+            columns = [pa.array([place]), pa.array([len(words)]), pa.array([int(lengths[held == 0].sum())])]
+            return pa.RecordBatch.from_arrays(columns, names=["chunk", "n_words", "n_train"])
 
         for batch in batches:
             ids = batch.column(0).fill_null(0).to_numpy()
-            nulls = batch.column(0).is_null().to_numpy(zero_copy_only=False).astype(np.uint8)
-            held = batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint8)
+            nulls = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            held = batch.column(1).to_numpy(zero_copy_only=False)
             for first, end, data, offsets in slices(batch.column(2)):
                 hashes, of_row = word_hashes(data, offsets)
                 hashes = np.insert(hashes, of_row[1:], END)
-                rows = slice(first, end)
-                held_rows.append((ids[rows], nulls[rows], held[rows], (np.diff(of_row) + 1).astype(np.uint32), hashes))
+                part = slice(first, end)
+                rows.append((ids[part], nulls[part], held[part], (np.diff(of_row) + 1).astype(np.int64), hashes))
                 size += len(hashes)
                 if size >= CHUNK_TOKENS:
                     yield flush()
-                    held_rows.clear()
+                    rows.clear()
                     size = 0
-        if held_rows:
+        if rows:
             yield flush()
 
     return docs.mapInArrow(run, CHUNKS)
 
 
-@dataclass
-class Chunk:
-    """The arrays of a chunk."""
+def _ranges(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys by hash range, each range in the keys' order, and the ranges' bounds."""
+    part = ((mix(keys) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    order = np.argsort(part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
 
-    words: np.ndarray
-    tokens: np.ndarray
-    lengths: np.ndarray
-    held: np.ndarray
 
-    @classmethod
-    def of(cls, row: dict) -> "Chunk":
-        return cls(
-            unpacked(row["words"], np.uint64, True),
-            unpacked(row["tokens"], np.uint32).astype(np.int64),
-            unpacked(row["lengths"], np.uint32).astype(np.int64),
-            unpacked(row["held"], np.uint8).astype(bool),
-        )
-
-    def before(self, back: int) -> np.ndarray:
-        """Which tokens have `back` tokens of their document before them."""
-        place = np.arange(len(self.tokens)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
-        return place >= back
+@dataclass(frozen=True)
+class Model:
+    """What all tasks know: parameters and three numbers of the training documents."""
 
-    def training(self) -> np.ndarray:
-        return np.repeat(~self.held, self.lengths)
+    parts: int
+    least: int
+    divergence: float
+    tokens: int = 0
+    types: int = 0
+    discount: float = 0.5
 
+    def root(self, counts: np.ndarray) -> np.ndarray:
+        """log10 of the root's probability of words with these counts; 0 stands for unseen."""
+        if not self.tokens:
+            return np.zeros(len(counts), np.float32)
+        unseen = self.discount * self.types / self.tokens
+        return np.log10(np.where(counts > 0, (counts - self.discount) / self.tokens, unseen)).astype(np.float32)
+
+    def probabilities(self, counts: np.ndarray, totals: np.ndarray, free: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+        """log10 of the probabilities of n-grams; a context whose `free` is not a number is not retained."""
+        kept = ~np.isnan(free)
+        p = np.maximum(counts[kept] - self.discount, 0) / np.maximum(totals[kept], 1) + free[kept].astype(float) * 10.0 ** suffix[kept].astype(float)
+        out = suffix.copy()
+        out[kept] = np.log10(p)
+        return out
+
+    def free(self, context: np.ndarray, counts: np.ndarray, suffix: np.ndarray, n: int) -> np.ndarray:
+        """What each of `n` contexts leaves to its suffix; not a number where it is not retained.
+
+        `context`, `counts` and `suffix` are of the n-grams: number of the context, training
+        count, log10 probability in the suffix.
+        """
+        totals = np.bincount(context, weights=counts, minlength=n)
+        some = np.maximum(totals, 1)
+        types = np.bincount(context, weights=counts > 0, minlength=n)
+        free = np.minimum(self.discount * types / some, 1)
+        part = np.maximum(counts - self.discount - 1, 0) / some[context]  # each observation left out
+        rest = np.clip(1 - np.bincount(context, weights=part, minlength=n), 1e-9, 1)
+        seen = np.flatnonzero(counts > 0)
+        p = 10.0 ** suffix[seen].astype(float)
+        gains = counts[seen] * np.log((part[seen] + rest[context[seen]] * p) / p)
+        gain = np.bincount(context[seen], weights=gains, minlength=n) / some
+        return np.where((totals >= self.least) & (gain >= self.divergence), free, np.nan).astype(np.float32)
 
-def dealt(keys: np.ndarray, counts: np.ndarray, chunk: str, parts: int) -> Iterator[tuple[int, str, bytes, bytes]]:
-    """Sorted keys and their counts by hash range: (part, chunk, keys, counts)."""
-    part = ((mix(keys) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-    order = np.argsort(part, kind="stable")
-    bounds = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+
+@dataclass
+class Grams:
+    """The distinct n-grams of one length in a chunk, sorted by context, then word."""
+
+    of: np.ndarray  # number of the n-gram that ends at each token, or -1
+    context: np.ndarray  # number of each n-gram's context among the n-grams one shorter
+    word: np.ndarray  # position of its last word among the chunk's words
+    first: np.ndarray  # a token at which it ends
+    hashes: np.ndarray
+    own: np.ndarray  # times it occurs in the chunk's training documents
+    counts: np.ndarray | None = None  # times in all training documents
+    logs: np.ndarray | None = None  # log10 probability of the last word in the longest state
+
+    def candidates(self, least: int) -> np.ndarray:
+        return self.counts >= least
+
+
+def _deeper(c: Chunk, shorter: Grams, follows: np.ndarray, training: np.ndarray, least: int) -> Grams:
+    """The n-grams one word longer whose contexts are candidates."""
+    at = np.flatnonzero(follows)
+    context = shorter.of[at - 1]
+    use = context >= 0
+    at, context = at[use], context[use]
+    use = shorter.candidates(least)[context]
+    at, context = at[use], context[use]
+    keys = context * max(len(c.words), 1) + c.tokens[at]
+    distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+    of = np.full(len(c.tokens), -1, np.int64)
+    of[at] = inverse
+    contexts, words = np.divmod(distinct, max(len(c.words), 1))
+    with np.errstate(over="ignore"):
+        hashes = mix(shorter.hashes[contexts] * _FACTOR + c.words[words])
+    own = np.bincount(inverse[training[at]], minlength=len(distinct))
+    return Grams(of, contexts, words, at[first], hashes, own)
+
+
+def _by_context(g: Grams, shorter: Grams, parts: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(part, contexts in the order of their hashes, number of n-grams of each, n-grams)."""
+    contexts, begins, sizes = np.unique(g.context, return_index=True, return_counts=True)
+    by_hash = np.argsort(shorter.hashes[contexts])
+    order, bounds = _ranges(shorter.hashes[contexts[by_hash]], parts)
+    order = by_hash[order]
     for p in range(parts):
         at = order[bounds[p] : bounds[p + 1]]
         if len(at):
-            yield p, chunk, packed(keys[at], True), packed(counts[at].astype(np.uint32))
+            n = sizes[at]
+            grams = np.repeat(begins[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            yield p, contexts[at], n, grams
+
+
+def _grown(c: Chunk, answers: list, model: Model) -> list[Grams]:
+    """The chunk's n-grams of all lengths that `answers` tell of, with counts and probabilities,
+    and those one word longer without."""
+    training, follows = c.training(), c.follows()
+    n = len(c.words)
+    own = np.bincount(c.tokens[training], minlength=n)
+    grams = [Grams(c.tokens, np.zeros(n, np.int64), np.arange(n), np.zeros(n, np.int64), c.words, own)]
+    by_level: dict[int, dict[int, object]] = {}
+    for one in answers:
+        by_level.setdefault(one["level"], {})[one["part"]] = one
+    for level in range(max(by_level, default=-1) + 1):
+        g, got = grams[level], by_level.get(level, {})
+        g.counts = np.zeros(len(g.hashes), np.int64)
+        if level == 0:
+            order, bounds = _ranges(c.words, model.parts)
+            for p, one in got.items():
+                g.counts[order[bounds[p] : bounds[p + 1]]] = unpacked(one["counts"], np.int64)
+            g.logs = model.root(g.counts)
+        else:
+            shorter = grams[level - 1]
+            free = np.full(len(shorter.hashes), np.nan, np.float32)
+            for p, contexts, _, at in _by_context(g, shorter, model.parts):
+                g.counts[at] = unpacked(got[p]["counts"], np.int64)
+                free[contexts] = unpacked(got[p]["free"], np.float32)
+            g.logs = model.probabilities(g.counts, shorter.counts[g.context], free[g.context], _suffix(g, shorter))
+        grams.append(_deeper(c, g, follows, training, model.least))
+    return grams
+
+
+def _suffix(g: Grams, shorter: Grams) -> np.ndarray:
+    """log10 probabilities of the n-grams' last words in the suffixes of their contexts."""
+    return shorter.logs[shorter.of[g.first]]
 
 
-def count_keys(chunks: DataFrame, keys_of: Callable[[Chunk], tuple[np.ndarray, np.ndarray]], parts: int, least: int, back: bool) -> DataFrame:
-    """Sum the counts that `keys_of` gives per chunk.
+def _written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    place = scratch_path(spark, label)
+    df.write.parquet(place)
+    return spark.read.schema(df.schema).parquet(place)
+
+
+def _known(chunks: DataFrame, answers: list[DataFrame], tasks: int) -> DataFrame:
+    """chunk, and all answers to it; a chunk's answers are as many as its n-grams at most."""
+    rows = chunks.select("chunk", F.lit(None).cast("struct<level:int,part:int,counts:binary,free:binary>").alias("a"))
+    for df in answers:
+        found = df.where("kind = 'chunk'").select("chunk", F.struct("level", "part", "counts", "free").alias("a"))
+        rows = rows.unionByName(found)
+    return rows.repartition(tasks, "chunk").groupBy("chunk").agg(F.collect_list("a").alias("known"))
 
-    Rows of kind "total" carry keys with sums of at least `least`; if `back`, rows of kind
-    "chunk" carry for each chunk and part the sums of its keys in their order; a row of
-    kind "kinds" per part counts the keys with sums of 1, 2 and more than 0.
-    """
-    names = ["part", "chunk", "keys", "counts"]
+
+def count_words(chunks: DataFrame, parts: int, tasks: int) -> DataFrame:
+    """Counts of single words: per chunk and part the sums of its words in their order; per
+    part (kind "kinds") the number of words seen once, twice and at all."""
 
     def give(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                rows = list(dealt(*keys_of(Chunk.of(row)), row["chunk"], parts))
-                columns = zip(*rows) if rows else [()] * 4
+            for place in batch.column(0).to_pylist():
+                c = Chunk.read(place)
+                counts = np.bincount(c.tokens[c.training()], minlength=len(c.words))
+                order, bounds = _ranges(c.words, parts)
+                rows = [(p, place, packed(c.words[at], True), packed(counts[at].astype(np.uint32))) for p in range(parts) if len(at := order[bounds[p] : bounds[p + 1]])]
                 kinds = [pa.int32(), pa.string(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=["part", "chunk", "words", "counts"])
 
     def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [unpacked(k, np.uint64, True) for k in rows["keys"]]
-        counts = np.concatenate([unpacked(c, np.uint32) for c in rows["counts"]])
-        distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        words = [unpacked(w, np.uint64, True) for w in rows["words"]]
+        counts = np.concatenate([unpacked(n, np.uint32) for n in rows["counts"]])
+        distinct, inverse = np.unique(np.concatenate(words), return_inverse=True)
         sums = np.bincount(inverse, weights=counts, minlength=len(distinct)).astype(np.int64)
-        often = sums >= least
-        out = [("total", None, key[0], packed(distinct[often], True), packed(sums[often]))]
         kinds = np.array([(sums == 1).sum(), (sums == 2).sum(), (sums > 0).sum()], np.int64)
-        out.append(("kinds", None, key[0], None, packed(kinds)))
-        if back:
-            bounds = np.cumsum([0, *map(len, keys)])
-            for i, chunk in enumerate(rows["chunk"]):
-                out.append(("chunk", chunk, key[0], None, packed(sums[inverse[bounds[i] : bounds[i + 1]]])))
-        return pd.DataFrame(out, columns=["kind", "chunk", "part", "keys", "counts"])
-
-    given = chunks.mapInArrow(give, "part int, chunk string, keys binary, counts binary")
-    return given.groupBy("part").applyInPandas(add, COUNTED)
+        out = [("kinds", None, 0, key[0], packed(kinds), None)]
+        bounds = np.cumsum([0, *map(len, words)])
+        for i, chunk in enumerate(rows["chunk"]):
+            out.append(("chunk", chunk, 0, key[0], packed(sums[inverse[bounds[i] : bounds[i + 1]]]), None))
+        return pd.DataFrame(out, columns=["kind", "chunk", "level", "part", "counts", "free"])
 
+    given = chunks.select("chunk").repartition(tasks, "chunk").mapInArrow(give, "part int, chunk string, words binary, counts binary")
+    return given.groupBy("part").applyInPandas(add, ANSWERS)
 
-def _totals(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """All keys of kind "total", sorted, and their counts: at most 1 / P of them."""
-    found = [(unpacked(r.keys_, np.uint64, True), unpacked(r.counts, np.int64)) for r in counted.where("kind = 'total'").withColumnRenamed("keys", "keys_").toLocalIterator()]
-    if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    keys, counts = (np.concatenate(x) for x in zip(*found))
-    order = np.argsort(keys)
-    return keys[order], counts[order]
 
+def grow(known: DataFrame, level: int, model: Model) -> DataFrame:
+    """Answers to the n-grams of `level` words of context, each part and chunk in the order of
+    `_by_context`: their counts, and what their contexts leave to the suffix."""
+    names = [f.split()[0] for f in MESSAGE.split(", ")]
 
-def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Positions of `wanted` in sorted `keys`, or -1."""
-    if not len(keys):
-        return np.full(len(wanted), -1, np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
-
-
-def _pair(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """One key for a context's number and a word's hash."""
-    return (context.astype(np.uint64) << np.uint64(_WORD_BITS)) | (word >> np.uint64(64 - _WORD_BITS))
-
-
-@dataclass
-class Level:
-    """The states of one context length, and what follows them."""
-
-    keys: np.ndarray  # of pairs, sorted
-    counts: np.ndarray
-    value: np.ndarray  # log10 p(w | c) of pairs, where the state is retained
-    retained: np.ndarray  # by state
-    free: np.ndarray  # log10 of the share left to the suffix, by state
-
-
-@dataclass
-class Tree:
-    """What scoring needs besides the counts of single words."""
-
-    tokens: int
-    types: int
-    discount: float
-    words: np.ndarray  # frequent words, sorted
-    counts: np.ndarray
-    state: np.ndarray  # number of the one-word state of a frequent word, or -1
-    one: Level
-    pair_state: np.ndarray  # number of the two-word state of a pair of level one, or -1
-    two: Level
-
-    def root(self, counts: np.ndarray) -> np.ndarray:
-        """log10 of the root's probability of words with these counts; 0 stands for unseen."""
-        total = max(self.tokens, 1)
-        if not self.tokens:
-            return np.zeros(len(counts))
-        unseen = self.discount * self.types / total
-        return np.log10(np.where(counts > 0, (counts - self.discount) / total, unseen))
-
-    def in_state(self, level: Level, state: np.ndarray, word: np.ndarray, log_suffix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(log10 p, position of the pair or -1) of words after states; -1 is no state."""
-        out, pair = log_suffix.copy(), np.full(len(word), -1, np.int64)
-        at = np.flatnonzero(state >= 0)
-        pair[at] = _find(level.keys, _pair(state[at], word[at]))
-        kept = at[level.retained[state[at]]]
-        known = pair[kept] >= 0
-        out[kept[known]] = level.value[pair[kept[known]]]
-        rest = kept[~known]
-        out[rest] += level.free[state[rest]]
-        return out, pair
-
-
-def grow(keys: np.ndarray, counts: np.ndarray, totals: np.ndarray, log_suffix: np.ndarray, discount: float, divergence: float) -> Level:
-    """Smoothed distributions of the states and the divergence test.
-
-    `totals` are the states' counts, `log_suffix` the log10 probabilities of the pairs'
-    words in the states' suffixes.
-    """
-    state = (keys >> np.uint64(_WORD_BITS)).astype(np.int64)
-    n = len(totals)
-    total = np.maximum(totals, 1).astype(float)
-
-    def shares(less: float) -> tuple[np.ndarray, np.ndarray]:
-        part = np.maximum(counts - less, 0) / total[state]
-        return part, np.clip(1 - np.bincount(state, weights=part, minlength=n), 1e-9, 1)
-
-    suffix = 10.0**log_suffix
-    part, free = shares(discount)
-    value = np.log10(part + free[state] * suffix)
-    out_part, out_free = shares(discount + 1)  # each observation left out
-    gain = np.bincount(state, weights=counts * (np.log(out_part + out_free[state] * suffix) - np.log(suffix)), minlength=n).astype(float)
-    gain += (total - np.bincount(state, weights=counts, minlength=n)).clip(0) * np.log(out_free)
-    retained = (gain / total >= divergence) & (totals > 0)
-    return Level(keys, counts, value.astype(np.float32), retained, np.log10(free).astype(np.float32))
-
-
-def _written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    place = scratch_path(spark, label)
-    df.write.parquet(place)
-    return spark.read.schema(df.schema).parquet(place)
-
-
-def learn(chunks: DataFrame, tokens: int, parts: int, p_context: float, p_pair: float, divergence: float) -> tuple[Tree, DataFrame]:
-    """The tree of the training documents of `chunks`, and the counted single words.
-
-    Three passes over the chunks: single words, pairs after frequent words, triples after
-    frequent pairs. Only what is bounded by 1 / p_pair comes to the driver.
-    """
-    spark = chunks.sparkSession
-    least_context, least_pair = max(2, int(np.ceil(p_context * tokens))), max(2, int(np.ceil(p_pair * tokens)))
-
-    def words_of(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
-        return c.words, np.bincount(c.tokens[c.training()], minlength=len(c.words))
+    def give(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                c = Chunk.read(row["chunk"])
+                grams = _grown(c, row["known"], model)
+                if len(grams) <= level:
+                    continue
+                shorter, g = grams[level - 1 : level + 1]
+                suffix, rows = _suffix(g, shorter), []
+                for p, contexts, n, at in _by_context(g, shorter, model.parts):
+                    words, place = np.unique(g.word[at], return_inverse=True)
+                    rows.append(
+                        (
+                            p,
+                            row["chunk"],
+                            packed(shorter.hashes[contexts], True),
+                            packed(n.astype(np.uint32)),
+                            packed(c.words[words], True),
+                            packed(place.astype(np.uint32)),
+                            packed(g.own[at].astype(np.uint32)),
+                            packed(suffix[at]),
+                        )
+                    )
+                kinds = [pa.int32(), pa.string(), *[pa.binary()] * 6]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=names)
 
-    singles = _written(spark, count_keys(chunks, words_of, parts, least_pair, True), "words")
-    words, counts = _totals(singles)
-    kinds = np.zeros(3, np.int64)
-    for row in singles.where("kind = 'kinds'").select("counts").toLocalIterator():
-        kinds += unpacked(row[0], np.int64)
-    discount = float(np.clip(kinds[0] / max(kinds[0] + 2 * kinds[1], 1), 0.1, 0.9))
-    state = np.where((counts >= least_context) & (words != END), 0, -1)
-    state[state == 0] = np.arange((state == 0).sum())
-    of_words = spark.sparkContext.broadcast((words, state))
-
-    def pairs_of(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
-        frequent, number = of_words.value
-        at = _find(frequent, c.words)
-        local = np.where(at >= 0, number[at], -1) if len(number) else at
-        use = np.flatnonzero(c.training() & c.before(1))
-        context = local[c.tokens[use - 1]]
-        use, context = use[context >= 0], context[context >= 0]
-        return np.unique(_pair(context, c.words[c.tokens[use]]), return_counts=True)
-
-    keys, n = _totals(_written(spark, count_keys(chunks, pairs_of, parts, least_pair, False), "pairs"))
-    totals = counts[state >= 0]
-    short = words >> np.uint64(64 - _WORD_BITS)
-    by_short = np.argsort(short)
-    word_at = by_short[np.minimum(np.searchsorted(short[by_short], keys & np.uint64((1 << _WORD_BITS) - 1)), max(len(words) - 1, 0))] if len(words) else np.zeros(0, np.int64)
-    tree = Tree(tokens, int(kinds[2]), discount, words, counts, state, None, None, None)
-    root = tree.root(counts[word_at])
-    tree.one = grow(keys, n, totals, root, discount, divergence)
-    ends = words[word_at] == END
-    pair_state = np.where((n >= least_context) & ~ends, 0, -1)
-    pair_state[pair_state == 0] = np.arange((pair_state == 0).sum())
-    tree.pair_state = pair_state
-    second = word_at[pair_state >= 0]  # the last word of each two-word state
-    of_pairs = spark.sparkContext.broadcast((words, state, keys, pair_state))
-
-    def triples_of(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
-        frequent, number, pair_keys, numbers = of_pairs.value
-        at = _find(frequent, c.words)
-        local = np.where(at >= 0, number[at], -1) if len(number) else at
-        use = np.flatnonzero(c.training() & c.before(2))
-        context = local[c.tokens[use - 2]]
-        use, context = use[context >= 0], context[context >= 0]
-        pair = _find(pair_keys, _pair(context, c.words[c.tokens[use - 1]]))
-        use, pair = use[pair >= 0], pair[pair >= 0]
-        context = numbers[pair]
-        use, context = use[context >= 0], context[context >= 0]
-        return np.unique(_pair(context, c.words[c.tokens[use]]), return_counts=True)
-
-    keys2, n2 = _totals(_written(spark, count_keys(chunks, triples_of, parts, least_pair, False), "triples"))
-    word2 = by_short[np.minimum(np.searchsorted(short[by_short], keys2 & np.uint64((1 << _WORD_BITS) - 1)), max(len(words) - 1, 0))] if len(words) else np.zeros(0, np.int64)
-    suffix_state = state[second[(keys2 >> np.uint64(_WORD_BITS)).astype(np.int64)]] if len(keys2) else np.zeros(0, np.int64)
-    log_suffix, _ = tree.in_state(tree.one, suffix_state, words[word2] if len(words) else np.zeros(0, np.uint64), tree.root(counts[word2]))
-    tree.two = grow(keys2, n2, n[pair_state >= 0], log_suffix, discount, divergence)
-    return tree, singles
-
-
-def scored(docs: DataFrame, held_out: str = "held_out", p_context: float = P_CONTEXT, p_pair: float = P_PAIR, divergence: float = DIVERGENCE) -> DataFrame:
+    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        contexts = [unpacked(x, np.uint64, True) for x in rows["contexts"]]
+        sizes = [unpacked(x, np.uint32) for x in rows["followers"]]
+        words = [unpacked(w, np.uint64, True)[unpacked(at, np.uint32)] for w, at in zip(rows["words"], rows["at"])]
+        distinct, number = np.unique(np.concatenate(contexts), return_inverse=True)
+        of_gram = np.repeat(number, np.concatenate(sizes))
+        with np.errstate(over="ignore"):
+            hashes = mix(distinct[of_gram] * _FACTOR + np.concatenate(words))
+        grams, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        own = np.concatenate([unpacked(x, np.uint32) for x in rows["counts"]])
+        sums = np.bincount(inverse, weights=own, minlength=len(grams)).astype(np.int64)
+        suffix = np.concatenate([unpacked(x, np.float32) for x in rows["suffix"]])[first]
+        free = model.free(of_gram[first], sums, suffix, len(distinct))
+        out, a, b = [], 0, 0
+        for chunk, some, words_of in zip(rows["chunk"], contexts, words):
+            counts = sums[inverse[b : b + len(words_of)]]
+            out.append(("chunk", chunk, level, key[0], packed(counts), packed(free[number[a : a + len(some)]])))
+            a, b = a + len(some), b + len(words_of)
+        return pd.DataFrame(out, columns=["kind", "chunk", "level", "part", "counts", "free"])
+
+    return known.mapInArrow(give, MESSAGE).groupBy("part").applyInPandas(add, ANSWERS)
+
+
+def scored(docs: DataFrame, held_out: str = "held_out", least: int = LEAST, depth: int = DEPTH, divergence: float = DIVERGENCE) -> DataFrame:
     """Scores of `docs(doc_id, text, held_out)`: one row per document.
 
     Learns from rows where `held_out` is false. Columns: doc_id, held_out, n_tokens,
@@ -350,37 +388,48 @@ def scored(docs: DataFrame, held_out: str = "held_out", p_context: float = P_CON
     Null and empty texts have the end token alone. Null held_out counts as held out.
     Repeated documents count and are scored each. Null doc_id: kept. If nothing is learned,
     every token is the unseen symbol, of probability 1. Other columns are ignored.
+
+    A document lies in one chunk, a context's n-grams in one range: at most one entry per
+    chunk and distinct word that follows the context.
     """
     spark = docs.sparkSession
     narrow = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col(held_out), F.lit(True)).cast("int").alias("held"),
+        F.coalesce(F.col(held_out), F.lit(True)).alias("held"),
         F.col("text").cast("string").alias("text"),
     )
-    chunks = _written(spark, chunked(narrow), "chunks")
-    size = chunks.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
-    # A chunk gives at most one key per distinct word or training token.
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-max(size[0], size[1]) // KEYS_PER_TASK))
-    tree, singles = learn(chunks, size[1], parts, p_context, p_pair, divergence)
-    model = spark.sparkContext.broadcast(tree)
-
-    found = singles.where("kind = 'chunk'").groupBy("chunk").agg(F.collect_list(F.struct("part", "counts")).alias("known"))
-    joined = chunks.join(found, "chunk", "left")
+    chunks = _written(spark, chunked(narrow, scratch_path(spark, "chunk-files")), "chunks")
+    size = chunks.agg(F.count("*"), F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
+    least_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A chunk gives at most one n-gram per distinct word or token.
+    parts, tasks = max(least_tasks, -(-max(size[1], size[2]) // KEYS_PER_TASK)), max(least_tasks, size[0])
+    answers = [_written(spark, count_words(chunks, parts, tasks), "words")]
+    kinds = np.zeros(3, np.int64)
+    for row in answers[0].where("kind = 'kinds'").select("counts").toLocalIterator():
+        kinds += unpacked(row[0], np.int64)
+    discount = float(np.clip(kinds[0] / max(kinds[0] + 2 * kinds[1], 1), 0.1, 0.9))
+    model = Model(parts, least, divergence, size[2], int(kinds[2]), discount)
+    for level in range(1, depth + 1):
+        answers.append(_written(spark, grow(_known(chunks, answers, tasks), level, model), f"level-{level}"))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                c, tree = Chunk.of(row), model.value
-                counts = _counts_back(c.words, row["known"] or [], parts)
-                base = np.log10((counts + 1) / (tree.tokens + tree.types + 1))
-                logs = _log_probabilities(c, tree, tree.root(counts))
+                c = Chunk.read(row["chunk"])
+                grams = _grown(c, row["known"], model)
+                counts = grams[0].counts
+                base = np.log10((counts + 1) / (model.tokens + model.types + 1))
+                logs = grams[0].logs[c.tokens].astype(float)
+                for g in grams[1:]:
+                    if g.logs is not None:
+                        at = np.flatnonzero(g.of >= 0)
+                        logs[at] = g.logs[g.of[at]]
                 begins = np.cumsum(c.lengths) - c.lengths
-                nulls = unpacked(row["nulls"], np.uint8).astype(bool)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(unpacked(row["doc_ids"], np.int64), mask=nulls),
+                        pa.array(c.doc_ids, mask=c.nulls),
                         pa.array(c.held),
                         pa.array(c.lengths),
                         pa.array(np.add.reduceat((counts > 0)[c.tokens].astype(np.int64), begins)),
@@ -391,34 +440,5 @@ def scored(docs: DataFrame, held_out: str = "held_out", p_context: float = P_CON
                 )
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    out = joined.mapInArrow(score, schema)
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tree.tokens).cast("long").alias("train_tokens"), "base_score", "score")
-
-
-def _counts_back(words: np.ndarray, known: list, parts: int) -> np.ndarray:
-    """Training counts of a chunk's words from the sums that came back by part."""
-    part = ((mix(words) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-    order = np.argsort(part, kind="stable")
-    bounds = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
-    out = np.zeros(len(words), np.int64)
-    for one in known:
-        p = one["part"]
-        out[order[bounds[p] : bounds[p + 1]]] = unpacked(one["counts"], np.int64)
-    return out
-
-
-def _log_probabilities(c: Chunk, tree: Tree, root: np.ndarray) -> np.ndarray:
-    """log10 probability of every token of a chunk in its longest retained suffix state."""
-    at = _find(tree.words, c.words)
-    local = np.where(at >= 0, tree.state[at], -1) if len(tree.state) else at
-    state = np.full(len(c.tokens), -1, np.int64)
-    follows = np.flatnonzero(c.before(1))
-    state[follows] = local[c.tokens[follows - 1]]
-    word = c.words[c.tokens]
-    logs, pair = tree.in_state(tree.one, state, word, root[c.tokens])
-    deeper = np.full(len(c.tokens), -1, np.int64)
-    follows = np.flatnonzero(c.before(2))
-    previous = pair[follows - 1]
-    if len(tree.pair_state):
-        deeper[follows] = np.where(previous >= 0, tree.pair_state[previous], -1)
-    return tree.in_state(tree.two, deeper, word, logs)[0]
+    out = _known(chunks, answers, tasks).mapInArrow(score, schema)
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

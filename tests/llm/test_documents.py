@@ -358,26 +358,78 @@ def test_suffix_tree(spark):
     assert sum(r.score for r in held) > 0.7 * sum(r.base_score for r in held)
 
 
-def test_states_are_distributions_and_the_longest_one_counts(spark):
+def tree_scores(train, asked, least, depth, divergence):
+    """Scores by dictionaries: counts of all n-grams, states tested one by one."""
+    count = {}
+    for tokens in train:
+        for i in range(len(tokens)):
+            for k in range(min(i, depth) + 1):
+                gram = tuple(tokens[i - k : i + 1])
+                count[gram] = count.get(gram, 0) + 1
+    followers = {}
+    for gram, n in count.items():
+        followers.setdefault(gram[:-1], {})[gram[-1]] = n
+    words = followers.get((), {})
+    total = sum(words.values())
+    once, twice = (sum(n == k for n in words.values()) for k in (1, 2))
+    d = min(max(once / max(once + 2 * twice, 1), 0.1), 0.9)
+    retained = {}
+
+    def p(context, word):
+        if not context:
+            return max(words.get(word, 0) - d, 0) / total if word in words else d * len(words) / total
+        lower = p(context[1:], word)
+        if not is_state(context):
+            return lower
+        f = followers[context]
+        n = sum(f.values())
+        return max(f.get(word, 0) - d, 0) / n + d * len(f) / n * lower
+
+    def is_state(context):
+        if context not in retained:
+            f = followers.get(context, {})
+            n = sum(f.values())
+            if n < least:
+                retained[context] = False
+            else:
+                out = {w: max(k - d - 1, 0) / n for w, k in f.items()}
+                rest = min(max(1 - sum(out.values()), 1e-9), 1)
+                lower = {w: p(context[1:], w) for w in f}
+                retained[context] = sum(k * math.log((out[w] + rest * lower[w]) / lower[w]) for w, k in f.items()) / n >= divergence
+        return retained[context]
+
+    score = [sum(math.log10(p(tuple(t[max(i - depth, 0) : i]), w)) for i, w in enumerate(t)) for t in asked]
+    return score, {c for c, yes in retained.items() if yes}, p, words
+
+
+@pytest.mark.parametrize("least, depth, divergence", [(2, 3, 0.02), (2, 2, 0.0), (3, 4, 0.1), (2, 0, 0.0)])
+def test_scores_are_those_of_a_tree_of_dictionaries(spark, monkeypatch, least, depth, divergence):
+    monkeypatch.setattr(suffix_tree, "CHUNK_TOKENS", 300)
+    monkeypatch.setattr(suffix_tree, "KEYS_PER_TASK", 100)
     rng = random.Random(8)
-    docs = [(i, 0, " ".join(rng.choice(["x y z", "y x", "z z"]) for _ in range(10))) for i in range(80)]
-    chunks = suffix_tree._written(spark, suffix_tree.chunked(spark.createDataFrame(docs, "doc_id long, held int, text string").repartition(2)), "t")
-    tokens = chunks.agg(F.sum("n_train")).first()[0]
-    tree, _ = suffix_tree.learn(chunks, tokens, 3, 1e-3, 1e-4, 0.001)
-    words, counts = np.append(tree.words, np.uint64(1)), np.append(tree.counts, 0)
-    root = tree.root(counts)
-    assert len(tree.words) == 4 and math.isclose((10**root).sum(), 1, rel_tol=1e-9)
-    for level in (tree.one, tree.two):
-        assert level.retained.any()
-    for state in range(len(tree.one.retained)):
-        logs, _ = tree.in_state(tree.one, np.full(len(words), state), words, root)
-        assert math.isclose((10**logs).sum(), 1, rel_tol=1e-5)
-    first = (tree.one.keys[tree.pair_state >= 0] & np.uint64((1 << 44) - 1)).tolist()
-    for state, last in enumerate(first):
-        of_last = tree.state[[int(w >> np.uint64(20)) for w in tree.words].index(last)]
-        logs, _ = tree.in_state(tree.one, np.full(len(words), of_last), words, root)
-        logs, _ = tree.in_state(tree.two, np.full(len(words), state), words, logs)
-        assert math.isclose((10**logs).sum(), 1, rel_tol=1e-5)
+    rows = [(i, " ".join(rng.choice(["x y z", "y x", "z z q", f"w{rng.randint(0, 60)}"]) for _ in range(rng.randint(0, 12)))) for i in range(200)]
+    rows += [(300, None), (301, "never seen x y"), (302, "x y z " * 2000)]
+    docs = frame(spark, rows).withColumn("held_out", F.col("doc_id") % 5 == 1)
+    texts = {d: words_of(t) + ["</s>"] for d, t in rows}
+    want, states, p, words = tree_scores([t for d, t in texts.items() if d % 5 != 1], texts.values(), least, depth, divergence)
+    got = {r.doc_id: r.score for r in suffix_tree.scored(docs, least=least, depth=depth, divergence=divergence).collect()}
+    assert got.keys() == texts.keys()
+    for d, score in zip(texts, want):
+        assert math.isclose(got[d], score, rel_tol=1e-4), d
+    if depth > 1:
+        assert {len(c) for c in states} >= {1, 2}
+        for c in sorted(states)[:20]:  # distributions over the known words and the unseen one
+            assert math.isclose(sum(p(c, w) for w in words) + p(c, "unseen"), 1, rel_tol=1e-9)
+
+
+def test_a_context_counts_alike_in_a_larger_corpus(spark):
+    def gain(others):
+        rows = [(1, "rare pair"), (2, "rare pair"), *((10 + i, f"a{i} b{i % 50} c") for i in range(others))]
+        docs = frame(spark, [*rows, (5, "rare pair")]).withColumn("held_out", F.col("doc_id") == 5)
+        row = suffix_tree.scored(docs).where("doc_id = 5").first()
+        return row.score - row.base_score
+
+    assert gain(20) > 1 and gain(2000) > gain(20)
 
 
 def distance(item, text):
