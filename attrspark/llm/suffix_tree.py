@@ -19,10 +19,12 @@ Documents are read once into chunks, files of about `CHUNK_TOKENS` tokens: a chu
 distinct words, sorted, and its tokens as positions in them. Nothing of the tree is
 gathered. It is grown one word of context at a time: each chunk sends its distinct n-grams
 whose context is a candidate to the hash range of the context, with their training counts
-and their probabilities in the suffix, both known from the pass before. A range sums the
-counts, tests its contexts, and answers each chunk in the order of its n-grams. However
-frequent an n-gram is, a chunk sends it once; a chunk and a range that share no n-gram
-exchange nothing, so the rows sent are at most the n-grams.
+and their probabilities in the suffix (for the test rounded to 1 / 2048 of a decade), both
+known from the pass before. A range sums the counts, tests its contexts, numbers what may be
+a context in the next pass, and answers each chunk in the order of its n-grams. Words and
+contexts are sent by these numbers, which are dense and so take few bytes as differences.
+However frequent an n-gram is, a chunk sends it once; a chunk and a range that share no
+n-gram exchange nothing, so the rows sent are at most the n-grams.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrspark.llm.files import new_file, open_input
+from attrspark.llm.files import new_file, open_input, store
 from attrspark.llm.words import mix, slices, word_hashes
 from attrspark.session import scratch_path
 
@@ -46,9 +48,10 @@ DIVERGENCE = 0.02
 CHUNK_TOKENS = 1_500_000
 KEYS_PER_TASK = 1_000_000
 END = np.uint64(0x5851F42D4C957F2D)
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_STEPS = 2048
 CHUNKS = "chunk string, n_words long, n_train long"
-ANSWERS = "kind string, chunk string, level int, part int, counts binary, free binary"
+ANSWERS = "kind string, chunk string, level int, part int, counts binary, ids binary, free binary"
+ANSWER_NAMES = [f.split()[0] for f in ANSWERS.split(", ")]
 MESSAGE = "part int, chunk string, contexts binary, followers binary, words binary, at binary, counts binary, suffix binary"
 
 
@@ -202,40 +205,32 @@ class Grams:
     context: np.ndarray  # number of each n-gram's context among the n-grams one shorter
     word: np.ndarray  # position of its last word among the chunk's words
     first: np.ndarray  # a token at which it ends
-    hashes: np.ndarray
     own: np.ndarray  # times it occurs in the chunk's training documents
     counts: np.ndarray | None = None  # times in all training documents
-    logs: np.ndarray | None = None  # log10 probability of the last word in the longest state
-
-    def candidates(self, least: int) -> np.ndarray:
-        return self.counts >= least
+    ids: np.ndarray | None = None  # number among all n-grams of the length, of candidates and words
 
 
 def _deeper(c: Chunk, shorter: Grams, follows: np.ndarray, training: np.ndarray, least: int) -> Grams:
     """The n-grams one word longer whose contexts are candidates."""
     at = np.flatnonzero(follows)
     context = shorter.of[at - 1]
-    use = context >= 0
-    at, context = at[use], context[use]
-    use = shorter.candidates(least)[context]
+    use = (context >= 0) & (shorter.counts >= least)[context] if len(shorter.counts) else context >= 0
     at, context = at[use], context[use]
-    keys = context * max(len(c.words), 1) + c.tokens[at]
+    keys = context.astype(np.int64) * max(len(c.words), 1) + c.tokens[at]
     distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-    of = np.full(len(c.tokens), -1, np.int64)
+    of = np.full(len(c.tokens), -1, np.int32)
     of[at] = inverse
     contexts, words = np.divmod(distinct, max(len(c.words), 1))
-    with np.errstate(over="ignore"):
-        hashes = mix(shorter.hashes[contexts] * _FACTOR + c.words[words])
     own = np.bincount(inverse[training[at]], minlength=len(distinct))
-    return Grams(of, contexts, words, at[first], hashes, own)
+    return Grams(of, contexts.astype(np.int32), words.astype(np.int32), at[first].astype(np.int32), own.astype(np.int32))
 
 
 def _by_context(g: Grams, shorter: Grams, parts: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(part, contexts in the order of their hashes, number of n-grams of each, n-grams)."""
+    """(part, contexts in the order of their numbers, how many n-grams of n-grams of each, n-grams)."""
     contexts, begins, sizes = np.unique(g.context, return_index=True, return_counts=True)
-    by_hash = np.argsort(shorter.hashes[contexts])
-    order, bounds = _ranges(shorter.hashes[contexts[by_hash]], parts)
-    order = by_hash[order]
+    by_id = np.argsort(shorter.ids[contexts])
+    order, bounds = _ranges(shorter.ids[contexts[by_id]], parts)
+    order = by_id[order]
     for p in range(parts):
         at = order[bounds[p] : bounds[p + 1]]
         if len(at):
@@ -244,53 +239,83 @@ def _by_context(g: Grams, shorter: Grams, parts: int) -> Iterator[tuple[int, np.
             yield p, contexts[at], n, grams
 
 
-def _grown(c: Chunk, answers: list, model: Model) -> list[Grams]:
-    """The chunk's n-grams of all lengths that `answers` tell of, with counts and probabilities,
-    and those one word longer without."""
+@dataclass
+class Grown:
+    """A chunk after the answers so far: words, the last n-grams with answers, those one word
+    longer, and log10 probability of each token in the longest state known."""
+
+    words: Grams
+    shorter: Grams
+    deeper: Grams
+    logs: np.ndarray
+
+
+def _grown(c: Chunk, answers: list[dict[int, dict]], model: Model) -> Grown:
+    """`answers` are by level, each by part."""
     training, follows = c.training(), c.follows()
     n = len(c.words)
     own = np.bincount(c.tokens[training], minlength=n)
-    grams = [Grams(c.tokens, np.zeros(n, np.int64), np.arange(n), np.zeros(n, np.int64), c.words, own)]
-    by_level: dict[int, dict[int, object]] = {}
-    for one in answers:
-        by_level.setdefault(one["level"], {})[one["part"]] = one
-    for level in range(max(by_level, default=-1) + 1):
-        g, got = grams[level], by_level.get(level, {})
-        g.counts = np.zeros(len(g.hashes), np.int64)
+    g = words = Grams(c.tokens, np.zeros(n, np.int32), np.arange(n, dtype=np.int32), np.zeros(n, np.int32), own)
+    logs = shorter = None
+    for level, got in enumerate(answers):
+        g.counts, g.ids = np.zeros(len(g.own), np.int64), np.zeros(len(g.own), np.uint64)
         if level == 0:
             order, bounds = _ranges(c.words, model.parts)
             for p, one in got.items():
-                g.counts[order[bounds[p] : bounds[p + 1]]] = unpacked(one["counts"], np.int64)
-            g.logs = model.root(g.counts)
+                at = order[bounds[p] : bounds[p + 1]]
+                g.counts[at], g.ids[at] = unpacked(one["counts"], np.int64), unpacked(one["ids"], np.uint64, True)
+            logs = model.root(g.counts)[c.tokens]
         else:
-            shorter = grams[level - 1]
-            free = np.full(len(shorter.hashes), np.nan, np.float32)
+            free = np.full(len(shorter.own), np.nan, np.float32)
             for p, contexts, _, at in _by_context(g, shorter, model.parts):
                 g.counts[at] = unpacked(got[p]["counts"], np.int64)
+                g.ids[at[g.counts[at] >= model.least]] = unpacked(got[p]["ids"], np.uint64, True)
                 free[contexts] = unpacked(got[p]["free"], np.float32)
-            g.logs = model.probabilities(g.counts, shorter.counts[g.context], free[g.context], _suffix(g, shorter))
-        grams.append(_deeper(c, g, follows, training, model.least))
-    return grams
+            # Where an n-gram ends, so does its suffix: the token's probability so far is that of the suffix.
+            found = model.probabilities(g.counts, shorter.counts[g.context], free[g.context], logs[g.first])
+            at = np.flatnonzero(g.of >= 0)
+            logs[at] = found[g.of[at]]
+        shorter, g = g, _deeper(c, g, follows, training, model.least)
+    return Grown(words, shorter, g, logs)
 
 
-def _suffix(g: Grams, shorter: Grams) -> np.ndarray:
-    """log10 probabilities of the n-grams' last words in the suffixes of their contexts."""
-    return shorter.logs[shorter.of[g.first]]
-
-
-def _written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+def _written(spark: SparkSession, df: DataFrame, label: str) -> tuple[DataFrame, str]:
     place = scratch_path(spark, label)
     df.write.parquet(place)
-    return spark.read.schema(df.schema).parquet(place)
+    return spark.read.schema(df.schema).parquet(place), place
+
 
+def _known(chunks: DataFrame, answers: DataFrame, tasks: int) -> DataFrame:
+    """chunk, and the answers to it; a chunk's answers are as many as its n-grams at most."""
+    rows = chunks.select("chunk", F.lit(None).cast("struct<part:int,counts:binary,ids:binary,free:binary>").alias("a"))
+    found = answers.where("kind = 'chunk'").select("chunk", F.struct("part", "counts", "ids", "free").alias("a"))
+    rows = rows.unionByName(found).repartition(tasks, "chunk")
+    return rows.groupBy("chunk").agg(F.collect_list("a").alias("known"))
 
-def _known(chunks: DataFrame, answers: list[DataFrame], tasks: int) -> DataFrame:
-    """chunk, and all answers to it; a chunk's answers are as many as its n-grams at most."""
-    rows = chunks.select("chunk", F.lit(None).cast("struct<level:int,part:int,counts:binary,free:binary>").alias("a"))
-    for df in answers:
-        found = df.where("kind = 'chunk'").select("chunk", F.struct("level", "part", "counts", "free").alias("a"))
-        rows = rows.unionByName(found)
-    return rows.repartition(tasks, "chunk").groupBy("chunk").agg(F.collect_list("a").alias("known"))
+
+def _all_answers(batch: pa.RecordBatch, i: int, level: int, keep: bool) -> tuple[str, list[dict[int, dict]]]:
+    """The chunk of a row of `_known` and the answers to it of levels up to `level`.
+
+    Those of `level` are in the row, earlier ones in a file per level beside the chunk. If
+    `keep`, those of the row are put there too: every attempt writes the same content under
+    a name of its own, which then takes the place of the file.
+    """
+    chunk, known = batch.column(0)[i].as_py(), batch.column(1)[i].values
+    answers = []
+    for earlier in range(level):
+        with open_input(f"{chunk}.{earlier}") as source:
+            rows = pa.ipc.open_stream(source).read_all().to_pylist()
+        answers.append({row["part"]: row for row in rows})
+    rows = pa.Table.from_struct_array(known) if known is not None and len(known) else None
+    answers.append({row["part"]: row for row in rows.to_pylist()} if rows is not None else {})
+    if keep:
+        place, out = new_file(chunk.rpartition("/")[0], ".part")
+        schema = pa.schema([("part", pa.int32()), ("counts", pa.binary()), ("ids", pa.binary()), ("free", pa.binary())])
+        with out, pa.ipc.new_stream(out, schema) as writer:
+            writer.write_table(rows.cast(schema) if rows is not None else schema.empty_table())
+        system, path = store(place)
+        system.move(path, store(f"{chunk}.{level}")[1])
+    return chunk, answers
 
 
 def count_words(chunks: DataFrame, parts: int, tasks: int) -> DataFrame:
@@ -313,11 +338,13 @@ def count_words(chunks: DataFrame, parts: int, tasks: int) -> DataFrame:
         distinct, inverse = np.unique(np.concatenate(words), return_inverse=True)
         sums = np.bincount(inverse, weights=counts, minlength=len(distinct)).astype(np.int64)
         kinds = np.array([(sums == 1).sum(), (sums == 2).sum(), (sums > 0).sum()], np.int64)
-        out = [("kinds", None, 0, key[0], packed(kinds), None)]
+        out = [("kinds", None, 0, key[0], packed(kinds), None, None)]
+        ids = np.arange(len(distinct), dtype=np.uint64) * np.uint64(parts) + np.uint64(key[0])
         bounds = np.cumsum([0, *map(len, words)])
         for i, chunk in enumerate(rows["chunk"]):
-            out.append(("chunk", chunk, 0, key[0], packed(sums[inverse[bounds[i] : bounds[i + 1]]]), None))
-        return pd.DataFrame(out, columns=["kind", "chunk", "level", "part", "counts", "free"])
+            at = inverse[bounds[i] : bounds[i + 1]]
+            out.append(("chunk", chunk, 0, key[0], packed(sums[at]), packed(ids[at], True), None))
+        return pd.DataFrame(out, columns=ANSWER_NAMES)
 
     given = chunks.select("chunk").repartition(tasks, "chunk").mapInArrow(give, "part int, chunk string, words binary, counts binary")
     return given.groupBy("part").applyInPandas(add, ANSWERS)
@@ -325,31 +352,29 @@ def count_words(chunks: DataFrame, parts: int, tasks: int) -> DataFrame:
 
 def grow(known: DataFrame, level: int, model: Model) -> DataFrame:
     """Answers to the n-grams of `level` words of context, each part and chunk in the order of
-    `_by_context`: their counts, and what their contexts leave to the suffix."""
+    `_by_context`: their counts, the numbers of candidates, and what contexts leave to the suffix."""
     names = [f.split()[0] for f in MESSAGE.split(", ")]
 
     def give(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                c = Chunk.read(row["chunk"])
-                grams = _grown(c, row["known"], model)
-                if len(grams) <= level:
-                    continue
-                shorter, g = grams[level - 1 : level + 1]
-                suffix, rows = _suffix(g, shorter), []
+                chunk, answers = _all_answers(batch, i, level - 1, True)
+                c = Chunk.read(chunk)
+                grown = _grown(c, answers, model)
+                g, shorter, rows = grown.deeper, grown.shorter, []
+                suffix = np.clip(np.round(-grown.logs[g.first] * _STEPS), 0, 65535).astype(np.uint16)
                 for p, contexts, n, at in _by_context(g, shorter, model.parts):
-                    words, place = np.unique(g.word[at], return_inverse=True)
+                    words, one, place = np.unique(g.word[at], return_index=True, return_inverse=True)
                     rows.append(
                         (
                             p,
-                            row["chunk"],
-                            packed(shorter.hashes[contexts], True),
+                            chunk,
+                            packed(shorter.ids[contexts], True),
                             packed(n.astype(np.uint32)),
-                            packed(c.words[words], True),
+                            packed(grown.words.ids[words], True),
                             packed(place.astype(np.uint32)),
                             packed(g.own[at].astype(np.uint32)),
-                            packed(suffix[at]),
+                            packed(suffix[at[one] if level == 1 else at]),  # after one word it depends on the last word alone
                         )
                     )
                 kinds = [pa.int32(), pa.string(), *[pa.binary()] * 6]
@@ -359,22 +384,26 @@ def grow(known: DataFrame, level: int, model: Model) -> DataFrame:
     def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         contexts = [unpacked(x, np.uint64, True) for x in rows["contexts"]]
         sizes = [unpacked(x, np.uint32) for x in rows["followers"]]
-        words = [unpacked(w, np.uint64, True)[unpacked(at, np.uint32)] for w, at in zip(rows["words"], rows["at"])]
+        at = [unpacked(x, np.uint32) for x in rows["at"]]
+        words = [unpacked(x, np.uint64, True)[i] for x, i in zip(rows["words"], at)]
+        suffix = [unpacked(x, np.uint16) for x in rows["suffix"]]
+        suffix = np.concatenate([x[i] for x, i in zip(suffix, at)] if level == 1 else suffix)
         distinct, number = np.unique(np.concatenate(contexts), return_inverse=True)
         of_gram = np.repeat(number, np.concatenate(sizes))
-        with np.errstate(over="ignore"):
-            hashes = mix(distinct[of_gram] * _FACTOR + np.concatenate(words))
-        grams, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        vocabulary, of_words = np.unique(np.concatenate(words), return_inverse=True)
+        grams, first, inverse = np.unique(of_gram * len(vocabulary) + of_words, return_index=True, return_inverse=True)
         own = np.concatenate([unpacked(x, np.uint32) for x in rows["counts"]])
         sums = np.bincount(inverse, weights=own, minlength=len(grams)).astype(np.int64)
-        suffix = np.concatenate([unpacked(x, np.float32) for x in rows["suffix"]])[first]
+        often = sums >= model.least
+        ids = (np.cumsum(often) - 1).astype(np.uint64) * np.uint64(model.parts) + np.uint64(key[0])
+        suffix = suffix[first] / -_STEPS
         free = model.free(of_gram[first], sums, suffix, len(distinct))
         out, a, b = [], 0, 0
         for chunk, some, words_of in zip(rows["chunk"], contexts, words):
-            counts = sums[inverse[b : b + len(words_of)]]
-            out.append(("chunk", chunk, level, key[0], packed(counts), packed(free[number[a : a + len(some)]])))
+            at = inverse[b : b + len(words_of)]
+            out.append(("chunk", chunk, level, key[0], packed(sums[at]), packed(ids[at[often[at]]], True), packed(free[number[a : a + len(some)]])))
             a, b = a + len(some), b + len(words_of)
-        return pd.DataFrame(out, columns=["kind", "chunk", "level", "part", "counts", "free"])
+        return pd.DataFrame(out, columns=ANSWER_NAMES)
 
     return known.mapInArrow(give, MESSAGE).groupBy("part").applyInPandas(add, ANSWERS)
 
@@ -398,34 +427,32 @@ def scored(docs: DataFrame, held_out: str = "held_out", least: int = LEAST, dept
         F.coalesce(F.col(held_out), F.lit(True)).alias("held"),
         F.col("text").cast("string").alias("text"),
     )
-    chunks = _written(spark, chunked(narrow, scratch_path(spark, "chunk-files")), "chunks")
+    chunks, _ = _written(spark, chunked(narrow, scratch_path(spark, "chunk-files")), "chunks")
     size = chunks.agg(F.count("*"), F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
     least_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # A chunk gives at most one n-gram per distinct word or token.
     parts, tasks = max(least_tasks, -(-max(size[1], size[2]) // KEYS_PER_TASK)), max(least_tasks, size[0])
-    answers = [_written(spark, count_words(chunks, parts, tasks), "words")]
+    answers, place = _written(spark, count_words(chunks, parts, tasks), "words")
     kinds = np.zeros(3, np.int64)
-    for row in answers[0].where("kind = 'kinds'").select("counts").toLocalIterator():
+    for row in answers.where("kind = 'kinds'").select("counts").toLocalIterator():
         kinds += unpacked(row[0], np.int64)
     discount = float(np.clip(kinds[0] / max(kinds[0] + 2 * kinds[1], 1), 0.1, 0.9))
     model = Model(parts, least, divergence, size[2], int(kinds[2]), discount)
     for level in range(1, depth + 1):
-        answers.append(_written(spark, grow(_known(chunks, answers, tasks), level, model), f"level-{level}"))
+        used = place
+        answers, place = _written(spark, grow(_known(chunks, answers, tasks), level, model), f"level-{level}")
+        system, path = store(used)
+        system.delete_dir(path)  # kept beside the chunks by now
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                c = Chunk.read(row["chunk"])
-                grams = _grown(c, row["known"], model)
-                counts = grams[0].counts
+                chunk, answers = _all_answers(batch, i, depth, False)
+                c = Chunk.read(chunk)
+                grown = _grown(c, answers, model)
+                counts, logs = grown.words.counts, grown.logs.astype(float)
                 base = np.log10((counts + 1) / (model.tokens + model.types + 1))
-                logs = grams[0].logs[c.tokens].astype(float)
-                for g in grams[1:]:
-                    if g.logs is not None:
-                        at = np.flatnonzero(g.of >= 0)
-                        logs[at] = g.logs[g.of[at]]
                 begins = np.cumsum(c.lengths) - c.lengths
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -394,7 +394,8 @@ def tree_scores(train, asked, least, depth, divergence):
             else:
                 out = {w: max(k - d - 1, 0) / n for w, k in f.items()}
                 rest = min(max(1 - sum(out.values()), 1e-9), 1)
-                lower = {w: p(context[1:], w) for w in f}
+                # As documented, the test takes the suffix's probabilities rounded.
+                lower = {w: 10 ** (-round(-2048 * math.log10(p(context[1:], w))) / 2048) for w in f}
                 retained[context] = sum(k * math.log((out[w] + rest * lower[w]) / lower[w]) for w, k in f.items()) / n >= divergence
         return retained[context]
 
