@@ -29,6 +29,7 @@ from attrspark.vocabulary import (
 
 SCORED = "scores array<double>, error string, seconds double"
 IMAGE_MISSING = "image_load_failed"
+BATCH_SIZE, BATCH_BYTES = 32, 64 << 20
 
 
 class Scorer(Protocol):
@@ -92,14 +93,54 @@ def score_batch(scorer: Scorer, inputs: list[Any], missing: str | None) -> pd.Da
     return pd.DataFrame({"scores": scores, "error": errors, "seconds": seconds})
 
 
-def scored(column: Column, scorer: Scorer, missing: str | None = None) -> Column:
+def item_batches(sizes: Sequence[int], items: int, size: int) -> Iterator[tuple[int, int]]:
+    """(first, end) of runs of at most `items` items and `size` bytes; a larger item is alone."""
+    first = held = 0
+    for i, one in enumerate(sizes):
+        if i > first and (i - first >= items or held + one > size):
+            yield first, i
+            first, held = i, 0
+        held += one
+    if first < len(sizes):
+        yield first, len(sizes)
+
+
+def item_bytes(value: Any) -> int:
+    """Bytes of an input: of a text in UTF-8, of an array of doubles, none of a null."""
+    if value is None:
+        return 0
+    if isinstance(value, str):
+        return len(value.encode("utf-8", "surrogatepass"))
+    return len(value) if isinstance(value, (bytes, bytearray, memoryview)) else 8 * np.size(value)
+
+
+def score_batches(scorer: Scorer, inputs: list[Any], missing: str | None, items: int, size: int) -> pd.DataFrame:
+    """Score inputs in batches of at most `items` inputs and `size` bytes; nulls take no place in one."""
+    given = [i for i, value in enumerate(inputs) if value is not None]
+    parts = [score_batch(scorer, [None] * (len(inputs) - len(given)), missing)]
+    order = [i for i, value in enumerate(inputs) if value is None]
+    for first, end in item_batches([item_bytes(inputs[i]) for i in given], items, size):
+        parts.append(score_batch(scorer, [inputs[i] for i in given[first:end]], missing))
+        order += given[first:end]
+    done = pd.concat([p for p in parts if len(p)] or parts, ignore_index=True)
+    done.index = order
+    return done.sort_index()
+
+
+def scored(
+    column: Column,
+    scorer: Scorer,
+    missing: str | None = None,
+    batch_size: int = BATCH_SIZE,
+    batch_bytes: int = BATCH_BYTES,
+) -> Column:
     """Struct of scores, error and seconds for an input column."""
 
     @F.pandas_udf(SCORED)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer.setup()
         for batch in batches:
-            yield score_batch(scorer, batch.tolist(), missing)
+            yield score_batches(scorer, batch.tolist(), missing, batch_size, batch_bytes)
 
     return run(column)
 
@@ -169,11 +210,18 @@ class ModelExtractor:
         threshold: float = CONFIDENCE_THRESHOLD,
         missing: str | None = None,
         partitions: int | None = None,
+        batch_size: int = BATCH_SIZE,
+        batch_bytes: int = BATCH_BYTES,
     ):
         """`partitions` spreads the rows over that many tasks before scoring.
 
-        Spark sizes tasks by bytes; a slow model over short texts needs more of them.
+        Spark sizes tasks by bytes; a slow model over short texts needs more of them. The
+        scorer gets at most `batch_size` inputs of together `batch_bytes` at a time, a larger
+        input alone.
         """
+        if batch_size <= 0 or batch_bytes <= 0:
+            raise ValueError("batch_size and batch_bytes must be positive")
+        self.batch_size, self.batch_bytes = batch_size, batch_bytes
         self.scorer, self.vocabulary, self.threshold = scorer, vocabulary, threshold
         self.scored_vocabulary = scored_vocabulary or vocabulary
         self.missing, self.partitions = missing, partitions
@@ -190,5 +238,5 @@ class ModelExtractor:
 
     def apply(self, df: DataFrame, column: str, out: str) -> DataFrame:
         rows = df.repartition(self.partitions) if self.partitions else df
-        staged = rows.withColumn("__scored", scored(F.col(column), self.scorer, self.missing))
+        staged = rows.withColumn("__scored", scored(F.col(column), self.scorer, self.missing, self.batch_size, self.batch_bytes))
         return self.from_scores(staged, "__scored", df.columns, out)

@@ -149,7 +149,7 @@ def shard_job(
     rows = with_texts(rows, "text_at", error="__text_error")
     rows = rows.withColumn("__image_at", F.when(~F.col("hit"), F.col("image_at")))
     rows = rows.withColumn("text_input", F.when(~has_image & ~F.col("hit"), F.col("text")))
-    rows = with_member_scores(rows, "__image_at", images.scorer, "__scored")
+    rows = with_member_scores(rows, "__image_at", images.scorer, "__scored", "tar", images.batch_size, images.batch_bytes)
     rows = images.from_scores(rows, "__scored", rows.columns, "__image")
     rows = texts.apply(rows, "text_input", "__text")
     unread = ~has_image & F.col("__text_error").isNotNull()

@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from attrspark.operators.scorers import SCORED, Scorer, score_batch
+from attrspark.operators import scorers
+from attrspark.operators.scorers import SCORED, Scorer, score_batch, score_batches
 from attrspark.sources.files import list_files, open_file
 from attrspark.sources.tar_split import split_members
 
@@ -302,11 +303,13 @@ def with_member_scores(
     scorer: Scorer,
     name: str = "scored",
     tar: str = "tar",
-    batch_size: int = 16,
+    batch_size: int = scorers.BATCH_SIZE,
+    batch_bytes: int = scorers.BATCH_BYTES,
 ) -> DataFrame:
     """Add a struct of scores, error and seconds for the member at `offset`.
 
-    The worker reads `batch_size` members at a time and hands them to the scorer.
+    The worker reads `batch_size` members at a time and hands them to the scorer, at most
+    `batch_bytes` at once.
     Null offsets have neither scores nor error.
     """
 
@@ -328,7 +331,7 @@ def with_member_scores(
                             contents.append(None)
                             errors[j] = str(failure) or type(failure).__name__
                     reading = (time.perf_counter() - began) / max(len(contents), 1)
-                    part = score_batch(scorer, contents, None)
+                    part = score_batches(scorer, contents, None, batch_size, batch_bytes)
                     part["seconds"] += reading
                     for j, message in errors.items():
                         part.at[j, "error"] = message

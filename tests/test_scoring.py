@@ -12,7 +12,15 @@ from pyspark.sql import functions as F
 
 from attrspark.functions.scoring import long_scores, with_attributes
 from attrspark.operators.lexical import extract_text
-from attrspark.operators.scorers import IMAGE_MISSING, EmbeddingScorer, ModelExtractor, VectorExtractor
+from attrspark.operators.scorers import (
+    IMAGE_MISSING,
+    EmbeddingScorer,
+    ModelExtractor,
+    VectorExtractor,
+    item_batches,
+    score_batches,
+    scored,
+)
 from attrspark.operators.zero_shot import LabelVectors, cosine_scores
 from attrspark.plans import inputs as IN
 from attrspark.vocabulary import IMAGE_VOCABULARY, TEXT_VOCABULARY, Vocabulary
@@ -215,3 +223,37 @@ def test_embedder_equals_vectors(spark):
     b = VectorExtractor(labels, 5.0).apply(df, "v", "o").orderBy("i").collect()
     assert [r["o"]["attributes"] for r in a] == [r["o"]["attributes"] for r in b]
     assert a[20]["o"]["error"] == "embedding without direction" and a[19]["o"]["error"] is None
+
+
+class Batches:
+    """Scores by size and notes, in the scores, how many inputs it got at once."""
+
+    def setup(self):
+        pass
+
+    def score(self, inputs):
+        if any(value == "bad" for value in inputs):
+            raise ValueError("bad input")
+        return [[float(len(inputs)), float(len(value))] for value in inputs]
+
+
+def test_batches_keep_to_items_and_bytes():
+    assert list(item_batches([1, 1, 1, 9, 1, 1], 2, 5)) == [(0, 2), (2, 3), (3, 4), (4, 6)]
+    assert list(item_batches([], 2, 5)) == [] and list(item_batches([0] * 5, 2, 5)) == [(0, 2), (2, 4), (4, 5)]
+    inputs = ["a", None, "bb", "x" * 50, "c", None, "bad", "d"]
+    done = score_batches(Batches(), inputs, "gone", 3, 20)
+    assert done["error"].tolist() == [None, "gone", None, None, None, "gone", "bad input", None]
+    assert [None if s is None else s[1] for s in done["scores"]] == [1, None, 2, 50, 1, None, None, 1]
+    assert max(s[0] for s in done["scores"] if s is not None) <= 3 and done["scores"][3][0] == 1
+    assert len(score_batches(Batches(), [], None, 3, 20)) == 0
+    assert len(score_batches(Batches(), [None, None], "gone", 3, 20)) == 2
+
+
+@pytest.mark.parametrize("size, most", [(4, 4), (1, 1)])
+def test_scorers_get_batches_of_the_asked_size(spark, size, most):
+    rows = spark.createDataFrame([(i, "t" * (i % 7)) for i in range(50)], "id int, text string").coalesce(1)
+    got = rows.select("id", F.length("text").alias("n"), scored(F.col("text"), Batches(), None, size, 1000).alias("s")).collect()
+    assert len(got) == 50 and {r.s.scores[0] for r in got} <= set(range(1, most + 1)) and max(r.s.scores[0] for r in got) == most
+    assert all(r.s.scores[1] == r.n for r in got)
+    with pytest.raises(ValueError):
+        ModelExtractor(Batches(), batch_size=0)
