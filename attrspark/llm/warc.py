@@ -3,12 +3,16 @@
 A record is a `response` with an HTTP block, or a `revisit` that names the response with
 the same payload and has no block. Both carry the payload's SHA-256 and length. The reader
 takes a file in chunks, decompresses member by member with zlib, frames each block by its
-Content-Length and verifies the block and payload digests; it holds one record.
+Content-Length and verifies the block and payload digests; it holds one record. It also takes
+archives of other writers: field names in any case, folded lines, digests of SHA-256 (hex or
+base 32) and SHA-1 or none, and records of any type.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -23,6 +27,7 @@ LEAST_SHARED = 100
 CHUNK = 1 << 20
 FILE_BYTES = 256 << 20
 VERSION = b"WARC/1.1\r\n"
+VERSIONS = (b"WARC/1.0\r\n", VERSION)
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 ROWS = (
     "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, "
@@ -84,36 +89,71 @@ def members(source, chunk: int = CHUNK) -> Iterator[tuple[int, bytes]]:
 
 
 def _number(urn: str | None) -> int | None:
-    digits = (urn or "").removeprefix("<urn:page:").removesuffix(">")
-    return int(digits) if digits else None
+    """The page of a record id; none of an id of another writer."""
+    found = re.fullmatch(r"<urn:page:(-?[0-9]{1,19})>", (urn or "").strip())
+    return int(found[1]) if found and -(1 << 63) <= int(found[1]) < 1 << 63 else None
+
+
+def header(head: bytes) -> dict[str, str]:
+    """Fields by lower-case name; a line that begins with white space goes on with the one before."""
+    fields: dict[str, str] = {}
+    last = None
+    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+        name, colon, value = line.partition(":")
+        if line[:1] in (" ", "\t") and last:
+            fields[last] += " " + line.strip()
+        elif not colon or not name.strip():
+            raise DamagedRecord("header line without a name")
+        else:
+            last = name.strip().lower()
+            fields[last] = value.strip()
+    return fields
+
+
+def agrees(stated: str | None, content: bytes) -> bool:
+    """Whether a digest field fits; one that is not there or of another kind cannot be told."""
+    kind, _, value = (stated or "").partition(":")
+    kind = kind.lower().replace("-", "")
+    if kind not in ("sha1", "sha256"):
+        return True
+    digest = hashlib.new(kind, content).digest()
+    return value.lower() == digest.hex() or value.upper().rstrip("=") == base64.b32encode(digest).decode().rstrip("=")
 
 
 def parse(raw: bytes) -> tuple:
-    """page_id, url, type, refers_to, payload length, digest and payload; raises DamagedRecord."""
+    """page_id, url, type, refers_to, payload length, digest and payload; raises DamagedRecord.
+
+    The payload of an HTTP response is what follows its header, of other records the block;
+    a revisit has none, its length and digest are those stated. Digests are bare lower-case
+    hex SHA-256, of what was read; a revisit's digest of another kind is given as stated.
+    """
     head, gap, rest = raw.partition(b"\r\n\r\n")
-    if not head.startswith(VERSION) or not gap:
+    if not head.startswith(VERSIONS) or not gap:
         raise DamagedRecord("no WARC header")
-    fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
+    fields = header(head)
     try:
-        length = int(fields["Content-Length"])
-        kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha256:")
-        size = int(fields["WARC-Payload-Length"])
+        length, kind = int(fields["content-length"]), fields["warc-type"].lower()
+        size = int(fields["warc-payload-length"]) if "warc-payload-length" in fields else None
     except (KeyError, ValueError) as missing:
         raise DamagedRecord(f"header: {missing}") from missing
-    if len(rest) != length + 4 or rest[length:] != b"\r\n\r\n":
+    if length < 0 or len(rest) != length + 4 or rest[length:] != b"\r\n\r\n":
         raise DamagedRecord("Content-Length does not frame the block")
-    block, payload = rest[:length], None
-    if kind == "response":
-        if fields.get("WARC-Block-Digest") != f"sha256:{hashlib.sha256(block).hexdigest()}":
-            raise DamagedRecord("block digest is wrong")
-        payload = block.partition(b"\r\n\r\n")[2]
-        if len(payload) != size or hashlib.sha256(payload).hexdigest() != digest:
+    block, payload, digest = rest[:length], None, fields.get("warc-payload-digest")
+    if not agrees(fields.get("warc-block-digest"), block):
+        raise DamagedRecord("block digest is wrong")
+    if kind == "revisit":
+        digest = digest.removeprefix("sha256:") if digest else None
+    else:
+        http = kind in ("response", "request") and fields.get("content-type", "").lower().startswith("application/http")
+        payload = block.partition(b"\r\n\r\n")[2] if http else block
+        if size not in (None, len(payload)) or not agrees(digest, payload):
             raise DamagedRecord("payload digest is wrong")
-    url = fields.get("WARC-Target-URI")
-    if url is not None:
+        size, digest = len(payload), hashlib.sha256(payload).hexdigest()
+    url, page = fields.get("warc-target-uri"), fields.get("warc-record-id")
+    if url is not None and (page or "").startswith("<urn:page:"):  # as `record` writes it
         url = url.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
-    refers = _number(fields["WARC-Refers-To"]) if kind == "revisit" else None
-    return _number(fields["WARC-Record-ID"]), url, kind, refers, size, digest, payload
+    refers = _number(fields.get("warc-refers-to")) if kind == "revisit" else None
+    return _number(page), url, kind, refers, size, digest, payload
 
 
 def write_archives(pages: DataFrame, folder: str, least_shared: int = LEAST_SHARED, file_bytes: int = FILE_BYTES) -> DataFrame:
@@ -176,7 +216,7 @@ def write_archives(pages: DataFrame, folder: str, least_shared: int = LEAST_SHAR
 def read_archives(files: DataFrame, keep_payload: bool = True, rows_at_once: int = 500) -> DataFrame:
     """Every record of the archives listed in `files(file)`, with its place.
 
-    A damaged record becomes a row with `error` and its offset, without the other values;
+    Records of other types and writers are rows too, without a page_id. A damaged record becomes a row with `error` and its offset, without the other values;
     what follows a member that does not end cannot be framed, so the file's reading ends
     there, while other files go on.
     """

@@ -1,5 +1,6 @@
 """Token-id files, packing and archives: round trips, places and damage."""
 
+import base64
 import gzip
 import hashlib
 import io
@@ -182,3 +183,33 @@ def test_members_are_plain_gzip_and_damage_is_reported(spark, tmp_path):
     assert {n: [o for o, _ in b] for n, b in bad.items()} == {"wrong": [len(raw[0])], "unframed": [len(raw[0])], "cut": [0], "whole": []}
     small = list(warc.members(io.BytesIO(cases["whole"]), 7))
     assert [at for at, _ in small] == [sum(map(len, raw[:i])) for i in range(4)]
+
+
+def foreign(kind, block, *lines, version="WARC/1.0"):
+    head = [f"warc-type: {kind}", "WARC-Record-ID: <urn:uuid:12>", f"content-length:{len(block)}", *lines]
+    return gzip.compress((version + "\r\n" + "\r\n".join(head) + "\r\n\r\n").encode("latin-1") + block + b"\r\n\r\n")
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\nX: y\r\n\r\nbody"
+    sha1 = base64.b32encode(hashlib.sha1(http).digest()).decode()
+    digest = hashlib.sha256(b"own").hexdigest()
+    raw = [
+        foreign("warcinfo", b"software: x"),
+        foreign("response", http, "WARC-Target-URI: http://a/%25", "Content-Type: application/http;", " msgtype=response", f"WARC-Block-Digest: sha1:{sha1}"),
+        foreign("response", http, "Content-Type: application/http", "WARC-Block-Digest: sha1:AAAA"),
+        foreign("response", b"x", "a line without a name"),
+        foreign("metadata", b"", "WARC-Target-URI: http://\xe9/", "WARC-Payload-Digest: md5:1"),
+        foreign("revisit", b"", "WARC-Payload-Digest: sha1:ABC"),
+        foreign("response", b"x", version="WARC/0.17"),
+        warc.record(7, "http://a/%41", b"own", digest, None),
+    ]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(raw))
+    files = spark.createDataFrame([(f"file://{tmp_path}/a.warc.gz",)], "file string")
+    rows = sorted(warc.read_archives(files).collect(), key=lambda r: r.offset)
+    assert [r.error is None for r in rows] == [True, True, False, False, True, True, False, True]
+    assert [r.record_type for r in rows if not r.error] == ["warcinfo", "response", "metadata", "revisit", "response"]
+    assert (rows[1].page_id, rows[1].url, bytes(rows[1].payload), rows[1].payload_bytes) == (None, "http://a/%25", b"body", 4)
+    assert rows[1].payload_digest == hashlib.sha256(b"body").hexdigest()
+    assert (rows[5].payload, rows[5].payload_digest, rows[5].refers_to) == (None, "sha1:ABC", None)
+    assert (rows[7].page_id, rows[7].url, rows[7].payload_digest) == (7, "http://a/%41", digest)
