@@ -204,7 +204,7 @@ class Grams:
     of: np.ndarray  # number of the n-gram that ends at each token, or -1
     context: np.ndarray  # number of each n-gram's context among the n-grams one shorter
     word: np.ndarray  # position of its last word among the chunk's words
-    first: np.ndarray  # a token at which it ends
+    at: np.ndarray  # a token at which it ends
     own: np.ndarray  # times it occurs in the chunk's training documents
     counts: np.ndarray | None = None  # times in all training documents
     ids: np.ndarray | None = None  # number among all n-grams of the length, of candidates and words
@@ -217,12 +217,14 @@ def _deeper(c: Chunk, shorter: Grams, follows: np.ndarray, training: np.ndarray,
     use = (context >= 0) & (shorter.counts >= least)[context] if len(shorter.counts) else context >= 0
     at, context = at[use], context[use]
     keys = context.astype(np.int64) * max(len(c.words), 1) + c.tokens[at]
-    distinct, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+    distinct, inverse = np.unique(keys, return_inverse=True)
+    first = np.zeros(len(distinct), np.int32)  # any of them serves
+    first[inverse] = at
     of = np.full(len(c.tokens), -1, np.int32)
     of[at] = inverse
     contexts, words = np.divmod(distinct, max(len(c.words), 1))
     own = np.bincount(inverse[training[at]], minlength=len(distinct))
-    return Grams(of, contexts.astype(np.int32), words.astype(np.int32), at[first].astype(np.int32), own.astype(np.int32))
+    return Grams(of, contexts.astype(np.int32), words.astype(np.int32), first, own.astype(np.int32))
 
 
 def _by_context(g: Grams, shorter: Grams, parts: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -250,8 +252,8 @@ class Grown:
     logs: np.ndarray
 
 
-def _grown(c: Chunk, answers: list[dict[int, dict]], model: Model) -> Grown:
-    """`answers` are by level, each by part."""
+def _grown(c: Chunk, answers: list[dict[int, dict]], model: Model, longer: bool = True) -> Grown:
+    """`answers` are by level, each by part; with `longer`, n-grams yet to be asked for follow."""
     training, follows = c.training(), c.follows()
     n = len(c.words)
     own = np.bincount(c.tokens[training], minlength=n)
@@ -272,10 +274,11 @@ def _grown(c: Chunk, answers: list[dict[int, dict]], model: Model) -> Grown:
                 g.ids[at[g.counts[at] >= model.least]] = unpacked(got[p]["ids"], np.uint64, True)
                 free[contexts] = unpacked(got[p]["free"], np.float32)
             # Where an n-gram ends, so does its suffix: the token's probability so far is that of the suffix.
-            found = model.probabilities(g.counts, shorter.counts[g.context], free[g.context], logs[g.first])
+            found = model.probabilities(g.counts, shorter.counts[g.context], free[g.context], logs[g.at])
             at = np.flatnonzero(g.of >= 0)
             logs[at] = found[g.of[at]]
-        shorter, g = g, _deeper(c, g, follows, training, model.least)
+        if longer or level + 1 < len(answers):
+            shorter, g = g, _deeper(c, g, follows, training, model.least)
     return Grown(words, shorter, g, logs)
 
 
@@ -362,7 +365,7 @@ def grow(known: DataFrame, level: int, model: Model) -> DataFrame:
                 c = Chunk.read(chunk)
                 grown = _grown(c, answers, model)
                 g, shorter, rows = grown.deeper, grown.shorter, []
-                suffix = np.clip(np.round(-grown.logs[g.first] * _STEPS), 0, 65535).astype(np.uint16)
+                suffix = np.clip(np.round(-grown.logs[g.at] * _STEPS), 0, 65535).astype(np.uint16)
                 for p, contexts, n, at in _by_context(g, shorter, model.parts):
                     words, one, place = np.unique(g.word[at], return_index=True, return_inverse=True)
                     rows.append(
@@ -391,7 +394,9 @@ def grow(known: DataFrame, level: int, model: Model) -> DataFrame:
         distinct, number = np.unique(np.concatenate(contexts), return_inverse=True)
         of_gram = np.repeat(number, np.concatenate(sizes))
         vocabulary, of_words = np.unique(np.concatenate(words), return_inverse=True)
-        grams, first, inverse = np.unique(of_gram * len(vocabulary) + of_words, return_index=True, return_inverse=True)
+        grams, inverse = np.unique(of_gram * len(vocabulary) + of_words, return_inverse=True)
+        first = np.zeros(len(grams), np.int64)  # equal n-grams have equal contexts and suffixes
+        first[inverse] = np.arange(len(inverse))
         own = np.concatenate([unpacked(x, np.uint32) for x in rows["counts"]])
         sums = np.bincount(inverse, weights=own, minlength=len(grams)).astype(np.int64)
         often = sums >= model.least
@@ -450,7 +455,7 @@ def scored(docs: DataFrame, held_out: str = "held_out", least: int = LEAST, dept
             for i in range(batch.num_rows):
                 chunk, answers = _all_answers(batch, i, depth, False)
                 c = Chunk.read(chunk)
-                grown = _grown(c, answers, model)
+                grown = _grown(c, answers, model, False)
                 counts, logs = grown.words.counts, grown.logs.astype(float)
                 base = np.log10((counts + 1) / (model.tokens + model.types + 1))
                 begins = np.cumsum(c.lengths) - c.lengths
