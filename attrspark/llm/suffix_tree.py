@@ -50,7 +50,7 @@ KEYS_PER_TASK = 1_000_000
 END = np.uint64(0x5851F42D4C957F2D)
 _STEPS = 2048
 CHUNKS = "chunk string, n_words long, n_train long"
-ANSWERS = "kind string, chunk string, level int, part int, counts binary, ids binary, free binary"
+ANSWERS = "kind string, chunk string, level int, part int, counts binary, ids binary, types binary"
 ANSWER_NAMES = [f.split()[0] for f in ANSWERS.split(", ")]
 MESSAGE = "part int, chunk string, contexts binary, followers binary, words binary, at binary, counts binary, suffix binary"
 
@@ -170,16 +170,18 @@ class Model:
         unseen = self.discount * self.types / self.tokens
         return np.log10(np.where(counts > 0, (counts - self.discount) / self.tokens, unseen)).astype(np.float32)
 
-    def probabilities(self, counts: np.ndarray, totals: np.ndarray, free: np.ndarray, suffix: np.ndarray) -> np.ndarray:
-        """log10 of the probabilities of n-grams; a context whose `free` is not a number is not retained."""
-        kept = ~np.isnan(free)
-        p = np.maximum(counts[kept] - self.discount, 0) / np.maximum(totals[kept], 1) + free[kept].astype(float) * 10.0 ** suffix[kept].astype(float)
+    def probabilities(self, counts: np.ndarray, totals: np.ndarray, types: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+        """log10 of the probabilities of n-grams; a context without `types` is not retained."""
+        kept = types > 0
+        some = np.maximum(totals[kept], 1)
+        free = np.minimum(self.discount * types[kept] / some, 1)
+        p = np.maximum(counts[kept] - self.discount, 0) / some + free * 10.0 ** suffix[kept].astype(float)
         out = suffix.copy()
         out[kept] = np.log10(p)
         return out
 
-    def free(self, context: np.ndarray, counts: np.ndarray, suffix: np.ndarray, n: int) -> np.ndarray:
-        """What each of `n` contexts leaves to its suffix; not a number where it is not retained.
+    def types_of(self, context: np.ndarray, counts: np.ndarray, suffix: np.ndarray, n: int) -> np.ndarray:
+        """The distinct words after each of `n` contexts, 0 where it is not retained.
 
         `context`, `counts` and `suffix` are of the n-grams: number of the context, training
         count, log10 probability in the suffix.
@@ -187,14 +189,13 @@ class Model:
         totals = np.bincount(context, weights=counts, minlength=n)
         some = np.maximum(totals, 1)
         types = np.bincount(context, weights=counts > 0, minlength=n)
-        free = np.minimum(self.discount * types / some, 1)
         part = np.maximum(counts - self.discount - 1, 0) / some[context]  # each observation left out
         rest = np.clip(1 - np.bincount(context, weights=part, minlength=n), 1e-9, 1)
         seen = np.flatnonzero(counts > 0)
         p = 10.0 ** suffix[seen].astype(float)
         gains = counts[seen] * np.log((part[seen] + rest[context[seen]] * p) / p)
         gain = np.bincount(context[seen], weights=gains, minlength=n) / some
-        return np.where((totals >= self.least) & (gain >= self.divergence), free, np.nan).astype(np.float32)
+        return np.where((totals >= self.least) & (gain >= self.divergence), types, 0).astype(np.uint32)
 
 
 @dataclass
@@ -268,13 +269,14 @@ def _grown(c: Chunk, answers: list[dict[int, dict]], model: Model, longer: bool
                 g.counts[at], g.ids[at] = unpacked(one["counts"], np.int64), unpacked(one["ids"], np.uint64, True)
             logs = model.root(g.counts)[c.tokens]
         else:
-            free = np.full(len(shorter.own), np.nan, np.float32)
+            types = np.zeros(len(shorter.own), np.uint32)
             for p, contexts, _, at in _by_context(g, shorter, model.parts):
                 g.counts[at] = unpacked(got[p]["counts"], np.int64)
-                g.ids[at[g.counts[at] >= model.least]] = unpacked(got[p]["ids"], np.uint64, True)
-                free[contexts] = unpacked(got[p]["free"], np.float32)
+                if got[p]["ids"] is not None:
+                    g.ids[at[g.counts[at] >= model.least]] = unpacked(got[p]["ids"], np.uint64, True)
+                types[contexts] = unpacked(got[p]["types"], np.uint32)
             # Where an n-gram ends, so does its suffix: the token's probability so far is that of the suffix.
-            found = model.probabilities(g.counts, shorter.counts[g.context], free[g.context], logs[g.at])
+            found = model.probabilities(g.counts, shorter.counts[g.context], types[g.context], logs[g.at])
             at = np.flatnonzero(g.of >= 0)
             logs[at] = found[g.of[at]]
         if longer or level + 1 < len(answers):
@@ -290,8 +292,8 @@ def _written(spark: SparkSession, df: DataFrame, label: str) -> tuple[DataFrame,
 
 def _known(chunks: DataFrame, answers: DataFrame, tasks: int) -> DataFrame:
     """chunk, and the answers to it; a chunk's answers are as many as its n-grams at most."""
-    rows = chunks.select("chunk", F.lit(None).cast("struct<part:int,counts:binary,ids:binary,free:binary>").alias("a"))
-    found = answers.where("kind = 'chunk'").select("chunk", F.struct("part", "counts", "ids", "free").alias("a"))
+    rows = chunks.select("chunk", F.lit(None).cast("struct<part:int,counts:binary,ids:binary,types:binary>").alias("a"))
+    found = answers.where("kind = 'chunk'").select("chunk", F.struct("part", "counts", "ids", "types").alias("a"))
     rows = rows.unionByName(found).repartition(tasks, "chunk")
     return rows.groupBy("chunk").agg(F.collect_list("a").alias("known"))
 
@@ -313,7 +315,7 @@ def _all_answers(batch: pa.RecordBatch, i: int, level: int, keep: bool) -> tuple
     answers.append({row["part"]: row for row in rows.to_pylist()} if rows is not None else {})
     if keep:
         place, out = new_file(chunk.rpartition("/")[0], ".part")
-        schema = pa.schema([("part", pa.int32()), ("counts", pa.binary()), ("ids", pa.binary()), ("free", pa.binary())])
+        schema = pa.schema([("part", pa.int32()), ("counts", pa.binary()), ("ids", pa.binary()), ("types", pa.binary())])
         with out, pa.ipc.new_stream(out, schema) as writer:
             writer.write_table(rows.cast(schema) if rows is not None else schema.empty_table())
         system, path = store(place)
@@ -353,9 +355,9 @@ def count_words(chunks: DataFrame, parts: int, tasks: int) -> DataFrame:
     return given.groupBy("part").applyInPandas(add, ANSWERS)
 
 
-def grow(known: DataFrame, level: int, model: Model) -> DataFrame:
+def grow(known: DataFrame, level: int, model: Model, last: bool = False) -> DataFrame:
     """Answers to the n-grams of `level` words of context, each part and chunk in the order of
-    `_by_context`: their counts, the numbers of candidates, and what contexts leave to the suffix."""
+    `_by_context`: their counts, the numbers of candidates, and the types of contexts."""
     names = [f.split()[0] for f in MESSAGE.split(", ")]
 
     def give(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,6 +368,8 @@ def grow(known: DataFrame, level: int, model: Model) -> DataFrame:
                 grown = _grown(c, answers, model)
                 g, shorter, rows = grown.deeper, grown.shorter, []
                 suffix = np.clip(np.round(-grown.logs[g.at] * _STEPS), 0, 65535).astype(np.uint16)
+                if level > 1:  # the test asks for those of training n-grams only
+                    suffix[g.own == 0] = 0
                 for p, contexts, n, at in _by_context(g, shorter, model.parts):
                     words, one, place = np.unique(g.word[at], return_index=True, return_inverse=True)
                     rows.append(
@@ -394,19 +398,22 @@ def grow(known: DataFrame, level: int, model: Model) -> DataFrame:
         distinct, number = np.unique(np.concatenate(contexts), return_inverse=True)
         of_gram = np.repeat(number, np.concatenate(sizes))
         vocabulary, of_words = np.unique(np.concatenate(words), return_inverse=True)
+        own = np.concatenate([unpacked(x, np.uint32) for x in rows["counts"]])
         grams, inverse = np.unique(of_gram * len(vocabulary) + of_words, return_inverse=True)
         first = np.zeros(len(grams), np.int64)  # equal n-grams have equal contexts and suffixes
         first[inverse] = np.arange(len(inverse))
-        own = np.concatenate([unpacked(x, np.uint32) for x in rows["counts"]])
+        training = np.flatnonzero(own)
+        first[inverse[training]] = training
         sums = np.bincount(inverse, weights=own, minlength=len(grams)).astype(np.int64)
         often = sums >= model.least
         ids = (np.cumsum(often) - 1).astype(np.uint64) * np.uint64(model.parts) + np.uint64(key[0])
         suffix = suffix[first] / -_STEPS
-        free = model.free(of_gram[first], sums, suffix, len(distinct))
+        types = model.types_of(of_gram[first], sums, suffix, len(distinct))
         out, a, b = [], 0, 0
         for chunk, some, words_of in zip(rows["chunk"], contexts, words):
             at = inverse[b : b + len(words_of)]
-            out.append(("chunk", chunk, level, key[0], packed(sums[at]), packed(ids[at[often[at]]], True), packed(free[number[a : a + len(some)]])))
+            numbers = None if last else packed(ids[at[often[at]]], True)
+            out.append(("chunk", chunk, level, key[0], packed(sums[at]), numbers, packed(types[number[a : a + len(some)]])))
             a, b = a + len(some), b + len(words_of)
         return pd.DataFrame(out, columns=ANSWER_NAMES)
 
@@ -445,7 +452,7 @@ def scored(docs: DataFrame, held_out: str = "held_out", least: int = LEAST, dept
     model = Model(parts, least, divergence, size[2], int(kinds[2]), discount)
     for level in range(1, depth + 1):
         used = place
-        answers, place = _written(spark, grow(_known(chunks, answers, tasks), level, model), f"level-{level}")
+        answers, place = _written(spark, grow(_known(chunks, answers, tasks), level, model, level == depth), f"level-{level}")
         system, path = store(used)
         system.delete_dir(path)  # kept beside the chunks by now
 
