@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attrspark.operators.scorers import Extractor
-from attrspark.sources.files import exists
+from attrspark.sources.files import exists, folders
 from attrspark.vocabulary import IMAGE_VOCABULARY, Vocabulary
 
 
@@ -136,26 +136,15 @@ class CacheTable:
             ]
         )
 
-    def _folders(self, path: str, prefix: str) -> list[str]:
-        """Names of the sub-folders that begin with `prefix`."""
-        jvm = self.spark._jvm.org.apache.hadoop.fs
-        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
-        folder = jvm.Path(path)
-        files = folder.getFileSystem(conf)
-        if not files.exists(folder):
-            return []
-        names = [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
-        return [n for n in names if n.startswith(prefix)]
-
     def _batches(self, generation: int) -> dict[str, int]:
         """Finished batches of a generation: folder name and number."""
         folder = f"{self.path}/gen={generation}"
-        done = [n for n in self._folders(folder, "batch=") if exists(self.spark, f"{folder}/{n}/_SUCCESS")]
+        done = [n for n in folders(self.spark, folder, "batch=") if exists(self.spark, f"{folder}/{n}/_SUCCESS")]
         return {n: int(n[len("batch=") :].split("-", 1)[0]) for n in done}
 
     def _generation(self) -> int | None:
         """The latest generation whose first batch is complete."""
-        numbers = sorted((int(n[len("gen=") :]) for n in self._folders(self.path, "gen=")), reverse=True)
+        numbers = sorted((int(n[len("gen=") :]) for n in folders(self.spark, self.path, "gen=")), reverse=True)
         return next((g for g in numbers if 0 in self._batches(g).values()), None)
 
     def _write(self, rows: DataFrame, generation: int, batch: str) -> None:

@@ -40,6 +40,7 @@ from attrspark.operators.resume import after_cursor, not_done, progress, with_ro
 from attrspark.operators.scorers import Extractor, LexicalExtractor, ModelExtractor
 from attrspark.session import freeze
 from attrspark.sources.files import exists, list_files
+from attrspark.sources.id_log import IdLog
 from attrspark.sources.images import image_files
 from attrspark.sources.tables import prior_ids, write_with_summary
 from attrspark.sources.tar_shard import (
@@ -76,7 +77,7 @@ def _remaining(items: DataFrame, output: str, resume: Resume, order: list[str])
     spark = items.sparkSession
     if resume.mode == "none" or not exists(spark, output):
         return items
-    done = prior_ids(spark, output, resume.id_fields)
+    done = IdLog(spark, output, resume.id_fields).read()
     if resume.mode == "cursor":
         return after_cursor(items, done, resume.cursor, order)
     return not_done(items, done)

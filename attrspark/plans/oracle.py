@@ -355,6 +355,7 @@ FROM documents""",
     "take_samples": "SELECT doc_id, lang, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 50",
     "skip_take": "SELECT doc_id, lang, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 50 OFFSET 100",
     "read_processed_ids": f"WITH {PRIOR} SELECT DISTINCT id FROM f7ids WHERE id IS NOT NULL",
+    "processed_id_log": f"WITH {PRIOR} SELECT DISTINCT id FROM f7ids WHERE id IS NOT NULL",
     "last_processed": f"WITH {PRIOR} SELECT id FROM f7ids WHERE id IS NOT NULL ORDER BY conv_id DESC, turn DESC LIMIT 1",
     "resume_anti": f"WITH {ITEMS}, {DONE} SELECT id, lang FROM items WHERE id NOT IN (SELECT id FROM done)",
     "resume_limit": f"""WITH {ITEMS}, {DONE}

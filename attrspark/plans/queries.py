@@ -45,6 +45,7 @@ from attrspark.plans import inputs as IN
 from attrspark.plans.jobs import Resume, dataset_job, directory_job, in_waves, shard_job, shard_report
 from attrspark.schema import TAG_GROUPS
 from attrspark.session import scratch_path
+from attrspark.sources.id_log import IdLog
 from attrspark.sources.images import decoded_images
 from attrspark.sources.tables import dataset, prior_ids, read_results, write_results
 from attrspark.sources.tar_shard import tar_members
@@ -337,6 +338,18 @@ def read_processed_ids(spark: SparkSession, folder: str) -> DataFrame:
     return prior_ids(spark, path)
 
 
+@query
+def processed_id_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids from the log beside the output, which is brought up to date after each of four appends."""
+    path = scratch_path(spark, "logged")
+    lines = IN.prior_lines(load(spark, folder, "conversations"))
+    log = IdLog(spark, path)
+    for part in range(4):
+        lines.where(F.col("conv_id") % 4 == part).select("value").write.mode("append").text(path)
+        log.catch_up()
+    return log.read().distinct()
+
+
 @query
 def last_processed(spark: SparkSession, folder: str) -> DataFrame:
     lines = IN.prior_lines(load(spark, folder, "conversations"))

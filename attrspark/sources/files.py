@@ -50,3 +50,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     conf = spark._jsparkSession.sessionState().newHadoopConf()
     return target.getFileSystem(conf).exists(target)
+
+
+def folders(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Names of the folders in a folder that begin with `prefix`; none if it is not there."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    folder = jvm.Path(path)
+    store = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not store.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in store.listStatus(folder) if s.isDirectory()]
+    return [n for n in names if n.startswith(prefix)]
