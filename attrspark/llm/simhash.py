@@ -15,7 +15,7 @@ fingerprints decides. How many blocks there are changes the cost alone, never th
 from __future__ import annotations
 
 from itertools import combinations
-from math import comb
+from math import comb, isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +28,8 @@ BITS = 128
 #: between them on sf0.1 are 5 to 21 bits apart.
 RADIUS = 21
 BLOCK_BYTES = 16 << 20
+#: The edges between blocks are part of the plan; of more than a TB, blocks get larger.
+MOST_BLOCKS = 1 << 16
 _PAIR = 0x100000001
 _FIRST = -(1 << 63)
 
@@ -137,7 +139,9 @@ def near_pairs(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> D
     asked = queries.select("f0", "f1").distinct().select("*", *(block(a, w).alias(f"b{i}") for i, (a, w, _) in enumerate(blocks)))
     around = F.concat(*(probes(i, w, t) for i, (_, w, t) in enumerate(blocks)))
     asked = asked.select(F.col("f0").alias("qf0"), F.col("f1").alias("qf1"), F.explode(around).alias("block"))
-    pairs = tables.join(asked.select("qf0", "qf1", "block.*"), ["number", "value"])
+    # Both sides grow with the data, and Spark would size the probes by the rows before the
+    # generator: they meet in a shuffle.
+    pairs = tables.join(asked.select("qf0", "qf1", "block.*").hint("merge"), ["number", "value"])
 
     def apart(first: int = 0, width: int = BITS) -> Column:
         bits = ((1 << width) - 1) << first
@@ -162,10 +166,12 @@ def near_counts(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) ->
 
 def near_documents(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
     """f0, f1, n_near and near_ids: as `near_counts` for `prints(doc_id, f0, f1)`, with the
-    ids of the rows within the radius, ascending. Null ids are counted, but not listed."""
-    listed = prints.groupBy("f0", "f1").agg(F.count("*").alias("n"), F.collect_list("doc_id").alias("ids"))
-    near = near_pairs(prints, queries, radius).join(listed, ["f0", "f1"])
-    ids = F.sort_array(F.flatten(F.collect_list("ids")))
+    smallest id of each distinct fingerprint within the radius, ascending: documents of one
+    fingerprint are one class, whose members its fingerprint tells, so that a list does not
+    grow with the copies. A fingerprint of null ids only is counted, but not listed."""
+    classes = prints.groupBy("f0", "f1").agg(F.count("*").alias("n"), F.min("doc_id").alias("least"))
+    near = near_pairs(prints, queries, radius).join(classes, ["f0", "f1"])
+    ids = F.sort_array(F.collect_list("least"))
     return near.groupBy(F.col("qf0").alias("f0"), F.col("qf1").alias("f1")).agg(F.sum("n").alias("n_near"), ids.alias("near_ids"))
 
 
@@ -181,21 +187,27 @@ def with_next(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
     key = F.coalesce("doc_id", F.lit(_FIRST))
-    count = tasks_for(narrow, BLOCK_BYTES)
+    count = min(tasks_for(narrow, BLOCK_BYTES), MOST_BLOCKS)
     shares = [i / count for i in range(1, count)] or [0.5]
     found = narrow.agg(F.min(key), F.percentile_approx(key, shares, 10 * count)).first()
     starts = sorted({found[0], *(found[1] or [])} - {None})
     if not starts:
         starts = [_FIRST]
-    edges = F.array(*map(F.lit, starts)).cast("array<bigint>")
-    at = F.size(F.filter(edges, lambda e: e <= key)) - 1
-    first = F.array_contains(edges, key)
+    # Looked up in two steps, so a row is compared with some 2 * sqrt(blocks) edges.
+    step = isqrt(len(starts) - 1) + 1
+    heads = F.array(*map(F.lit, starts[::step])).cast("array<bigint>")
+    runs = F.array(*(F.array(*map(F.lit, starts[i : i + step])) for i in range(0, len(starts), step)))
+    narrow = narrow.withColumn("_run", F.size(F.filter(heads, lambda e: e <= key)) - 1)
+    run = F.element_at(runs.cast("array<array<bigint>>"), F.col("_run") + 1)
+    at = F.col("_run") * step + F.size(F.filter(run, lambda e: e <= key)) - 1
+    first = F.array_contains(run, key)
     before = F.struct(
         F.when(at == 0, len(starts) - 1).otherwise(at - 1).alias("block"), (at == 0).alias("wrapped"), F.lit(False).alias("own")
     )
     own = F.struct(at.alias("block"), F.lit(False).alias("wrapped"), F.lit(True).alias("own"))
     places = F.when(first, F.array(own, before)).otherwise(F.array(own))
     dealt = narrow.select("doc_id", "text", F.explode(places).alias("p")).select("doc_id", "text", "p.*")
+    dealt = dealt.repartitionById(len(starts), "block")  # a block is a task, none gets two
     order = Window.partitionBy("block").orderBy("wrapped", F.col("doc_id").asc_nulls_first(), "text", F.desc("own"))
     return dealt.select(
         "block", "own", "doc_id", "text", F.row_number().over(order).alias("rank"), F.lead("text").over(order).alias("next_text")
@@ -211,7 +223,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     near_edited and near_next (shares of equal bits with the edited text's and the next
     document's fingerprint), and n_near: for documents whose id is divisible by 100 the
     number of documents within `RADIUS` bits, itself included, from permuted block tables,
-    and near_ids, their ids in ascending order (null ids are not listed).
+    and near_ids, in ascending order the smallest id of each distinct fingerprint among them;
+    the other members of these classes are the rows with the same fingerprint.
 
     Null text: empty. Null doc_id: before all others. Repeated doc_id: in the order of the
     texts, each row for itself. Empty texts: fingerprint 0. A single document follows

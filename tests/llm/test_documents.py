@@ -312,15 +312,39 @@ def test_near_copies_are_found_with_their_ids(spark):
         rows.append((100 * (i + 1), " ".join(words)))
     got = {r.doc_id: r for r in simhash.edited_fingerprints(frame(spark, rows)).collect()}
     prints = {d: int(r.fingerprint, 16) for d, r in got.items()}
+    least = {}
+    for d in sorted(prints):
+        least.setdefault(prints[d], d)
     found = 0
     for doc_id, original in copies.items():
-        near = sorted(d for d, p in prints.items() if bin(p ^ prints[doc_id]).count("1") <= simhash.RADIUS)
-        assert got[doc_id].near_ids == near and got[doc_id].n_near == len(near)
+        near = [d for d, p in prints.items() if bin(p ^ prints[doc_id]).count("1") <= simhash.RADIUS]
+        classes = sorted({least[prints[d]] for d in near})
+        assert got[doc_id].near_ids == classes and got[doc_id].n_near == len(near)
         found += original in near
     assert found == len(copies)
     assert got[1].near_ids is None
 
 
+def test_a_group_of_copies_is_one_entry_of_a_list(spark):
+    rows = [(i, "the same text in every one of these documents") for i in range(90, 301)]
+    rows += [(None, rows[0][1]), (None, "another text, of no id at all")]
+    got = {r.doc_id: r for r in simhash.edited_fingerprints(frame(spark, rows)).collect()}
+    for doc_id in (100, 200, 300):
+        assert got[doc_id].near_ids == [90] and got[doc_id].n_near == 212
+
+
+def test_documents_of_many_blocks_follow_each_other(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK_BYTES", 40)
+    rng = random.Random(3)
+    rows = [(i * 7 % 211 - 100, text_of(rng, rng.randint(0, 6))) for i in range(211)]
+    rows += [(5, "twice"), (5, "thrice"), (None, "none")]
+    got = simhash.with_next(frame(spark, rows)).where("own").collect()
+    assert len({r.block for r in got}) > 50
+    ordered = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    want = {(*a, b[1]) for a, b in zip(ordered, ordered[1:] + ordered[:1])}
+    assert len(got) == len(rows) and {(r.doc_id, r.text, r.next_text) for r in got} == want
+
+
 @pytest.mark.parametrize("radius", [0, 2, 10, 21])
 def test_any_number_of_blocks_finds_the_same(spark, monkeypatch, radius):
     rng = random.Random(5)
