@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from attrspark.llm.files import new_file, open_input, store
 from attrspark.llm.words import mix, slices, word_hashes
-from attrspark.session import scratch_path
+from attrspark.session import scratch_path, settings, small_batches
 
 LEAST, DEPTH = 2, 3
 DIVERGENCE = 0.02
@@ -285,42 +285,49 @@ def _grown(c: Chunk, answers: list[dict[int, dict]], model: Model, longer: bool
 
 
 def _written(spark: SparkSession, df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """A table written and read again; what was shuffled for it is removed from the disks."""
     place = scratch_path(spark, label)
-    df.write.parquet(place)
+    with small_batches(spark), settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        df.write.parquet(place)
     return spark.read.schema(df.schema).parquet(place), place
 
 
-def _known(chunks: DataFrame, answers: DataFrame, tasks: int) -> DataFrame:
-    """chunk, and the answers to it; a chunk's answers are as many as its n-grams at most."""
+def _keep(spark: SparkSession, chunks: DataFrame, answers: DataFrame, place: str, level: int, tasks: int) -> None:
+    """Put the answers of a level, written at `place`, into a file beside each chunk and remove them there.
+
+    A chunk's answers are as many as its n-grams at most.
+    """
+
+    def put(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("part", pa.int32()), ("counts", pa.binary()), ("ids", pa.binary()), ("types", pa.binary())])
+        for batch in batches:
+            for i, chunk in enumerate(batch.column(0).to_pylist()):
+                known = batch.column(1)[i].values
+                rows = pa.Table.from_struct_array(known) if known is not None and len(known) else schema.empty_table()
+                # Every attempt writes the same content under a name of its own, which then takes the place of the file.
+                part, out = new_file(chunk.rpartition("/")[0], ".part")
+                with out, pa.ipc.new_stream(out, schema) as writer:
+                    writer.write_table(rows.cast(schema))
+                system, path = store(part)
+                system.move(path, store(f"{chunk}.{level}")[1])
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["chunk"])
+
     rows = chunks.select("chunk", F.lit(None).cast("struct<part:int,counts:binary,ids:binary,types:binary>").alias("a"))
     found = answers.where("kind = 'chunk'").select("chunk", F.struct("part", "counts", "ids", "types").alias("a"))
-    rows = rows.unionByName(found).repartition(tasks, "chunk")
-    return rows.groupBy("chunk").agg(F.collect_list("a").alias("known"))
-
+    rows = rows.unionByName(found).repartition(tasks, "chunk").groupBy("chunk").agg(F.collect_list("a").alias("known"))
+    _written(spark, rows.mapInArrow(put, "chunk string"), "kept")
+    system, path = store(place)
+    system.delete_dir(path)
 
-def _all_answers(batch: pa.RecordBatch, i: int, level: int, keep: bool) -> tuple[str, list[dict[int, dict]]]:
-    """The chunk of a row of `_known` and the answers to it of levels up to `level`.
 
-    Those of `level` are in the row, earlier ones in a file per level beside the chunk. If
-    `keep`, those of the row are put there too: every attempt writes the same content under
-    a name of its own, which then takes the place of the file.
-    """
-    chunk, known = batch.column(0)[i].as_py(), batch.column(1)[i].values
+def _kept(chunk: str, levels: int) -> list[dict[int, dict]]:
+    """The answers to a chunk of the first `levels` levels, by part."""
     answers = []
-    for earlier in range(level):
-        with open_input(f"{chunk}.{earlier}") as source:
+    for level in range(levels):
+        with open_input(f"{chunk}.{level}") as source:
             rows = pa.ipc.open_stream(source).read_all().to_pylist()
         answers.append({row["part"]: row for row in rows})
-    rows = pa.Table.from_struct_array(known) if known is not None and len(known) else None
-    answers.append({row["part"]: row for row in rows.to_pylist()} if rows is not None else {})
-    if keep:
-        place, out = new_file(chunk.rpartition("/")[0], ".part")
-        schema = pa.schema([("part", pa.int32()), ("counts", pa.binary()), ("ids", pa.binary()), ("types", pa.binary())])
-        with out, pa.ipc.new_stream(out, schema) as writer:
-            writer.write_table(rows.cast(schema) if rows is not None else schema.empty_table())
-        system, path = store(place)
-        system.move(path, store(f"{chunk}.{level}")[1])
-    return chunk, answers
+    return answers
 
 
 def count_words(chunks: DataFrame, parts: int, tasks: int) -> DataFrame:
@@ -355,17 +362,17 @@ def count_words(chunks: DataFrame, parts: int, tasks: int) -> DataFrame:
     return given.groupBy("part").applyInPandas(add, ANSWERS)
 
 
-def grow(known: DataFrame, level: int, model: Model, last: bool = False) -> DataFrame:
+def grow(chunks: DataFrame, level: int, model: Model, tasks: int, last: bool = False) -> DataFrame:
     """Answers to the n-grams of `level` words of context, each part and chunk in the order of
-    `_by_context`: their counts, the numbers of candidates, and the types of contexts."""
+    `_by_context`: their counts, the numbers of candidates, and the types of contexts. Those of
+    the levels before are beside the chunks."""
     names = [f.split()[0] for f in MESSAGE.split(", ")]
 
     def give(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                chunk, answers = _all_answers(batch, i, level - 1, True)
+            for chunk in batch.column(0).to_pylist():
                 c = Chunk.read(chunk)
-                grown = _grown(c, answers, model)
+                grown = _grown(c, _kept(chunk, level), model)
                 g, shorter, rows = grown.deeper, grown.shorter, []
                 suffix = np.clip(np.round(-grown.logs[g.at] * _STEPS), 0, 65535).astype(np.uint16)
                 if level > 1:  # the test asks for those of training n-grams only
@@ -417,7 +424,8 @@ def grow(known: DataFrame, level: int, model: Model, last: bool = False) -> Data
             a, b = a + len(some), b + len(words_of)
         return pd.DataFrame(out, columns=ANSWER_NAMES)
 
-    return known.mapInArrow(give, MESSAGE).groupBy("part").applyInPandas(add, ANSWERS)
+    asked = chunks.select("chunk").repartition(tasks, "chunk").mapInArrow(give, MESSAGE)
+    return asked.groupBy("part").applyInPandas(add, ANSWERS)
 
 
 def scored(docs: DataFrame, held_out: str = "held_out", least: int = LEAST, depth: int = DEPTH, divergence: float = DIVERGENCE) -> DataFrame:
@@ -450,19 +458,17 @@ def scored(docs: DataFrame, held_out: str = "held_out", least: int = LEAST, dept
         kinds += unpacked(row[0], np.int64)
     discount = float(np.clip(kinds[0] / max(kinds[0] + 2 * kinds[1], 1), 0.1, 0.9))
     model = Model(parts, least, divergence, size[2], int(kinds[2]), discount)
+    _keep(spark, chunks, answers, place, 0, tasks)
     for level in range(1, depth + 1):
-        used = place
-        answers, place = _written(spark, grow(_known(chunks, answers, tasks), level, model, level == depth), f"level-{level}")
-        system, path = store(used)
-        system.delete_dir(path)  # kept beside the chunks by now
+        answers, place = _written(spark, grow(chunks, level, model, tasks, level == depth), f"level-{level}")
+        _keep(spark, chunks, answers, place, level, tasks)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
         for batch in batches:
-            for i in range(batch.num_rows):
-                chunk, answers = _all_answers(batch, i, depth, False)
+            for chunk in batch.column(0).to_pylist():
                 c = Chunk.read(chunk)
-                grown = _grown(c, answers, model, False)
+                grown = _grown(c, _kept(chunk, depth + 1), model, False)
                 counts, logs = grown.words.counts, grown.logs.astype(float)
                 base = np.log10((counts + 1) / (model.tokens + model.types + 1))
                 begins = np.cumsum(c.lengths) - c.lengths
@@ -479,5 +485,5 @@ def scored(docs: DataFrame, held_out: str = "held_out", least: int = LEAST, dept
                 )
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    out = _known(chunks, answers, tasks).mapInArrow(score, schema)
+    out = chunks.select("chunk").repartition(tasks, "chunk").mapInArrow(score, schema)
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

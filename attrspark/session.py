@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +52,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/attrspark/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings for what is planned and run inside; `__` in a name stands for a dot."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def small_batches(spark: SparkSession):
+    """Python tasks get rows in Arrow batches of about 4 MB.
+
+    Spark's default is 10,000 rows: of long texts that is tens of MB, held by the JVM (twice
+    while its buffer grows) and by the worker.
+    """
+    return settings(spark, spark__sql__execution__arrow__maxBytesPerBatch="4m")
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint, so later passes see the same rows."""
     spark = df.sparkSession
