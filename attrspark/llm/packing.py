@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from attrspark.llm.bpe import Encoder, binary_rows
-from attrspark.session import scratch_path
+from attrspark.session import scratch_path, small_batches
 
 PIECES = StructType(
     [
@@ -224,5 +224,6 @@ def packed_documents(spark: SparkSession, docs: DataFrame, tokenizer: str, capac
     """Pack documents; of the ids only their CRC-32 is kept, so the written table is narrow."""
     place = scratch_path(spark, "pieces")
     pieces = document_pieces(docs, tokenizer, capacity).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    pieces.write.parquet(place)
+    with small_batches(spark):
+        pieces.write.parquet(place)
     return pack(spark.read.schema(pieces.schema).parquet(place), capacity)
