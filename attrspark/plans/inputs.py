@@ -22,6 +22,7 @@ from attrspark.vocabulary import ATTRIBUTE_OPTIONS, IMAGE_VOCABULARY
 
 LOGIT_SCALE = 5.0
 DOCS_PER_SHARD = 250
+FILES_PER_TASK = 2_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -310,16 +311,21 @@ def picture_folder(spark: SparkSession, part: DataFrame) -> str:
     folder = local_folder(spark, "pictures")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made = set()
         for batch in batches:
             for path, width, height, mode in zip(
                 batch["path"], batch["width"], batch["height"], batch["mode"]
             ):
                 target = f"{folder}/{path}"
-                os.makedirs(os.path.dirname(target), exist_ok=True)
+                if os.path.dirname(target) not in made:
+                    os.makedirs(os.path.dirname(target), exist_ok=True)
+                    made.add(os.path.dirname(target))
                 with open(target, "wb") as file:
                     file.write(b"junk" if mode == "junk" else png_bytes(width, height, mode))
             yield pd.DataFrame({"files": [len(batch)]})
 
-    rows = picture_files(part).select("path", "width", "height", "mode").repartition("path")
+    # Tasks by number of files: by size, so narrow rows would all end up in one or a few.
+    tasks = max(-(-part.count() // FILES_PER_TASK), spark.sparkContext.defaultParallelism)
+    rows = picture_files(part).select("path", "width", "height", "mode").repartition(tasks, "path")
     rows.mapInPandas(write, "files long").agg(F.sum("files")).collect()
     return folder
