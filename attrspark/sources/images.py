@@ -20,7 +20,7 @@ from attrspark.functions.images import mode_name
 from attrspark.functions.names import DIRECTORY_IMAGE_SUFFIXES, has_suffix, stem
 from attrspark.session import scratch_path
 from attrspark.sources.files import open_file
-from attrspark.sources.listing import READ_BYTES, as_uri, files_below, read_file, spread
+from attrspark.sources.listing import READ_BYTES, as_uri, file_contents, files_below, read_file, spread
 from attrspark.sources.png import PLAIN, SIGNATURE, pixels, plain_parts
 
 #: How files of known image formats begin: BMP, GIF, JPEG, TIFF, WBMP. Others are no images.
@@ -48,11 +48,13 @@ def image_files(
     when a query uses it.
     """
     suffixes = tuple(suffixes)
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    files = reader.option("pathGlobFilter", name_glob(suffixes)).load(path)
-    return files.where(has_suffix(F.col("path"), suffixes)).select(
-        "path", stem(F.col("path")).alias("id"), "length", "content"
-    )
+    files = files_below(spark, path, suffixes).where(has_suffix(F.col("path"), suffixes))
+
+    @F.arrow_udf("binary")
+    def read(paths: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from file_contents(paths)
+
+    return spread(files).select("path", stem(F.col("path")).alias("id"), "length", read("path").alias("content"))
 
 
 def _kind(path: str, length: int) -> str:

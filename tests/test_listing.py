@@ -9,7 +9,7 @@ import pytest
 
 from attrspark.functions.names import DIRECTORY_IMAGE_SUFFIXES
 from attrspark.plans import inputs as IN
-from attrspark.sources.images import _by_image_source, decoded_images
+from attrspark.sources.images import _by_image_source, decoded_images, image_files
 from attrspark.sources.listing import files_below
 
 from helpers import palette_png, png_bytes
@@ -59,6 +59,15 @@ def test_decodes_as_the_image_source_does(spark, folder):
     assert by_path(decoded_images(spark, folder)) == by_path(expected)
 
 
+def test_lists_as_the_file_source_does(spark, folder):
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    expected = by_path(files.select("path", "length", "content"))
+    assert by_path(image_files(spark, folder).select("path", "length", "content")) == expected
+    one = image_files(spark, f"{folder}/k0_0_1.png")
+    assert [r["id"] for r in one.collect()] == ["k0_0_1"]
+    assert image_files(spark, f"{folder}/k0_*").count() == 21
+
+
 def test_damaged_pixels_are_an_error_row(spark, tmp_path):
     draw = random.Random(6)
     (tmp_path / "short.png").write_bytes(filtered_png(draw, 9, 9, 2, [0], pixels=zlib.compress(b"\x00" * 50)))
@@ -77,10 +86,19 @@ def test_small_files_share_tasks(spark, tmp_path):
     assert images.where("error IS NULL").count() == 300
 
 
+def test_small_files_read_share_tasks(spark, tmp_path):
+    for n in range(300):
+        (tmp_path / f"{n}.png").write_bytes(b"%d" % n)
+    files = image_files(spark, str(tmp_path))
+    assert files.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert sorted(int(r["content"]) for r in files.collect()) == list(range(300))
+
+
 def test_the_driver_lists_no_files(spark, folder):
     """No file index of Spark over the folder: what is read are lists in Parquet."""
     assert not [f for f in files_below(spark, folder, (".png",)).inputFiles() if folder in f]
     assert not [f for f in decoded_images(spark, f"{folder}/k*").inputFiles() if folder in f]
+    assert not [f for f in image_files(spark, folder).inputFiles() if folder in f]
 
 
 def test_files_are_written_by_several_tasks(spark):
