@@ -20,6 +20,8 @@ from attrspark.sources.files import resolve
 
 #: Decisions are written to at most so many folders, by file.
 BUCKETS = 256
+#: So many rows are worth a task of their own.
+ROWS_PER_TASK = 1_000
 PLACE = ["__file", "__row", "__key"]
 
 _held: dict[tuple[str, int], pa.Table] = {}
@@ -40,6 +42,20 @@ def with_places(df: DataFrame, key: str = "id") -> DataFrame | None:
         return None
 
 
+def spread_out(df: DataFrame, places: DataFrame, rows: int | None = None) -> DataFrame:
+    """`df`, which is read by the scan of `places`, over all cores where that scan has fewer tasks.
+
+    A row group is read by one task, which would also do whatever follows. `rows` is about how
+    many there are, if that is known.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = cores if rows is None else min(cores, rows // ROWS_PER_TASK)
+    # Reads no columns.
+    if tasks < 2 or places.select(F.spark_partition_id().alias("p")).distinct().count() >= tasks:
+        return df
+    return df.repartition(tasks)
+
+
 def _decisions(folder: str, bucket: int, file: int) -> pa.Table:
     """What was decided on the rows of a file, by row; a worker keeps that of the last file."""
     if (folder, file) not in _held:

@@ -25,7 +25,7 @@ from attrspark.operators.cache import (
     new_entries,
     reuse_cached,
 )
-from attrspark.operators.chosen import PLACE, chosen_in_place, with_places
+from attrspark.operators.chosen import PLACE, chosen_in_place, spread_out, with_places
 from attrspark.operators.extract import (
     extract_sources,
     image_bytes,
@@ -230,8 +230,9 @@ def dataset_job(
     Rows without image, text and caption become error rows.
 
     A dataset of Parquet files, also projected or filtered, is decided on by narrow rows: ids,
-    order columns and content digests are shuffled, images and texts are not. Any other dataset
-    goes through the joins as it is.
+    order columns and content digests are shuffled, images are not, and texts only where there is
+    nothing but texts in fewer row groups than cores. Any other dataset goes through the joins as
+    it is.
     """
     texts = texts or LexicalExtractor()
     rows = with_row_ids(dataset)
@@ -255,11 +256,17 @@ def dataset_job(
     def selected(df: DataFrame) -> DataFrame:
         df = _remaining(df, output, resume, order)
         if samples is not None:
-            df = take_in_place(df, order, samples, freeze(df.select(*order)))
+            keys = df.select(*order)
+            df = take_in_place(df, order, samples, freeze(keys if places is None else spread_out(keys, places)))
         return lookup(df, stored)
 
-    places = with_places(rows) if samples is not None or cache is not None or resume.mode != "none" else None
+    places = with_places(rows)
+    scanned = places
+    if samples is None and cache is None and resume.mode == "none":
+        places = None
     if places is None:
+        if images is None and scanned is not None:
+            rows = spread_out(rows, scanned)
         rows = sourced(with_row_tags(rows, rules))
         rows = selected(rows)
     else:
@@ -268,7 +275,10 @@ def dataset_job(
         found = selected(narrow)
         kept = ["hit", "cached", "__known"] if stored is not None else ["hit"]
         found = found.withColumn("__known", F.col("hash_key"))
-        rows = sourced(with_row_tags(chosen_in_place(places, found, kept), rules))
+        chosen = chosen_in_place(places, found, kept)
+        if images is None:  # texts to extract weigh less than the work on them; images stay
+            chosen = spread_out(chosen, places, samples)
+        rows = sourced(with_row_tags(chosen, rules))
         if stored is not None:  # rows made of one row under one id may differ in content
             rows = rows.withColumn("hit", F.col("hit") & F.col("__known").eqNullSafe(F.col("hash_key"))).drop("__known")
     keep = ["id", "source", "outcome", "tags", "hit", "hash_key"]

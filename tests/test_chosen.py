@@ -97,3 +97,22 @@ def test_placed_and_plain_jobs_agree(spark, dataset):
             jobs.dataset_job(data, path, ModelExtractor(MarkerScorer()), order=["at"], samples=n)
     a, b = (read_results(spark, p).drop("processing_time") for p in out)
     assert a.count() == 59 and a.exceptAll(b).count() == 0
+
+
+def test_texts_of_one_row_group_are_extracted_by_all_cores(spark, tmp_path):
+    rows = spark.range(9000).selectExpr("string(id) AS id", "concat('a girl with red hair ', id) AS caption")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/one")
+    table = spark.read.parquet(f"{tmp_path}/one")
+
+    def written(name, **options):
+        jobs.dataset_job(table, f"{tmp_path}/{name}", None, **options)
+        out = spark.read.json(f"{tmp_path}/{name}")
+        assert out.select("id").distinct().count() == out.count()
+        return len(out.inputFiles()), {r["id"] for r in out.collect()}
+
+    files, ids = written("limited", samples=6000)
+    assert files >= 4 and ids == set(sorted(map(str, range(9000)))[:6000])
+    files, ids = written("whole", resume=jobs.Resume("none"))
+    assert files >= 4 and len(ids) == 9000
+    files, ids = written("few", samples=100)
+    assert files <= 4 and len(ids) == 100
