@@ -16,15 +16,21 @@ so each state's probabilities add up to one over the known words and the unseen
 words that follow a candidate count, also those that do so once.
 
 Documents are read once into chunks, files of about `CHUNK_TOKENS` tokens: a chunk's
-distinct words, sorted, and its tokens as positions in them. Nothing of the tree is
-gathered. It is grown one word of context at a time: each chunk sends its distinct n-grams
-whose context is a candidate to the hash range of the context, with their training counts
-and their probabilities in the suffix (for the test rounded to 1 / 2048 of a decade), both
-known from the pass before. A range sums the counts, tests its contexts, numbers what may be
-a context in the next pass, and answers each chunk in the order of its n-grams. Words and
-contexts are sent by these numbers, which are dense and so take few bytes as differences.
-However frequent an n-gram is, a chunk sends it once; a chunk and a range that share no
+distinct words, sorted, and its tokens as positions in them. When the words are counted they
+get numbers, frequent ones small numbers, and the file is replaced by one with these instead.
+Nothing of the tree is gathered. It is grown one word of context at a time: each chunk sends
+its distinct n-grams whose context is a candidate to the hash range of the context, with their
+training counts and their probabilities in the suffix (for the test rounded to 1 / 2048 of a
+decade), both known from the pass before. A range sums the counts, tests its contexts, numbers
+what may be a context in the next pass, and answers each chunk in the order of its n-grams.
+Words and contexts are sent by these numbers, in their order, as differences, which take few
+bytes. However frequent an n-gram is, a chunk sends it once; a chunk and a range that share no
 n-gram exchange nothing, so the rows sent are at most the n-grams.
+
+A range tells a chunk which n-grams no other chunk has. A longer n-gram that ends in such a
+one is in no other chunk either; unless it may be a context itself, nobody needs to know
+its word: a context is told only how many of them follow it once. Where an n-gram cannot occur
+twice, the test does not depend on its probability in the suffix, which is not sent then.
 """
 
 from __future__ import annotations
@@ -52,29 +58,58 @@ _STEPS = 2048
 CHUNKS = "chunk string, n_words long, n_train long"
 ANSWERS = "kind string, chunk string, level int, part int, counts binary, ids binary, types binary"
 ANSWER_NAMES = [f.split()[0] for f in ANSWERS.split(", ")]
-MESSAGE = "part int, chunk string, contexts binary, followers binary, words binary, at binary, counts binary, suffix binary"
+MESSAGE = "part int, chunk string, contexts binary, followers binary, alone binary, words binary, counts binary, suffix binary"
 
 
 def packed(values: np.ndarray, sort_of: bool = False) -> bytes:
-    """Compressed bytes of an array; of a sorted one its differences."""
+    """Compressed bytes of an array of integers; of a sorted one its differences.
+
+    The first byte tells how many bytes of each number follow, those of equal weight together:
+    they compress better.
+    """
     if sort_of and len(values):
         values = np.concatenate((values[:1], np.diff(values)))
-    # Bytes of equal weight together compress better.
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T if len(values) else np.zeros(0, np.uint8)
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    values = np.ascontiguousarray(values)
+    values = values.view(f"u{values.itemsize}")
+    width = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize)[:, :width].T)
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes)
 
 
 def unpacked(raw: bytes, kind: type, sort_of: bool = False) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
-    size = np.dtype(kind).itemsize
-    values = np.ascontiguousarray(planes.reshape(size, -1).T).view(kind).ravel()
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw[1:]), np.uint8).reshape(raw[0], -1)
+    values = np.zeros(planes.shape[1], kind)
+    values.view(np.uint8).reshape(len(values), values.itemsize)[:, : raw[0]] = planes.T
     return np.cumsum(values, dtype=kind) if sort_of else values
 
 
+def ordered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys, none negative, and their order; equal keys stay in theirs."""
+    bits = max(len(keys) - 1, 1).bit_length()
+    if int(keys.max(initial=0)).bit_length() + bits > 64:
+        order = np.argsort(keys, kind="stable")
+        return keys[order], order
+    # Keys with their places behind them are sorted much faster than places by keys.
+    both = (keys.astype(np.uint64) << np.uint64(bits)) | np.arange(len(keys), dtype=np.uint64)
+    both.sort()
+    return (both >> np.uint64(bits)).astype(keys.dtype), (both & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, the first place of each, and which of them each key is."""
+    keys, order = ordered(keys)
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    inverse = np.empty(len(keys), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return keys[new], order[new], inverse
+
+
 @dataclass
 class Chunk:
-    """The arrays of a chunk: per document id, null id, held out and tokens; the words' hashes;
-    the tokens as positions in them."""
+    """The arrays of a chunk: per document id, null id, held out and tokens; the words' hashes, or
+    once they are counted their numbers; the tokens as positions in them. Per word, once they are
+    counted: times in all training documents, and whether no other chunk has it."""
 
     doc_ids: np.ndarray
     nulls: np.ndarray
@@ -82,9 +117,11 @@ class Chunk:
     lengths: np.ndarray
     words: np.ndarray
     tokens: np.ndarray
+    counts: np.ndarray
+    sole: np.ndarray
 
     # The order and the kinds of the arrays in a file.
-    FIELDS = (("doc_ids", np.int64), ("nulls", np.uint8), ("held", np.uint8), ("lengths", np.uint32), ("words", np.uint64), ("tokens", np.uint32))
+    FIELDS = (("doc_ids", np.int64), ("nulls", np.uint8), ("held", np.uint8), ("lengths", np.uint32), ("words", np.uint64), ("tokens", np.uint32), ("counts", np.int64), ("sole", np.uint8))
 
     def write(self, folder: str) -> str:
         uri, out = new_file(folder, ".chunk")
@@ -98,8 +135,25 @@ class Chunk:
     def read(cls, uri: str) -> "Chunk":
         with open_input(uri) as source:
             arrays = [unpacked(source.read(int.from_bytes(source.read(8), "little")), kind, name == "words") for name, kind in cls.FIELDS]
-        ids, nulls, held, lengths, words, tokens = arrays
-        return cls(ids, nulls.astype(bool), held.astype(bool), lengths.astype(np.int64), words, tokens.astype(np.int64))
+        ids, nulls, held, lengths, words, tokens, counts, sole = arrays
+        return cls(ids, nulls.astype(bool), held.astype(bool), lengths.astype(np.int64), words, tokens.astype(np.int64), counts, sole.astype(bool))
+
+    def own(self) -> np.ndarray:
+        """Times each word occurs in the chunk's training documents."""
+        return np.bincount(self.tokens[self.training()], minlength=len(self.words))
+
+    def numbered(self, answers: dict[int, dict], parts: int) -> "Chunk":
+        """The chunk with the numbers of its words, in their order, from `count_words`."""
+        order, bounds = _ranges(_part(self.words, parts), parts)
+        codes, ids = np.zeros(len(order), np.int64), np.zeros(len(order), np.uint64)
+        for p, one in answers.items():
+            at = order[bounds[p] : bounds[p + 1]]
+            codes[at], ids[at] = unpacked(one["counts"], np.int64), unpacked(one["ids"], np.uint64)
+        ids, order = ordered(ids)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        counts = _told(codes, self.own())[order]
+        return Chunk(self.doc_ids, self.nulls, self.held, self.lengths, ids, place[self.tokens], counts, codes[order] == 0)
 
     def follows(self) -> np.ndarray:
         """Which tokens have one of their document before them."""
@@ -121,7 +175,8 @@ def chunked(docs: DataFrame, folder: str) -> DataFrame:
         def flush() -> pa.RecordBatch:
             ids, nulls, held, lengths, hashes = (np.concatenate(x) for x in zip(*rows))
             words, tokens = np.unique(hashes, return_inverse=True)
-            place = Chunk(ids, nulls, held, lengths, words, tokens).write(folder)
+            uncounted = np.zeros(0, np.int64)
+            place = Chunk(ids, nulls, held, lengths, words, tokens, uncounted, uncounted).write(folder)
             columns = [pa.array([place]), pa.array([len(words)]), pa.array([int(lengths[held == 0].sum())])]
             return pa.RecordBatch.from_arrays(columns, names=["chunk", "n_words", "n_train"])
 
@@ -145,11 +200,29 @@ def chunked(docs: DataFrame, folder: str) -> DataFrame:
     return docs.mapInArrow(run, CHUNKS)
 
 
-def _ranges(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order of keys by hash range, each range in the keys' order, and the ranges' bounds."""
-    part = ((mix(keys) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-    order = np.argsort(part, kind="stable")
-    return order, np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+def _part(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The hash range of each key."""
+    return ((mix(keys) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+
+
+def _ranges(part: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order by hash range, each range in its present order, and the ranges' bounds."""
+    part, order = ordered(part)
+    return order, np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
+
+
+def _next_part(contexts: np.ndarray, part: np.ndarray, of: np.ndarray, words: np.ndarray, parts: int) -> np.ndarray:
+    """The hash range of n-grams as contexts, from the number and range of their contexts, `of` which they are, and their words."""
+    return _part(mix(contexts * np.uint64(parts) + part)[of] + words, parts)
+
+
+def _codes(sums: np.ndarray, chunks: np.ndarray) -> np.ndarray:
+    """Answers on counts: 0 where one chunk alone asks, which knows the count then, else one more than the count."""
+    return np.where(chunks == 1, 0, sums + 1)
+
+
+def _told(codes: np.ndarray, own: np.ndarray) -> np.ndarray:
+    return np.where(codes > 0, codes - 1, own)
 
 
 @dataclass(frozen=True)
@@ -180,21 +253,25 @@ class Model:
         out[kept] = np.log10(p)
         return out
 
-    def types_of(self, context: np.ndarray, counts: np.ndarray, suffix: np.ndarray, n: int) -> np.ndarray:
-        """The distinct words after each of `n` contexts, 0 where it is not retained.
+    def types_of(self, context: np.ndarray, counts: np.ndarray, suffix: np.ndarray, alone: np.ndarray) -> np.ndarray:
+        """The distinct words after each context, 0 where it is not retained.
 
         `context`, `counts` and `suffix` are of the n-grams: number of the context, training
-        count, log10 probability in the suffix.
+        count, log10 probability in the suffix, which counts of 2 and more need. `alone`: how
+        many more words follow each context once.
         """
-        totals = np.bincount(context, weights=counts, minlength=n)
+        n = len(alone)
+        totals = np.bincount(context, weights=counts, minlength=n) + alone
         some = np.maximum(totals, 1)
-        types = np.bincount(context, weights=counts > 0, minlength=n)
-        part = np.maximum(counts - self.discount - 1, 0) / some[context]  # each observation left out
-        rest = np.clip(1 - np.bincount(context, weights=part, minlength=n), 1e-9, 1)
-        seen = np.flatnonzero(counts > 0)
-        p = 10.0 ** suffix[seen].astype(float)
-        gains = counts[seen] * np.log((part[seen] + rest[context[seen]] * p) / p)
-        gain = np.bincount(context[seen], weights=gains, minlength=n) / some
+        types = np.bincount(context, weights=counts > 0, minlength=n) + alone
+        again = np.flatnonzero(counts > 1)
+        of, counts = context[again], counts[again]
+        part = np.maximum(counts - self.discount - 1, 0) / some[of]  # each observation left out
+        rest = np.clip(1 - np.bincount(of, weights=part, minlength=n), 1e-9, 1)
+        gains = counts * np.log(part / 10.0 ** suffix[again].astype(float) + rest[of])
+        # Without an observation left out, words seen once are not seen.
+        once = totals - np.bincount(of, weights=counts, minlength=n)
+        gain = (np.bincount(of, weights=gains, minlength=n) + once * np.log(rest)) / some
         return np.where((totals >= self.least) & (gain >= self.divergence), types, 0).astype(np.uint32)
 
 
@@ -208,7 +285,9 @@ class Grams:
     at: np.ndarray  # a token at which it ends
     own: np.ndarray  # times it occurs in the chunk's training documents
     counts: np.ndarray | None = None  # times in all training documents
-    ids: np.ndarray | None = None  # number among all n-grams of the length, of candidates and words
+    ids: np.ndarray | None = None  # number among all n-grams of the length in its range, of candidates; of words among all
+    part: np.ndarray | None = None  # hash range to which it goes as a context
+    sole: np.ndarray | None = None  # whether no other chunk has it
 
 
 def _deeper(c: Chunk, shorter: Grams, follows: np.ndarray, training: np.ndarray, least: int) -> Grams:
@@ -217,71 +296,105 @@ def _deeper(c: Chunk, shorter: Grams, follows: np.ndarray, training: np.ndarray,
     context = shorter.of[at - 1]
     use = (context >= 0) & (shorter.counts >= least)[context] if len(shorter.counts) else context >= 0
     at, context = at[use], context[use]
-    keys = context.astype(np.int64) * max(len(c.words), 1) + c.tokens[at]
-    distinct, inverse = np.unique(keys, return_inverse=True)
-    first = np.zeros(len(distinct), np.int32)  # any of them serves
-    first[inverse] = at
+    bits = max(len(c.words) - 1, 1).bit_length()
+    keys, first, inverse = distinct(context.astype(np.int64) << bits | c.tokens[at])
     of = np.full(len(c.tokens), -1, np.int32)
     of[at] = inverse
-    contexts, words = np.divmod(distinct, max(len(c.words), 1))
-    own = np.bincount(inverse[training[at]], minlength=len(distinct))
-    return Grams(of, contexts.astype(np.int32), words.astype(np.int32), first, own.astype(np.int32))
+    own = np.bincount(inverse[training[at]], minlength=len(keys))
+    return Grams(of, (keys >> bits).astype(np.int32), (keys & ((1 << bits) - 1)).astype(np.int32), at[first].astype(np.int32), own.astype(np.int32))
 
 
-def _by_context(g: Grams, shorter: Grams, parts: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(part, contexts in the order of their numbers, how many n-grams of n-grams of each, n-grams)."""
-    contexts, begins, sizes = np.unique(g.context, return_index=True, return_counts=True)
-    by_id = np.argsort(shorter.ids[contexts])
-    order, bounds = _ranges(shorter.ids[contexts[by_id]], parts)
+@dataclass
+class Asked:
+    """What a chunk asks a range: contexts in the order of their numbers, how many n-grams of each
+    it asks for, how many others follow each once, and the n-grams in the order of contexts, then words."""
+
+    contexts: np.ndarray
+    sizes: np.ndarray
+    alone: np.ndarray
+    grams: np.ndarray
+
+
+def _by_context(g: Grams, shorter: Grams, model: Model) -> Iterator[tuple[int, Asked]]:
+    """What is asked of each part. Not asked for is what the chunk knows: n-grams that no other chunk
+    has, because it has not what they end in, and that are too rare to be contexts."""
+    if not len(g.own):
+        return
+    asked = ~shorter.sole[shorter.of[g.at]] | (g.own > min(model.least - 1, 1))
+    new = np.ones(len(g.context), bool)
+    new[1:] = g.context[1:] != g.context[:-1]
+    begins = np.flatnonzero(new)
+    contexts = g.context[begins]
+    grams = np.flatnonzero(asked)
+    sizes = np.add.reduceat(asked, begins, dtype=np.int64)
+    alone = np.add.reduceat(np.where(asked, 0, g.own), begins, dtype=np.int64)
+    begins = np.cumsum(sizes) - sizes
+    _, by_id = ordered(shorter.ids[contexts])
+    order, bounds = _ranges(shorter.part[contexts[by_id]], model.parts)
     order = by_id[order]
-    for p in range(parts):
+    n = sizes[order]
+    ends = np.cumsum(n)
+    grams = grams[np.repeat(begins[order] - (ends - n), n) + np.arange(len(grams))]
+    ends = np.concatenate(([0], ends))[bounds]
+    for p in range(model.parts):
         at = order[bounds[p] : bounds[p + 1]]
         if len(at):
-            n = sizes[at]
-            grams = np.repeat(begins[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            yield p, contexts[at], n, grams
+            yield p, Asked(contexts[at], sizes[at], alone[at], grams[ends[p] : ends[p + 1]])
+
+
+def _steps(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Runs of these sizes of ascending values, as first values and differences."""
+    out = values.copy()
+    out[1:] -= values[:-1]
+    begins = (np.cumsum(sizes) - sizes)[sizes > 0]
+    out[begins] = values[begins]
+    return out
+
+
+def _summed(steps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The values of `_steps`."""
+    sums, some = np.cumsum(steps, dtype=np.uint64), sizes[sizes > 0]
+    begins = np.cumsum(some) - some
+    return sums - np.repeat(sums[begins] - steps[begins], some)
 
 
 @dataclass
 class Grown:
-    """A chunk after the answers so far: words, the last n-grams with answers, those one word
-    longer, and log10 probability of each token in the longest state known."""
+    """A chunk after the answers so far: the last n-grams with answers, those one word longer,
+    and log10 probability of each token in the longest state known."""
 
-    words: Grams
     shorter: Grams
     deeper: Grams
     logs: np.ndarray
 
 
 def _grown(c: Chunk, answers: list[dict[int, dict]], model: Model, longer: bool = True) -> Grown:
-    """`answers` are by level, each by part; with `longer`, n-grams yet to be asked for follow."""
+    """`answers` are by level from the first, each by part; with `longer`, n-grams yet to be asked for follow."""
     training, follows = c.training(), c.follows()
     n = len(c.words)
-    own = np.bincount(c.tokens[training], minlength=n)
-    g = words = Grams(c.tokens, np.zeros(n, np.int32), np.arange(n, dtype=np.int32), np.zeros(n, np.int32), own)
-    logs = shorter = None
-    for level, got in enumerate(answers):
-        g.counts, g.ids = np.zeros(len(g.own), np.int64), np.zeros(len(g.own), np.uint64)
-        if level == 0:
-            order, bounds = _ranges(c.words, model.parts)
-            for p, one in got.items():
-                at = order[bounds[p] : bounds[p + 1]]
-                g.counts[at], g.ids[at] = unpacked(one["counts"], np.int64), unpacked(one["ids"], np.uint64, True)
-            logs = model.root(g.counts)[c.tokens]
-        else:
-            types = np.zeros(len(shorter.own), np.uint32)
-            for p, contexts, _, at in _by_context(g, shorter, model.parts):
-                g.counts[at] = unpacked(got[p]["counts"], np.int64)
-                if got[p]["ids"] is not None:
-                    g.ids[at[g.counts[at] >= model.least]] = unpacked(got[p]["ids"], np.uint64, True)
-                types[contexts] = unpacked(got[p]["types"], np.uint32)
-            # Where an n-gram ends, so does its suffix: the token's probability so far is that of the suffix.
-            found = model.probabilities(g.counts, shorter.counts[g.context], types[g.context], logs[g.at])
-            at = np.flatnonzero(g.of >= 0)
-            logs[at] = found[g.of[at]]
-        if longer or level + 1 < len(answers):
-            shorter, g = g, _deeper(c, g, follows, training, model.least)
-    return Grown(words, shorter, g, logs)
+    g = Grams(c.tokens, np.zeros(n, np.int32), np.arange(n, dtype=np.int32), np.zeros(n, np.int32), c.own(), c.counts, c.words, _part(c.words, model.parts), c.sole)
+    logs, shorter = model.root(g.counts)[c.tokens], g
+    for got in answers:
+        shorter, g = g, _deeper(c, g, follows, training, model.least)
+        # Of what is not asked for, the chunk has all.
+        g.counts, g.ids, g.sole = g.own.astype(np.int64), np.zeros(len(g.own), np.uint64), np.ones(len(g.own), bool)
+        g.part = _next_part(shorter.ids, shorter.part, g.context, c.words[g.word], model.parts)
+        types = np.zeros(len(shorter.own), np.uint32)
+        for p, asked in _by_context(g, shorter, model):
+            at, codes = asked.grams, unpacked(got[p]["counts"], np.int64)
+            g.counts[at], g.sole[at] = _told(codes, g.own[at]), codes == 0
+            if got[p]["ids"] is not None:
+                at = at[g.counts[at] >= model.least]
+                order, bounds = _ranges(g.part[at], model.parts)
+                g.ids[at[order]] = _summed(unpacked(got[p]["ids"], np.uint64), np.diff(bounds)) * np.uint64(model.parts) + np.uint64(p)
+            types[asked.contexts] = unpacked(got[p]["types"], np.uint32)
+        # Where an n-gram ends, so does its suffix: the token's probability so far is that of the suffix.
+        found = model.probabilities(g.counts, shorter.counts[g.context], types[g.context], logs[g.at])
+        at = np.flatnonzero(g.of >= 0)
+        logs[at] = found[g.of[at]]
+    if longer:
+        shorter, g = g, _deeper(c, g, follows, training, model.least)
+    return Grown(shorter, g, logs)
 
 
 def _written(spark: SparkSession, df: DataFrame, label: str) -> tuple[DataFrame, str]:
@@ -292,10 +405,16 @@ def _written(spark: SparkSession, df: DataFrame, label: str) -> tuple[DataFrame,
     return spark.read.schema(df.schema).parquet(place), place
 
 
-def _keep(spark: SparkSession, chunks: DataFrame, answers: DataFrame, place: str, level: int, tasks: int) -> None:
-    """Put the answers of a level, written at `place`, into a file beside each chunk and remove them there.
+def _place(chunk: str, level: int) -> str:
+    """Where a chunk's words and tokens (level 0) and its answers of other levels are kept."""
+    folder, _, name = chunk.rpartition("/read/")
+    return f"{folder}/{name}.{level}"
+
+
+def _keep(spark: SparkSession, chunks: DataFrame, answers: DataFrame, place: str, level: int, tasks: int, parts: int) -> None:
+    """Put the answers of a level, written at `place`, into a file for each chunk and remove them there.
 
-    A chunk's answers are as many as its n-grams at most.
+    A chunk's answers are as many as its n-grams at most. Those on words are put into its file.
     """
 
     def put(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,11 +424,16 @@ def _keep(spark: SparkSession, chunks: DataFrame, answers: DataFrame, place: str
                 known = batch.column(1)[i].values
                 rows = pa.Table.from_struct_array(known) if known is not None and len(known) else schema.empty_table()
                 # Every attempt writes the same content under a name of its own, which then takes the place of the file.
-                part, out = new_file(chunk.rpartition("/")[0], ".part")
-                with out, pa.ipc.new_stream(out, schema) as writer:
-                    writer.write_table(rows.cast(schema))
+                goal = _place(chunk, level)
+                folder = goal.rpartition("/")[0]
+                if level == 0:
+                    part = Chunk.read(chunk).numbered({row["part"]: row for row in rows.to_pylist()}, parts).write(folder)
+                else:
+                    part, out = new_file(folder, ".part")
+                    with out, pa.ipc.new_stream(out, schema) as writer:
+                        writer.write_table(rows.cast(schema))
                 system, path = store(part)
-                system.move(path, store(f"{chunk}.{level}")[1])
+                system.move(path, store(goal)[1])
             yield pa.RecordBatch.from_arrays([batch.column(0)], names=["chunk"])
 
     rows = chunks.select("chunk", F.lit(None).cast("struct<part:int,counts:binary,ids:binary,types:binary>").alias("a"))
@@ -321,25 +445,25 @@ def _keep(spark: SparkSession, chunks: DataFrame, answers: DataFrame, place: str
 
 
 def _kept(chunk: str, levels: int) -> list[dict[int, dict]]:
-    """The answers to a chunk of the first `levels` levels, by part."""
+    """The answers to a chunk up to this level, by part."""
     answers = []
-    for level in range(levels):
-        with open_input(f"{chunk}.{level}") as source:
+    for level in range(1, levels + 1):
+        with open_input(_place(chunk, level)) as source:
             rows = pa.ipc.open_stream(source).read_all().to_pylist()
         answers.append({row["part"]: row for row in rows})
     return answers
 
 
 def count_words(chunks: DataFrame, parts: int, tasks: int) -> DataFrame:
-    """Counts of single words: per chunk and part the sums of its words in their order; per
-    part (kind "kinds") the number of words seen once, twice and at all."""
+    """Counts of single words: per chunk and part the sums of its words in their order, and their
+    numbers; per part (kind "kinds") the number of words seen once, twice and at all."""
 
     def give(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for place in batch.column(0).to_pylist():
                 c = Chunk.read(place)
-                counts = np.bincount(c.tokens[c.training()], minlength=len(c.words))
-                order, bounds = _ranges(c.words, parts)
+                counts = c.own()
+                order, bounds = _ranges(_part(c.words, parts), parts)
                 rows = [(p, place, packed(c.words[at], True), packed(counts[at].astype(np.uint32))) for p in range(parts) if len(at := order[bounds[p] : bounds[p + 1]])]
                 kinds = [pa.int32(), pa.string(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=["part", "chunk", "words", "counts"])
@@ -347,15 +471,17 @@ def count_words(chunks: DataFrame, parts: int, tasks: int) -> DataFrame:
     def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         words = [unpacked(w, np.uint64, True) for w in rows["words"]]
         counts = np.concatenate([unpacked(n, np.uint32) for n in rows["counts"]])
-        distinct, inverse = np.unique(np.concatenate(words), return_inverse=True)
-        sums = np.bincount(inverse, weights=counts, minlength=len(distinct)).astype(np.int64)
+        kept, _, inverse = distinct(np.concatenate(words))
+        sums = np.bincount(inverse, weights=counts, minlength=len(kept)).astype(np.int64)
+        codes = _codes(sums, np.bincount(inverse, minlength=len(kept)))
         kinds = np.array([(sums == 1).sum(), (sums == 2).sum(), (sums > 0).sum()], np.int64)
         out = [("kinds", None, 0, key[0], packed(kinds), None, None)]
-        ids = np.arange(len(distinct), dtype=np.uint64) * np.uint64(parts) + np.uint64(key[0])
+        ids = np.empty(len(kept), np.uint64)
+        ids[np.argsort(-sums, kind="stable")] = np.arange(len(kept), dtype=np.uint64) * np.uint64(parts) + np.uint64(key[0])
         bounds = np.cumsum([0, *map(len, words)])
         for i, chunk in enumerate(rows["chunk"]):
             at = inverse[bounds[i] : bounds[i + 1]]
-            out.append(("chunk", chunk, 0, key[0], packed(sums[at]), packed(ids[at], True), None))
+            out.append(("chunk", chunk, 0, key[0], packed(codes[at]), packed(ids[at]), None))
         return pd.DataFrame(out, columns=ANSWER_NAMES)
 
     given = chunks.select("chunk").repartition(tasks, "chunk").mapInArrow(give, "part int, chunk string, words binary, counts binary")
@@ -365,30 +491,36 @@ def count_words(chunks: DataFrame, parts: int, tasks: int) -> DataFrame:
 def grow(chunks: DataFrame, level: int, model: Model, tasks: int, last: bool = False) -> DataFrame:
     """Answers to the n-grams of `level` words of context, each part and chunk in the order of
     `_by_context`: their counts, the numbers of candidates, and the types of contexts. Those of
-    the levels before are beside the chunks."""
+    the levels before are kept by chunk."""
     names = [f.split()[0] for f in MESSAGE.split(", ")]
 
     def give(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in batch.column(0).to_pylist():
-                c = Chunk.read(chunk)
-                grown = _grown(c, _kept(chunk, level), model)
+                c = Chunk.read(_place(chunk, 0))
+                grown = _grown(c, _kept(chunk, level - 1), model)
                 g, shorter, rows = grown.deeper, grown.shorter, []
-                suffix = np.clip(np.round(-grown.logs[g.at] * _STEPS), 0, 65535).astype(np.uint16)
-                if level > 1:  # the test asks for those of training n-grams only
-                    suffix[g.own == 0] = 0
-                for p, contexts, n, at in _by_context(g, shorter, model.parts):
-                    words, one, place = np.unique(g.word[at], return_index=True, return_inverse=True)
+                if level == 1:  # after one word it depends on the last word alone
+                    suffix = np.clip(np.round(-model.root(c.counts) * _STEPS), 0, 65535).astype(np.uint16)
+                else:  # the test asks for those of training n-grams that may occur twice
+                    suffix = np.clip(np.round(-grown.logs[g.at] * _STEPS), 0, 65535).astype(np.uint16)
+                    suffix[(g.own == 0) | (shorter.counts[shorter.of[g.at]] < 2)] = 0
+                for p, asked in _by_context(g, shorter, model):
+                    at = asked.grams
+                    words = g.word[at]
+                    if level == 1:
+                        there = np.zeros(len(c.words), bool)
+                        there[words] = True
                     rows.append(
                         (
                             p,
                             chunk,
-                            packed(shorter.ids[contexts], True),
-                            packed(n.astype(np.uint32)),
-                            packed(grown.words.ids[words], True),
-                            packed(place.astype(np.uint32)),
-                            packed(g.own[at].astype(np.uint32)),
-                            packed(suffix[at[one] if level == 1 else at]),  # after one word it depends on the last word alone
+                            packed(shorter.ids[asked.contexts], True),
+                            packed(asked.sizes),
+                            packed(asked.alone),
+                            packed(_steps(c.words[words], asked.sizes)),
+                            packed(g.own[at]),
+                            packed(suffix[there] if level == 1 else suffix[at]),
                         )
                     )
                 kinds = [pa.int32(), pa.string(), *[pa.binary()] * 6]
@@ -397,31 +529,48 @@ def grow(chunks: DataFrame, level: int, model: Model, tasks: int, last: bool = F
 
     def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         contexts = [unpacked(x, np.uint64, True) for x in rows["contexts"]]
-        sizes = [unpacked(x, np.uint32) for x in rows["followers"]]
-        at = [unpacked(x, np.uint32) for x in rows["at"]]
-        words = [unpacked(x, np.uint64, True)[i] for x, i in zip(rows["words"], at)]
+        sizes = [unpacked(x, np.int64) for x in rows["followers"]]
+        words = [_summed(unpacked(x, np.uint64), n) for x, n in zip(rows["words"], sizes)]
         suffix = [unpacked(x, np.uint16) for x in rows["suffix"]]
-        suffix = np.concatenate([x[i] for x, i in zip(suffix, at)] if level == 1 else suffix)
-        distinct, number = np.unique(np.concatenate(contexts), return_inverse=True)
+        known, _, number = distinct(np.concatenate(contexts))
+        alone = np.bincount(number, weights=np.concatenate([unpacked(x, np.int64) for x in rows["alone"]]), minlength=len(known))
         of_gram = np.repeat(number, np.concatenate(sizes))
-        vocabulary, of_words = np.unique(np.concatenate(words), return_inverse=True)
-        own = np.concatenate([unpacked(x, np.uint32) for x in rows["counts"]])
-        grams, inverse = np.unique(of_gram * len(vocabulary) + of_words, return_inverse=True)
-        first = np.zeros(len(grams), np.int64)  # equal n-grams have equal contexts and suffixes
-        first[inverse] = np.arange(len(inverse))
+        vocabulary, _, of_word = distinct(np.concatenate(words))
+        bounds = np.cumsum([0, *map(len, words)])
+        if level == 1:
+            of_words = np.zeros(len(vocabulary), np.uint16)
+            for i, x in enumerate(suffix):
+                there = np.zeros(len(vocabulary), bool)
+                there[of_word[bounds[i] : bounds[i + 1]]] = True
+                of_words[there] = x
+            suffix = of_words[of_word]
+        else:
+            suffix = np.concatenate(suffix)
+        own = np.concatenate([unpacked(x, np.int64) for x in rows["counts"]])
+        bits = max(len(vocabulary) - 1, 1).bit_length()
+        grams, first, inverse = distinct(of_gram << bits | of_word)
         training = np.flatnonzero(own)
-        first[inverse[training]] = training
+        first[inverse[training]] = training  # equal n-grams have equal suffixes, in training
         sums = np.bincount(inverse, weights=own, minlength=len(grams)).astype(np.int64)
+        codes = _codes(sums, np.bincount(inverse, minlength=len(grams)))
         often = sums >= model.least
-        ids = (np.cumsum(often) - 1).astype(np.uint64) * np.uint64(model.parts) + np.uint64(key[0])
-        suffix = suffix[first] / -_STEPS
-        types = model.types_of(of_gram[first], sums, suffix, len(distinct))
-        out, a, b = [], 0, 0
-        for chunk, some, words_of in zip(rows["chunk"], contexts, words):
-            at = inverse[b : b + len(words_of)]
-            numbers = None if last else packed(ids[at[often[at]]], True)
-            out.append(("chunk", chunk, level, key[0], packed(sums[at]), numbers, packed(types[number[a : a + len(some)]])))
-            a, b = a + len(some), b + len(words_of)
+        # Candidates are numbered by range to which they go, so that their numbers are dense there.
+        part = _next_part(known, np.uint64(key[0]), grams >> bits, vocabulary[grams & ((1 << bits) - 1)], model.parts)
+        candidates = np.flatnonzero(often)
+        order, ends = _ranges(part[candidates], model.parts)
+        ids = np.zeros(len(grams), np.uint64)
+        ids[candidates[order]] = np.arange(len(order)) - np.repeat(ends[:-1], np.diff(ends))
+        types = model.types_of(grams >> bits, sums, suffix[first] / -_STEPS, alone)
+        out, a = [], 0
+        for i, (chunk, some) in enumerate(zip(rows["chunk"], contexts)):
+            at = inverse[bounds[i] : bounds[i + 1]]
+            numbers = None
+            if not last:
+                asked = at[often[at]]
+                order, ends = _ranges(part[asked], model.parts)
+                numbers = packed(_steps(ids[asked[order]], np.diff(ends)))
+            out.append(("chunk", chunk, level, key[0], packed(codes[at]), numbers, packed(types[number[a : a + len(some)]])))
+            a += len(some)
         return pd.DataFrame(out, columns=ANSWER_NAMES)
 
     asked = chunks.select("chunk").repartition(tasks, "chunk").mapInArrow(give, MESSAGE)
@@ -447,7 +596,8 @@ def scored(docs: DataFrame, held_out: str = "held_out", least: int = LEAST, dept
         F.coalesce(F.col(held_out), F.lit(True)).alias("held"),
         F.col("text").cast("string").alias("text"),
     )
-    chunks, _ = _written(spark, chunked(narrow, scratch_path(spark, "chunk-files")), "chunks")
+    folder = f"{scratch_path(spark, 'chunk-files')}/read"
+    chunks, _ = _written(spark, chunked(narrow, folder), "chunks")
     size = chunks.agg(F.count("*"), F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
     least_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # A chunk gives at most one n-gram per distinct word or token.
@@ -458,18 +608,21 @@ def scored(docs: DataFrame, held_out: str = "held_out", least: int = LEAST, dept
         kinds += unpacked(row[0], np.int64)
     discount = float(np.clip(kinds[0] / max(kinds[0] + 2 * kinds[1], 1), 0.1, 0.9))
     model = Model(parts, least, divergence, size[2], int(kinds[2]), discount)
-    _keep(spark, chunks, answers, place, 0, tasks)
+    _keep(spark, chunks, answers, place, 0, tasks, parts)
+    if size[0]:
+        system, path = store(folder)
+        system.delete_dir(path)
     for level in range(1, depth + 1):
         answers, place = _written(spark, grow(chunks, level, model, tasks, level == depth), f"level-{level}")
-        _keep(spark, chunks, answers, place, level, tasks)
+        _keep(spark, chunks, answers, place, level, tasks, parts)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
         for batch in batches:
             for chunk in batch.column(0).to_pylist():
-                c = Chunk.read(chunk)
-                grown = _grown(c, _kept(chunk, depth + 1), model, False)
-                counts, logs = grown.words.counts, grown.logs.astype(float)
+                c = Chunk.read(_place(chunk, 0))
+                grown = _grown(c, _kept(chunk, depth), model, False)
+                counts, logs = c.counts, grown.logs.astype(float)
                 base = np.log10((counts + 1) / (model.tokens + model.types + 1))
                 begins = np.cumsum(c.lengths) - c.lengths
                 yield pa.RecordBatch.from_arrays(

@@ -447,6 +447,19 @@ def test_scores_are_those_of_a_tree_of_dictionaries(spark, monkeypatch, least, d
             assert math.isclose(sum(p(c, w) for w in words) + p(c, "unseen"), 1, rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("least", [1, 2])
+def test_scores_of_words_seen_once_in_one_chunk_and_held_out_in_others(spark, monkeypatch, least):
+    monkeypatch.setattr(suffix_tree, "CHUNK_TOKENS", 40)
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["x", "y", f"w{rng.randint(0, 40)}", f"u{i // 2}"]) for _ in range(rng.randint(0, 9)))) for i in range(120)]
+    docs = frame(spark, rows).repartition(9).withColumn("held_out", F.col("doc_id") % 2 == 1)
+    texts = {d: words_of(t) + ["</s>"] for d, t in rows}
+    want, *_ = tree_scores([t for d, t in texts.items() if d % 2 == 0], texts.values(), least, 3, 0.02)
+    got = {r.doc_id: r.score for r in suffix_tree.scored(docs, least=least).collect()}
+    for d, score in zip(texts, want):
+        assert math.isclose(got[d], score, rel_tol=1e-4), d
+
+
 def test_a_context_counts_alike_in_a_larger_corpus(spark):
     def gain(others):
         rows = [(1, "rare pair"), (2, "rare pair"), *((10 + i, f"a{i} b{i % 50} c") for i in range(others))]
