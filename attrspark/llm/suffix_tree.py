@@ -85,14 +85,24 @@ def unpacked(raw: bytes, kind: type, sort_of: bool = False) -> np.ndarray:
 
 def ordered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys, none negative, and their order; equal keys stay in theirs."""
+    # Keys with their places behind them are sorted much faster than places by keys; of long keys the
+    # first bits, which are enough to tell hashes apart.
     bits = max(len(keys) - 1, 1).bit_length()
-    if int(keys.max(initial=0)).bit_length() + bits > 64:
-        order = np.argsort(keys, kind="stable")
-        return keys[order], order
-    # Keys with their places behind them are sorted much faster than places by keys.
-    both = (keys.astype(np.uint64) << np.uint64(bits)) | np.arange(len(keys), dtype=np.uint64)
+    cut = max(int(keys.max(initial=0)).bit_length() + bits - 64, 0)
+    both = keys.astype(np.uint64)
+    both >>= np.uint64(cut)
+    both <<= np.uint64(bits)
+    both |= np.arange(len(keys), dtype=np.uint64)
     both.sort()
-    return (both >> np.uint64(bits)).astype(keys.dtype), (both & np.uint64((1 << bits) - 1)).astype(np.int64)
+    found = None if cut else (both >> np.uint64(bits)).astype(keys.dtype, copy=False)
+    both &= np.uint64((1 << bits) - 1)
+    order = both.view(np.int64)
+    if cut:
+        found = keys[order]
+        if (found[1:] < found[:-1]).any():
+            order = np.argsort(keys, kind="stable")
+            found = keys[order]
+    return found, order
 
 
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,8 +110,10 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keys, order = ordered(keys)
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
+    number = np.cumsum(new)
+    number -= 1
     inverse = np.empty(len(keys), np.int64)
-    inverse[order] = np.cumsum(new) - 1
+    inverse[order] = number
     return keys[new], order[new], inverse
 
 
@@ -174,7 +186,7 @@ def chunked(docs: DataFrame, folder: str) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             ids, nulls, held, lengths, hashes = (np.concatenate(x) for x in zip(*rows))
-            words, tokens = np.unique(hashes, return_inverse=True)
+            words, _, tokens = distinct(hashes)
             uncounted = np.zeros(0, np.int64)
             place = Chunk(ids, nulls, held, lengths, words, tokens, uncounted, uncounted).write(folder)
             columns = [pa.array([place]), pa.array([len(words)]), pa.array([int(lengths[held == 0].sum())])]
@@ -292,12 +304,16 @@ class Grams:
 
 def _deeper(c: Chunk, shorter: Grams, follows: np.ndarray, training: np.ndarray, least: int) -> Grams:
     """The n-grams one word longer whose contexts are candidates."""
-    at = np.flatnonzero(follows)
-    context = shorter.of[at - 1]
-    use = (context >= 0) & (shorter.counts >= least)[context] if len(shorter.counts) else context >= 0
-    at, context = at[use], context[use]
+    often = np.append(shorter.counts >= least, False)  # the last for tokens without an n-gram, -1
+    use = np.zeros(len(c.tokens), bool)
+    use[1:] = often[shorter.of[:-1]]
+    use &= follows
+    at = np.flatnonzero(use)
     bits = max(len(c.words) - 1, 1).bit_length()
-    keys, first, inverse = distinct(context.astype(np.int64) << bits | c.tokens[at])
+    keys = shorter.of[at - 1].astype(np.int64)
+    keys <<= bits
+    keys |= c.tokens[at]
+    keys, first, inverse = distinct(keys)
     of = np.full(len(c.tokens), -1, np.int32)
     of[at] = inverse
     own = np.bincount(inverse[training[at]], minlength=len(keys))
@@ -378,7 +394,8 @@ def _grown(c: Chunk, answers: list[dict[int, dict]], model: Model, longer: bool
         shorter, g = g, _deeper(c, g, follows, training, model.least)
         # Of what is not asked for, the chunk has all.
         g.counts, g.ids, g.sole = g.own.astype(np.int64), np.zeros(len(g.own), np.uint64), np.ones(len(g.own), bool)
-        g.part = _next_part(shorter.ids, shorter.part, g.context, c.words[g.word], model.parts)
+        if any(one["ids"] is not None for one in got.values()):
+            g.part = _next_part(shorter.ids, shorter.part, g.context, c.words[g.word], model.parts)
         types = np.zeros(len(shorter.own), np.uint32)
         for p, asked in _by_context(g, shorter, model):
             at, codes = asked.grams, unpacked(got[p]["counts"], np.int64)

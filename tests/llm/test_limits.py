@@ -92,6 +92,6 @@ def test_arrays_come_back_as_packed():
     sizes = np.array([3, 0, 1, 4, 0])
     runs = np.array([2, 5, 9, 1, 0, 3, 4, 1 << 40], np.uint64)
     assert (suffix_tree._summed(suffix_tree._steps(runs, sizes), sizes) == runs).all()
-    for keys in (rng.integers(0, 50, 400), rng.integers(0, 1 << 62, 400) // (1 << 55) * (1 << 55), np.zeros(0, np.int64)):
+    for keys in (rng.integers(0, 50, 400), rng.integers(0, 1 << 62, 400) // (1 << 55) * (1 << 55), rng.integers(0, 9, 400) + (1 << 62), np.zeros(0, np.int64)):
         want = np.unique(keys, return_index=True, return_inverse=True)
         assert all((a == b).all() for a, b in zip(suffix_tree.distinct(keys), want))
